@@ -1,4 +1,4 @@
-"""Row diagnostics: ARRAY<STRUCT<stage, code, field, message>>.
+"""Row diagnostics: ARRAY<STRUCT<stage, code, field, message>> (SQL text).
 
 Lists are built with ``concat`` of conditional one-element arrays, which
 stays inside generated code; ``array_compact`` would fall back to an
@@ -9,48 +9,40 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from feedplan.functions.text import quoted
 
 DIAGNOSTIC = "struct<stage:string,code:string,field:string,message:string>"
+NONE = f"cast(array() as array<{DIAGNOSTIC}>)"
 
 # The stages a diagnostic can come from.
 EXTRACT, MAP, NORMALIZE, ENRICH = "EXTRACT", "MAP", "NORMALIZE", "ENRICH"
 VALIDATE, PLAN, APPLY, CACHE = "VALIDATE", "PLAN", "APPLY", "CACHE"
 
+# A row has no error so far, or has one.
+CLEAN = "size(errors) = 0"
+FAILED = "size(errors) > 0"
 
-def no_diagnostics() -> Column:
-    return F.array().cast(f"array<{DIAGNOSTIC}>")
 
-
-def diagnostic(stage: str, code: str, field: str | None, message: str | Column) -> Column:
-    text = F.lit(message) if isinstance(message, str) else message
-    return F.struct(
-        F.lit(stage).alias("stage"),
-        F.lit(code).alias("code"),
-        F.lit(field).cast("string").alias("field"),
-        text.alias("message"),
+def diagnostic(stage: str, code: str, field: str | None, message: str, message_is_sql: bool = False) -> str:
+    """One diagnostic; the message is a fixed text or an expression."""
+    text = message if message_is_sql else quoted(message)
+    return (
+        f"named_struct('stage', {quoted(stage)}, 'code', {quoted(code)}, "
+        f"'field', {quoted(field)}, 'message', {text})"
     )
 
 
-def emit(condition: Column, item: Column) -> Column:
+def emit(condition: str, item: str) -> str:
     """``[item]`` where the condition holds, ``[]`` where it is false or NULL."""
-    return F.when(condition, F.array(item)).otherwise(no_diagnostics())
+    return f"if({condition}, array({item}), {NONE})"
 
 
-def gather(parts: Iterable[Column]) -> Column:
+def gather(parts: Iterable[str]) -> str:
     """One list out of several, in order."""
     parts = list(parts)
-    return F.concat(*parts) if parts else no_diagnostics()
-
-
-def clean(errors: Column | str = "errors") -> Column:
-    """Row has no error so far."""
-    errors = F.col(errors) if isinstance(errors, str) else errors
-    return F.size(errors) == 0
+    return f"concat({', '.join(parts)})" if parts else NONE
 
 
-def code_summary(errors: Column) -> Column:
+def code_summary(errors: str = "errors") -> str:
     """Distinct codes, sorted, joined by commas; ``none`` when there are none."""
-    codes = F.array_join(F.sort_array(F.array_distinct(errors["code"])), ",")
-    return F.when(F.size(errors) == 0, F.lit("none")).otherwise(codes)
+    return f"if(size({errors}) = 0, 'none', array_join(sort_array(array_distinct({errors}.code)), ','))"

@@ -1,4 +1,4 @@
-"""Parsers for the free-text cells of a feed.
+"""Parsers for the free-text cells of a feed (SQL text in, SQL text out).
 
 A cell holds several facts in one string (``role=Engineer; hired:2020``).
 Each parser is one or two regular expressions evaluated inside generated
@@ -7,10 +7,7 @@ code; nothing is split into arrays unless the caller asks for all pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from feedplan.functions.text import WS, one_of, strip, trim_to_null
+from feedplan.functions.text import WS, one_of, regex, strip, trim_to_null
 
 # Spellings of the logon flag.
 FLAG_ON = ("true", "1", "yes", "y", "on")
@@ -25,12 +22,12 @@ _EMAIL = rf"[^{WS}{_SEP}]@[^{WS}{_SEP}]"
 _PHONE = rf"[+\d][\d{WS}()\-]{{4}}(?:[\d()\-]|[{WS}](?={_TOKEN}[^{WS}{_SEP}]))"
 
 
-def _group(c: Column, pattern: str) -> Column:
+def _group(c: str, pattern: str) -> str:
     """First group of the first match, ``''`` without one."""
-    return F.regexp_extract(c, pattern, 1)
+    return f"regexp_extract({c}, {regex(pattern)}, 1)"
 
 
-def split_full_name(c: Column) -> dict[str, Column]:
+def split_full_name(c: str) -> dict[str, str]:
     """Last, first and middle name.
 
     ``Last, First Middle`` when a comma is present, else ``Last First Middle``.
@@ -70,61 +67,56 @@ _FIRST_PHONE = (
 )
 
 
-def pick_contacts(*cells: Column) -> dict[str, Column]:
+def pick_contacts(*cells: str) -> dict[str, str]:
     """First e-mail and first phone over the tokens of all cells, in order.
 
     The whole token is kept (or the text after its first ``=`` when it is
     labelled), not the part that matched.
     """
-    joined = cells[0] if len(cells) == 1 else F.concat_ws(",", *cells)
+    joined = cells[0] if len(cells) == 1 else f"concat_ws(',', {', '.join(cells)})"
     return {
         "email": trim_to_null(_group(joined, _FIRST_EMAIL)),
         "phone": trim_to_null(_group(joined, _FIRST_PHONE)),
     }
 
 
-def kv_value(c: Column, key: str) -> Column:
+def kv_value(c: str, key: str) -> str:
     """Value of one key in a ``k=v;k=v`` cell; the last duplicate wins, an
     empty value stays ``''``, an absent key gives NULL."""
     # the group starts at '=', so an empty value differs from no match
-    found = F.nullif(_group(c, rf"(?iUs)^(?:.*;)?[{WS}]*{key}[{WS}]*(=[^;]*)"), F.lit(""))
-    return strip(F.substr(found, F.lit(2)))
+    found = _group(c, rf"(?iUs)^(?:.*;)?[{WS}]*{key}[{WS}]*(=[^;]*)")
+    return strip(f"substr(nullif({found}, ''), 2)")
 
 
-def kv_pairs(c: Column) -> Column:
+def kv_pairs(c: str) -> str:
     """All pairs of a ``k=v;k=v`` cell as a MAP; the last duplicate wins."""
-    tokens = F.filter(F.split(c, ";"), lambda t: F.contains(t, F.lit("=")))
-    pairs = F.transform(
-        tokens,
-        lambda t: F.struct(
-            F.lower(strip(F.substring_index(t, "=", 1))).alias("key"),
-            strip(F.regexp_replace(t, r"(?s)^[^=]*=", "")).alias("value"),
-        ),
+    key = f"lower({strip('substring_index(t, \'=\', 1)')})"
+    value = strip(f"regexp_replace(t, {regex('(?s)^[^=]*=')}, '')")
+    pairs = (
+        f"filter(transform(filter(split({c}, ';'), t -> contains(t, '=')), "
+        f"t -> named_struct('key', {key}, 'value', {value})), p -> p.key != '')"
     )
-    named = F.filter(pairs, lambda p: p["key"] != "")
-    # keep a pair only if no later pair has its key
-    last = F.filter(
-        named,
-        lambda p, i: ~F.array_contains(
-            F.transform(F.slice(named, i + 2, F.size(named)), lambda q: q["key"]), p["key"]
-        ),
+    # the last entry of a key is the first one of the reversed list
+    return (
+        f"map_from_entries(aggregate(reverse({pairs}), cast(array() as array<struct<key:string,value:string>>), "
+        f"(kept, p) -> if(array_contains(kept.key, p.key), kept, array_append(kept, p))))"
     )
-    return F.map_from_entries(last)
 
 
-def manager_ref(c: Column) -> Column:
+def manager_ref(c: str) -> str:
     """First run of digits in ``manager_id: …`` / ``manager=…``, or in the
     whole cell when neither label occurs; leading zeros stay."""
     labelled = rf"(?iUs)^.*?(?:manager_id|manager)[{WS}]*[:=][{WS}]*([^;]+).*$"
-    return F.nullif(_group(F.regexp_replace(c, labelled, "$1"), r"(?U)(\d+)"), F.lit(""))
+    rest = f"regexp_replace({c}, {regex(labelled)}, '$1')"
+    return f"nullif({_group(rest, r'(?U)(\d+)')}, '')"
 
 
-def logon_flag(c: Column) -> Column:
+def logon_flag(c: str) -> str:
     """``'true'`` / ``'false'`` from ``disabled: …``; unknown words are NULL."""
-    word = F.lower(strip(_group(c, rf"(?iU)disabled[{WS}]*[:=][{WS}]*([^;]+)")))
+    word = f"lower({strip(_group(c, rf'(?iU)disabled[{WS}]*[:=][{WS}]*([^;]+)'))})"
     return one_of(dict.fromkeys(FLAG_ON, "true") | dict.fromkeys(FLAG_OFF, "false"), word)
 
 
-def role_name(c: Column) -> Column:
+def role_name(c: str) -> str:
     """Text after ``role=`` / ``role:`` up to the next ``;``."""
     return trim_to_null(_group(c, rf"(?iU)role[{WS}]*[:=][{WS}]*([^;]+)"))

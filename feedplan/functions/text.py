@@ -1,4 +1,4 @@
-"""Scalar text, number and flag functions.
+"""Scalar text, number and flag functions (SQL text in, SQL text out).
 
 All of them are compositions of built-in expressions that take part in
 whole-stage code generation (no lambdas over arrays, no Python UDF).
@@ -6,15 +6,13 @@ whole-stage code generation (no lambdas over arrays, no Python UDF).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Every character that Python's ``str.strip()`` removes.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
-    "\u2028\u2029\u202f\u205f\u3000"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
+    "           "
+    "    　"
 )
+_WHITESPACE_LITERAL = "'" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "'"
 
 # The same set as a Java regex class body; needs the (?U) flag.
 WS = r"\s\x1c-\x1f"
@@ -27,86 +25,106 @@ EMAIL_FORM = rf"(?U)^[^@{WS}]+@[^@{WS}]+\.[^@{WS}]+$"
 INT_FORM = r"^[+-]?\d+(_\d+)*$"
 
 
-def strip(c: Column) -> Column:
+def quoted(value: str | None) -> str:
+    """String literal."""
+    if value is None:
+        return "cast(null as string)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def regex(pattern: str) -> str:
+    """Pattern literal, backslashes as they are."""
+    return f"r'{pattern}'"
+
+
+def strip(c: str) -> str:
     """Trim all Unicode whitespace (Spark's ``trim`` drops blanks only)."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    return f"btrim({c}, {_WHITESPACE_LITERAL})"
 
 
-def trim_to_null(c: Column) -> Column:
+def trim_to_null(c: str) -> str:
     """Trim; an empty result becomes NULL."""
-    return F.nullif(strip(c), F.lit(""))
+    return f"nullif({strip(c)}, '')"
 
 
-def clean_null_token(c: Column) -> Column:
+def clean_null_token(c: str) -> str:
     """Trim; an empty text or the word ``null`` in any case becomes NULL."""
-    return F.nullif(F.regexp_replace(strip(c), "(?i)^null$", ""), F.lit(""))
+    return f"nullif(regexp_replace({strip(c)}, '(?i)^null$', ''), '')"
 
 
-def normalize_whitespace(c: Column) -> Column:
-    """Trim and collapse each whitespace run to one blank."""
-    return F.regexp_replace(strip(c), rf"(?U)[{WS}]+", " ")
+def normalize_whitespace(c: str) -> str:
+    """Trim and collapse each whitespace run to one blank.
+
+    Most texts are plain ASCII with single blanks; a short scan recognises
+    them and only the others are rewritten.
+    """
+    odd = f"{c} rlike {regex('  |[^ -~]')}"
+    collapsed = f"regexp_replace({strip(c)}, {regex(f'(?U)[{WS}]+')}, ' ')"
+    return f"if({odd}, {collapsed}, trim({c}))"
 
 
-def normalize_text(c: Column) -> Column:
+def normalize_text(c: str) -> str:
     """``normalize_whitespace`` with blank texts as NULL."""
-    return F.nullif(normalize_whitespace(c), F.lit(""))
+    return f"nullif({normalize_whitespace(c)}, '')"
 
 
-def is_blank(c: Column) -> Column:
+def is_blank(c: str) -> str:
     """True for NULL and for texts that hold whitespace only."""
-    return F.coalesce(strip(c) == "", F.lit(True))
+    return f"coalesce({strip(c)} = '', true)"
 
 
-def is_email(c: Column) -> Column:
-    return c.rlike(EMAIL_FORM)
+def is_email(c: str) -> str:
+    return f"({c} rlike {regex(EMAIL_FORM)})"
 
 
-def one_of(words: dict[str, object], c: Column) -> Column:
+def one_of(words: dict[str, object], c: str) -> str:
     """Value of a word in a constant table, NULL for other words."""
-    return F.create_map(*[F.lit(x) for pair in words.items() for x in pair])[c]
+
+    def literal(v: object) -> str:
+        return str(v).lower() if isinstance(v, bool) else quoted(str(v))
+
+    return f"map({', '.join(f'{quoted(k)}, {literal(v)}' for k, v in words.items())})[{c}]"
 
 
-def strict_bool(c: Column) -> Column:
+def strict_bool(c: str) -> str:
     """``true`` / ``false`` in any case, trimmed; anything else is NULL."""
-    return one_of({"true": True, "false": False}, F.lower(strip(c)))
+    return one_of({"true": True, "false": False}, f"lower({strip(c)})")
 
 
-def strict_int(c: Column) -> Column:
+def strict_int(c: str) -> str:
     """Signed integer with optional ``_`` separators as BIGINT, else NULL.
 
     Integers beyond BIGINT are NULL too; callers report them as invalid.
     """
-    digits = F.replace(F.regexp_extract(strip(c), INT_FORM, 0), F.lit("_"), F.lit(""))
-    return digits.try_cast("bigint")
+    return f"try_cast(replace(regexp_extract({strip(c)}, {regex(INT_FORM)}, 0), '_', '') as bigint)"
 
 
-def lenient_bool(c: Column) -> Column:
+def lenient_bool(c: str) -> str:
     """Flag words in any case; anything else is NULL."""
     words = dict.fromkeys(TRUE_WORDS, True) | dict.fromkeys(FALSE_WORDS, False)
-    return one_of(words, F.lower(strip(c)))
+    return one_of(words, f"lower({strip(c)})")
 
 
-def bad_flag(c: Column) -> Column:
+def bad_flag(c: str) -> str:
     """True where a non-NULL text is no flag word: the raising variants of
     ``lenient_bool`` turn this into a diagnostic."""
-    return c.isNotNull() & lenient_bool(c).isNull()
+    return f"({c} is not null and {lenient_bool(c)} is null)"
 
 
-def is_deleted(status: Column, deletion_date: Column) -> Column:
+def is_deleted(status: str = "account_status", deletion_date: str = "deletion_date") -> str:
     """Deleted marker of a target record."""
-    gone = F.lower(strip(status)) == "deleted"
-    dated = ~F.lower(strip(deletion_date)).isin("", "null")
-    return F.coalesce(gone, F.lit(False)) | F.coalesce(dated, F.lit(False))
+    gone = f"coalesce(lower({strip(status)}) = 'deleted', false)"
+    dated = f"coalesce(lower({strip(deletion_date)}) not in ('', 'null'), false)"
+    return f"({gone} or {dated})"
 
 
-def truncate_text(c: Column, limit: int = 500) -> Column:
+def truncate_text(c: str, limit: int = 500) -> str:
     """Texts longer than ``limit`` are cut to ``limit`` characters, the last
     three of which are dots (no dots when ``limit`` is 3 or less)."""
     tail = "..." if limit > 3 else ""
-    cut = F.concat(F.substring(c, 1, limit - len(tail)), F.lit(tail))
-    return F.when(F.length(c) > limit, cut).otherwise(c)
+    return f"if(length({c}) > {limit}, concat(left({c}, {limit - len(tail)}), '{tail}'), {c})"
 
 
-def fingerprint(c: Column) -> Column:
+def fingerprint(c: str) -> str:
     """SHA-256 hex digest, the identifier of a snapshot's source."""
-    return F.sha2(c, 256)
+    return f"sha2({c}, 256)"

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from feedplan.functions import outcomes as oc
 from feedplan.functions.masking import mask_json_text
 from feedplan.functions.text import bad_flag, lenient_bool, strict_int, truncate_text
-from feedplan.operators.enrich import EnrichSpec, new_id
-from feedplan.operators.lookup import distinct_keys, keep_held, lookup
+from feedplan.operators.enrich import EnrichSpec, first_free, new_id
+from feedplan.operators.lookup import keep_held
 from feedplan.operators.snapshot import upsert
 from feedplan.operators.vault import missing_secret
 
@@ -40,43 +40,41 @@ PAYLOAD_REQUIRED = (
 )
 
 
-def payload_error(source: dict[str, Column], required: Sequence[str] = PAYLOAD_REQUIRED) -> Column:
-    """Why no payload can be built, else NULL."""
-    gaps = [F.when(F.coalesce(source[f].cast("string"), F.lit("")) == "", F.lit(f)) for f in required]
-    missing = F.concat_ws(", ", *gaps)
-    flag = source["is_logon_disable"].cast("string")
-    checks = [F.when(missing != "", F.concat(F.lit("Missing required fields for payload: "), missing))]
-    checks.append(F.when(bad_flag(flag), F.lit("Invalid boolean value for isLogonDisabled")))
+def payload_error(source: dict[str, str], required: Sequence[str] = PAYLOAD_REQUIRED) -> str:
+    """Why no payload can be built, else NULL (SQL text)."""
+    gaps = [f"if(coalesce(cast({source[f]} as string), '') = '', '{f}', null)" for f in required]
+    missing = f"nullif(concat_ws(', ', {', '.join(gaps)}), '')"
+    checks = [
+        f"concat('Missing required fields for payload: ', {missing})",
+        f"if({bad_flag(f"cast({source['is_logon_disable']} as string)")}, "
+        "'Invalid boolean value for isLogonDisabled', null)",
+    ]
     for f in ("manager_id", "organization_id"):
-        text = source[f].cast("string")
-        bad = (F.coalesce(text, F.lit("")) != "") & strict_int(text).isNull()
-        checks.append(F.when(bad, F.lit(f"{f} is no integer")))
-    return F.coalesce(*checks)
+        text = f"cast({source[f]} as string)"
+        checks.append(f"if({text} <> '' and {strict_int(text)} is null, '{f} is no integer', null)")
+    return f"coalesce({', '.join(checks)})"
 
 
-def upsert_payload(source: dict[str, Column]) -> Column:
-    """The 14 fields of the target contract."""
+def upsert_payload(source: dict[str, str]) -> str:
+    """The 14 fields of the target contract as a struct (SQL text)."""
     fields = []
     for name, attr in PAYLOAD.items():
         if attr is None:
-            value = F.lit(None).cast("string")
+            value = "cast(null as string)"
         elif attr == "is_logon_disable":
-            value = lenient_bool(source[attr].cast("string"))
+            value = lenient_bool(f"cast({source[attr]} as string)")
         elif attr in ("manager_id", "organization_id"):
-            value = strict_int(source[attr].cast("string"))
+            value = strict_int(f"cast({source[attr]} as string)")
         else:
             value = source[attr]
-        fields.append(value.alias(name))
-    return F.struct(*fields)
+        fields.append(f"'{name}', {value}")
+    return f"named_struct({', '.join(fields)})"
 
 
-def payload_source(password: Column | None = None) -> dict[str, Column]:
+def payload_source(password: str = "cast(null as string)") -> dict[str, str]:
     """Payload inputs out of a plan item."""
-    state = F.col("desired_state")
-    fields = {a for a in PAYLOAD.values() if a} - {"password"}
-    source = {f: state[f] for f in fields}
-    source["password"] = F.lit(None).cast("string") if password is None else password
-    return source
+    fields = {a: f"desired_state.{a}" for a in PAYLOAD.values() if a}
+    return {**fields, "password": password}
 
 
 def request_rows(items: DataFrame, path_prefix: str = "/managed/user", strict: bool = True) -> DataFrame:
@@ -86,29 +84,30 @@ def request_rows(items: DataFrame, path_prefix: str = "/managed/user", strict: b
     update needs a password as well, which no plan provides; otherwise it is
     required for creates only.
     """
-    source = payload_source(F.col("secret_password"))
-    no_password = tuple(f for f in PAYLOAD_REQUIRED if f != "password")
+    source = payload_source("secret_password")
     error = payload_error(source)
     if not strict:
-        error = F.when(F.col("op") == "update", payload_error(source, no_password)).otherwise(error)
-    secret = missing_secret(["password"])
-    code = (
-        F.when(F.coalesce(F.col("resource_id"), F.lit("")) == "", "RESOURCE_ID_MISSING")
-        .when(secret.isNotNull(), "SECRET_REQUIRED")
-        .when(error.isNotNull(), "UNEXPECTED_ERROR")
+        no_password = tuple(f for f in PAYLOAD_REQUIRED if f != "password")
+        error = f"if(op = 'update', {payload_error(source, no_password)}, {error})"
+    checked = items.selectExpr("*", f"{missing_secret(['password'])} as __secret", f"{error} as __error")
+    coded = checked.selectExpr(
+        "*",
+        "case when coalesce(resource_id, '') = '' then 'RESOURCE_ID_MISSING' "
+        "when __secret is not null then 'SECRET_REQUIRED' "
+        "when __error is not null then 'UNEXPECTED_ERROR' end as error_code",
     )
-    return items.select(
+    return coded.selectExpr(
         "line_no",
         "row_id",
         "op",
         "resource_id",
-        F.lit("PUT").alias("method"),
-        F.concat(F.lit(path_prefix.rstrip("/") + "/"), F.col("resource_id")).alias("path"),
-        F.create_map(F.lit("_prettyPrint"), F.lit("true"), F.lit("decrypt"), F.lit("false")).alias("query"),
-        F.when(code.isNull(), upsert_payload(source)).alias("payload"),
-        code.alias("error_code"),
-        F.when(code == "SECRET_REQUIRED", secret).alias("error_field"),
-        F.when(code == "UNEXPECTED_ERROR", error).alias("error_message"),
+        "'PUT' as method",
+        f"concat('{path_prefix.rstrip('/')}/', resource_id) as path",
+        "map('_prettyPrint', 'true', 'decrypt', 'false') as query",
+        f"if(error_code is null, {upsert_payload(source)}, null) as payload",
+        "error_code",
+        "if(error_code = 'SECRET_REQUIRED', __secret, null) as error_field",
+        "if(error_code = 'UNEXPECTED_ERROR', __error, null) as error_message",
     )
 
 
@@ -116,8 +115,9 @@ def classify_outcomes(log: DataFrame, expected: tuple[int, ...] = (200, 201)) ->
     """Normalise a response log (``status``, ``body``): masked and shortened
     body, error code, reason and message."""
     ok = oc.is_expected(F.col("status"), expected)
-    snippet = truncate_text(F.substring(mask_json_text(F.col("body")), 1, 200))
-    return log.withColumns(
+    masked = log.withColumn("__masked", F.substring(mask_json_text(F.col("body")), 1, 200))
+    snippet = F.expr(truncate_text("__masked"))
+    return masked.withColumns(
         {
             "ok": ok,
             "error_code": F.when(~ok, oc.error_code(F.col("status"))),
@@ -126,7 +126,7 @@ def classify_outcomes(log: DataFrame, expected: tuple[int, ...] = (200, 201)) ->
             "retryable": oc.is_retryable(F.col("status")),
             "body_snippet": F.when(~ok, F.nullif(snippet, F.lit(""))),
         }
-    )
+    ).drop("__masked")
 
 
 def apply_outcome(requests: DataFrame, responses: DataFrame, dry_run: bool = False) -> DataFrame:
@@ -171,31 +171,18 @@ def retry_ids(items: DataFrame, target: DataFrame, spec: EnrichSpec, retries: in
     Adds ``id_attempt``: 0 when the planned id is free, n for the n-th new id,
     NULL when all retries are used up (the create fails with CONFLICT).
     """
-    creates = items.filter(F.col("op") == "create").select("line_no", F.col("resource_id").alias("__probe"))
-    taken = keep_held(creates, target, {"__probe": key}, "line_no").select("line_no")
-    held = distinct_keys(target, key, marker="__held")
-    pick = F.lit(None).cast("int")
-    for attempt in range(retries, 0, -1):
-        taken = lookup(
-            taken.withColumn("__probe", _retry_id(spec, attempt)), held, {"__probe": key}, "line_no"
-        ).withColumnRenamed("__held", f"__held_{attempt}").drop("__probe")
-        pick = F.when(F.col(f"__held_{attempt}").isNull(), attempt).otherwise(pick)
-    answers = taken.select("line_no", F.lit(True).alias("__retried"), pick.alias("__attempt"))
-    joined = items.join(answers, "line_no", "left")
-    attempt = F.when(F.col("__retried"), F.col("__attempt")).otherwise(F.lit(0))
-    return (
-        joined.withColumn("id_attempt", attempt)
-        .withColumn(
-            "resource_id",
-            F.when(F.col("id_attempt") > 0, _retry_id(spec, F.col("id_attempt"))).otherwise(F.col("resource_id")),
-        )
-        .drop("__retried", "__attempt")
-    )
-
-
-def _retry_id(spec: EnrichSpec, attempt: int | Column) -> Column:
-    """Ids of retries do not repeat those of the allocation."""
-    return new_id(spec, attempt + 1000)
+    planned = items.where("op = 'create'").selectExpr("line_no", "resource_id as __draw")
+    taken = keep_held(planned, target, {"__draw": key}, "line_no").selectExpr("line_no", "1 as start")
+    # ids of retries do not repeat those of the allocation
+    picks = first_free(taken, target, key, new_id(spec, "(attempt + 1000)"), retries)
+    joined = items.join(picks, "line_no", "left")
+    renewed = new_id(spec, "(pick + 1000)")
+    return joined.withColumns(
+        {
+            "id_attempt": F.expr("case when pick is null then 0 when pick > 0 then pick end"),
+            "resource_id": F.expr(f"if(pick > 0, {renewed}, resource_id)"),
+        }
+    ).drop("pick")
 
 
 def target_rows(items: DataFrame) -> DataFrame:

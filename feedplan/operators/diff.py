@@ -5,21 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from feedplan.functions.text import lenient_bool, normalize_whitespace
 
 CHANGE = "struct<field:string,from:string,to:string>"
+NO_CHANGE = f"cast(array() as array<{CHANGE}>)"
 
 
-def same(c: Column) -> Column:
+def same(c: str) -> str:
     return c
 
 
-def as_flag(c: Column) -> Column:
+def as_flag(c: str) -> str:
     """Stored flags are 0/1 or words."""
-    return lenient_bool(c.cast("string"))
+    return lenient_bool(f"cast({c} as string)")
 
 
 @dataclass(frozen=True)
@@ -30,35 +28,32 @@ class FieldDiff:
     name: str
     left: str
     right: str
-    left_form: Callable[[Column], Column] = same
-    right_form: Callable[[Column], Column] = same
+    left_form: Callable[[str], str] = same
+    right_form: Callable[[str], str] = same
 
 
 def text_diff(name: str, left: str, right: str) -> FieldDiff:
     return FieldDiff(name, left, right, normalize_whitespace, normalize_whitespace)
 
 
-def diff_fields(existing: Column, fields: Sequence[FieldDiff], secrets: Sequence[str] = ("password",)) -> Column:
-    """ARRAY<STRUCT<field, from, to>> of the fields that differ.
+def diff_fields(existing: str, fields: Sequence[FieldDiff], secrets: Sequence[str] = ("password",)) -> str:
+    """ARRAY<STRUCT<field, from, to>> of the fields that differ (SQL text).
 
     Secret fields are never compared, so no diff can hold their values.
     """
-    nothing = F.array().cast(f"array<{CHANGE}>")
     parts = []
     for f in fields:
         if f.name in secrets:
             continue
-        old, new = f.left_form(existing[f.left]), f.right_form(F.col(f.right))
-        change = F.struct(
-            F.lit(f.name).alias("field"),
-            old.cast("string").alias("from"),
-            new.cast("string").alias("to"),
+        old, new = f.left_form(f"{existing}.{f.left}"), f.right_form(f.right)
+        change = (
+            f"named_struct('field', '{f.name}', 'from', cast({old} as string), 'to', cast({new} as string))"
         )
-        parts.append(F.when(~old.eqNullSafe(new), F.array(change)).otherwise(nothing))
-    return F.when(existing.isNotNull(), F.concat(*parts)).otherwise(nothing)
+        parts.append(f"if(not ({old} <=> {new}), array({change}), {NO_CHANGE})")
+    return f"if({existing} is not null, concat({', '.join(parts)}), {NO_CHANGE})"
 
 
-def change_set(changes: Column) -> Column:
+def change_set(changes: str = "diff") -> str:
     """MAP field -> new value of a diff."""
-    pairs = F.arrays_zip(changes["field"], changes["to"])
-    return F.map_from_entries(pairs.cast("array<struct<key:string,value:string>>"))
+    pairs = f"arrays_zip({changes}.field, {changes}.to)"
+    return f"map_from_entries(cast({pairs} as array<struct<key:string,value:string>>))"

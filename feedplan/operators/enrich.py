@@ -11,18 +11,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedplan.functions import diagnostics as dx
 from feedplan.functions.text import strict_int
-from feedplan.operators.lookup import distinct_keys, drop_held, keep_held, lookup
+from feedplan.operators.lookup import drop_held, keep_held, lookup
 from feedplan.operators.matching import active, match_key
 
-# Manager answers; 0 and above is no error.
-_OK, _MISSING, _CONFLICT, _NOT_FOUND, _NO_OUID = 0, 1, 2, 3, 4
-
-
 @dataclass(frozen=True)
 class EnrichSpec:
     """What a dataset's enrichment needs to know.
@@ -43,85 +39,94 @@ class EnrichSpec:
     secret: str = "password"
 
 
-def token(spec: EnrichSpec, purpose: str, attempt: int | Column, line_no: Column | None = None) -> Column:
-    """Deterministic hex token of a row: a retried task draws the same."""
-    line = F.col("line_no") if line_no is None else line_no
-    n = F.lit(attempt) if isinstance(attempt, int) else attempt
-    return F.sha2(F.concat_ws("|", F.lit(spec.run_id), F.lit(spec.dataset), F.lit(purpose), line, n), 256)
+def _draw(spec: EnrichSpec, purpose: str, attempt: int | str) -> str:
+    """Deterministic hex text of a row (SQL): a retried task draws the same."""
+    fixed = f"{spec.run_id}|{spec.dataset}|{purpose}".replace("'", "\\'")
+    return f"sha2(concat_ws('|', '{fixed}', line_no, {attempt}), 256)"
 
 
-def new_id(spec: EnrichSpec, attempt: int | Column) -> Column:
-    """Candidate id in the usual 8-4-4-4-12 form."""
-    t = token(spec, "id", attempt)
-    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    return F.concat_ws("-", *[F.substring(t, a, n) for a, n in cuts])
+def new_id(spec: EnrichSpec, attempt: int | str) -> str:
+    """Candidate id (SQL) in the usual 8-4-4-4-12 form; ``attempt`` may be a column."""
+    cuts = "([0-9a-f]{8})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{4})([0-9a-f]{12})"
+    return f"regexp_replace(left({_draw(spec, 'id', attempt)}, 32), '{cuts}', '$1-$2-$3-$4-$5')"
 
 
-def new_code(spec: EnrichSpec, attempt: int | Column) -> Column:
-    return F.concat(F.lit(spec.code_prefix), F.substring(token(spec, "code", attempt), 1, spec.code_width))
+def new_code(spec: EnrichSpec, attempt: int | str) -> str:
+    """Candidate code (SQL): prefix and ``code_width`` hex digits."""
+    return f"concat('{spec.code_prefix}', left({_draw(spec, 'code', attempt)}, {spec.code_width}))"
 
 
 def add_match_key(rows: DataFrame, spec: EnrichSpec) -> DataFrame:
     """Key of clean rows; NULL where a part is missing."""
-    key = match_key([F.col(c) for c in spec.key_parts])
-    return rows.withColumn("match_key", F.when(dx.clean(), key))
+    return rows.withColumn("match_key", F.expr(f"if({dx.CLEAN}, {match_key(spec.key_parts)}, null)"))
+
+
+# Manager states; 0 is no error.
+_OK, _MISSING, _CONFLICT, _NOT_FOUND, _NO_OUID = 0, 1, 2, 3, 4
 
 
 def resolve_managers(rows: DataFrame, target: DataFrame, spec: EnrichSpec) -> DataFrame:
     """(line_no, manager_ouid, manager_state) of the rows that name a manager."""
-    asked = rows.filter(dx.clean() & F.col("manager_key").isNotNull()).select("line_no", "manager_key")
+    asked = rows.where("size(errors) = 0 and manager_key is not null")
     if spec.manager_mode == "none":
-        return asked.select(
-            "line_no", F.lit(None).cast("bigint").alias("manager_ouid"), F.lit(_MISSING).alias("manager_state")
-        )
-    people = active(target)
+        return asked.selectExpr("line_no", "cast(null as bigint) as manager_ouid", f"{_MISSING} as manager_state")
     if spec.manager_mode == "ouid":
-        asked = asked.withColumn("manager_key", strict_int(F.col("manager_key")))
-        key = "_ouid"
+        key, asked = "_ouid", asked.selectExpr("line_no", f"{strict_int('manager_key')} as manager_key")
     else:
-        key = "match_key"
+        key, asked = "match_key", asked.select("line_no", "manager_key")
     # two primitive aggregates: hash aggregation, collapsed before the shuffle
     index = (
-        people.filter(F.col(key).isNotNull())
-        .select(F.col(key).alias("__who"), "_ouid")
+        active(target)
+        .where(f"{key} is not null")
+        .selectExpr(f"{key} as __who", "_ouid")
         .groupBy("__who")
-        .agg(F.count("*").alias("n"), F.min("_ouid").alias("manager_ouid"))
+        .agg(F.expr("count(*) as n"), F.expr("min(_ouid) as manager_ouid"))
     )
-    found = lookup(asked, index, {"manager_key": "__who"}, "line_no")
-    n = F.coalesce("n", F.lit(0))
     state = (
-        F.when(n > 1, _CONFLICT)
-        .when(n == 0, _NOT_FOUND)
-        .when(F.col("manager_ouid").isNull(), _NO_OUID)
-        .otherwise(_OK)
+        f"case when n > 1 then {_CONFLICT} when n is null then {_NOT_FOUND} "
+        f"when manager_ouid is null then {_NO_OUID} else {_OK} end as manager_state"
     )
-    return found.select("line_no", "manager_ouid", state.alias("manager_state"))
+    return lookup(asked, index, {"manager_key": "__who"}, "line_no").selectExpr("line_no", "manager_ouid", state)
+
+
+def first_free(
+    need: DataFrame, target: DataFrame, key: str, candidate: str, attempts: int, exclusive: bool = False
+) -> DataFrame:
+    """(line_no, pick): first attempt whose candidate nobody in the target
+    holds, 0 when there is none.
+
+    ``need`` has ``line_no`` and the first attempt ``start``.  With
+    ``exclusive`` a candidate that several rows draw goes to the earliest
+    attempt and line; the others move on.
+    """
+    tries = need.where(f"start <= {attempts}").selectExpr("line_no", f"explode(sequence(start, {attempts})) as attempt")
+    free = drop_held(tries.withColumn("__draw", F.expr(candidate)), target, {"__draw": key}, "line_no")
+    if exclusive:
+        # attempt in the upper bits, line below: one primitive minimum.  Drawn
+        # candidates are evenly spread, so no group is large.
+        owners = free.groupBy("__draw").agg(F.expr("min(shiftleft(cast(attempt as bigint), 56) + line_no) as claim"))
+        free = owners.selectExpr(
+            "claim & 72057594037927935 as line_no", "cast(shiftright(claim, 56) as int) as attempt"
+        )
+    best = free.select("line_no", "attempt").union(need.selectExpr("line_no", "cast(null as int)"))
+    return best.groupBy("line_no").agg(F.expr("coalesce(min(attempt), 0) as pick"))
 
 
 def allocate_ids(rows: DataFrame, target: DataFrame, spec: EnrichSpec, key: str = "_id") -> DataFrame:
     """(line_no, id_pick) of the rows whose first candidate id is taken.
 
     ``id_pick`` is the attempt to use, 0 when all attempts are taken.  Rows
-    that are not in the answer use attempt 1.
+    that are not in the answer use their given id or attempt 1.
     """
-    first = rows.filter(dx.clean()).select("line_no", first_id(spec, rows).alias("__probe"))
-    open_rows = keep_held(first, target, {"__probe": key}, "line_no").select("line_no")
-    pick = F.lit(0)
-    held = distinct_keys(target, key, marker="__held")
-    for attempt in range(spec.attempts, 1, -1):
-        open_rows = lookup(
-            open_rows.withColumn("__probe", new_id(spec, attempt)), held, {"__probe": key}, "line_no"
-        ).withColumnRenamed("__held", f"__held_{attempt}")
-        pick = F.when(F.col(f"__held_{attempt}").isNull(), attempt).otherwise(pick)
-    return open_rows.select("line_no", pick.alias("id_pick"))
-
-
-def first_id(spec: EnrichSpec, rows: DataFrame) -> Column:
-    """The given id, else the first generated one."""
+    first = rows.where("size(errors) = 0").selectExpr("line_no", f"{first_id(spec, rows)} as __draw")
+    taken = keep_held(first, target, {"__draw": key}, "line_no").selectExpr("line_no", "2 as start")
+    return first_free(taken, target, key, new_id(spec, "attempt"), spec.attempts).withColumnRenamed("pick", "id_pick")
+
+
+def first_id(spec: EnrichSpec, rows: DataFrame) -> str:
+    """The given id, else the first generated one (SQL)."""
     generated = new_id(spec, 1)
-    if "resource_id" not in rows.columns:
-        return generated
-    return F.coalesce(F.nullif(F.col("resource_id"), F.lit("")), generated)
+    return f"coalesce(nullif(resource_id, ''), {generated})" if "resource_id" in rows.columns else generated
 
 
 def allocate_codes(rows: DataFrame, target: DataFrame, spec: EnrichSpec) -> DataFrame:
@@ -132,25 +137,14 @@ def allocate_codes(rows: DataFrame, target: DataFrame, spec: EnrichSpec) -> Data
     attempt or line of this feed claims; 0 means that none is left.
     """
     code = spec.code_column
-    narrow = rows.filter(dx.clean()).select("line_no", "match_key", code)
-    given = narrow.filter(F.col(code).isNotNull())
-    not_mine = drop_held(given, target, {code: code, "match_key": "match_key"}, "line_no")
-    taken = keep_held(not_mine, target, {code: code}, "line_no")
-    need = taken.select("line_no", F.lit(2).alias("start")).unionByName(
-        narrow.filter(F.col(code).isNull()).select("line_no", F.lit(1).alias("start"))
-    )
-    tries = need.select("line_no", F.explode(F.sequence("start", F.lit(spec.attempts))).alias("attempt"))
-    tries = tries.withColumn("__code", new_code(spec, F.col("attempt")))
-    free = drop_held(tries, target, {"__code": code}, "line_no")
-    # a code goes to its earliest claim; generated codes are evenly spread
-    claim = F.col("attempt").cast("bigint") * F.lit(1 << 56) + F.col("line_no")
-    owners = free.withColumn("__claim", claim).groupBy("__code").agg(F.min("__claim").alias("__claim"))
-    owned = owners.select(
-        F.pmod("__claim", F.lit(1 << 56)).alias("line_no"),
-        F.expr(f"cast(__claim div {1 << 56} as int)").alias("attempt"),
+    narrow = rows.where("size(errors) = 0").select("line_no", "match_key", code)
+    not_mine = drop_held(
+        narrow.where(f"{code} is not null"), target, {code: code, "match_key": "match_key"}, "line_no"
     )
-    best = owned.unionByName(need.select("line_no", F.lit(None).cast("int").alias("attempt")))
-    return best.groupBy("line_no").agg(F.coalesce(F.min("attempt"), F.lit(0)).alias("code_pick"))
+    taken = keep_held(not_mine, target, {code: code}, "line_no").selectExpr("line_no", "2 as start")
+    need = taken.union(narrow.where(f"{code} is null").selectExpr("line_no", "1 as start"))
+    picks = first_free(need, target, code, new_code(spec, "attempt"), spec.attempts, exclusive=True)
+    return picks.withColumnRenamed("pick", "code_pick")
 
 
 _ANSWERS = {"manager_ouid": "bigint", "manager_state": "int", "id_pick": "int", "code_pick": "int"}
@@ -158,19 +152,11 @@ _ANSWERS = {"manager_ouid": "bigint", "manager_state": "int", "id_pick": "int",
 
 def _collect(parts: Sequence[DataFrame]) -> DataFrame:
     """All answers of a row number in one row."""
-
-    def aligned(part: DataFrame) -> DataFrame:
-        return part.select(
-            "line_no",
-            *[
-                (F.col(c) if c in part.columns else F.lit(None)).cast(t).alias(c)
-                for c, t in _ANSWERS.items()
-            ],
-        )
-
-    union = aligned(parts[0])
-    for part in parts[1:]:
-        union = union.unionByName(aligned(part))
+    union = None
+    for part in parts:
+        columns = [f"cast({c if c in part.columns else 'null'} as {t}) as {c}" for c, t in _ANSWERS.items()]
+        aligned = part.selectExpr("line_no", *columns)
+        union = aligned if union is None else union.union(aligned)
     return union.groupBy("line_no").agg(*[F.max(c).alias(c) for c in _ANSWERS])
 
 
@@ -179,7 +165,8 @@ def enrich(rows: DataFrame, target: DataFrame, spec: EnrichSpec) -> DataFrame:
 
     Adds ``match_key``, ``manager_id``, ``resource_id``, ``code_generated`` and
     ``secret_generated``, replaces the code column, appends diagnostics.
-    Rules do not stop each other; only earlier stages do.
+    Rules do not stop each other; only earlier stages do.  ``rows`` is read by
+    every rule: pass a staged table.
     """
     keyed = add_match_key(rows, spec)
     answers = _collect(
@@ -189,41 +176,35 @@ def enrich(rows: DataFrame, target: DataFrame, spec: EnrichSpec) -> DataFrame:
             allocate_codes(keyed, target, spec),
         ]
     )
-    joined = keyed.join(answers, "line_no", "left")
-    good = dx.clean()
-    state, code = F.col("manager_state"), spec.code_column
-
-    def rule(condition: Column, error_code: str, field: str, message: str) -> Column:
-        return dx.emit(good & condition, dx.diagnostic(dx.ENRICH, error_code, field, message))
-
-    errors = dx.gather(
-        [
-            F.col("errors"),
-            rule(F.col("match_key").isNull(), "MATCH_KEY_MISSING", "matchKey", "match_key cannot be built"),
-            rule(state == _MISSING, "MANAGER_LOOKUP_MISSING", "managerId", "identity lookup is not configured"),
-            rule(state == _CONFLICT, "MANAGER_CONFLICT", "managerId", "multiple managers found for match_key"),
-            rule(state == _NOT_FOUND, "MANAGER_NOT_FOUND", "managerId", "manager not found in cache"),
-            rule(state == _NO_OUID, "MANAGER_OUID_MISSING", "managerId", "manager has no _ouid"),
-            rule(F.col("id_pick") == 0, "RESOURCE_ID_CONFLICT", "resource_id", "unable to generate unique resource_id"),
-            rule(F.col("code_pick") == 0, "USR_ORG_TAB_CONFLICT", "usrOrgTabNum", "unable to generate unique usr_org_tab_num"),
-        ]
-    )
-    first = first_id(spec, rows)
-    resource_id = F.when(F.col("id_pick").isNull(), first).when(F.col("id_pick") > 0, new_id(spec, F.col("id_pick")))
-    replaced = F.when(F.col("code_pick") > 0, new_code(spec, F.col("code_pick")))
-    has_secret = ~F.coalesce(F.nullif(F.col("secrets")[spec.secret], F.lit("")).isNull(), F.lit(True))
-    return joined.select(
-        *[c for c in keyed.columns if c not in (code, "errors", "resource_id", "manager_id", "match_key")],
+    code = spec.code_column
+    # Condition, code, field and message of each rule, in order.
+    rules = [
+        ("match_key is null", "MATCH_KEY_MISSING", "matchKey", "match_key cannot be built"),
+        (f"manager_state = {_MISSING}", "MANAGER_LOOKUP_MISSING", "managerId", "identity lookup is not configured"),
+        (f"manager_state = {_CONFLICT}", "MANAGER_CONFLICT", "managerId", "multiple managers found for match_key"),
+        (f"manager_state = {_NOT_FOUND}", "MANAGER_NOT_FOUND", "managerId", "manager not found in cache"),
+        (f"manager_state = {_NO_OUID}", "MANAGER_OUID_MISSING", "managerId", "manager has no _ouid"),
+        ("id_pick = 0", "RESOURCE_ID_CONFLICT", "resource_id", "unable to generate unique resource_id"),
+        ("code_pick = 0", "USR_ORG_TAB_CONFLICT", "usrOrgTabNum", "unable to generate unique usr_org_tab_num"),
+    ]
+    found = [
+        dx.emit(f"size(errors) = 0 and {when}", dx.diagnostic(dx.ENRICH, error, field, message))
+        for when, error, field, message in rules
+    ]
+    replaced = (code, "errors", "resource_id", "manager_id", "match_key")
+    resource_id = f"case when id_pick is null then {first_id(spec, rows)} when id_pick > 0 then {new_id(spec, 'id_pick')} end"
+    return keyed.join(answers, "line_no", "left").selectExpr(
+        *[c for c in keyed.columns if c not in replaced],
         "match_key",
-        F.when(state == _OK, F.col("manager_ouid")).alias("manager_id"),
-        F.when(good, resource_id).alias("resource_id"),
-        F.when(F.col("code_pick").isNull(), F.col(code)).otherwise(replaced).alias(code),
-        F.coalesce(F.col("code_pick") > 0, F.lit(False)).alias("code_generated"),
-        (good & ~has_secret).alias("secret_generated"),
-        errors.alias("errors"),
+        f"if(manager_state = {_OK}, manager_ouid, null) as manager_id",
+        f"if({dx.CLEAN}, {resource_id}, null) as resource_id",
+        f"case when code_pick is null then {code} when code_pick > 0 then {new_code(spec, 'code_pick')} end as {code}",
+        "coalesce(code_pick > 0, false) as code_generated",
+        f"{dx.CLEAN} and coalesce(secrets['{spec.secret}'], '') = '' as secret_generated",
+        f"{dx.gather(['errors', *found])} as errors",
     )
 
 
 def survivors(rows: DataFrame) -> DataFrame:
     """Rows that go on to validation; ``dropped_rows`` lists the others."""
-    return rows.filter(dx.clean())
+    return rows.where("size(errors) = 0")

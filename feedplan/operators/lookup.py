@@ -21,19 +21,13 @@ size is below ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _SALT = "__salt"
 _NULL_SALTS = 1024
 
 
-def _zero(columns: list[str]) -> Column:
-    # always 0, but not a literal: the optimizer would fold a literal away and
-    # with it the (key, salt) partitioning
-    return F.pmod(F.xxhash64(*columns), F.lit(1)).cast("int")
-
-
 def lookup(
     left: DataFrame,
     right: DataFrame,
@@ -44,38 +38,35 @@ def lookup(
 ) -> DataFrame:
     """Join ``right`` to ``left``; ``on`` maps left columns to right columns.
 
-    ``right`` must be unique per key.  ``spread_by`` is a left column with
-    many values (a row number) that the salt is derived from.  The key columns
-    of the right side are not in the result.
+    ``right`` must be unique per key (any right side will do for a semi or
+    anti join).  ``spread_by`` is a left column with many values (a row number)
+    that the salt is derived from.  The key columns of the right side are not
+    in the result.
     """
-    keys = list(on)
-    missing = F.lit(False)
-    for k in keys:
-        missing = missing | F.col(k).isNull()
-    row_hash = F.xxhash64(spread_by)
-    salt = F.when(missing, 1 + salts + F.pmod(row_hash, F.lit(_NULL_SALTS)).cast("int"))
-    salt = salt.otherwise(F.pmod(row_hash, F.lit(salts)).cast("int"))
-    salted = left.withColumn(_SALT, salt)
-
-    names = {r: f"__key_{i}" for i, r in enumerate(on.values())}
-    side = right.select(
-        *[F.col(r).alias(n) for r, n in names.items()],
-        *[F.col(c) for c in right.columns if c not in names],
-    ).filter(" and ".join(f"{n} is not null" for n in names.values()))
-    right_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salts > 1 else _zero(list(names.values()))
-    side = side.withColumn("__right_salt", right_salt)
-
-    condition = F.col(_SALT) == F.col("__right_salt")
-    for k, r in on.items():
-        condition = condition & (F.col(k) == F.col(names[r]))
-    joined = salted.join(side, condition, how)
-    return joined.drop(_SALT, "__right_salt", *names.values())
+    no_key = " or ".join(f"`{k}` is null" for k in on)
+    row = f"xxhash64(`{spread_by}`)"
+    salt = f"cast(if({no_key}, {1 + salts} + pmod({row}, {_NULL_SALTS}), pmod({row}, {salts})) as int)"
+    salted = left.withColumn(_SALT, F.expr(salt))
+
+    keys = {r: f"__key_{i}" for i, r in enumerate(on.values())}
+    # pmod(hash, 1) is always 0, but not a literal: the optimizer would fold a
+    # literal away and with it the (key, salt) partitioning
+    all_keys = ", ".join(f"`{r}`" for r in keys)
+    salted_right = f"explode(sequence(0, {salts - 1}))" if salts > 1 else f"cast(pmod(xxhash64({all_keys}), 1) as int)"
+    side = right.where(" and ".join(f"`{r}` is not null" for r in keys)).selectExpr(
+        *[f"`{r}` as {n}" for r, n in keys.items()],
+        *[f"`{c}`" for c in right.columns if c not in keys],
+        f"{salted_right} as __right_salt",
+    )
+    matches = " and ".join([f"{_SALT} = __right_salt", *[f"`{k}` = {keys[r]}" for k, r in on.items()]])
+    return salted.join(side, F.expr(matches), how).drop(_SALT, "__right_salt", *keys.values())
 
 
 def distinct_keys(df: DataFrame, *columns: str, marker: str | None = None) -> DataFrame:
     """Unique non-NULL keys; duplicates collapse before the shuffle."""
-    keys = df.select(*columns).dropna().distinct()
-    return keys.withColumn(marker, F.lit(True)) if marker else keys
+    kept = df.where(" and ".join(f"`{c}` is not null" for c in columns))
+    marked = [f"true as {marker}"] if marker else []
+    return kept.selectExpr(*[f"`{c}`" for c in columns], *marked).distinct()
 
 
 def keep_held(left: DataFrame, right: DataFrame, on: dict[str, str], spread_by: str) -> DataFrame:

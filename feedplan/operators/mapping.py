@@ -2,37 +2,34 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from feedplan.functions.diagnostics import no_diagnostics
-from feedplan.functions.text import is_blank, trim_to_null
+from feedplan.functions.diagnostics import NONE
+from feedplan.functions.text import is_blank, quoted, trim_to_null
 
 
 @dataclass(frozen=True)
 class Mapping:
-    """Declarative mapping: canonical column -> expression over raw cells.
+    """Declarative mapping: canonical column -> SQL expression over raw cells.
 
     ``secrets`` lists the canonical columns that go to the vault.
     """
 
-    columns: dict[str, Column]
+    columns: dict[str, str]
+    raw: tuple[str, ...]
     secrets: tuple[str, ...] = ()
     carried: tuple[str, ...] = ("line_no", "record_id")
-    raw: tuple[str, ...] = field(default=())
 
 
-def secret_candidates(values: dict[str, Column]) -> Column:
+def secret_candidates(fields: tuple[str, ...]) -> str:
     """MAP of the non-blank secret fields of a row."""
-    entry = "struct<key:string,value:string>"
-    empty = F.array().cast(f"array<{entry}>")
+    none = "cast(array() as array<struct<key:string,value:string>>)"
     parts = [
-        F.when(~is_blank(v), F.array(F.struct(F.lit(k).alias("key"), v.alias("value")))).otherwise(empty)
-        for k, v in values.items()
+        f"if(not {is_blank(f)}, array(named_struct('key', {quoted(f)}, 'value', {f})), {none})" for f in fields
     ]
-    return F.map_from_entries(F.concat(*parts) if parts else empty)
+    return f"map_from_entries(concat({', '.join([none, *parts])}))"
 
 
 def map_records(raw: DataFrame, mapping: Mapping) -> DataFrame:
@@ -41,11 +38,11 @@ def map_records(raw: DataFrame, mapping: Mapping) -> DataFrame:
     Raw cells are trimmed first, so that the expressions of the mapping see
     either NULL or a text without outer whitespace.
     """
-    trimmed = raw.select(*mapping.carried, *[trim_to_null(F.col(c)).alias(c) for c in mapping.raw])
-    mapped = trimmed.select(*mapping.carried, *[e.alias(n) for n, e in mapping.columns.items()])
-    return mapped.select(
+    trimmed = raw.selectExpr(*mapping.carried, *[f"{trim_to_null(c)} as {c}" for c in mapping.raw])
+    mapped = trimmed.selectExpr(*mapping.carried, *[f"{e} as {n}" for n, e in mapping.columns.items()])
+    return mapped.selectExpr(
         "*",
-        secret_candidates({s: F.col(s) for s in mapping.secrets}).alias("secrets"),
-        no_diagnostics().alias("errors"),
-        no_diagnostics().alias("warnings"),
+        f"{secret_candidates(mapping.secrets)} as secrets",
+        f"{NONE} as errors",
+        f"{NONE} as warnings",
     )

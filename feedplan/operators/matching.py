@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedplan.functions.text import is_deleted, normalize_whitespace
@@ -14,26 +14,24 @@ from feedplan.operators.lookup import distinct_keys, lookup
 MATCHED, CONFLICT, NOT_FOUND = "matched", "conflict", "not_found"
 
 
-def match_key(parts: Sequence[Column], delimiter: str = "|", strict: bool = True) -> Column:
-    """Whitespace-normalised parts joined by the delimiter.
+def match_key(parts: Sequence[str], delimiter: str = "|", strict: bool = True) -> str:
+    """Whitespace-normalised parts joined by the delimiter (SQL text).
 
     A missing part counts as empty; in strict mode an empty part gives NULL.
     """
-    texts = [F.coalesce(normalize_whitespace(p), F.lit("")) for p in parts]
-    key = F.concat_ws(delimiter, *texts)
-    if not strict:
-        return key
-    complete = F.lit(True)
-    for t in texts:
-        complete = complete & (t != "")
-    return F.when(complete, key)
+    texts = [normalize_whitespace(p) for p in parts]
+    if strict:
+        # concat gives NULL as soon as one part is NULL
+        joined = f", '{delimiter}', ".join(f"nullif({t}, '')" for t in texts)
+        return f"concat({joined})"
+    return f"concat_ws('{delimiter}', {', '.join(f"coalesce({t}, '')" for t in texts)})"
 
 
 def active(target: DataFrame, include_deleted: bool = False) -> DataFrame:
     """Target records that may be matched."""
     if include_deleted:
         return target
-    return target.filter(~is_deleted(F.col("account_status"), F.col("deletion_date")))
+    return target.where(f"not {is_deleted()}")
 
 
 def key_index(target: DataFrame, columns: Sequence[str], key: str = "match_key") -> DataFrame:
@@ -58,9 +56,13 @@ def match_target(
     """Add ``n_candidates``, ``match_status`` and ``candidate`` to every row."""
     index = key_index(active(target, include_deleted), columns, key)
     matched = lookup(rows, index, {key: key}, "line_no")
-    n = F.coalesce("n_candidates", F.lit(0).cast("bigint"))
-    status = F.when(n == 0, NOT_FOUND).when(n == 1, MATCHED).otherwise(CONFLICT)
-    return matched.withColumns({"n_candidates": n, "match_status": status})
+    return matched.selectExpr(
+        *rows.columns,
+        "coalesce(n_candidates, 0L) as n_candidates",
+        f"case when n_candidates is null then '{NOT_FOUND}' when n_candidates = 1 then '{MATCHED}' "
+        f"else '{CONFLICT}' end as match_status",
+        "candidate",
+    )
 
 
 def probe_ids(rows: DataFrame, target: DataFrame, column: str, key: str = "_id", marker: str = "id_taken") -> DataFrame:

@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from feedplan.functions import diagnostics as dx
 from feedplan.functions.text import normalize_text, strict_bool, strict_int
 
-# A parser returns the typed value and, or None, the diagnostic for a bad value.
-Parser = Callable[[Column], tuple[Column, Column | None]]
+# A parser takes a column and returns the typed value and, or None, the
+# diagnostic for a bad value (SQL text).
+Parser = Callable[[str], tuple[str, str | None]]
 
 
-def as_text(c: Column) -> tuple[Column, Column | None]:
+def as_text(c: str) -> tuple[str, str | None]:
     return normalize_text(c), None
 
 
@@ -40,7 +40,7 @@ class NormalizeRule:
     source: str
     parser: Parser = as_text
     required: bool = False
-    checks: tuple[Callable[[Column], Column], ...] = ()
+    checks: tuple[Callable[[str], str], ...] = ()
 
 
 def normalize(rows: DataFrame, rules: Sequence[NormalizeRule]) -> DataFrame:
@@ -55,25 +55,25 @@ def normalize(rows: DataFrame, rules: Sequence[NormalizeRule]) -> DataFrame:
     # values first, errors in a second projection: each cell is parsed once
     values, raws, failures = [], {}, []
     for rule in rules:
-        value, error = rule.parser(F.col(rule.source))
-        values.append(value.alias(rule.target))
-        raw, parsed = F.col(f"__raw_{rule.source}"), F.col(rule.target)
+        value, error = rule.parser(rule.source)
+        values.append(f"{value} as {rule.target}")
+        raw = f"__raw_{rule.source}"
         if rule.required:
             missing = dx.diagnostic(
                 dx.NORMALIZE, "REQUIRED_FIELD_MISSING", rule.source, f"{rule.source} is required"
             )
-            failures.append(dx.emit(raw.isNull(), missing))
+            failures.append(dx.emit(f"{raw} is null", missing))
         if error is not None:
-            failures.append(dx.emit(raw.isNotNull() & parsed.isNull(), error))
-        failures += [F.when(raw.isNotNull(), check(parsed)).otherwise(dx.no_diagnostics()) for check in rule.checks]
+            failures.append(dx.emit(f"{raw} is not null and {rule.target} is null", error))
+        failures += [f"if({raw} is not null, {check(rule.target)}, {dx.NONE})" for check in rule.checks]
         if rule.required or error is not None or rule.checks:
-            raws[rule.source] = F.col(rule.source).alias(f"__raw_{rule.source}")
-    typed = rows.select(*kept, "errors", *values, *raws.values())
-    return typed.select(
-        *kept, *[r.target for r in rules], F.concat("errors", dx.gather(failures)).alias("errors")
-    )
+            raws[rule.source] = f"{rule.source} as {raw}"
+    typed = rows.selectExpr(*kept, "errors", *values, *raws.values())
+    return typed.selectExpr(*kept, *[r.target for r in rules], f"{dx.gather(['errors', *failures])} as errors")
 
 
 def clean_values(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The given columns as NULL on rows with errors."""
-    return rows.withColumns({c: F.when(dx.clean(), F.col(c)) for c in columns})
+    return rows.selectExpr(
+        *[f"if({dx.CLEAN}, {c}, null) as {c}" if c in columns else c for c in rows.columns]
+    )

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedplan.functions import diagnostics as dx
+from feedplan.functions.text import quoted
 from feedplan.operators.diff import FieldDiff, change_set, diff_fields
 
 # Kinds of decisions.  Rows with errors are ``invalid``.
@@ -15,38 +16,35 @@ CREATE, UPDATE, SKIP, CONFLICT, INVALID = "create", "update", "skip", "conflict"
 
 
 def decide(matched: DataFrame, fields: Sequence[FieldDiff]) -> DataFrame:
-    """Add ``diff``, ``decision``, ``reason`` and the final ``resource_id``.
+    """Add ``diff``, ``decision``, ``reason``, ``status`` and the final
+    ``resource_id``.
 
     Expects the columns of ``match_target`` and ``enrich``.  A conflict gets
     its diagnostic here.
     """
-    status, good = F.col("match_status"), dx.clean()
-    compared = matched.withColumn("diff", diff_fields(F.col("candidate"), fields))
+    compared = matched.withColumn("diff", F.expr(diff_fields("candidate", fields)))
     decision = (
-        F.when(~good, INVALID)
-        .when(status == "conflict", CONFLICT)
-        .when(status == "not_found", CREATE)
-        .when(F.size("diff") == 0, SKIP)
-        .otherwise(UPDATE)
+        f"case when {dx.FAILED} then '{INVALID}' when match_status = 'conflict' then '{CONFLICT}' "
+        f"when match_status = 'not_found' then '{CREATE}' when size(diff) = 0 then '{SKIP}' else '{UPDATE}' end"
     )
-    decided = compared.withColumn("decision", decision)
-    kind = F.col("decision")
+    decided = compared.withColumn("decision", F.expr(decision))
     conflict = dx.diagnostic(dx.PLAN, "MATCH_CONFLICT", "matchKey", "multiple candidates found")
-    return decided.withColumns(
-        {
-            "reason": F.when(kind == CONFLICT, "MATCH_CONFLICT").when(kind == SKIP, "NO_CHANGES"),
-            "resource_id": F.when(kind == CREATE, F.col("resource_id")).when(
-                kind.isin(UPDATE, SKIP), F.col("candidate")["_id"]
-            ),
-            "errors": F.when(kind == CONFLICT, F.array(conflict)).otherwise(F.col("errors")),
-            "status": F.when(kind.isin(CREATE, UPDATE), "OK").when(kind == SKIP, "SKIPPED").otherwise("FAILED"),
-        }
+    columns = {
+        "resource_id": "case when decision = 'create' then resource_id "
+        "when decision in ('update', 'skip') then candidate._id end",
+        "errors": f"if(decision = 'conflict', array({conflict}), errors)",
+    }
+    return decided.selectExpr(
+        *[f"{columns.get(c, c)} as {c}" for c in decided.columns],
+        "map('conflict', 'MATCH_CONFLICT', 'skip', 'NO_CHANGES')[decision] as reason",
+        "case when decision in ('create', 'update') then 'OK' when decision = 'skip' then 'SKIPPED' "
+        "else 'FAILED' end as status",
     )
 
 
-def desired_state(columns: Sequence[str]) -> Column:
-    """The canonical row without secrets and without the id."""
-    return F.struct(*columns)
+def desired_state(columns: Sequence[str]) -> str:
+    """The canonical row without secrets and without the id (SQL text)."""
+    return f"struct({', '.join(columns)})"
 
 
 def plan_items(decided: DataFrame, desired: Sequence[str], secrets: Sequence[str] = ("password",)) -> DataFrame:
@@ -55,17 +53,16 @@ def plan_items(decided: DataFrame, desired: Sequence[str], secrets: Sequence[str
     An item without an id would be a fatal mistake of the planner, so it fails
     the job.
     """
-    given = F.nullif(F.col("resource_id"), F.lit(""))
-    no_secrets = F.array().cast("array<string>")
-    return decided.filter(F.col("decision").isin(CREATE, UPDATE)).select(
-        F.concat(F.lit("line:"), F.col("line_no")).alias("row_id"),
+    names = ", ".join(quoted(s) for s in secrets)
+    return decided.where("decision in ('create', 'update')").selectExpr(
+        "concat('line:', line_no) as row_id",
         "line_no",
-        F.col("decision").alias("op"),
-        F.coalesce(given, F.raise_error(F.lit("decision without resource_id")).cast("string")).alias("resource_id"),
-        desired_state(desired).alias("desired_state"),
-        change_set(F.col("diff")).alias("changes"),
-        F.create_map(F.lit("match_key"), F.col("match_key")).alias("source_ref"),
-        F.when(F.col("decision") == CREATE, F.array(*[F.lit(s) for s in secrets])).otherwise(no_secrets).alias("secret_fields"),
+        "decision as op",
+        "coalesce(nullif(resource_id, ''), raise_error('decision without resource_id')) as resource_id",
+        f"{desired_state(desired)} as desired_state",
+        f"{change_set('diff')} as changes",
+        "map('match_key', match_key) as source_ref",
+        f"if(decision = 'create', array({names}), cast(array() as array<string>)) as secret_fields",
     )
 
 

@@ -14,7 +14,7 @@ from feedplan.functions import diagnostics as dx
 
 def with_status(rows: DataFrame) -> DataFrame:
     """OK without errors, FAILED with."""
-    return rows.withColumn("status", F.when(dx.clean(), "OK").otherwise("FAILED"))
+    return rows.withColumn("status", F.expr(f"if({dx.CLEAN}, 'OK', 'FAILED')"))
 
 
 def run_status(errors_total: Column, rows_passed: Column) -> Column:
@@ -66,8 +66,8 @@ def stage_report(rows: DataFrame) -> DataFrame:
     n_secrets = F.size("secrets") + generated
     return rows.agg(
         F.count("*").alias("rows_total"),
-        F.count_if(dx.clean()).alias("ok"),
-        F.count_if(~dx.clean()).alias("failed"),
+        F.count_if(F.expr(dx.CLEAN)).alias("ok"),
+        F.count_if(F.expr(dx.FAILED)).alias("failed"),
         F.count_if(F.size("warnings") > 0).alias("warnings_rows"),
         F.count_if(n_secrets > 0).alias("vault_candidates_rows"),
         F.sum(n_secrets).cast("bigint").alias("vault_candidates_fields_total"),
@@ -77,8 +77,8 @@ def stage_report(rows: DataFrame) -> DataFrame:
 def validate_report(rows: DataFrame) -> DataFrame:
     return rows.agg(
         F.count("*").alias("rows_total"),
-        F.count_if(dx.clean()).alias("valid_rows"),
-        F.count_if(~dx.clean()).alias("failed_rows"),
+        F.count_if(F.expr(dx.CLEAN)).alias("valid_rows"),
+        F.count_if(F.expr(dx.FAILED)).alias("failed_rows"),
         F.count_if(F.size("warnings") > 0).alias("warnings_rows"),
     )
 

@@ -8,8 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedplan.functions import diagnostics as dx
-from feedplan.functions.text import lenient_bool, normalize_whitespace, strict_int, trim_to_null
-from feedplan.functions.text import is_deleted as deleted_marker
+from feedplan.functions.text import (
+    is_deleted,
+    lenient_bool,
+    normalize_whitespace,
+    quoted,
+    strict_int,
+    trim_to_null,
+)
 from feedplan.operators.lookup import lookup
 from feedplan.operators.matching import match_key
 from feedplan.sources.staging import staged
@@ -80,111 +86,95 @@ USER_REQUIRED = (
 DELETED_NAMES = (("accountStatus", "account_status"), ("deletionDate", "deletion_date"))
 
 
-def present(item: Column, names: Sequence[str]) -> Column:
-    """Value under the first present name; a JSON null is a value."""
-    return F.coalesce(*[F.try_variant_get(item, f"$.{n}", "variant") for n in names])
+def present(names: Sequence[str], item: str = "item") -> str:
+    """Value under the first present name (SQL text); a JSON null is a value."""
+    return f"coalesce({', '.join(f"try_variant_get({item}, '$.{n}', 'variant')" for n in names)})"
 
 
-def as_text(value: Column) -> Column:
-    return trim_to_null(value.cast("string"))
+def as_text(value: str) -> str:
+    return trim_to_null(f"cast({value} as string)")
 
 
-def as_int(value: Column) -> Column:
+def as_int(value: str) -> str:
     """Integer of a number or of a text in integer form, else NULL."""
-    kind = F.schema_of_variant(value)
-    numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-    text = F.try_variant_get(value, "$", "string")
-    return F.when(kind == "STRING", strict_int(text)).when(numeric, F.try_variant_get(value, "$", "bigint"))
-
-
-def bad_int(value: Column) -> Column:
-    """A value is there, is no blank text and gives no integer (flags never do)."""
-    return (as_text(value).isNotNull()) & as_int(value).isNull()
+    text = strict_int(f"cast({value} as string)")
+    return (
+        f"case when schema_of_variant({value}) = 'STRING' then {text} "
+        f"when schema_of_variant({value}) <> 'BOOLEAN' then try_variant_get({value}, '$', 'bigint') end"
+    )
 
 
-def as_flag(value: Column) -> Column:
+def as_flag(value: str) -> str:
     """1 / 0 of a flag, an integer or a flag word, else NULL."""
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string")
-    return F.when(kind.isin("BOOLEAN", "STRING"), lenient_bool(text).cast("int")).when(
-        kind == "BIGINT", (F.try_variant_get(value, "$", "bigint") != 0).cast("int")
+    return (
+        f"case when schema_of_variant({value}) in ('BOOLEAN', 'STRING') "
+        f"then cast({lenient_bool(f'cast({value} as string)')} as int) "
+        f"when schema_of_variant({value}) = 'BIGINT' then cast(try_variant_get({value}, '$', 'bigint') <> 0 as int) end"
     )
 
 
-def bad_flag(value: Column) -> Column:
-    return value.isNotNull() & ~F.is_variant_null(value) & as_flag(value).isNull()
-
-
-def first_message(*checks: tuple[Column, str]) -> Column:
+def first_message(*checks: tuple[str, str]) -> str:
     """Message of the first check that fails."""
-    return F.coalesce(*[F.when(failed, F.lit(text)) for failed, text in checks])
+    return "case " + " ".join(f"when {failed} then {quoted(text)}" for failed, text in checks) + " end"
 
 
-def _with_fields(items: DataFrame, names: dict[str, Sequence[str]]) -> DataFrame:
-    return items.withColumns({f"v_{c}": present(F.col("item"), n) for c, n in names.items()})
+def _read_fields(
+    items: DataFrame, names: dict[str, Sequence[str]], whole: Sequence[str], flags: Sequence[str] = ()
+) -> DataFrame:
+    """Typed fields of ``item`` plus ``bad_<field>`` for unreadable numbers and
+    flags.  Three projections, so that every value is looked up once."""
+    raw = items.selectExpr("*", *[f"{present(n)} as v_{c}" for c, n in names.items()])
+    forms = {c: as_int if c in whole else as_flag if c in flags else as_text for c in names}
+    typed = raw.selectExpr("*", *[f"{forms[c](f'v_{c}')} as {c}" for c in names])
+    # blank texts are no bad integers, but bad flags
+    bad = [f"{c} is null and {as_text(f'v_{c}')} is not null as bad_{c}" for c in whole]
+    bad += [f"{c} is null and cast(v_{c} as string) is not null as bad_{c}" for c in flags]
+    return typed.selectExpr("*", *bad)
 
 
 def map_users(items: DataFrame) -> DataFrame:
     """User columns of target records, with ``item_key``, ``is_deleted`` and
     ``map_error`` (NULL for a good record)."""
-    raw = _with_fields(items, USER_NAMES)
-    v = {c: F.col(f"v_{c}") for c in USER_NAMES}
     whole = ("_ouid", "organization_id", "manager_ouid")
-    typed = raw.select(
-        *items.columns,
-        *[as_text(v[c]).alias(c) for c in USER_NAMES if c not in (*whole, "is_logon_disabled")],
-        *[as_int(v[c]).alias(c) for c in whole],
-        *[bad_int(v[c]).alias(f"bad_{c}") for c in whole],
-        as_flag(v["is_logon_disabled"]).alias("is_logon_disabled"),
-        bad_flag(v["is_logon_disabled"]).alias("bad_flag"),
-        *[present(F.col("item"), n).cast("string").alias(f"del_{i}") for i, n in enumerate(DELETED_NAMES)],
-        F.coalesce(v["_id"].cast("string"), F.lit("")).alias("item_key"),
-    )
-    missing = [(F.col(c).isNull(), f"Missing required field: {c}") for c in USER_REQUIRED]
-    not_int = {c: (F.col(f"bad_{c}"), f"{c} is no integer") for c in whole}
+    typed = _read_fields(items, USER_NAMES, whole, ("is_logon_disabled",))
+    missing = {c: (f"{c} is null", f"Missing required field: {c}") for c in USER_REQUIRED}
     error = first_message(
-        not_int["_ouid"],
-        *missing[:-1],
-        not_int["organization_id"],
-        missing[-1],
-        not_int["manager_ouid"],
-        (F.col("bad_flag"), "Invalid boolean value for is_logon_disabled"),
+        ("bad__ouid", "_ouid is no integer"),
+        *[missing[c] for c in USER_REQUIRED[:-1]],
+        ("bad_organization_id", "organization_id is no integer"),
+        missing["organization_id"],
+        ("bad_manager_ouid", "manager_ouid is no integer"),
+        ("bad_is_logon_disabled", "Invalid boolean value for is_logon_disabled"),
     )
     tidy = ("last_name", "first_name", "middle_name", "mail", "user_name", "usr_org_tab_num")
-    key = match_key([F.col(c) for c in ("last_name", "first_name", "middle_name", "personnel_number")])
+    key = match_key(("last_name", "first_name", "middle_name", "personnel_number"))
     columns = {
-        c: key if c == "match_key" else normalize_whitespace(F.col(c)) if c in tidy else F.col(c)
-        for c in USER_COLUMNS
+        c: key if c == "match_key" else normalize_whitespace(c) if c in tidy else c for c in USER_COLUMNS
     }
-    carried = [c for c in items.columns if c != "item"]
-    return typed.select(
-        *carried,
-        "item_key",
-        deleted_marker(F.col("del_0"), F.col("del_1")).alias("is_deleted"),
-        error.alias("map_error"),
-        *[e.cast(USER_COLUMNS[c]).alias(c) for c, e in columns.items()],
+    deleted = [f"cast({present(n)} as string)" for n in DELETED_NAMES]
+    return typed.selectExpr(
+        *[c for c in items.columns if c != "item"],
+        "coalesce(cast(v__id as string), '') as item_key",
+        f"{is_deleted(*deleted)} as is_deleted",
+        f"{error} as map_error",
+        *[f"cast({e} as {USER_COLUMNS[c]}) as {c}" for c, e in columns.items()],
     )
 
 
 def map_orgs(items: DataFrame) -> DataFrame:
     """Organisation columns of target records; organisations are never deleted."""
-    raw = _with_fields(items, ORG_NAMES)
-    v = {c: F.col(f"v_{c}") for c in ORG_NAMES}
-    typed = raw.select(
-        *items.columns,
-        *[as_text(v[c]).alias(c) for c in ("code", "name", "updated_at")],
-        *[as_int(v[c]).alias(c) for c in ("_ouid", "parent_id")],
-        *[bad_int(v[c]).alias(f"bad_{c}") for c in ("_ouid", "parent_id")],
-        F.coalesce(v["_ouid"].cast("string"), F.lit("")).alias("item_key"),
-    )
+    typed = _read_fields(items, ORG_NAMES, ("_ouid", "parent_id"))
     error = first_message(
-        (F.col("bad__ouid"), "_ouid is no integer"),
-        (F.col("_ouid").isNull(), "Organization must contain _ouid"),
-        (F.col("bad_parent_id"), "parent_id is no integer"),
+        ("bad__ouid", "_ouid is no integer"),
+        ("_ouid is null", "Organization must contain _ouid"),
+        ("bad_parent_id", "parent_id is no integer"),
     )
-    carried = [c for c in items.columns if c != "item"]
-    return typed.select(
-        *carried, "item_key", F.lit(False).alias("is_deleted"), error.alias("map_error"), *ORG_COLUMNS
+    return typed.selectExpr(
+        *[c for c in items.columns if c != "item"],
+        "coalesce(cast(v__ouid as string), '') as item_key",
+        "false as is_deleted",
+        f"{error} as map_error",
+        *ORG_COLUMNS,
     )
 
 
@@ -312,14 +302,13 @@ def refresh_outcome(
 
 def diagnostics(outcome: DataFrame) -> DataFrame:
     """Report rows of a refresh: status and CACHE_ERROR diagnostics."""
-    status = F.when(F.col("outcome") == "failed", "FAILED").when(F.col("outcome") == "skipped", "SKIPPED")
-    failed = dx.diagnostic(dx.CACHE, "CACHE_ERROR", None, F.col("message"))
-    return outcome.select(
-        F.col("ingest_pos").alias("line_no"),
+    failed = dx.diagnostic(dx.CACHE, "CACHE_ERROR", None, "message", message_is_sql=True)
+    return outcome.selectExpr(
+        "ingest_pos as line_no",
         "item_key",
-        status.otherwise("OK").alias("status"),
-        dx.emit(F.col("outcome") == "failed", failed).alias("errors"),
-        dx.no_diagnostics().alias("warnings"),
+        "case outcome when 'failed' then 'FAILED' when 'skipped' then 'SKIPPED' else 'OK' end as status",
+        f"{dx.emit("outcome = 'failed'", failed)} as errors",
+        f"{dx.NONE} as warnings",
     )
 
 

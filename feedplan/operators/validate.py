@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedplan.functions import diagnostics as dx
 from feedplan.functions.text import is_blank, is_email
 from feedplan.operators.lookup import distinct_keys, lookup
 
-# A check turns the value of its field into a list of diagnostics.
-Check = Callable[[Column], Column]
+# A check turns a column into a list of diagnostics (SQL text).
+Check = Callable[[str], str]
 
 
 @dataclass(frozen=True)
@@ -34,23 +34,23 @@ class FieldRule:
 
 def email_form(field: str) -> Check:
     error = dx.diagnostic(dx.VALIDATE, "INVALID_EMAIL", field, f"{field} has invalid format")
-    return lambda c: dx.emit(c.isNotNull() & ~is_email(c), error)
+    return lambda c: dx.emit(f"{c} is not null and not {is_email(c)}", error)
 
 
 def positive_int(field: str) -> Check:
     error = dx.diagnostic(dx.VALIDATE, "INVALID_INT", field, f"{field} must be an integer > 0")
-    return lambda c: dx.emit(c <= 0, error)
+    return lambda c: dx.emit(f"{c} <= 0", error)
 
 
 def must_be_empty(field: str, code: str) -> Check:
     error = dx.diagnostic(dx.VALIDATE, code, field, f"{field} must be empty or null")
-    return lambda c: dx.emit(~is_blank(c), error)
+    return lambda c: dx.emit(f"not {is_blank(c)}", error)
 
 
 def must_be_known(field: str, code: str, marker: str) -> Check:
     """The marker column tells whether a lookup found the value."""
     error = dx.diagnostic(dx.VALIDATE, code, field, f"{field} not found in cache")
-    return lambda c: dx.emit(c.isNotNull() & F.col(marker).isNull(), error)
+    return lambda c: dx.emit(f"{c} is not null and {marker} is null", error)
 
 
 def mark_known(rows: DataFrame, keys: DataFrame, column: str, key: str, marker: str, salts: int = 16) -> DataFrame:
@@ -68,32 +68,31 @@ def validate(rows: DataFrame, rules: Sequence[FieldRule], keep_warnings: bool =
     A missing required field stops the checks of that field, unless the vault
     candidates hold it.
     """
-    generated = F.col("secret_generated") if "secret_generated" in rows.columns else F.lit(False)
     parts = []
     for rule in rules:
-        value = F.col(rule.attr)
-        found = dx.gather([check(value) for check in rule.checks])
+        found = dx.gather([check(rule.attr) for check in rule.checks])
         if rule.required:
-            empty = is_blank(value) if rule.text else value.isNull()
-            in_vault = ~is_blank(F.col("secrets")[rule.attr])
+            gap = is_blank(rule.attr) if rule.text else f"{rule.attr} is null"
             if rule.secret:
-                in_vault = in_vault | generated
+                gap += f" and {is_blank(f"secrets['{rule.attr}']")}"
+                gap += " and not secret_generated" if "secret_generated" in rows.columns else ""
             error = dx.diagnostic(
                 dx.VALIDATE, "REQUIRED_FIELD_MISSING", rule.field, f"{rule.field} is required"
             )
-            found = F.when(empty & ~in_vault, F.array(error)).otherwise(found)
+            found = f"if({gap}, array({error}), {found})"
         parts.append(found)
-    errors = F.when(dx.clean(), dx.gather(parts)).otherwise(F.col("errors"))
-    checked = rows.withColumn("errors", errors)
-    return checked if keep_warnings else checked.withColumn("warnings", dx.no_diagnostics())
+    columns = {"errors": f"if({dx.CLEAN}, {dx.gather(parts)}, errors)"}
+    if not keep_warnings:
+        columns["warnings"] = dx.NONE
+    return rows.selectExpr(*[f"{columns.get(c, c)} as {c}" for c in rows.columns])
 
 
 def valid_rows(rows: DataFrame) -> DataFrame:
-    return rows.filter(dx.clean())
+    return rows.where(dx.CLEAN)
 
 
 def blocked_rows(rows: DataFrame) -> DataFrame:
-    return rows.filter(~dx.clean())
+    return rows.where(dx.FAILED)
 
 
 def duplicate_report(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -112,6 +111,9 @@ def duplicate_report(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def dropped_rows(rows: DataFrame) -> DataFrame:
     """One record per error of the rows that never reach validation."""
-    return rows.filter(~dx.clean()).select("line_no", F.posexplode("errors").alias("ord", "error")).select(
-        "line_no", "ord", "error.*"
-    )
+    return error_rows(rows.where(dx.FAILED))
+
+
+def error_rows(rows: DataFrame) -> DataFrame:
+    """(line_no, ord, stage, code, field, message), one row per error."""
+    return rows.select("line_no", F.posexplode("errors").alias("ord", "error")).select("line_no", "ord", "error.*")

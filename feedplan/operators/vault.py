@@ -32,7 +32,7 @@ def vault_rows(
     and read secrets back from the vault; a task that runs again replaces its
     own output.
     """
-    clean = rows.filter(dx.clean())
+    clean = rows.where(dx.CLEAN)
     known = clean.select("line_no", "match_key", F.explode("secrets").alias("field", "value"))
     if generate:
         # one Arrow batch of the absent ones only; values that the feed
@@ -57,9 +57,9 @@ def vault_rows(
 
 def store_errors(rows: DataFrame) -> DataFrame:
     """Rows with secrets but without a key cannot be stored."""
-    homeless = dx.clean() & F.col("match_key").isNull() & (F.size("secrets") > 0)
+    homeless = f"{dx.CLEAN} and match_key is null and size(secrets) > 0"
     error = dx.diagnostic(dx.ENRICH, "MATCH_KEY_MISSING", "matchKey", "match_key is required to store secrets")
-    return rows.withColumn("errors", F.concat("errors", dx.emit(homeless, error)))
+    return rows.withColumn("errors", F.expr(dx.gather(["errors", dx.emit(homeless, error)])))
 
 
 def append_vault(vault: DataFrame, path: str) -> None:
@@ -127,12 +127,7 @@ def attach_secrets(items: DataFrame, latest: DataFrame, dataset: str, fields: Se
     return items
 
 
-def missing_secret(fields: Sequence[str]) -> Column:
-    """Name of the first required secret without a value, else NULL."""
-    gaps = [
-        F.when(
-            F.array_contains("secret_fields", f) & (F.coalesce(F.col(f"secret_{f}"), F.lit("")) == ""), F.lit(f)
-        )
-        for f in fields
-    ]
-    return F.coalesce(*gaps) if len(gaps) > 1 else gaps[0]
+def missing_secret(fields: Sequence[str]) -> str:
+    """Name of the first required secret without a value, else NULL (SQL text)."""
+    gaps = [f"when array_contains(secret_fields, '{f}') and coalesce(secret_{f}, '') = '' then '{f}'" for f in fields]
+    return f"case {' '.join(gaps)} end"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from feedplan.functions import parse
 from feedplan.operators.diff import FieldDiff, as_flag, text_diff
 from feedplan.operators.enrich import EnrichSpec
@@ -29,24 +27,22 @@ DESIRED = (
 
 def mapping() -> Mapping:
     """Canonical columns out of the ten raw cells (``org`` is not used)."""
-    names = parse.split_full_name(F.col("full_name"))
-    contacts = parse.pick_contacts(F.col("email_or_phone"), F.col("contacts"))
-    extra = F.col("extra")
+    contacts = parse.pick_contacts("email_or_phone", "contacts")
     return Mapping(
         columns={
             "email": contacts["email"],
-            **names,
-            "is_logon_disable": parse.logon_flag(F.col("flags")),
-            "user_name": F.col("login"),
+            **parse.split_full_name("full_name"),
+            "is_logon_disable": parse.logon_flag("flags"),
+            "user_name": "login",
             "phone": contacts["phone"],
-            "password": parse.kv_value(extra, "password"),
-            "personnel_number": F.col("raw_id"),
-            "manager_id": parse.manager_ref(F.col("manager")),
-            "organization_id": parse.kv_value(extra, "org_id"),
-            "position": parse.role_name(F.col("employment")),
-            "avatar_id": F.lit(None).cast("string"),
-            "usr_org_tab_num": parse.kv_value(extra, "tab"),
-            "resource_id": F.lit(None).cast("string"),
+            "password": parse.kv_value("extra", "password"),
+            "personnel_number": "raw_id",
+            "manager_id": parse.manager_ref("manager"),
+            "organization_id": parse.kv_value("extra", "org_id"),
+            "position": parse.role_name("employment"),
+            "avatar_id": "cast(null as string)",
+            "usr_org_tab_num": parse.kv_value("extra", "tab"),
+            "resource_id": "cast(null as string)",
         },
         secrets=("password",),
         raw=RAW_COLUMNS,

@@ -1,8 +1,10 @@
 """End-to-end flows over DataFrames.
 
-Every function returns a lazy plan.  ``stage`` is a hook that may cut it:
-pass ``feedplan.sources.staging.staged`` on large inputs, so that the feed is
-parsed once and the narrow lookups read single columns of the staged table.
+Flows that read a feed several times stage it: the normalised rows are
+written once to the shared folder, so that the feed is parsed once and each
+narrow lookup reads its own columns of the staged table; the enriched rows
+are written again before validation and matching.  ``stage=in_place`` keeps
+everything in one lazy plan, which is fine for a stream of small batches.
 """
 
 from __future__ import annotations
@@ -49,13 +51,13 @@ def normalized(raw: DataFrame) -> DataFrame:
     return normalize(mapped(raw), employees.normalize_rules())
 
 
-def enriched(raw: DataFrame, target: DataFrame, spec: EnrichSpec | None = None, stage: Stage = in_place) -> DataFrame:
+def enriched(raw: DataFrame, target: DataFrame, spec: EnrichSpec | None = None, stage: Stage = staged) -> DataFrame:
     rows = stage(normalized(raw), "normalized")
-    return enrich(rows, target, spec or employees.enrich_spec())
+    return stage(enrich(rows, target, spec or employees.enrich_spec()), "enriched")
 
 
 def validated(
-    raw: DataFrame, target: DataFrame, orgs: DataFrame, spec: EnrichSpec | None = None, stage: Stage = in_place
+    raw: DataFrame, target: DataFrame, orgs: DataFrame, spec: EnrichSpec | None = None, stage: Stage = staged
 ) -> DataFrame:
     """Rows that survived enrichment, with their validation errors."""
     rows = survivors(enriched(raw, target, spec, stage))
@@ -69,7 +71,7 @@ def decided(
     orgs: DataFrame,
     spec: EnrichSpec | None = None,
     include_deleted: bool = False,
-    stage: Stage = in_place,
+    stage: Stage = staged,
 ) -> DataFrame:
     """One decision per row that reached validation."""
     rows = validated(raw, target, orgs, spec, stage)

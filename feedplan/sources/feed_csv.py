@@ -98,4 +98,4 @@ def read_feed(
     """
     cells = read_cells(spark, path, columns, has_header, multi_line)
     numbered = number_records(cells, 2 if has_header else 1)
-    return numbered.select("line_no", "record_id", *[clean_null_token(F.col(c)).alias(c) for c in columns])
+    return numbered.selectExpr("line_no", "record_id", *[f"{clean_null_token(c)} as {c}" for c in columns])
