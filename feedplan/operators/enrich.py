@@ -90,23 +90,36 @@ def resolve_managers(rows: DataFrame, target: DataFrame, spec: EnrichSpec) -> Da
 
 
 def first_free(
-    need: DataFrame, target: DataFrame, key: str, candidate: str, attempts: int, exclusive: bool = False
+    need: DataFrame, target: DataFrame, key: str, candidate: str, attempts: int, owner: str | None = None
 ) -> DataFrame:
-    """(line_no, pick): first attempt whose candidate nobody in the target
-    holds, 0 when there is none.
+    """(line_no, pick): first attempt whose candidate is free, 0 without one.
 
-    ``need`` has ``line_no`` and the first attempt ``start``.  With
-    ``exclusive`` a candidate that several rows draw goes to the earliest
-    attempt and line; the others move on.
+    ``need`` has ``line_no`` and the first attempt ``start``.  A candidate is
+    free when nobody in the target holds it.  With ``owner`` (a column of both
+    sides) a candidate held by the row's own record is free too, so that a
+    repeated run keeps what an earlier run has drawn, and a candidate that
+    several rows draw goes to the earliest attempt and line.
     """
-    tries = need.where(f"start <= {attempts}").selectExpr("line_no", f"explode(sequence(start, {attempts})) as attempt")
-    free = drop_held(tries.withColumn("__draw", F.expr(candidate)), target, {"__draw": key}, "line_no")
-    if exclusive:
+    kept = ["line_no"] + ([owner] if owner else [])
+    tries = need.where(f"start <= {attempts}").selectExpr(*kept, f"explode(sequence(start, {attempts})) as attempt")
+    tries = tries.withColumn("__draw", F.expr(candidate))
+    if owner is None:
+        free = drop_held(tries, target, {"__draw": key}, "line_no")
+    else:
+        holders = (
+            target.where(f"{key} is not null")
+            .groupBy(key)
+            .agg(F.expr(f"min({owner}) as __lo"), F.expr(f"max({owner}) as __hi"))
+        )
+        probed = lookup(tries, holders, {"__draw": key}, "line_no")
+        unclaimed = probed.where(f"__lo is null or (__lo = {owner} and __hi = {owner})")
         # attempt in the upper bits, line below: one primitive minimum.  Drawn
         # candidates are evenly spread, so no group is large.
-        owners = free.groupBy("__draw").agg(F.expr("min(shiftleft(cast(attempt as bigint), 56) + line_no) as claim"))
-        free = owners.selectExpr(
-            "claim & 72057594037927935 as line_no", "cast(shiftright(claim, 56) as int) as attempt"
+        claim = "min(shiftleft(cast(attempt as bigint), 56) + line_no) as claim"
+        free = (
+            unclaimed.groupBy("__draw")
+            .agg(F.expr(claim))
+            .selectExpr("claim & 72057594037927935 as line_no", "cast(shiftright(claim, 56) as int) as attempt")
         )
     best = free.select("line_no", "attempt").union(need.selectExpr("line_no", "cast(null as int)"))
     return best.groupBy("line_no").agg(F.expr("coalesce(min(attempt), 0) as pick"))
@@ -133,17 +146,17 @@ def allocate_codes(rows: DataFrame, target: DataFrame, spec: EnrichSpec) -> Data
     """(line_no, code_pick) of the rows that cannot keep their own code.
 
     A given code stays unless another key holds it.  A replacement is the
-    first generated code that is free in the target and that no earlier
-    attempt or line of this feed claims; 0 means that none is left.
+    first generated code that no other key holds in the target and that no
+    earlier attempt or line of this feed claims; 0 means that none is left.
     """
     code = spec.code_column
     narrow = rows.where("size(errors) = 0").select("line_no", "match_key", code)
     not_mine = drop_held(
         narrow.where(f"{code} is not null"), target, {code: code, "match_key": "match_key"}, "line_no"
     )
-    taken = keep_held(not_mine, target, {code: code}, "line_no").selectExpr("line_no", "2 as start")
-    need = taken.union(narrow.where(f"{code} is null").selectExpr("line_no", "1 as start"))
-    picks = first_free(need, target, code, new_code(spec, "attempt"), spec.attempts, exclusive=True)
+    taken = keep_held(not_mine, target, {code: code}, "line_no").selectExpr("line_no", "match_key", "2 as start")
+    need = taken.union(narrow.where(f"{code} is null").selectExpr("line_no", "match_key", "1 as start"))
+    picks = first_free(need, target, code, new_code(spec, "attempt"), spec.attempts, owner="match_key")
     return picks.withColumnRenamed("pick", "code_pick")
 
 

@@ -7,6 +7,7 @@ stand for the table); the operators under test see nothing else.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedplan.functions.text import clean_null_token
 
@@ -56,7 +57,7 @@ select {prefix} as _id, {ouid} as _ouid,
   cast(c_nationkey as bigint) as organization_id,
   case when c_custkey % 47 = 1 then 'Deleted' else 'active' end as account_status,
   case when c_custkey % 59 = 2 then '2024-01-01' when c_custkey % 59 = 4 then 'null' end as deletion_date,
-  concat('', null) as _rev,
+  nullif('', '') as _rev,
   cast(null as bigint) as manager_ouid,
   case when c_custkey % 2 = 0 then 1 else 0 end as is_logon_disabled,
   c_mktsegment as position,
@@ -93,8 +94,8 @@ def items_sql(table: str = "customer", key: str = "c_custkey", nation: str = "c_
     )
     camel = f"concat('\"lastName\":\"N', {k}, '\",\"firstName\":\"F', {k}, '\",\"middleName\":\"M', {k}, '\"')"
     return f"""
-select {k} as k, floor({k} / 20) + 1 as page, {k} % 20 as pos,
-  concat('{{',
+select {k} as k, cast(floor({k} / 20) as bigint) + 1 as page, {k} % 20 as pos,
+  concat(chr(123),
     case when {k} % 19 = 7 then concat('"_id":null,"id":"S', {k}, '"')
          when {k} % 17 = 6 then concat('"_id":"S', {k} - 1, '"')
          when {k} % 4 = 0 then concat('"id":"S', {k}, '"')
@@ -106,7 +107,7 @@ select {k} as k, floor({k} / 20) + 1 as page, {k} % 20 as pos,
     ',"userName":"s', {k}, '","usrOrgTabNum":"T', {k}, '","organizationId":', {nation},
     case when {k} % 11 = 3 then ',"accountStatus":"deleted"' else '' end,
     case when {k} % 11 = 4 then ',"deletionDate":"null"' else '' end,
-    '}}') as item
+    chr(125)) as item
 from {table} where {keep}
 """
 
@@ -133,3 +134,67 @@ def orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(target_sql("{customer}"), **load(spark, sf_dir, "customer"))
+
+
+def as_pages(records: DataFrame) -> DataFrame:
+    """Pages of at most 20 records each, in three body forms."""
+    joined = records.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("entries"))
+    listed = joined.selectExpr("page", "concat('[', array_join(entries.item, ','), ']') as list")
+    return listed.selectExpr(
+        "page",
+        "case page % 3 when 0 then list when 1 then concat('{\"items\":', list, '}') "
+        "else concat('{\"users\":', list, '}') end as body",
+    )
+
+
+# Columns of a user snapshot that holds some of the records of ``items_sql``.
+KNOWN_USERS = {
+    "_id": "concat('S', c_custkey)",
+    "_ouid": "c_custkey",
+    "personnel_number": "concat('', c_custkey)",
+    "last_name": "concat('N', c_custkey)",
+    "first_name": "concat('F', c_custkey)",
+    "middle_name": "concat('M', c_custkey)",
+    "match_key": "concat('N', c_custkey, '|F', c_custkey, '|M', c_custkey, '|', c_custkey)",
+    "mail": "concat('before', c_custkey, '@corp.example')",
+}
+
+ORG_ITEMS = """
+select s_suppkey as k,
+  concat(chr(123),
+    case when s_suppkey % 5 = 0 then concat('"id":', s_suppkey)
+         when s_suppkey % 5 = 1 then concat('"_ouid":null,"ouid":', s_suppkey)
+         when s_suppkey % 5 = 2 then concat('"ouid":"', s_suppkey, '"')
+         when s_suppkey % 5 = 3 then concat('"_ouid":"x', s_suppkey, '"')
+         else concat('"_ouid":', s_suppkey) end,
+    ',"code":" C', s_suppkey, ' ","name":"', s_name, '","parentId":', s_nationkey,
+    chr(125)) as item
+from {supplier}
+"""
+
+PLAN_DOCUMENTS = """
+select o_orderkey as doc_id,
+  concat(chr(123), '"meta":', chr(123),
+    case when o_orderkey % 2 = 0 then '"dataset":"orders"' else '"dataset":"","dataset_name":"orders"' end, chr(125),
+    ',"summary":null,"items":[',
+    chr(123), '"row_id":"line:', o_orderkey, '","line_no":', o_orderkey, ',"op":"create","resource_id":"r', o_custkey,
+    '","desired_state":', chr(123), '"email":"o', o_orderkey, '@corp.example","password":"***"', chr(125),
+    ',"changes":', chr(123), '"mail":"x"', chr(125), ',"source_ref":', chr(123), '"match_key":"k', o_custkey, '"', chr(125),
+    ',"secret_fields":["password"]', chr(125),
+    ',"junk",null,',
+    chr(123), '"row_id":', o_orderkey, ',"op":"update","desired_state":',
+    case when o_orderkey % 3 = 0 then '[]' else concat(chr(123), '"password":"kept"', chr(125)) end, ',"secret_fields":null',
+    chr(125), ']', chr(125)) as body
+from {orders}
+"""
+
+RESPONSES = """
+select o_orderkey as line_no,
+  case o_orderkey % 9 when 0 then 200 when 1 then 201 when 2 then 204 when 3 then 401 when 4 then 403
+    when 5 then 409 when 6 then 429 when 7 then 500 else 400 end as status,
+  case when o_orderkey % 9 = 5 then case when o_orderkey % 2 = 0 then 'Resource Exists' else 'conflict' end
+    when o_orderkey % 9 = 8 then concat(chr(123), '"detail":"', o_orderstatus, '","Token":"t', o_orderkey, '"', chr(125))
+    when o_orderkey % 9 = 7 then repeat(concat('error ', o_orderkey, ' '), 30)
+    else '' end as body
+from {orders}
+"""
