@@ -74,10 +74,10 @@ def pick_contacts(*cells: str) -> dict[str, str]:
     labelled), not the part that matched.
     """
     joined = cells[0] if len(cells) == 1 else f"concat_ws(',', {', '.join(cells)})"
-    return {
-        "email": trim_to_null(_group(joined, _FIRST_EMAIL)),
-        "phone": trim_to_null(_group(joined, _FIRST_PHONE)),
-    }
+    # cheap scans first: most long texts hold neither
+    email = f"if(contains({joined}, '@'), {_group(joined, _FIRST_EMAIL)}, '')"
+    phone = f"if({joined} rlike {regex(f'(?U){_PHONE}')}, {_group(joined, _FIRST_PHONE)}, '')"
+    return {"email": trim_to_null(email), "phone": trim_to_null(phone)}
 
 
 def kv_value(c: str, key: str) -> str:

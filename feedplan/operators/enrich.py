@@ -57,8 +57,9 @@ def new_code(spec: EnrichSpec, attempt: int | str) -> str:
 
 
 def add_match_key(rows: DataFrame, spec: EnrichSpec) -> DataFrame:
-    """Key of clean rows; NULL where a part is missing."""
-    return rows.withColumn("match_key", F.expr(f"if({dx.CLEAN}, {match_key(spec.key_parts)}, null)"))
+    """Key of clean normalised rows; NULL where a part is missing."""
+    key = match_key(spec.key_parts, normalized=True)
+    return rows.withColumn("match_key", F.expr(f"if({dx.CLEAN}, {key}, null)"))
 
 
 # Manager states; 0 is no error.

@@ -14,16 +14,18 @@ from feedplan.operators.lookup import distinct_keys, lookup
 MATCHED, CONFLICT, NOT_FOUND = "matched", "conflict", "not_found"
 
 
-def match_key(parts: Sequence[str], delimiter: str = "|", strict: bool = True) -> str:
+def match_key(parts: Sequence[str], delimiter: str = "|", strict: bool = True, normalized: bool = False) -> str:
     """Whitespace-normalised parts joined by the delimiter (SQL text).
 
     A missing part counts as empty; in strict mode an empty part gives NULL.
+    ``normalized`` parts are taken as they are (NULL instead of blank).
     """
-    texts = [normalize_whitespace(p) for p in parts]
+    texts = list(parts) if normalized else [normalize_whitespace(p) for p in parts]
     if strict:
         # concat gives NULL as soon as one part is NULL
-        joined = f", '{delimiter}', ".join(f"nullif({t}, '')" for t in texts)
-        return f"concat({joined})"
+        return "concat({})".format(
+            f", '{delimiter}', ".join(texts if normalized else [f"nullif({t}, '')" for t in texts])
+        )
     return f"concat_ws('{delimiter}', {', '.join(f"coalesce({t}, '')" for t in texts)})"
 
 

@@ -17,6 +17,11 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Apply the settings; safe to call again."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    # File splits must not depend on how many executors are up at the moment:
+    # record numbering scans a feed twice.
+    if not spark.conf.get("spark.sql.files.minPartitionNum", None):
+        spark.conf.set("spark.sql.files.minPartitionNum", str(max(1, spark.sparkContext.defaultParallelism)))
     return spark

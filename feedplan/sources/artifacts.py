@@ -62,21 +62,24 @@ def parse_plan_documents(documents: DataFrame, *carried: str) -> DataFrame:
         f"coalesce(try_variant_get(doc, '$.summary.{c}', 'bigint'), 0L) as {c}" for c in COUNTERS
     ]
     parsed = doc.selectExpr(
-        *carried,
+        "*",
         f"{_DATASET} as dataset",
-        *counters,
-        "schema_of_variant(doc) as __kind",
-        "try_variant_get(doc, '$.items', 'variant') is null as __no_items",
+        "try_variant_get(doc, '$.items', 'variant') as __items",
         "try_variant_get(doc, '$.items', 'array<variant>') as items",
     )
+    # the shape of a document is only looked at when something is missing
+    error = (
+        "case when dataset is not null and (__items is null or items is not null) then null "
+        "when doc is null or not startswith(schema_of_variant(doc), 'OBJECT') then 'Invalid plan format: root must be object' "
+        "when __items is not null and items is null then 'Invalid plan format: items must be list' "
+        "else 'Invalid plan format: dataset is missing in meta' end"
+    )
     return parsed.selectExpr(
         *carried,
         "dataset",
-        *COUNTERS,
+        *counters,
         "coalesce(items, cast(array() as array<variant>)) as items",
-        "case when __kind is null or not startswith(__kind, 'OBJECT') then 'Invalid plan format: root must be object' "
-        "when not __no_items and items is null then 'Invalid plan format: items must be list' "
-        "when dataset is null then 'Invalid plan format: dataset is missing in meta' end as plan_error",
+        f"{error} as plan_error",
     )
 
 
@@ -107,7 +110,7 @@ def clean_items(items: DataFrame, *carried: str) -> DataFrame:
 
     empty = "cast(map() as map<string,string>)"
     state = f"coalesce({as_map('desired_state')}, {empty})"
-    return items.where("startswith(schema_of_variant(item), 'OBJECT')").selectExpr(
+    return items.where("try_variant_get(item, '$', 'map<string,variant>') is not null").selectExpr(
         *carried,
         text["row_id"],
         "try_variant_get(item, '$.line_no', 'bigint') as line_no",

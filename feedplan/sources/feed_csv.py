@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from feedplan.functions.text import clean_null_token
+from feedplan.sources.staging import staged
 
 
 class CsvFormatError(ValueError):
@@ -42,7 +43,9 @@ def read_cells(
     ``multi_line`` allows line breaks inside quotes at the price of one task
     per file.
     """
-    reader = spark.read.option("escape", '"').option("multiLine", multi_line).option("mode", "PERMISSIVE")
+    # the parser shifts cells when it skips unwanted columns next to an empty
+    # quoted cell, so it has to parse them all
+    reader = spark.read.option("escape", '"').option("multiLine", multi_line).option("columnPruning", False)
     if has_header:
         found = reader.option("header", True).csv(path).columns
         check_header(found, columns)
@@ -57,16 +60,26 @@ def read_cells(
     )
 
 
+# Most split offsets that are sent to every executor (some 150 bytes each).
+MAX_BROADCAST_SPLITS = 1_000_000
+
+
 def number_records(cells: DataFrame, first: int) -> DataFrame:
     """Dense record numbers in file order, without a global window.
 
     Expects ``__file`` and ``__block``.  One pass counts the records of every
-    file split; the running totals of these counts (one row per split) are
-    joined back.  File scans give the same splits each time, so both passes
-    see the same positions.
+    file split.  The running totals of these counts, one row per split, are
+    staged, counted and joined back: by broadcast while there are at most
+    ``MAX_BROADCAST_SPLITS`` of them, by a shuffle on the split beyond that
+    (one key then holds the records of one split).
+
+    File scans give the same splits in both passes as long as
+    ``spark.sql.files.minPartitionNum`` is fixed, which ``configure`` sees to;
+    a record without a place in its split fails the job.
     """
     located = cells.withColumn("__at", F.monotonically_increasing_id())
     splits = located.groupBy("__file", "__block").agg(F.min("__at").alias("__from"), F.count("*").alias("__n"))
+    splits = staged(splits, "splits")
     in_file = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     in_order = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     # the only global window runs over one row per file
@@ -74,15 +87,18 @@ def number_records(cells: DataFrame, first: int) -> DataFrame:
         "__file", F.coalesce(F.sum("__n").over(in_order), F.lit(0)).alias("__files_before")
     )
     starts = splits.select(
-        "__file", "__block", "__from", F.coalesce(F.sum("__n").over(in_file), F.lit(0)).alias("__before")
+        "__file", "__block", "__from", "__n", F.coalesce(F.sum("__n").over(in_file), F.lit(0)).alias("__before")
     ).join(files, "__file")
-    line_no = F.col("__at") - F.col("__from") + F.col("__before") + F.col("__files_before") + first
-    return (
-        located.join(starts, ["__file", "__block"])
-        .withColumn("line_no", line_no.cast("bigint"))
-        .withColumn("record_id", F.concat(F.lit("line:"), F.col("line_no")))
-        .drop("__file", "__block", "__at", "__from", "__before", "__files_before")
+    if splits.count() <= MAX_BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
+    placed = located.join(starts, ["__file", "__block"], "left").withColumn("__place", F.expr("__at - __from"))
+    line_no = (
+        f"if(__place between 0 and __n - 1, __place + __before + __files_before + {first}, "
+        "raise_error('file splits changed between two passes'))"
     )
+    return placed.selectExpr(
+        *[c for c in cells.columns if not c.startswith("__")], f"cast({line_no} as bigint) as line_no"
+    ).withColumn("record_id", F.expr("concat('line:', line_no)"))
 
 
 def read_feed(

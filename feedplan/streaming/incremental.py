@@ -31,6 +31,7 @@ def read_arrivals(spark: SparkSession, path: str, files_per_batch: int = 1000) -
         spark.readStream.schema(feed_schema())
         .option("header", True)
         .option("escape", '"')
+        .option("columnPruning", False)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
     )
