@@ -86,15 +86,22 @@ def target_sql(customer: str = "customer") -> str:
     return _target(customer)
 
 
-def items_sql(table: str = "customer", key: str = "c_custkey", nation: str = "c_nationkey", keep: str = "true") -> str:
-    """Target user records as JSON text, 20 per page."""
+def items_sql(
+    table: str = "customer",
+    key: str = "c_custkey",
+    nation: str = "c_nationkey",
+    keep: str = "true",
+    moved: str = "0",
+) -> str:
+    """Target user records as JSON text, 20 per page; ``moved`` is added to
+    the page number."""
     k = key
     snake = (
         f"concat('\"last_name\":\"N', {k}, '\",\"first_name\":\"F', {k}, '\",\"middle_name\":\"M', {k}, '\"')"
     )
     camel = f"concat('\"lastName\":\"N', {k}, '\",\"firstName\":\"F', {k}, '\",\"middleName\":\"M', {k}, '\"')"
     return f"""
-select {k} as k, cast(floor({k} / 20) as bigint) + 1 as page, {k} % 20 as pos,
+select {k} as k, cast(floor({k} / 20) as bigint) + 1 + {moved} as page, {k} % 20 as pos,
   concat(chr(123),
     case when {k} % 19 = 7 then concat('"_id":null,"id":"S', {k}, '"')
          when {k} % 17 = 6 then concat('"_id":"S', {k} - 1, '"')
@@ -147,15 +154,22 @@ def as_pages(records: DataFrame) -> DataFrame:
     )
 
 
-# Columns of a user snapshot that holds some of the records of ``items_sql``.
+# Every 1000th record but 21 arrives one page late, which makes its page short.
+LATE = "case when c_custkey % 1000 = 979 then 1 else 0 end"
+
+# Columns of a user snapshot: a third of the records of ``items_sql`` and, for
+# the others, people that the target no longer has.
+_NOW = "case when c_custkey % 3 = 0 then {} else {} end"
 KNOWN_USERS = {
-    "_id": "concat('S', c_custkey)",
-    "_ouid": "c_custkey",
+    "_id": _NOW.format("concat('S', c_custkey)", "concat('gone-', c_custkey)"),
+    "_ouid": _NOW.format("c_custkey", "1000000000000 + c_custkey"),
     "personnel_number": "concat('', c_custkey)",
     "last_name": "concat('N', c_custkey)",
     "first_name": "concat('F', c_custkey)",
     "middle_name": "concat('M', c_custkey)",
-    "match_key": "concat('N', c_custkey, '|F', c_custkey, '|M', c_custkey, '|', c_custkey)",
+    "match_key": _NOW.format(
+        "concat('N', c_custkey, '|F', c_custkey, '|M', c_custkey, '|', c_custkey)", "concat('gone|', c_custkey)"
+    ),
     "mail": "concat('before', c_custkey, '@corp.example')",
 }
 

@@ -234,7 +234,7 @@ select page * 16777216 + pos as ingest_pos, k, page,
   concat('s', k) as user_name, concat('T', k) as usr_org_tab_num,
   case when k % 11 = 4 then 'null' end as deletion_date
 from records""",
-    "known": "select " + ", ".join(f"{e} as {c}" for c, e in feeds.KNOWN_USERS.items()) + " from customer where c_custkey % 3 = 0",
+    "known": "select " + ", ".join(f"{e} as {c}" for c, e in feeds.KNOWN_USERS.items()) + " from customer",
     "broken": """
 select ingest_pos, '_ouid' as taken_by from users u join known x on u._ouid = x._ouid
 where not is_deleted and map_error is null and u._id <> x._id""",
@@ -351,7 +351,7 @@ _SQL = {
     "paged_json_items": "select page, pos, k as ouid from records",
     "paged_stop_rule": """
 with counted as (select cast(floor((p - 1) / 50) as bigint) as shard, (p - 1) % 50 + 1 as page, n as n_records from (
-  select cast(floor(c_custkey / 20) as bigint) + 1 as p, count(*) as n from customer where c_custkey % 1000 <> 979 group by 1)),
+  select cast(floor(c_custkey / 20) as bigint) + 1 + case when c_custkey % 1000 = 979 then 1 else 0 end as p, count(*) as n from customer group by 1)),
 ends as (select shard, min(page) filter (where n_records < 20) as short_page, max(page) as last_seen from counted group by shard)
 select c.shard, c.page, c.n_records, case when c.page = least(coalesce(short_page, last_seen), 49)
     and coalesce(short_page, 1000000) > 49 and last_seen >= 49 then 'MAX_PAGES_EXCEEDED' end as page_error
@@ -465,9 +465,12 @@ union all select 'employees', 'last_refresh_pages', cast(max(page) as varchar) f
 union all select 'employees', 'last_refresh_items', cast(count(*) as varchar) from outcome
 union all select 'employees', 'count_total', cast(count(*) as varchar) from user_table""",
     "snapshot_upsert": "select _id, _ouid, match_key, mail, op from user_table",
-    "snapshot_upsert_orders": "select o_orderkey, case when o_orderkey % 4 = 0 then o_totalprice + 1 else o_totalprice end as o_totalprice, o_orderstatus, case when o_orderkey % 4 <> 0 then 'kept' when o_orderkey % 10 = 0 then 'inserted' else 'updated' end as op from orders where o_orderkey % 4 = 0 or o_orderkey % 10 <> 0",
+    "snapshot_upsert_orders": """
+select o_orderkey, case when o_orderkey % 10 = 0 then o_totalprice else o_totalprice + 1 end as o_totalprice, o_orderstatus,
+  case when o_orderkey % 10 = 0 then 'kept' else 'updated' end as op from orders
+union all select -1 - o_orderkey, o_totalprice + 1, o_orderstatus, 'inserted' from orders where o_orderkey % 10 = 0""",
     "snapshot_status": "select 'organizations' as dataset, count(*) as n_rows from orgs union all select 'employees', count(*) from known",
-    "stale_rows": "select _id from known where _id not in (select _id from users where _id is not null and ingest_pos % 5 <> 0)",
+    "stale_rows": "select _id from known where _id not in (select _id from users where _id is not null)",
     "request_rows": """
 select line_no, decision as op, 'PUT' as method, concat('/managed/user/', resource_id) as path, 'false' as decrypt,
   case when error_code is null then email end as mail, case when error_code is null then is_logon_disable end as disabled,

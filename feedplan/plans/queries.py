@@ -17,7 +17,6 @@ from feedplan.functions import diagnostics as dx
 from feedplan.functions import masking, parse, text
 from feedplan.operators import apply, enrich, matching, planning, report, snapshot, validate, vault
 from feedplan.operators.diff import FieldDiff, change_set, diff_fields, text_diff
-from feedplan.operators.lookup import distinct_keys, lookup
 from feedplan.operators.normalize import clean_values
 from feedplan.plans import employees, feeds, sync
 from feedplan.session import configure
@@ -85,12 +84,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def csv_record_parse(spark: SparkSession, sf: str) -> DataFrame:
     """Feed written as delimited records, with quotes, and parsed back."""
-    cells = feeds.raw_cells(spark, sf)
     names = employees.RAW_COLUMNS
     schema = ", ".join(f"{c} string" for c in names)
+    cells = feeds.raw_cells(spark, sf).withColumn("contacts", F.regexp_replace("contacts", ",", ',"x"'))
     options = {"escape": '"', "quoteAll": "true", "emptyValue": "", "nullValue": ""}
-    quoted = F.to_csv(F.struct(*[F.regexp_replace(c, ",", ',"x"') .alias(c) if c == "contacts" else F.col(c) for c in names]), options)
-    line = cells.select("line_no", quoted.alias("line"))
+    line = cells.select("line_no", F.to_csv(F.struct(*names), options).alias("line"))
     parsed = line.select("line_no", F.from_csv("line", schema, {"escape": '"', "mode": "PERMISSIVE"}).alias("r"))
     return parsed.select("line_no", "r.*").selectExpr("line_no", *[f"{text.clean_null_token(c)} as {c}" for c in names])
 
@@ -128,11 +126,9 @@ def paged_json_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def paged_stop_rule(spark: SparkSession, sf: str) -> DataFrame:
-    """Sequences of at most 50 pages; every 1000th record less one is missing,
-    which makes page 49 the short one."""
-    records = spark.sql(
-        feeds.items_sql("{customer}", keep="c_custkey % 1000 <> 979"), **feeds.load(spark, sf, "customer")
-    )
+    """Sequences of 50 pages; one record of each comes a page late, which makes
+    page 49 the short one."""
+    records = spark.sql(feeds.items_sql("{customer}", moved=feeds.LATE), **feeds.load(spark, sf, "customer"))
     dump = feeds.as_pages(records).selectExpr("cast(floor((page - 1) / 50) as bigint) as shard", "(page - 1) % 50 + 1 as page", "body")
     read = pages.pages_read(pages.parse_pages(dump), page_size=20, max_pages=49, by="shard")
     return read.selectExpr("shard", "page", "cast(n_records as bigint) as n_records", "page_error")
@@ -499,8 +495,8 @@ def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
 def snapshot_diff_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders against a perturbed copy of themselves."""
     orders = table(spark, sf, "orders")
-    copy = orders.where("o_orderkey % 10 <> 0").selectExpr(
-        "o_orderkey as match_key",
+    copy = orders.selectExpr(
+        "if(o_orderkey % 10 = 0, -1 - o_orderkey, o_orderkey) as match_key",
         "if(o_orderkey % 7 = 0, o_totalprice + 1, o_totalprice) as o_totalprice",
         "if(o_orderkey % 3 = 0, replace(o_orderpriority, ' ', '  '), o_orderpriority) as o_orderpriority",
         "o_orderstatus", "concat('', o_orderkey) as _id", "'active' as account_status", "cast(null as string) as deletion_date",
@@ -604,9 +600,9 @@ def error_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def known_users(spark: SparkSession, sf: str) -> DataFrame:
-    """Snapshot before a refresh: every third record."""
+    """Snapshot before a refresh: a third of the records, and others that are gone."""
     columns = [c if c in feeds.KNOWN_USERS else f"cast(null as {t}) as {c}" for c, t in snapshot.USER_COLUMNS.items()]
-    rows = table(spark, sf, "customer").where("c_custkey % 3 = 0")
+    rows = table(spark, sf, "customer")
     return rows.selectExpr(*[f"{e} as {c}" for c, e in feeds.KNOWN_USERS.items()]).selectExpr(*columns)
 
 
@@ -659,10 +655,11 @@ def snapshot_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshot_upsert_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Upsert of changed orders into a table of orders."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    known = orders.where("o_orderkey % 10 <> 0")
-    arriving = orders.where("o_orderkey % 4 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    """Upsert of changed orders, some of them under new keys, into all orders."""
+    known = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    arriving = known.selectExpr(
+        "if(o_orderkey % 10 = 0, -1 - o_orderkey, o_orderkey) as o_orderkey", "o_totalprice + 1 as o_totalprice", "o_orderstatus"
+    )
     return snapshot.upsert(known, arriving, "o_orderkey")
 
 
@@ -692,7 +689,7 @@ def snapshot_clear(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stale_rows(spark: SparkSession, sf: str) -> DataFrame:
-    read = snapshot.map_users(target_items(spark, sf)).where("_id is not null and ingest_pos % 5 <> 0")
+    read = snapshot.map_users(target_items(spark, sf)).where("_id is not null")
     return snapshot.stale_rows(known_users(spark, sf), read).select("_id")
 
 

@@ -38,6 +38,12 @@ def test_vault_generates_missing_secrets_once(spark):
     assert rows.where("secrets['password'] is not null").count() == 1
 
 
+def test_generated_secrets_differ(spark):
+    rows = sync.enriched(feed(spark, *[{"raw_id": str(i), "extra": "org_id=20;tab=T"} for i in range(40)]), users(spark))
+    drawn = vault.vault_rows(rows, "employees", "r", "t").collect()
+    assert len({r.value for r in drawn}) == len(drawn) == 40
+
+
 def test_keyed_fallback(spark):
     asked = spark.createDataFrame([(1, "d", "f", "a", 1), (2, "d", "f", "a", 2), (3, "d", "f", "b", 3), (4, "d", "f", "b", 4), (5, "d", "g", "b", 4)],
                                   "request_no bigint, dataset string, field string, row_id string, line_no bigint")

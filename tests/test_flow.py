@@ -5,7 +5,7 @@ from helpers import GOOD, feed, orgs, users
 
 from feedplan.functions import diagnostics as dx
 from feedplan.operators import planning, report, validate
-from feedplan.operators.enrich import allocate_codes, allocate_ids, enrich, new_code, new_id
+from feedplan.operators.enrich import allocate_codes, allocate_ids, new_code, new_id
 from feedplan.operators.matching import match_key
 from feedplan.operators.normalize import NormalizeRule, normalize
 from feedplan.plans import employees, feeds, sync
