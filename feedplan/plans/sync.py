@@ -13,7 +13,16 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-
+from pyspark.sql import types as T
+
+from feedplan.operators.apply import (
+    apply_outcome,
+    apply_to_target,
+    first_actions,
+    request_rows,
+    retry_ids,
+    stop_at_first_error,
+)
 from feedplan.operators.enrich import EnrichSpec, enrich, survivors
 from feedplan.operators.mapping import map_records
 from feedplan.operators.matching import match_target
@@ -30,6 +39,7 @@ from feedplan.operators.snapshot import (
     upsert,
 )
 from feedplan.operators.validate import mark_known, validate
+from feedplan.operators.vault import attach_secrets, latest_secrets
 from feedplan.plans import employees
 from feedplan.sources.pages import explode_records, pages_read, parse_pages, require_good_pages
 from feedplan.sources.snapshot_store import SnapshotStore
@@ -100,6 +110,46 @@ def plan_import(
     return ImportPlan(rows, plan_items(rows, employees.DESIRED), plan_summary(rows))
 
 
+@dataclass(frozen=True)
+class Applied:
+    outcome: DataFrame
+    table: DataFrame
+
+
+def apply_plan(
+    items: DataFrame,
+    target: DataFrame,
+    stored: DataFrame,
+    spec: EnrichSpec | None = None,
+    run_id: str | None = None,
+    retries: int = 3,
+    max_actions: int | None = None,
+    stop_on_first_error: bool = False,
+    dry_run: bool = False,
+    strict: bool = True,
+    stage: Stage = staged,
+) -> Applied:
+    """Apply plan items to a target table.
+
+    ``stored`` is the vault.  A create whose id is in use gets a new one, up to
+    ``retries`` times, and fails with CONFLICT after that.  Only items that
+    succeed change the table; a dry run changes nothing.
+    """
+    spec = spec or employees.enrich_spec()
+    chosen = retry_ids(first_actions(items, max_actions), target, spec, retries)
+    latest = latest_secrets(stored, run_id)
+    ready = stage(attach_secrets(chosen, latest, spec.dataset, [spec.secret]), "actions")
+    # the table answers: taken ids are refused, everything else is accepted
+    answers = ready.selectExpr("line_no", "if(id_attempt is null, 409, 200) as status", "'' as body")
+    outcome = stage(apply_outcome(request_rows(ready, strict=strict), answers, dry_run), "outcome")
+    if stop_on_first_error:
+        outcome = stop_at_first_error(outcome)
+    if dry_run:
+        return Applied(outcome, target)
+    done = outcome.where("code is null").select("line_no")
+    return Applied(outcome, apply_to_target(ready.join(done, "line_no", "left_semi"), target).drop("op"))
+
+
 # dataset -> (columns, key, unique columns, record mapping), in refresh order:
 # organisations come first, users refer to them
 CACHE_DATASETS = {
@@ -108,7 +158,7 @@ CACHE_DATASETS = {
 }
 
 
-def cache_schema(dataset: str):
+def cache_schema(dataset: str) -> str:
     columns = CACHE_DATASETS[dataset][0]
     return ", ".join(f"`{c}` {t}" for c, t in columns.items())
 
@@ -149,8 +199,6 @@ def refresh_snapshot(
     **options,
 ) -> dict[str, int]:
     """Refresh several datasets and publish them in one commit."""
-    import pyspark.sql.types as T
-
     tables, meta = {}, {}
     for dataset in datasets or CACHE_DATASETS:
         if dataset not in CACHE_DATASETS:

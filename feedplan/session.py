@@ -16,12 +16,23 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings; safe to call again."""
+# Bytes of input per shuffle partition before adaptive execution merges them.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the settings; safe to call again.
+
+    With the size of the input, shuffles start with enough partitions for it;
+    adaptive execution merges those that turn out small.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     # File splits must not depend on how many executors are up at the moment:
     # record numbering scans a feed twice.
     if not spark.conf.get("spark.sql.files.minPartitionNum", None):
         spark.conf.set("spark.sql.files.minPartitionNum", str(max(1, spark.sparkContext.defaultParallelism)))
+    if input_bytes:
+        wanted = max(spark.sparkContext.defaultParallelism, -(-input_bytes // PARTITION_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark

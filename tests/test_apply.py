@@ -104,6 +104,23 @@ def test_second_run_has_nothing_to_do(spark, plan):
     assert (second.planned_create, second.planned_update, second.skipped) == (0, 0, 2)
 
 
+def test_apply_plan(spark, plan):
+    target = users(spark, {"user_name": "old"})
+    stored = spark.createDataFrame([("employees", "password", "New|P|X|7", "s", "r", "t", 1)], vault.VAULT)
+    outcome = {r.line_no: (r.outcome, r.code) for r in sync.apply_plan(plan.items, target, stored).outcome.collect()}
+    assert outcome[3] == ("created", None) and outcome[2] == ("failed", "UNEXPECTED_ERROR")
+    done = sync.apply_plan(plan.items, target, stored, strict=False)
+    assert sorted(r.user_name for r in done.table.collect()) in (["jdoe", "jdoe"], ["jdoe", "other"])
+    stopped = sync.apply_plan(plan.items, target, stored, stop_on_first_error=True)
+    assert [r.line_no for r in stopped.outcome.collect()] == [2] and stopped.table.first().user_name == "old"
+    dry = sync.apply_plan(plan.items, target, stored, dry_run=True, max_actions=2)
+    assert dry.outcome.where("code is null").count() == 2 and dry.table.count() == 1
+    taken = users(spark, {"user_name": "old"}, {"_id": plan.items.where("op = 'create'").first().resource_id, "_ouid": 9, "match_key": "z"})
+    refused = sync.apply_plan(plan.items, taken, stored, retries=0).outcome.where("line_no = 3").first()
+    assert refused.code == "CONFLICT"
+    assert sync.apply_plan(plan.items, taken, stored).outcome.where("line_no = 3").first().code is None
+
+
 def test_no_secret_leaves_the_vault(spark, plan):
     shown = [str(r) for df in (plan.items, plan.summary) for r in df.collect()]
     assert not any("secret'" in s or "p3" in s for s in shown)
