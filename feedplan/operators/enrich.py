@@ -102,8 +102,11 @@ def first_free(
     several rows draw goes to the earliest attempt and line.
     """
     kept = ["line_no"] + ([owner] if owner else [])
-    tries = need.where(f"start <= {attempts}").selectExpr(*kept, f"explode(sequence(start, {attempts})) as attempt")
-    tries = tries.withColumn("__draw", F.expr(candidate))
+    # one attempt more than allowed stands for failure: it draws nothing, is
+    # always free, and spares a second pass over ``need``
+    last = attempts + 1
+    tries = need.selectExpr(*kept, f"explode(sequence(start, greatest(start, {last}))) as attempt")
+    tries = tries.withColumn("__draw", F.expr(f"if(attempt < {last}, {candidate}, null)"))
     if owner is None:
         free = drop_held(tries, target, {"__draw": key}, "line_no")
     else:
@@ -118,12 +121,12 @@ def first_free(
         # candidates are evenly spread, so no group is large.
         claim = "min(shiftleft(cast(attempt as bigint), 56) + line_no) as claim"
         free = (
-            unclaimed.groupBy("__draw")
+            unclaimed.selectExpr("line_no", "attempt", "coalesce(__draw, concat(char(0), line_no)) as __draw")
+            .groupBy("__draw")
             .agg(F.expr(claim))
             .selectExpr("claim & 72057594037927935 as line_no", "cast(shiftright(claim, 56) as int) as attempt")
         )
-    best = free.select("line_no", "attempt").union(need.selectExpr("line_no", "cast(null as int)"))
-    return best.groupBy("line_no").agg(F.expr("coalesce(min(attempt), 0) as pick"))
+    return free.groupBy("line_no").agg(F.expr(f"if(min(attempt) < {last}, min(attempt), 0) as pick"))
 
 
 def allocate_ids(rows: DataFrame, target: DataFrame, spec: EnrichSpec, key: str = "_id") -> DataFrame:
