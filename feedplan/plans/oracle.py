@@ -7,10 +7,11 @@ expression; only the feeds are the same text.
 
 from __future__ import annotations
 
+import re
+
 from feedplan.plans import feeds
 
 # whitespace of the fixed feeds is ASCII
-_WS = r"[ \t\n\r\x0b\x0c\x1c-\x1f]"
 _TRIM = "E' \\t\\n\\r\\x0b\\x0c'"
 
 
@@ -301,8 +302,6 @@ _ORDER = list(_CTES)
 
 
 def _with(query: str) -> str:
-    import re
-
     needed: set[str] = set()
 
     def visit(sql: str) -> None:

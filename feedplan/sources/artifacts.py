@@ -64,15 +64,15 @@ def parse_plan_documents(documents: DataFrame, *carried: str) -> DataFrame:
     parsed = doc.selectExpr(
         "*",
         f"{_DATASET} as dataset",
-        "try_variant_get(doc, '$.items', 'variant') as __items",
         "try_variant_get(doc, '$.items', 'array<variant>') as items",
     )
     # the shape of a document is only looked at when something is missing
     error = (
-        "case when dataset is not null and (__items is null or items is not null) then null "
+        "case when dataset is not null and items is not null then null "
         "when doc is null or not startswith(schema_of_variant(doc), 'OBJECT') then 'Invalid plan format: root must be object' "
-        "when __items is not null and items is null then 'Invalid plan format: items must be list' "
-        "else 'Invalid plan format: dataset is missing in meta' end"
+        "when items is null and try_variant_get(doc, '$.items', 'variant') is not null "
+        "then 'Invalid plan format: items must be list' "
+        "when dataset is null then 'Invalid plan format: dataset is missing in meta' end"
     )
     return parsed.selectExpr(
         *carried,
