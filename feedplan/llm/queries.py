@@ -7,13 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedplan.llm import bpe, decontaminate
+from feedplan.llm import bpe, decontaminate, repetition, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_repetition(spark: SparkSession, folder: str) -> DataFrame:
+    return repetition.verdicts(_table(spark, folder, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return bpe.token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -24,7 +32,12 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_byte_bpe": op9_byte_bpe, "op10_decontaminate": op10_decontaminate}
+    return {
+        "op6_token_counts": op6_token_counts,
+        "op7_repetition": op7_repetition,
+        "op9_byte_bpe": op9_byte_bpe,
+        "op10_decontaminate": op10_decontaminate,
+    }
 
 
 _SHINGLES_SQL = """
