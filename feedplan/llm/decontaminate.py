@@ -194,7 +194,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", **option
     text: str = options.get("text_column", "text")  # type: ignore[assignment]
     found = with_leaks(docs.select(id_column, text), items, **options)  # type: ignore[arg-type]
     return (
-        found.select(id_column, F.explode("leaks").alias("__l"))
+        found.select(id_column, F.explode_outer("leaks").alias("__l"))
+        .where("__l is not null")
         .select(id_column, "__l.*")
         .withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedplan.llm import bpe, decontaminate, repetition, token_counts
+from feedplan.llm import bpe, decontaminate, repetition, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op7_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.verdicts(_table(spark, folder, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.deduplicated(_table(spark, folder, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return bpe.token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -35,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_token_counts": op6_token_counts,
         "op7_repetition": op7_repetition,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_decontaminate": op10_decontaminate,
     }
@@ -47,6 +52,17 @@ _SHINGLES_SQL = """
 """
 
 ORACLE = {
+    "op8_substring_dedup": """
+with words as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') w from documents),
+starts as (select doc_id, unnest(range(1, len(w) - 33)) s, w from words where len(w) >= 35),
+windows as (select doc_id, s, sha256(array_to_string(w[s : s + 34], ' ')) h from starts),
+again as (select h from windows group by h having count(*) > 1),
+hits as (select doc_id, list(s) l from windows semi join again using (h) group by doc_id),
+gone as (select doc_id, list_distinct(flatten(list_transform(l, lambda s: range(s, s + 35)))) g from hits)
+select doc_id, len(w)::bigint n_words, coalesce(len(g), 0)::bigint n_removed,
+    sha256(coalesce(array_to_string(list_filter(w, lambda x, i: g is null or not list_contains(g, i)), ' '), '')) kept_sha256
+from words left join gone using (doc_id)
+""",
     "op10_decontaminate": f"""
 with items as (select id item_id, unnest(s) shingle, len(s) n_shingles from ({_SHINGLES_SQL.format(id="item_id", table="benchmark")})),
 docs as (select id doc_id, unnest(s) shingle from ({_SHINGLES_SQL.format(id="doc_id", table="documents")})),
