@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedplan.llm import bpe, decontaminate, repetition, substring_dedup, token_counts
+from feedplan.llm import bpe, chosen_path, decontaminate, repetition, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.joined(_table(spark, folder, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -37,6 +41,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_jaccard_join": op5_jaccard_join,
         "op6_token_counts": op6_token_counts,
         "op7_repetition": op7_repetition,
         "op8_substring_dedup": op8_substring_dedup,

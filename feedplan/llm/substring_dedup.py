@@ -31,8 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedplan.llm.bitmaps import bitmap, held
 from feedplan.llm.fm_index import FMIndex
-from feedplan.llm.words import Words, bytes_of, grams, mix, slices
+from feedplan.llm.groups import whole_groups
+from feedplan.llm.words import Words, grams, mix, slices
 
 WIDTH = 35
 ANCHOR = 8
@@ -109,27 +111,6 @@ class Units:
         return pa.StringArray.from_buffers(len(size), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data)))
 
 
-def _test(bitmap: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
-    at = values & np.uint64((1 << bits) - 1)
-    return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
-
-
-def _bitmap(values: DataFrame, column: str, bits: int) -> np.ndarray:
-    """A bitmap of 2^bits bits with the values' low bits set; each part of 4 KB is made by one reducer."""
-    low = F.col(column).bitwiseAND((1 << bits) - 1)
-    rows = (
-        values.select(F.shiftright(low, 15).alias("part"), low.bitwiseAND(32767).alias("bit"))
-        .repartition("part")
-        .groupBy("part")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
-        .collect()
-    )
-    out = np.zeros(max(1 << bits >> 3, 4096), np.uint8)
-    for row in rows:
-        out[row["part"] * 4096 : row["part"] * 4096 + 4096] = np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
 def _keyed(docs: DataFrame, text_column: str) -> DataFrame:
     text = F.coalesce(F.col(text_column), F.lit(""))
     return docs.withColumns({"__k1": F.xxhash64(text), "__k2": F.xxhash64(F.lit(2), text)})
@@ -163,14 +144,14 @@ def repeated_runs(docs: DataFrame, text_column: str = "text", width: int = WIDTH
     seen = seen.agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.max("twice").alias("twice"), F.count(F.lit(1)).alias("n"))
     again = seen.where((F.col("a") != F.col("b")) | (F.col("twice") > 0)).select("anchor", "n")
     again = again.persist()
-    known = spark.sparkContext.broadcast((_bitmap(again, "anchor", BITS), _bitmap(again.where(F.col("n") > HOT), "anchor", HOT_BITS)))
+    known = spark.sparkContext.broadcast((bitmap(again, "anchor", BITS), bitmap(again.where(F.col("n") > HOT), "anchor", HOT_BITS)))
     again.unpersist()
 
     def cut(part: pa.RecordBatch) -> Units:
         repeated, hot = known.value
         units = Units(part.column(text_column), width)
-        units.select(_test(repeated, units.anchor, BITS))
-        return units.part(_test(hot, units.anchor, HOT_BITS))
+        units.select(held(repeated, units.anchor, BITS))
+        return units.part(held(hot, units.anchor, HOT_BITS))
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text_column):
@@ -199,7 +180,7 @@ def repeated_runs(docs: DataFrame, text_column: str = "text", width: int = WIDTH
             )
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in _shards(batches):
+        for shard in whole_groups(batches, "shard", SHARD_BYTES, "words"):
             yield _search(shard, width)
 
     shipped = keyed.select(text_column).mapInArrow(ship, "shard bigint, unit bigint, weight int, words string")
@@ -212,29 +193,6 @@ def repeated_runs(docs: DataFrame, text_column: str = "text", width: int = WIDTH
     )
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows come ordered by shard; whole shards are packed together up to the size of an index."""
-    held: list[pa.RecordBatch] = []
-    size, last = 0, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        shard = batch.column("shard").to_numpy()
-        _, bounds = bytes_of(batch.column("words"))
-        begins = np.concatenate([[0], np.flatnonzero(shard[1:] != shard[:-1]) + 1, [len(shard)]]).tolist()
-        at = 0
-        for begin, end in zip(begins, begins[1:], strict=False):
-            if size >= SHARD_BYTES and shard[begin] != last:
-                held.append(batch.slice(at, begin - at))
-                yield pa.Table.from_batches(held)
-                held, size, at = [], 0, begin
-            size += int(bounds[end] - bounds[begin])
-            last = shard[begin]
-        held.append(batch.slice(at))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _search(shard: pa.Table, width: int) -> pa.RecordBatch:
     """Units with windows that occur again: runs of their starts, first and last in turn."""
     unit = shard["unit"].to_numpy()
