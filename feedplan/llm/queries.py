@@ -7,13 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from feedplan.llm import bpe, chosen_path, decontaminate, repetition, substring_dedup, token_counts
+from feedplan.llm import bpe, chosen_path, decontaminate, pii, repetition, secret_scan, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.span_digests(_table(spark, folder, "documents"))
+
+
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.span_digests(_table(spark, folder, "documents"))
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.joined(_table(spark, folder, "documents"))
 
@@ -41,6 +49,8 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_personal_data": op1_personal_data,
+        "op4_secrets": op4_secrets,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_token_counts": op6_token_counts,
         "op7_repetition": op7_repetition,
