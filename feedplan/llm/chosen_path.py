@@ -103,14 +103,14 @@ def _sketches(value: np.ndarray, doc: np.ndarray, rows: int, bins: int) -> np.nd
 _ROW = "s1 bigint, s2 bigint, n bigint, first array<bigint>, further array<bigint>, sketch binary"
 
 
-def _rows(docs: DataFrame, id_column: str, text_column: str, paths: Paths) -> DataFrame:
+def _rows(docs: DataFrame, paths: Paths) -> DataFrame:
     """For each document the key of its set, its chosen shingles and its sketch. Codes carry run and level in their low byte."""
     runs = paths.runs()
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text_column):
+        for part in slices(batches, "text"):
             rows = part.num_rows
-            value, doc = distinct(*shingles(part.column(text_column), paths.shingle))
+            value, doc = distinct(*shingles(part.column("text"), paths.shingle))
             n = np.bincount(doc, minlength=rows)
             keys = []
             for seed in (1, 2):
@@ -127,12 +127,11 @@ def _rows(docs: DataFrame, id_column: str, text_column: str, paths: Paths) -> Da
             lists = [_lists(np.concatenate([x[0] for x in c]), np.concatenate([x[1] for x in c]), rows) for c in chosen]
             sketch = _sketches(value, doc, rows, paths.bins)
             yield pa.record_batch(
-                [part.column(id_column), *keys, pa.array(n), *lists, pa.array([x.tobytes() for x in sketch], pa.binary())],
-                [id_column, "s1", "s2", "n", "first", "further", "sketch"],
+                [part.column("id"), *keys, pa.array(n), *lists, pa.array([x.tobytes() for x in sketch], pa.binary())],
+                ["id", "s1", "s2", "n", "first", "further", "sketch"],
             )
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text_column).mapInArrow(describe, f"{id_column} {kind}, {_ROW}")
+    return docs.mapInArrow(describe, f"id bigint, {_ROW}")
 
 
 def _candidates(sets: DataFrame, paths: Paths) -> DataFrame:
@@ -272,38 +271,39 @@ def _links(value, doc, node, side, copies, paths):  # noqa: ANN001, ANN202
 def joined(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", paths: Paths | None = None) -> DataFrame:
     """One row per document: its group `class_id`, the document `copy_of` that stands for its set, and `n_links`."""
     paths = paths or Paths()
-    rows = staged(_rows(docs, id_column, text_column, paths), "rows")
-    some = F.when(F.col("n") > 0, F.lit(0).cast("bigint"))  # sets without shingles stay apart
+    docs = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
+    rows = staged(_rows(docs, paths), "rows")
     hashed = -F.abs(F.shiftright("s1", 1)) - 2
     sets = (
         rows.where("n > 0")
         .groupBy("s1", "s2")
         .agg(
-            F.min(id_column).alias("least"),
+            F.min("id").alias("least"),
             F.count(F.lit(1)).alias("copies"),
             *(F.first(c).alias(c) for c in ("n", "first", "further", "sketch")),
         )
-        .withColumn("node", F.coalesce(F.col("least").cast("bigint"), hashed))
+        .withColumn("node", F.coalesce("least", hashed))
     )
     sets = staged(sets, "sets")
     edges = _candidates(sets, paths)
     groups = staged(components(edges), "groups")
-    found = _exact(docs, id_column, text_column, sets, groups, paths)
+    found = _exact(docs, sets, groups, paths)
     answer = sets.select("s1", "s2", "copies", "least", "node").join(found, "node", "left")
+    root = F.coalesce("root", "node")
     answer = answer.select(
-        "s1", "s2", F.when(F.coalesce("root", "node") >= -1, F.coalesce("root", "node")).otherwise(F.col("least")).alias("class_id"),
+        "s1", "s2", F.when(root >= -1, root).otherwise(F.col("least")).alias("class_id"),
         F.col("least").alias("copy_of"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
-    alone = some.isNull()
-    return rows.select(id_column, "s1", "s2", "n").join(answer, ["s1", "s2"], "left").select(
-        id_column,
-        F.when(alone, F.col(id_column)).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(alone, F.col(id_column)).otherwise(F.col("copy_of")).alias("copy_of"),
+    alone = F.col("n") == 0  # sets without shingles stay apart
+    return rows.select("id", "s1", "s2", "n").join(answer, ["s1", "s2"], "left").select(
+        F.col("id").alias(id_column),
+        F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("id")).otherwise(F.col("copy_of")).alias("copy_of"),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
     )
 
 
-def _exact(docs: DataFrame, id_column: str, text_column: str, sets: DataFrame, groups: DataFrame, paths: Paths) -> DataFrame:
+def _exact(docs: DataFrame, sets: DataFrame, groups: DataFrame, paths: Paths) -> DataFrame:
     """(node, links, root) by exact verification inside the candidate groups."""
     spark = docs.sparkSession
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
@@ -316,9 +316,9 @@ def _exact(docs: DataFrame, id_column: str, text_column: str, sets: DataFrame, g
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Documents that may be members, with the key of their set."""
-        for part in slices(batches, text_column):
+        for part in slices(batches, "text"):
             rows = part.num_rows
-            value, doc = distinct(*shingles(part.column(text_column), paths.shingle))
+            value, doc = distinct(*shingles(part.column("text"), paths.shingle))
             keys = []
             for seed in (1, 2):
                 total = np.zeros(rows, np.uint64)
@@ -327,9 +327,9 @@ def _exact(docs: DataFrame, id_column: str, text_column: str, sets: DataFrame, g
             at = np.flatnonzero(held(wanted.value, keys[0].view(np.uint64), BITS))
             _, first = np.unique(keys[0][at], return_index=True)
             at = pa.array(at[first])
-            yield pa.record_batch([pa.array(k).take(at) for k in keys] + [part.column(text_column).take(at)], ["s1", "s2", "text"])
+            yield pa.record_batch([pa.array(k).take(at) for k in keys] + [part.column("text").take(at)], ["s1", "s2", "text"])
 
-    texts = docs.select(text_column).mapInArrow(keyed, "s1 bigint, s2 bigint, text string")
+    texts = docs.select("text").mapInArrow(keyed, "s1 bigint, s2 bigint, text string")
     # one text of each set is enough; the least is as good as any
     texts = texts.join(members, ["s1", "s2"])
     pairs = F.expr("explode(transform(sequence(0L, blocks - 1), other -> struct(least(own, other) as low, greatest(own, other) as high)))")

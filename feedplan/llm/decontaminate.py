@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedplan.llm.shingles import distinct, shingles
@@ -102,9 +102,9 @@ class Index:
         return pairs[keep] // width, pairs[keep] % width, shared[keep]
 
 
-def _by_broadcast(docs: DataFrame, text: Column, rows: list, size: int, threshold: float, miss: float) -> DataFrame:
+def _by_broadcast(spark: SparkSession, text: Column, rows: list, size: int, threshold: float, miss: float) -> Column:
     index = Index(pa.array([r["__text"] for r in rows], pa.large_string()), size, threshold, miss)
-    shared_index = docs.sparkSession.sparkContext.broadcast((index, np.array([r["__item"] for r in rows])))
+    shared_index = spark.sparkContext.broadcast((index, np.array([r["__item"] for r in rows])))
 
     @F.arrow_udf("array<struct<item_id: bigint, n_shared: bigint, n_shingles: bigint>>")
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -121,7 +121,7 @@ def _by_broadcast(docs: DataFrame, text: Column, rows: list, size: int, threshol
                 out.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), struct))
             yield pa.concat_arrays(out) if out else pa.array([], search_type())
 
-    return docs.withColumn("leaks", search(text))
+    return search(text)
 
 
 def search_type() -> pa.DataType:
@@ -139,13 +139,13 @@ def _sets(keyed: DataFrame, key: str, size: int) -> DataFrame:
     return keyed.mapInArrow(explode, f"{key} {keyed.schema[key].dataType.simpleString()}, shingle bigint")
 
 
-def _by_joins(docs: DataFrame, text: Column, items: DataFrame, size: int, threshold: float, miss: float) -> DataFrame:
+def _by_joins(docs: DataFrame, text: Column, items: DataFrame, size: int, threshold: float, miss: float, column: str) -> DataFrame:
     """Any number of items: texts are keyed by digest, so equal texts are searched once."""
     key = F.sha2(text, 256)
     theirs = _sets(items.select(F.col("__item").alias("item_id"), "__text").dropDuplicates(), "item_id", size)
     many = F.udf(lambda n: sketch_size(n, threshold, miss), "int")
     theirs = theirs.join(theirs.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_shingles")), "item_id")
-    by_hash = F.row_number().over(_window("item_id").orderBy(F.xxhash64("shingle"), "shingle"))
+    by_hash = F.row_number().over(Window.partitionBy("item_id").orderBy(F.xxhash64("shingle"), "shingle"))
     probes = theirs.withColumn("__rank", by_hash).where(F.col("__rank") <= many("n_shingles")).select("item_id", "shingle")
     ours = _sets(docs.select(key.alias("__key"), text.alias("__text")).where(text.isNotNull()), "__key", size)
     candidates = ours.join(probes, "shingle").select("__key", "item_id").distinct()
@@ -157,16 +157,10 @@ def _by_joins(docs: DataFrame, text: Column, items: DataFrame, size: int, thresh
         .agg(F.count(F.lit(1)).alias("n_shared"), F.first("n_shingles").alias("n_shingles"))
         .where(F.col("n_shared") >= F.ceil(F.col("n_shingles") * threshold - 1e-9))
     )
-    lists = shared.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("item_id", "n_shared", "n_shingles"))).alias("leaks"))
+    lists = shared.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("item_id", "n_shared", "n_shingles"))).alias(column))
     none = F.expr("cast(array() as array<struct<item_id: bigint, n_shared: bigint, n_shingles: bigint>>)")
     found = docs.withColumn("__key", key).join(lists, "__key", "left").drop("__key")
-    return found.withColumn("leaks", F.coalesce("leaks", none))
-
-
-def _window(column: str):  # noqa: ANN202
-    from pyspark.sql import Window
-
-    return Window.partitionBy(column)
+    return found.withColumn(column, F.coalesce(column, none))
 
 
 def with_leaks(
@@ -179,22 +173,23 @@ def with_leaks(
     threshold: float = THRESHOLD,
     miss: float = MISS,
     index_limit: int = INDEX_LIMIT,
+    column: str = "leaks",
 ) -> DataFrame:
-    """The documents with `leaks`: the items that each contains, with shared and all shingles of the item."""
+    """The documents with a list of the items that each contains, with shared and all shingles of the item."""
     theirs = items.select(F.col(item_id).cast("bigint").alias("__item"), F.col(item_text).alias("__text"))
     theirs = theirs.where(F.col("__item").isNotNull() & F.col("__text").isNotNull())
     sizes = theirs.agg(F.coalesce(F.sum(F.length("__text")), F.lit(0))).first()
     if sizes[0] <= index_limit:
-        return _by_broadcast(docs, F.col(text_column), theirs.collect(), size, threshold, miss)
-    return _by_joins(docs, F.col(text_column), theirs, size, threshold, miss)
+        return docs.withColumn(column, _by_broadcast(docs.sparkSession, F.col(text_column), theirs.collect(), size, threshold, miss))
+    return _by_joins(docs, F.col(text_column), theirs, size, threshold, miss, column)
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", **options: object) -> DataFrame:
     """One row for each document and item that it contains."""
     text: str = options.get("text_column", "text")  # type: ignore[assignment]
-    found = with_leaks(docs.select(id_column, text), items, **options)  # type: ignore[arg-type]
+    found = with_leaks(docs.select(id_column, text), items, column="__leaks", **options)  # type: ignore[arg-type]
     return (
-        found.select(id_column, F.explode_outer("leaks").alias("__l"))
+        found.select(id_column, F.explode_outer("__leaks").alias("__l"))
         .where("__l is not null")
         .select(id_column, "__l.*")
         .withColumn("containment", F.col("n_shared") / F.col("n_shingles"))

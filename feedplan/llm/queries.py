@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedplan.llm import bpe, chosen_path, decontaminate, pii, repetition, secret_scan, substring_dedup, token_counts
+from feedplan.llm import bpe, chosen_path, decontaminate, langid, licenses, pii, repetition, secret_scan, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +19,19 @@ def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.span_digests(_table(spark, folder, "documents"))
 
 
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files below a directory for each source, a hundred documents to the innermost directory."""
+    path = F.concat_ws(
+        "/", F.coalesce("source", F.lit("unknown")), F.expr("cast(doc_id div 1000 as string)"), F.expr("cast(doc_id div 100 % 10 as string)"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    )
+    path = F.when(F.col("doc_id").isNotNull(), path)
+    return licenses.scanned(_table(spark, folder, "documents"), licenses.templates(spark), "doc_id", path)
+
+
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.languages(_table(spark, folder, "documents"))
+
+
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.span_digests(_table(spark, folder, "documents"))
 
@@ -50,6 +64,8 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_personal_data": op1_personal_data,
+        "op2_licenses": op2_licenses,
+        "op3_language": op3_language,
         "op4_secrets": op4_secrets,
         "op5_jaccard_join": op5_jaccard_join,
         "op6_token_counts": op6_token_counts,
