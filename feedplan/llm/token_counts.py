@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from feedplan.llm.merges import END, NEVER, Merges
 
 #: States and pieces that a Python worker keeps compiled: bounds its memory, not the result.
-COMPILED = 400_000
+COMPILED = 1_000_000
 CHUNK = 512
 
 # Character classes, and the code points of Unicode's White_Space.
@@ -135,52 +135,56 @@ class PieceCounts:
 
     def __init__(self, merges: Merges):
         self.merges = merges
+        self.known: dict[str, int] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.arc: dict[tuple[int, int], int] = {}
-        self.emits = [0]
-        self.counts = [0]  # tokens of the prefix itself, when the piece goes on
-        self.known: dict[str, int] = {}
-
-    def _compile(self, piece: str) -> int:
-        data = piece.encode()
-        state, path = 0, [0]
-        for end in range(1, len(data) + 1):
-            to = self.arc.get((state, data[end - 1]))
-            if to is None:
-                to = self.arc[state, data[end - 1]] = len(self.emits)
-                self._state(data, end, path)
-            state = to
-            path.append(to)
-        return self.emits[state]
-
-    def _state(self, data: bytes, end: int, path: list[int]) -> None:
-        if end == 1:
-            self.last = [b""]
-        if len(self.last) < end:  # the states before were compiled for another piece
-            self.last = [b""]
-            for i in range(1, end):
-                self.last.append(self.merges.last(data, i, self.last))
-        del self.last[end:]
-        final = self.merges.last(data, end, self.last, END)
-        self.emits.append(self.counts[path[end - (len(final) - 1)]] + 1)
-        going = self.merges.last(data, end, self.last)
-        self.last.append(going)
-        self.counts.append(self.counts[path[end - len(going)]] + 1)
+        self.arc: dict[int, int] = {}
+        self.emits = [0]  # -1: not compiled yet
+        self.counts = [0]  # tokens of the prefix itself, when the piece goes on; -1: not compiled yet
+
+    def compile(self, pieces: list[bytes]) -> list[int]:
+        """Tokens of each piece. In sorted order a piece goes on from the states it shares with the one before."""
+        arc, emits, counts, merges = self.arc, self.emits, self.counts, self.merges
+        out, before = [], b""
+        path, last = [0], [b""]  # states along the piece, and last tokens of as many of its prefixes as were needed
+        for data in pieces:
+            shared, limit = 0, min(len(data), len(before))
+            while shared < limit and data[shared] == before[shared]:
+                shared += 1
+            del path[shared + 1 :], last[shared + 1 :]
+            before = data
+            for byte in data[shared:]:
+                key = path[-1] << 8 | byte
+                to = arc.get(key)
+                if to is None:
+                    to = arc[key] = len(emits)
+                    emits.append(-1)
+                    counts.append(-1)
+                path.append(to)
+            state = path[-1]
+            if emits[state] < 0:
+                end = len(data)
+                merges.extend(data[: end - 1], len(last) - 1, last)
+                for at in range(1, end):
+                    if counts[path[at]] < 0:
+                        counts[path[at]] = counts[path[at - len(last[at])]] + 1
+                final = merges.last(data, end, last, END)
+                emits[state] = counts[path[end - (len(final) - 1)]] + 1
+            out.append(emits[state])
+        return out
 
     def __call__(self, pieces: list[str]) -> list[int]:
         known = self.known
-        while True:
-            try:
-                return [known[p] for p in pieces]
-            except KeyError:
-                if len(known) > COMPILED or len(self.emits) > 8 * COMPILED:
-                    self._reset()
-                    known = self.known
-                for p in set(pieces).difference(known):
-                    self.last = [b""]
-                    known[p] = self._compile(p)
+        new = set(pieces).difference(known)
+        if len(known) + len(new) > COMPILED:
+            known.clear()
+            new = set(pieces)
+        if len(self.emits) > COMPILED:
+            self._reset()
+        ordered = sorted([p.encode() for p in new])
+        known.update(zip([p.decode() for p in ordered], self.compile(ordered), strict=True))
+        return [known[p] for p in pieces]
 
 
 def _byte_letters() -> dict[str, int]:
@@ -253,7 +257,7 @@ def token_count(text: Column, path: str) -> Column:
             for text_ in texts:
                 part.append(text_.as_py() or "")
                 size += len(part[-1])
-                if size >= 1 << 20:
+                if size >= 1 << 21:
                     out.append(count_all(part))
                     part, size = [], 0
             out.append(count_all(part))
