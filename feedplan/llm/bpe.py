@@ -17,15 +17,17 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedplan.llm.merges import NEVER, Merges
+from feedplan.llm.words import slices
 
 #: Pieces whose tokens a Python worker remembers: bounds its memory, not the result.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 
 class PrefixTable:
@@ -38,8 +40,13 @@ class PrefixTable:
     def append(self, more: bytes) -> PrefixTable:
         start = len(self.data)
         self.data += more
-        for end in range(start + 1, len(self.data) + 1):
-            self.last.append(self.merges.last(self.data, end, self.last))
+        self.merges.extend(self.data, start, self.last)
+        return self
+
+    def cut(self, size: int) -> PrefixTable:
+        """Keep the first bytes only."""
+        self.data = self.data[:size]
+        del self.last[size + 1 :]
         return self
 
     def edit(self, start: int, end: int, new: bytes) -> PrefixTable:
@@ -80,52 +87,68 @@ class Encoder:
         self.pieces = regex.compile(pattern).findall
         self._known: dict[str, str] = {}
 
-    def piece(self, piece: str) -> str:
-        """Ids of one piece, joined by blanks."""
-        tokens = PrefixTable(self.merges, piece.encode()).tokens()
-        return " ".join([str(self.ids[t]) for t in tokens])
-
-    def encode(self, text: str) -> str:
-        """Ids of a text, joined by blanks."""
-        pieces, known = self.pieces(text), self._known
-        while True:
-            try:
-                return " ".join([known[p] for p in pieces])
-            except KeyError:
-                if len(known) > REMEMBERED:
-                    known.clear()
-                for p in set(pieces).difference(known):
-                    known[p] = self.piece(p)
+    def encode(self, texts: list[str]) -> list[str]:
+        """Ids of each text, joined by blanks."""
+        known, cut = self._known, [self.pieces(t) for t in texts]
+        new = set().union(*cut).difference(known) if cut else set()
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = set().union(*cut)
+        self._learn(sorted([p.encode() for p in new]))
+        return [" ".join([known[p] for p in pieces]) for pieces in cut]
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Encode pieces in order: each one is an edit behind the beginning that it shares with the one before."""
+        table = PrefixTable(self.merges)
+        for piece in pieces:
+            shared, limit, old = 0, min(len(piece), len(table.data)), table.data
+            while shared < limit and piece[shared] == old[shared]:
+                shared += 1
+            table.cut(shared).append(piece[shared:])
+            self._known[piece.decode()] = " ".join([str(self.ids[t]) for t in table.tokens()])
 
     def decode(self, ids: list[str]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+def _parts(texts: pa.Array, size: int = 1 << 21) -> Iterator[list[str]]:
+    """Texts in lists of about `size` bytes, null as the empty text: bounds the memory of the pieces."""
+    for part in slices([pa.record_batch([texts], ["t"])], "t", size):
+        yield [t or "" for t in part.column("t").to_pylist()]
+
+
 @lru_cache(4)
 def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
 def encoded(text: Column, path: str, pattern: str) -> Column:
-    """Struct of the ids, their count and the bytes they decode to."""
+    """Ids of a text."""
 
-    @F.arrow_udf("struct<ids: array<int>, n_tokens: bigint, decoded: binary>")
+    @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = encoder(path, pattern)
         for texts in batches:
-            ids = [coder.encode(t or "").split() for t in texts.to_pylist()]
-            yield pa.StructArray.from_arrays(
-                [
-                    pa.array([list(map(int, x)) for x in ids], pa.list_(pa.int32())),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([coder.decode(x) for x in ids], pa.binary()),
-                ],
-                ["ids", "n_tokens", "decoded"],
-            )
+            lines = [line for part in _parts(texts) for line in coder.encode(part)]
+            sizes = [line.count(" ") + 1 if line else 0 for line in lines]
+            ids = np.fromstring(" ".join(lines), np.int32, sep=" ") if any(sizes) else np.zeros(0, np.int32)
+            yield pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(ids))
 
     return encode(text)
 
 
+def decoded(ids: Column, path: str, pattern: str) -> Column:
+    """The bytes that ids stand for; null where they are null."""
+
+    @F.arrow_udf("binary")
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        coder = encoder(path, pattern)
+        for lists in batches:
+            yield pa.array([None if x is None else coder.decode(list(map(str, x))) for x in lists.to_pylist()], pa.binary())
+
+    return decode(ids)
+
+
 def digests(text: Column, path: str, pattern: str) -> Column:
     """Struct of the token count, the digest of the ids and that of the bytes they decode to."""
 
@@ -134,8 +157,7 @@ def digests(text: Column, path: str, pattern: str) -> Column:
         coder = encoder(path, pattern)
         for texts in batches:
             rows: tuple[list, list, list] = ([], [], [])
-            for text_ in texts:
-                line = coder.encode(text_.as_py() or "")
+            for line in (x for part in _parts(texts) for x in coder.encode(part)):
                 ids = line.split()
                 rows[0].append(len(ids))
                 rows[1].append(hashlib.sha256(line.encode()).hexdigest())

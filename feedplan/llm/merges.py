@@ -37,6 +37,7 @@ class Merges:
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self._edges: dict[tuple[bytes, bool], list[tuple[bytes, int]]] = {}
         self._fits: dict[tuple[bytes, bytes], bool] = {}
+        self._whole: dict[bytes, bool] = {}
 
     def halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two tokens of the last merge; None for a unit, and for a token that merging never builds."""
@@ -54,7 +55,10 @@ class Merges:
 
     def whole(self, token: bytes) -> bool:
         """Whether the token encodes as itself."""
-        return len(units(token)) == 1 or self.halves(token) is not None
+        known = self._whole.get(token)
+        if known is None:
+            known = self._whole[token] = len(units(token)) == 1 or self.halves(token) is not None
+        return known
 
     def _edge(self, token: bytes, right: bool) -> list[tuple[bytes, int]]:
         """Nodes along one edge of the merge tree from the unit up, each with the rank of the merge that ends it."""
@@ -74,7 +78,7 @@ class Merges:
         known = self._fits.get((a, b))
         if known is None:
             known = self._fits[a, b] = self._apart(self._edge(a, True), self._edge(b, False))
-            if len(self._fits) > 1 << 19:  # a bound on memory only: answers are found again
+            if len(self._fits) > 1 << 18:  # a bound on memory only: answers are found again
                 self._fits.clear()
         return known
 
@@ -92,11 +96,28 @@ class Merges:
             else:
                 j += 1
 
+    def extend(self, data: bytes, size: int, before: list[bytes]) -> None:
+        """Append the last tokens of the prefixes longer than `size`; `last` for many prefixes in a row."""
+        known, whole, fits, longest = self.known, self._whole, self._fits, self.longest
+        for end in range(size + 1, len(data) + 1):
+            for start in range(end - longest if end > longest else 0, end):
+                token = data[start:end]
+                if token in known and (not start or fits.get((before[start], token), None) or self.fits(before[start], token)):
+                    if whole.get(token) or self.whole(token):
+                        before.append(token)
+                        break
+            else:
+                raise ValueError(f"the vocabulary has no token for byte {data[end - 1]:#x}")
+
     def last(self, data: bytes, end: int, before: list[bytes], suffix: bytes = b"") -> bytes:
         """The last token of data[:end] + suffix; before[i] is the last token of data[:i]."""
-        known = self.known
-        for start in range(max(0, end - self.longest), end):
+        known, whole, fits = self.known, self._whole, self._fits
+        for start in range(end - self.longest if end > self.longest else 0, end):
             token = data[start:end] + suffix
-            if token in known and self.whole(token) and (start == 0 or self.fits(before[start], token)):
-                return token
+            if token in known and (whole.get(token) or self.whole(token)):
+                if not start:
+                    return token
+                pair = (before[start], token)
+                if fits[pair] if pair in fits else self.fits(*pair):
+                    return token
         raise ValueError(f"the vocabulary has no token for byte {data[end - 1]:#x}")
