@@ -16,7 +16,7 @@ from feedplan.llm import bpe, chosen_path, decontaminate, langid, secret_scan
 from feedplan.sources.staging import staged
 
 #: Probability of its language under which a document is dropped.
-LEAST_SCORE = 0.35
+LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,14 +34,14 @@ MOST_LABELS = 500
 @dataclass(frozen=True)
 class Training:
     """Documents of each language and characters of each that the fit sees; units of each direction; bytes of a
-    window; windows of a step; passes; step size; seed."""
+    window; windows of a step; steps; step size; seed."""
 
     per_language: int = 400
     chars: int = 600
     units: int = 8
     window: int = 64
     batch: int = 256
-    passes: int = 6
+    steps: int = 400
     rate: float = 0.02
     seed: int = 3
 
@@ -180,11 +180,10 @@ class Network:
         rng = np.random.default_rng(how.seed)
         first = [np.zeros_like(p) for p in self.parts]
         second = [np.zeros_like(p) for p in self.parts]
-        steps = how.passes * -(-len(rows) // how.batch)
         losses: list[float] = []
-        for _ in range(how.passes):
+        while len(losses) < how.steps:
             order = rng.permutation(len(rows))
-            for start in range(0, len(rows), how.batch):
+            for start in range(0, len(rows), how.batch)[: how.steps - len(losses)]:
                 at = order[start : start + how.batch]
                 loss, grads = self.gradients(rows[at], label[at])
                 losses.append(loss)
@@ -194,13 +193,15 @@ class Network:
                     g = g * min(1.0, 1.0 / (norm + 1e-12))
                     m += 0.1 * (g - m)
                     s += 0.01 * (g * g - s)
-                    p -= how.rate * (1 - 0.95 * t / steps) * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)
+                    p -= how.rate * (1 - 0.95 * t / how.steps) * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)
         return losses
 
 
 def train(texts: list[str], labels: list[str], how: Training) -> Network | None:
     """A network for the labels that occur; None without any text."""
     names = sorted(set(labels))
+    # one text in eight is seen in capitals too
+    texts, labels = texts + [t.upper() for t in texts[::8]], labels + labels[::8]
     data, bounds = bytes_of(pa.array(texts, pa.large_string()))
     rows, text = windows(data, bounds, how.window)
     if not len(rows) or not names:
