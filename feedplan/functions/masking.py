@@ -18,10 +18,6 @@ def mask_value(c: Column) -> Column:
     return F.when(c.isNotNull(), F.lit(MASK))
 
 
-def is_masked(c: Column) -> Column:
-    return F.coalesce(c == MASK, F.lit(False))
-
-
 def _hides(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
 
@@ -82,6 +78,7 @@ def mask_json_text(c: Column, keys: Iterable[str] = SENSITIVE_KEYS) -> Column:
     """
     names = "|".join(sorted(keys))
     key = rf'(?i)"(?:{names})"\s*:\s*'
-    scalar = r'(?:"(?:[^"\\]|\\.)*"|-?\d[\d.eE+-]*|true|false)'
+    # possessive runs: a text of any length is read without recursion
+    scalar = r'(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?\d[\d.eE+-]*+|true|false)'
     masked = F.regexp_replace(c, rf'(?i)("(?:{names})"\s*:\s*){scalar}', rf'$1"{MASK}"')
     return F.when(c.rlike(key + r"[\[{]"), F.lit(MASK)).otherwise(masked)

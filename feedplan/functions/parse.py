@@ -13,7 +13,7 @@ from feedplan.functions.text import WS, one_of, regex, strip, trim_to_null
 FLAG_ON = ("true", "1", "yes", "y", "on")
 FLAG_OFF = ("false", "0", "no", "n", "off")
 
-# A token of a contact cell runs between these separators.
+# A token of a contact cell runs between these separators.
 _SEP = r";|,"
 _TOKEN = rf"[^{_SEP}]*"
 # Fixed patterns: an address, and a phone number of six characters or more.
@@ -34,7 +34,7 @@ def split_full_name(c: str) -> dict[str, str]:
     Words are separated by blanks only; further words are ignored.
     """
     name = strip(c)
-    to_comma = rf"[^,]*,[{WS}]*"
+    to_comma = rf"[^,]*,[{WS}]*+"
     no_comma = r"(?![^,]*,)"
     word = r"[^ ]+ +"
     return {

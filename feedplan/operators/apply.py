@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedplan.functions import diagnostics as dx
 from feedplan.functions import outcomes as oc
 from feedplan.functions.masking import mask_json_text
-from feedplan.functions.text import bad_flag, lenient_bool, strict_int, truncate_text
-from feedplan.operators.enrich import EnrichSpec, first_free, new_id
+from feedplan.functions.text import bad_flag, lenient_bool, strict_int
+from feedplan.operators.enrich import EnrichSpec, first_free, new_id, row_key
 from feedplan.operators.lookup import keep_held
 from feedplan.operators.snapshot import upsert
 from feedplan.operators.vault import missing_secret
@@ -97,7 +98,7 @@ def request_rows(items: DataFrame, path_prefix: str = "/managed/user", strict: b
         "when __error is not null then 'UNEXPECTED_ERROR' end as error_code",
     )
     return coded.selectExpr(
-        "line_no",
+        *row_key(items),
         "row_id",
         "op",
         "resource_id",
@@ -111,12 +112,16 @@ def request_rows(items: DataFrame, path_prefix: str = "/managed/user", strict: b
     )
 
 
-def classify_outcomes(log: DataFrame, expected: tuple[int, ...] = (200, 201)) -> DataFrame:
-    """Normalise a response log (``status``, ``body``): masked and shortened
-    body, error code, reason and message."""
+#: Characters of a masked body that an outcome keeps.
+SNIPPET = 200
+
+
+def classify_outcomes(log: DataFrame, expected: tuple[int, ...] = (200, 201), snippet_chars: int = SNIPPET) -> DataFrame:
+    """Normalise a response log (``status``, ``body``): error code, reason,
+    message, and the first ``snippet_chars`` characters of the masked body."""
     ok = oc.is_expected(F.col("status"), expected)
-    masked = log.withColumn("__masked", F.substring(mask_json_text(F.col("body")), 1, 200))
-    snippet = F.expr(truncate_text("__masked"))
+    masked = log.withColumn("__masked", mask_json_text(F.col("body")))
+    snippet = F.substring("__masked", 1, snippet_chars)
     return masked.withColumns(
         {
             "ok": ok,
@@ -132,9 +137,10 @@ def classify_outcomes(log: DataFrame, expected: tuple[int, ...] = (200, 201)) ->
 def apply_outcome(requests: DataFrame, responses: DataFrame, dry_run: bool = False) -> DataFrame:
     """Outcome of every request: created, updated or failed with a code.
 
-    ``responses`` has one row per ``line_no``.  In a dry run every item with
-    an id succeeds and nothing is sent.
+    ``responses`` has one row per request.  In a dry run every item with an id
+    succeeds and nothing is sent.
     """
+    keys = row_key(requests)
     done = F.when(F.col("op") == "create", "created").when(F.col("op") == "update", "updated")
     no_id = F.col("error_code") == "RESOURCE_ID_MISSING"
     if dry_run:
@@ -142,15 +148,42 @@ def apply_outcome(requests: DataFrame, responses: DataFrame, dry_run: bool = Fal
         rows = requests.withColumn("code", code)
     else:
         answers = classify_outcomes(responses).select(
-            "line_no", F.col("ok").alias("__ok"), F.col("error_code").alias("__code")
+            *keys, F.col("ok").alias("__ok"), F.col("error_code").alias("__code")
         )
-        joined = requests.join(answers, "line_no", "left")
+        joined = requests.join(answers, keys, "left")
         answered = F.when(F.coalesce("__ok", F.lit(False)), F.lit(None)).otherwise(
             F.coalesce("__code", F.lit("NETWORK_ERROR"))
         )
         rows = joined.withColumn("code", F.coalesce("error_code", answered))
     return rows.select(
-        "line_no", "op", "resource_id", F.when(F.col("code").isNull(), done).otherwise("failed").alias("outcome"), "code"
+        *keys, "op", "resource_id", F.when(F.col("code").isNull(), done).otherwise("failed").alias("outcome"), "code"
+    )
+
+
+def table_outcome(requests: DataFrame, refused: DataFrame, dry_run: bool = False) -> DataFrame:
+    """Outcome of an apply to a table: what the request lacks, or ``CONFLICT``
+    for the rows in ``refused``, whose id the table holds already."""
+    keys = row_key(requests)
+    done = F.when(F.col("op") == "create", "created").when(F.col("op") == "update", "updated")
+    if dry_run:
+        rows = requests.withColumn("code", F.when(F.col("error_code") == "RESOURCE_ID_MISSING", F.col("error_code")))
+    else:
+        marked = requests.join(refused.select(*keys, F.lit("CONFLICT").alias("__refused")), keys, "left")
+        rows = marked.withColumn("code", F.coalesce("error_code", "__refused"))
+    return rows.select(*keys, "op", "resource_id", F.when(F.col("code").isNull(), done).otherwise("failed").alias("outcome"), "code")
+
+
+def apply_report_rows(outcome: DataFrame) -> DataFrame:
+    """Report rows of an apply run: status, an APPLY diagnostic for each
+    failure, and the operation and id as context."""
+    failed = dx.diagnostic(dx.APPLY, "x", None, "concat(op, ' failed: ', code)", message_is_sql=True).replace("'x'", "code")
+    return outcome.selectExpr(
+        *row_key(outcome),
+        "if(code is null, 'OK', 'FAILED') as status",
+        f"{dx.emit('code is not null', failed)} as errors",
+        f"{dx.NONE} as warnings",
+        "op",
+        "map('op', op, 'resource_id', resource_id) as context",
     )
 
 
@@ -171,12 +204,13 @@ def retry_ids(items: DataFrame, target: DataFrame, spec: EnrichSpec, retries: in
     Adds ``id_attempt``: 0 when the planned id is free, n for the n-th new id,
     NULL when all retries are used up (the create fails with CONFLICT).
     """
-    planned = items.where("op = 'create'").selectExpr("line_no", "resource_id as __draw")
-    taken = keep_held(planned, target, {"__draw": key}, "line_no").selectExpr("line_no", "1 as start")
+    keys = row_key(items)
+    planned = items.where("op = 'create'").selectExpr(*keys, "resource_id as __draw")
+    taken = keep_held(planned, target, {"__draw": key}, "line_no").selectExpr(*keys, "1 as start")
     # ids of retries do not repeat those of the allocation
-    picks = first_free(taken, target, key, new_id(spec, "(attempt + 1000)"), retries)
-    joined = items.join(picks, "line_no", "left")
-    renewed = new_id(spec, "(pick + 1000)")
+    picks = first_free(taken, target, key, new_id(spec, "(attempt + 1000)", keys), retries)
+    joined = items.join(picks, keys, "left")
+    renewed = new_id(spec, "(pick + 1000)", keys)
     return joined.withColumns(
         {
             "id_attempt": F.expr("case when pick is null then 0 when pick > 0 then pick end"),
@@ -208,7 +242,7 @@ def target_rows(items: DataFrame) -> DataFrame:
         s["is_logon_disable"].cast("int").alias("is_logon_disabled"),
         s["position"].alias("position"),
         F.lit(None).cast("string").alias("updated_at"),
-        F.col("line_no").alias("ingest_pos"),
+        *row_key(items),
     )
 
 
@@ -222,10 +256,13 @@ def apply_to_target(items: DataFrame, target: DataFrame) -> DataFrame:
     Several items for one record are merged to the last one.  New records have
     no ``_ouid`` until the target numbers them and the next refresh reads it.
     """
-    columns = target.columns
-    record = F.max_by(F.struct(*[c for c in columns if c != "_id"]), "ingest_pos").alias("record")
-    last = target_rows(items).groupBy("_id").agg(record).select("_id", "record.*").select(*columns)
-    return upsert(target, last, "_id", kept=_OWNED)
+    rows = target_rows(items)
+    keys = row_key(rows)
+    # the place of the last item is found on narrow rows; its record is joined back
+    place = F.max(F.struct(*keys)) if len(keys) > 1 else F.max(keys[0])
+    last = rows.select("_id", *keys).groupBy("_id").agg(place.alias("__last"))
+    last = last.select("_id", "__last.*") if len(keys) > 1 else last.withColumnRenamed("__last", keys[0])
+    return upsert(target, rows.join(last, ["_id", *keys], "left_semi").select(*target.columns), "_id", kept=_OWNED)
 
 
 def apply_counters(outcome: DataFrame, skipped: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from feedplan.functions.text import lenient_bool, normalize_whitespace
+from feedplan.functions.text import lenient_bool, normalize_whitespace, strict_int
 
 CHANGE = "struct<field:string,from:string,to:string>"
 NO_CHANGE = f"cast(array() as array<{CHANGE}>)"
@@ -16,8 +16,9 @@ def same(c: str) -> str:
 
 
 def as_flag(c: str) -> str:
-    """Stored flags are 0/1 or words."""
-    return lenient_bool(f"cast({c} as string)")
+    """Stored flags are integers (any but 0 is true) or words."""
+    text = f"cast({c} as string)"
+    return f"coalesce({lenient_bool(text)}, {strict_int(text)} <> 0)"
 
 
 @dataclass(frozen=True)

@@ -21,11 +21,15 @@ size is below ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SALT = "__salt"
-_NULL_SALTS = 1024
+
+
+def salts_of(spark: SparkSession) -> int:
+    """Parts that one frequent key is spread over: as many as a shuffle has tasks."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def lookup(
@@ -45,7 +49,9 @@ def lookup(
     """
     no_key = " or ".join(f"`{k}` is null" for k in on)
     row = f"xxhash64(`{spread_by}`)"
-    salt = f"cast(if({no_key}, {1 + salts} + pmod({row}, {_NULL_SALTS}), pmod({row}, {salts})) as int)"
+    # rows without a key: many more values than tasks, so that they spread evenly
+    null_salts = 8 * salts_of(left.sparkSession)
+    salt = f"cast(if({no_key}, {1 + salts} + pmod({row}, {null_salts}), pmod({row}, {salts})) as int)"
     salted = left.withColumn(_SALT, F.expr(salt))
 
     keys = {r: f"__key_{i}" for i, r in enumerate(on.values())}

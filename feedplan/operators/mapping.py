@@ -20,7 +20,7 @@ class Mapping:
     columns: dict[str, str]
     raw: tuple[str, ...]
     secrets: tuple[str, ...] = ()
-    carried: tuple[str, ...] = ("line_no", "record_id")
+    carried: tuple[str, ...] = ("source_id", "line_no", "record_id")
 
 
 def secret_candidates(fields: tuple[str, ...]) -> str:

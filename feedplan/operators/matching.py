@@ -38,14 +38,14 @@ def active(target: DataFrame, include_deleted: bool = False) -> DataFrame:
 
 def key_index(target: DataFrame, columns: Sequence[str], key: str = "match_key") -> DataFrame:
     """One row per key: number of records, and the record if it is the only
-    one.  Duplicates collapse before the shuffle, whatever their number."""
-    record = F.min(F.struct(*columns))
-    return (
-        target.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("n_candidates"), record.alias("candidate"))
-        .withColumn("candidate", F.when(F.col("n_candidates") == 1, F.col("candidate")))
-    )
+    one.  Keys are counted by hash aggregation, which collapses duplicates
+    before the shuffle; only single records are joined back."""
+    held = target.filter(F.col(key).isNotNull())
+    counts = held.groupBy(key).agg(F.count("*").alias("n_candidates"))
+    records = held.select(key, F.struct(*columns).alias("candidate"))
+    single = records.join(counts.where("n_candidates = 1"), key)
+    several = counts.where("n_candidates > 1").select(key, F.lit(None).cast(records.schema["candidate"].dataType).alias("candidate"), "n_candidates")
+    return single.select(key, "candidate", "n_candidates").unionByName(several).select(key, "n_candidates", "candidate")
 
 
 def match_target(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedplan.functions import diagnostics as dx
 from feedplan.functions.text import quoted
 from feedplan.operators.diff import FieldDiff, change_set, diff_fields
+from feedplan.operators.enrich import row_key
 
 # Kinds of decisions.  Rows with errors are ``invalid``.
 CREATE, UPDATE, SKIP, CONFLICT, INVALID = "create", "update", "skip", "conflict", "invalid"
@@ -54,9 +55,10 @@ def plan_items(decided: DataFrame, desired: Sequence[str], secrets: Sequence[str
     the job.
     """
     names = ", ".join(quoted(s) for s in secrets)
+    source = "if(source_id = '', '', concat(source_id, ':')), " if "source_id" in decided.columns else ""
     return decided.where("decision in ('create', 'update')").selectExpr(
-        "concat('line:', line_no) as row_id",
-        "line_no",
+        f"concat({source}'line:', line_no) as row_id",
+        *row_key(decided),
         "decision as op",
         "coalesce(nullif(resource_id, ''), raise_error('decision without resource_id')) as resource_id",
         f"{desired_state(desired)} as desired_state",

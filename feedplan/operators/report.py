@@ -12,11 +12,6 @@ from pyspark.sql import functions as F
 from feedplan.functions import diagnostics as dx
 
 
-def with_status(rows: DataFrame) -> DataFrame:
-    """OK without errors, FAILED with."""
-    return rows.withColumn("status", F.expr(f"if({dx.CLEAN}, 'OK', 'FAILED')"))
-
-
 def run_status(errors_total: Column, rows_passed: Column) -> Column:
     return (
         F.when(errors_total == 0, "SUCCESS").when(rows_passed > 0, "PARTIAL").otherwise("FAILED")
@@ -104,7 +99,10 @@ def items_truncated(rows: DataFrame, limit: int, include_skipped: bool = False,
 
 
 def item_rows(items: DataFrame) -> DataFrame:
-    """Report items: status, row reference and diagnostics, no payload."""
+    """Report items: status, row reference, diagnostics with their severity and context; no payload."""
+    marked = [f"transform({c}, d -> named_struct('severity', '{severity}', 'stage', d.stage, 'code', d.code, 'field', d.field, 'message', d.message))"
+              for c, severity in (("errors", "error"), ("warnings", "warning"))]
+    context = F.col("context") if "context" in items.columns else F.expr("cast(map() as map<string,string>)")
     return items.select(
         "status",
         F.struct(
@@ -113,5 +111,6 @@ def item_rows(items: DataFrame) -> DataFrame:
             F.lit("match_key").alias("identity_primary"),
             F.col("match_key").alias("identity_value"),
         ).alias("row_ref"),
-        F.col("errors").alias("diagnostics"),
+        F.expr(f"concat({', '.join(marked)})").alias("diagnostics"),
+        context.alias("context"),
     )

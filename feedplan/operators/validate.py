@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from feedplan.functions import diagnostics as dx
 from feedplan.functions.text import is_blank, is_email
-from feedplan.operators.lookup import distinct_keys, lookup
+from feedplan.operators.lookup import distinct_keys, lookup, salts_of
 
 # A check turns a column into a list of diagnostics (SQL text).
 Check = Callable[[str], str]
@@ -53,13 +53,13 @@ def must_be_known(field: str, code: str, marker: str) -> Check:
     return lambda c: dx.emit(f"{c} is not null and {marker} is null", error)
 
 
-def mark_known(rows: DataFrame, keys: DataFrame, column: str, key: str, marker: str, salts: int = 16) -> DataFrame:
+def mark_known(rows: DataFrame, keys: DataFrame, column: str, key: str, marker: str, salts: int | None = None) -> DataFrame:
     """Add ``marker`` = true where ``column`` occurs among ``keys``.
 
     The key table is a dimension: it is repeated per salt, which spreads the
     rows of one popular value over several tasks.
     """
-    return lookup(rows, distinct_keys(keys, key, marker=marker), {column: key}, "line_no", salts=salts)
+    return lookup(rows, distinct_keys(keys, key, marker=marker), {column: key}, "line_no", salts=salts or salts_of(rows.sparkSession))
 
 
 def validate(rows: DataFrame, rules: Sequence[FieldRule], keep_warnings: bool = False) -> DataFrame:

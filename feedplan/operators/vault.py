@@ -1,6 +1,7 @@
 """Secrets: the vault table and its lookups.
 
-Secret values live in the vault only.  Rows and plans carry field names.
+Secret values live in the vault only.  Rows and plans carry field names;
+``hide_secrets`` masks the values before anything is staged.
 """
 
 from __future__ import annotations
@@ -9,41 +10,63 @@ import secrets as csprng
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedplan.functions import diagnostics as dx
-from feedplan.operators.lookup import lookup
+from feedplan.functions.masking import MASK
+from feedplan.operators.enrich import row_key
+from feedplan.operators.lookup import lookup, salts_of
 
 VAULT = "dataset string, field string, match_key string, value string, run_id string, updated_at string, seq bigint"
 
 
+#: Rows of one append that its sequence numbers have room for.
+_APPEND = 1 << 40
+
+
 def _fill_missing(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: v if v else csprng.token_hex(16))
+    drawn = csprng.token_bytes(16 * len(values)).hex()
+    return pd.Series([drawn[i * 32 : i * 32 + 32] for i in range(len(values))], index=values.index)
+
+
+def hide_secrets(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Rows that may be staged: secret columns and the values of ``secrets`` are masked, the names stay."""
+    shown = {f: f"if({f} is null, null, '{MASK}') as {f}" for f in fields if f in rows.columns}
+    shown["secrets"] = f"transform_values(secrets, (k, v) -> '{MASK}') as secrets"
+    return rows.selectExpr(*[shown.get(c, c) for c in rows.columns])
 
 
 def vault_rows(
-    rows: DataFrame, dataset: str, run_id: str, updated_at: str, generate: Sequence[str] = ("password",)
+    rows: DataFrame,
+    secrets: DataFrame,
+    dataset: str,
+    run_id: str,
+    updated_at: str,
+    generate: Sequence[str] = ("password",),
+    append: int = 0,
 ) -> DataFrame:
-    """Vault rows of clean rows: one per secret field.
+    """Vault rows of clean rows with a key: one per secret field, with ``generated``.
 
-    Fields in ``generate`` get a fresh random value where the feed has none.
-    Random values are drawn by the write itself, so write the result at once
-    and read secrets back from the vault; a task that runs again replaces its
-    own output.
+    ``secrets`` has the values by row key.  Fields in ``generate`` get a fresh
+    random value where the feed has none.  Random values are drawn by the write
+    itself, so write the result at once and read secrets back from the vault; a
+    task that runs again replaces its own output.  ``append`` numbers the
+    appends to one vault: ``seq`` orders rows by append, then by line.
     """
-    clean = rows.where(dx.CLEAN)
-    known = clean.select("line_no", "match_key", F.explode("secrets").alias("field", "value"))
+    keys = row_key(rows)
+    clean = rows.where(f"{dx.CLEAN} and match_key is not null").select(*keys, "match_key", F.map_keys("secrets").alias("__names"))
+    values = secrets.select(*keys, F.explode("secrets").alias("field", "value"))
+    known = clean.drop("__names").join(values, keys).withColumn("generated", F.lit(False))
     if generate:
         # one Arrow batch of the absent ones only; values that the feed
         # brought never pass through Python
-        absent = clean.select(
-            "line_no",
-            "match_key",
-            F.explode(F.array_except(F.array(*[F.lit(g) for g in generate]), F.map_keys("secrets"))).alias("field"),
-        )
+        absent = F.explode(F.array_except(F.array(*[F.lit(g) for g in generate]), "__names")).alias("field")
         draw = F.pandas_udf(_fill_missing, "string").asNondeterministic()
-        known = known.unionByName(absent.withColumn("value", draw(F.lit("").cast("string"))))
+        drawn = clean.select(*keys, "match_key", absent).withColumns({"value": draw(F.lit("").cast("string")), "generated": F.lit(True)})
+        known = known.unionByName(drawn)
     return known.select(
         F.lit(dataset).alias("dataset"),
         "field",
@@ -51,35 +74,81 @@ def vault_rows(
         "value",
         F.lit(run_id).alias("run_id"),
         F.lit(updated_at).alias("updated_at"),
-        F.col("line_no").alias("seq"),
+        (F.lit(append * _APPEND) + F.col("line_no")).alias("seq"),
+        "generated",
     )
 
 
+def _flagged(rows: DataFrame, condition: str, code: str, field: str, message: str) -> DataFrame:
+    error = dx.diagnostic(dx.ENRICH, code, field, message)
+    columns = {"errors": dx.gather(["errors", dx.emit(condition, error)])}
+    return rows.selectExpr(*[f"{columns.get(c, c)} as {c}" for c in rows.columns])
+
+
+def store_secrets(
+    rows: DataFrame,
+    secrets: DataFrame,
+    path: str,
+    dataset: str,
+    run_id: str,
+    updated_at: str,
+    generate: Sequence[str] = ("password",),
+) -> DataFrame:
+    """Append the secrets of clean rows to the vault at ``path``; the rows, with an error where that was not possible.
+
+    A row without a key cannot be looked up later (``MATCH_KEY_MISSING``).  An
+    append succeeds or fails as a whole: when it fails, all rows that should
+    have been stored get ``SECRET_STORE_ERROR`` and leave the plan.
+    """
+    spark = rows.sparkSession
+    try:
+        append = 0
+        if _exists(spark, path):
+            append = (read_vault(spark, path).agg(F.max("seq")).first()[0] or 0) // _APPEND + 1
+        stored = vault_rows(rows, secrets, dataset, run_id, updated_at, generate, append)
+        stored.drop("generated").write.mode("append").parquet(path)
+    except (PySparkException, Py4JJavaError):
+        wanted = " or ".join(["size(secrets) > 0", *(f"not map_contains_key(secrets, '{g}')" for g in generate)])
+        return _flagged(rows, f"{dx.CLEAN} and ({wanted})", "SECRET_STORE_ERROR", "secrets", "secrets could not be stored")
+    return store_errors(rows)
+
+
 def store_errors(rows: DataFrame) -> DataFrame:
     """Rows with secrets but without a key cannot be stored."""
     homeless = f"{dx.CLEAN} and match_key is null and size(secrets) > 0"
-    error = dx.diagnostic(dx.ENRICH, "MATCH_KEY_MISSING", "matchKey", "match_key is required to store secrets")
-    return rows.withColumn("errors", F.expr(dx.gather(["errors", dx.emit(homeless, error)])))
+    return _flagged(rows, homeless, "MATCH_KEY_MISSING", "matchKey", "match_key is required to store secrets")
 
 
-def append_vault(vault: DataFrame, path: str) -> None:
-    vault.write.mode("append").parquet(path)
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema(VAULT).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def read_vault(spark: SparkSession, path: str) -> DataFrame:
+    """The vault table; empty when nothing has been stored yet."""
+    return spark.read.schema(VAULT).parquet(path) if _exists(spark, path) else spark.createDataFrame([], VAULT)
 
 
 def latest_secrets(vault: DataFrame, run_id: str | None = None) -> DataFrame:
     """Current value per (dataset, field, match_key).
 
     The first value of the requested run if that run stored one, else the
-    last value of all.
+    last value of all, in the order of the appends (``seq``).  The position is
+    found first, by hash aggregation of one number; its value is joined back.
     """
-    order = F.struct("updated_at", "seq")
-    last = F.max_by("value", order)
-    chosen = last
+    keys = ["dataset", "field", "match_key"]
+    last = "max(seq)"
     if run_id is not None:
-        of_run = F.col("run_id") == run_id
-        first_of_run = F.min_by(F.struct("value"), F.when(of_run, order))["value"]
-        chosen = F.when(F.max(of_run), first_of_run).otherwise(last)
-    return vault.groupBy("dataset", "field", "match_key").agg(chosen.alias("value"))
+        of_run = run_id.replace("'", "\\'")
+        last = f"coalesce(min(seq) filter (where run_id = '{of_run}'), {last})"
+    places = vault.groupBy(*keys).agg(F.expr(last).alias("seq"))
+    found = vault.select(*keys, "seq", "value").join(places, [*keys, "seq"])
+    return found.groupBy(*keys).agg(F.max("value").alias("value"))
 
 
 def keyed_fallback(requests: DataFrame, table: DataFrame) -> DataFrame:
@@ -88,27 +157,28 @@ def keyed_fallback(requests: DataFrame, table: DataFrame) -> DataFrame:
     Entries are keyed by (dataset, field, row_id, line_no); NULL in the table
     means "any".  Order: both, row only, line only, neither.  ``table`` is
     unique per key.  ``request_no`` identifies a request.
+
+    Each request asks for its three specific keys at once: one join, and one
+    minimum over what it finds.  The default of a field answers by a lookup
+    among the few fields there are.
     """
-    row, line = F.col("row_id").isNotNull(), F.col("line_no").isNotNull()
-    levels = [
-        (row & line, {"row_id": "row_id", "line_no": "line_no"}),
-        (row & ~line, {"row_id": "row_id"}),
-        (~row & line, {"line_no": "line_no"}),
-        (~row & ~line, {}),
-    ]
-    found = requests
-    for i, (applies, extra) in enumerate(levels):
-        on = {"dataset": "dataset", "field": "field", **extra}
-        entries = table.filter(applies).select(*on.values(), F.col("value").alias(f"value_{i}"))
-        # the default entry answers every request of a field: repeat it
-        found = lookup(found, entries, on, "request_no", salts=1 if extra else 16)
-    values = [F.col(f"value_{i}") for i in range(len(levels))]
-    return found.withColumn("value", F.coalesce(*values)).drop(*[f"value_{i}" for i in range(len(levels))])
-
-
-def first_provider(*values: Column) -> Column:
-    """Chain of providers: the first value found."""
-    return F.coalesce(*values)
+    specific = table.where("row_id is not null or line_no is not null")
+    asked = requests.selectExpr(
+        "request_no", "dataset", "field",
+        "inline(array(struct(1 as level, row_id as row_key, line_no as line_key), struct(2 as level, row_id as row_key, null as line_key), "
+        "struct(3 as level, null as row_key, line_no as line_key)))",
+    ).where("(level = 3 or row_key is not null) and (level = 2 or line_key is not null)")
+    keyed = "concat_ws('|', field, level, coalesce(cast(row_key as string), ''), coalesce(cast(line_key as string), ''))"
+    asked = asked.selectExpr("request_no", "dataset", "level", f"{keyed} as __key")
+    level = "case when row_id is null then 3 when line_no is null then 2 else 1 end"
+    entries = specific.selectExpr("dataset", "field", f"{level} as level", "row_id as row_key", "line_no as line_key", "value")
+    entries = entries.selectExpr("dataset", f"{keyed} as __key", "value")
+    hits = lookup(asked, entries, {"dataset": "dataset", "__key": "__key"}, "request_no", how="inner")
+    best = hits.groupBy("request_no").agg(F.min(F.struct("level", "value")).alias("best"))
+    default = table.where("row_id is null and line_no is null").select("dataset", "field", F.col("value").alias("__any"))
+    general = lookup(requests, default, {"dataset": "dataset", "field": "field"}, "request_no", salts=salts_of(requests.sparkSession))
+    found = general.join(best, "request_no", "left")
+    return found.withColumn("value", F.coalesce("best.value", "__any")).drop("best", "__any")
 
 
 def attach_secrets(items: DataFrame, latest: DataFrame, dataset: str, fields: Sequence[str]) -> DataFrame:

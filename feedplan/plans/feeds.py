@@ -16,6 +16,7 @@ select c_custkey + 1 as line_no,
   concat('line:', c_custkey + 1) as record_id,
   case when c_custkey % 41 = 0 then '' when c_custkey % 43 = 0 then 'null' else concat('', c_custkey) end as raw_id,
   case when c_custkey % 37 = 0 then concat('Solo', c_custkey)
+       when c_custkey % 10 = 0 then concat('L', c_custkey, ',', chr(9), ' F', c_custkey % 97, '  M', c_custkey % 13)
        when c_custkey % 5 = 0 then concat('L', c_custkey, ', F', c_custkey % 97, '  M', c_custkey % 13)
        else concat('L', c_custkey, ' F', c_custkey % 97, ' M', c_custkey % 13) end as full_name,
   case when c_custkey % 53 = 0 then null else concat('u', c_custkey) end as login,
@@ -59,7 +60,7 @@ select {prefix} as _id, {ouid} as _ouid,
   case when c_custkey % 59 = 2 then '2024-01-01' when c_custkey % 59 = 4 then 'null' end as deletion_date,
   nullif('', '') as _rev,
   cast(null as bigint) as manager_ouid,
-  case when c_custkey % 2 = 0 then 1 else 0 end as is_logon_disabled,
+  case when c_custkey % 4 = 0 then 2 when c_custkey % 2 = 0 then 1 else 0 end as is_logon_disabled,
   c_mktsegment as position,
   '2024-01-01T00:00:00Z' as updated_at
 from {table} where c_custkey % 3 <> 0 {extra}
@@ -111,7 +112,13 @@ select {k} as k, cast(floor({k} / 20) as bigint) + 1 + {moved} as page, {k} % 20
     case when {k} % 2 = 0 then {camel} else {snake} end,
     ',"personnelNumber":"', {k}, '"',
     case when {k} % 13 = 5 then '' else concat(',"mail":"s', {k}, '@corp.example"') end,
-    ',"userName":"s', {k}, '","usrOrgTabNum":"T', {k}, '","organizationId":', {nation},
+    case {k} % 4 when 0 then ',"userName":"s' when 1 then ',"login":"s' when 2 then ',"username":"s' else ',"user_name":"s' end, {k},
+    '","usrOrgTabNum":"T', {k}, '",', case {k} % 3 when 0 then '"orgId":"' when 1 then '"org_id":" ' else '"organizationId":"' end, {nation}, '"',
+    case when {k} % 2 = 0 then ',"mobile":"' else ',"phone":" ' end, {k}, '","position":" P', {k} % 7, ' ","rev":', {k},
+    case {k} % 5 when 0 then ',"isLogonDisabled":true' when 1 then ',"isLogonDisabled":"No"' when 2 then ',"is_logon_disabled":7'
+      when 3 then ',"isLogonDisabled":null' else '' end,
+    case when {k} % 6 = 0 then concat(',"managerId":"', {k} - 1, '"') when {k} % 6 = 1 then ',"manager_id":""' else '' end,
+    ',"updatedAt":"2024-01-0', {k} % 9 + 1, '"',
     case when {k} % 11 = 3 then ',"accountStatus":"deleted"' else '' end,
     case when {k} % 11 = 4 then ',"deletionDate":"null"' else '' end,
     chr(125)) as item
@@ -186,6 +193,13 @@ select s_suppkey as k,
 from {supplier}
 """
 
+# A JSON body that holds a text twice: once under a secret key, once under a plain one.
+TEXT_AS_JSON = "replace(replace(replace(replace(replace(replace(coalesce(text, ''), chr(92), concat(chr(92), chr(92))), chr(34), concat(chr(92), chr(34))), chr(10), concat(chr(92), 'n')), chr(13), concat(chr(92), 'r')), chr(9), concat(chr(92), 't')), '<', concat(chr(92), chr(34)))"
+BODIES = f"""
+select doc_id, concat(chr(123), '"doc_id":', doc_id, ',"Token" : "', {TEXT_AS_JSON}, '","note":"', {TEXT_AS_JSON}, '","api_key":', doc_id, chr(125)) as body
+from {{documents}}
+"""
+
 PLAN_DOCUMENTS = """
 select o_orderkey as doc_id,
   concat(chr(123), '"meta":', chr(123),

@@ -56,8 +56,29 @@ def _first(tokens: str, kind: str) -> str:
     return f"list_filter({tokens}, lambda p: p.k = '{kind}')[1].v"
 
 
-def _code(attempt: str, line: str = "line_no") -> str:
-    return f"concat('TAB-', left(sha256(concat_ws('|', 'run|employees|code', {line}, {attempt})), 8))"
+def _code(attempt: str, line: str = "line_no", width: int = 8) -> str:
+    return f"concat('TAB-', left(sha256(concat_ws('|', 'run|employees|code', {line}, {attempt})), {width}))"
+
+
+def _allocation(name: str, need: str, draw: str) -> dict[str, str]:
+    """Codes shared out attempt by attempt: a free one goes to the first of the rows that are not served yet."""
+    ctes = {
+        f"{name}_tries": f"select line_no, match_key, a as attempt, {draw} as code from {need}, (select unnest([1, 2, 3]) as a) where a >= start",
+        f"{name}_free": f"select * from {name}_tries f where not exists (select 1 from target t where t.usr_org_tab_num = f.code and (f.match_key is null or t.match_key <> f.match_key))",
+    }
+    served = ""
+    for attempt in (1, 2, 3):
+        left = f" and line_no not in (select line_no from {served}) and code not in (select code from {served})" if served else ""
+        now = f"select min(line_no) as line_no, code, {attempt} as attempt from {name}_free where attempt = {attempt}{left} group by code"
+        ctes[f"{name}_served{attempt}"] = f"select * from {served} union all {now}" if served else now
+        served = f"{name}_served{attempt}"
+    ctes[f"{name}_pick"] = f"select n.line_no, cast(coalesce(o.attempt, 0) as integer) as code_pick from {need} n left join {served} o on n.line_no = o.line_no"
+    return ctes
+
+
+#: A feed of four files, as the source and the number of a row of the whole feed.
+_FILE, _FILE_LINE = "concat('file-', {0} % 4)", "cast(floor({0} / 4) as bigint) + 2"
+_BY_FILE = f"concat_ws('|', {_FILE}, {_FILE_LINE})"
 
 
 def _id(attempt: str, line: str = "line_no") -> str:
@@ -140,7 +161,7 @@ _CTES = {
     "parts": f"""
 select *, concat_ws(',', email_or_phone, contacts) as contact_cell,
   case when contains(full_name, ',')
-    then list_filter(string_split(trim(substr(full_name, strpos(full_name, ',') + 1)), ' '), lambda w: w <> '')
+    then list_filter(string_split(trim(substr(full_name, strpos(full_name, ',') + 1), {_TRIM}), ' '), lambda w: w <> '')
     else list_filter(string_split(full_name, ' '), lambda w: w <> '') end as words,
   list_transform(list_filter(string_split(extra, ';'), lambda t: contains(t, '=')),
     lambda t: {{'k': lower(trim(split_part(t, '=', 1))), 'v': trim(substr(t, strpos(t, '=') + 1))}}) as pairs
@@ -188,15 +209,13 @@ select line_no, match_key, case when usr_org_tab_num is null then 1 else 2 end a
 where not failed and (usr_org_tab_num is null or (
   usr_org_tab_num in (select usr_org_tab_num from target)
   and not exists (select 1 from target t where t.usr_org_tab_num = k.usr_org_tab_num and t.match_key = k.match_key)))""",
-    "code_tries": f"""
-select line_no, start, a as attempt, {_code('a')} as code
-from code_need, (select unnest([1, 2, 3]) as a) where a >= start""",
-    "code_owned": """
-select code, arg_min(line_no, attempt * 1000000000000 + line_no) as line_no, min(attempt) as attempt
-from code_tries where code not in (select usr_org_tab_num from target) group by code""",
-    "code_pick": """
-select n.line_no, cast(coalesce(min(o.attempt), 0) as integer) as code_pick
-from code_need n left join code_owned o on n.line_no = o.line_no group by n.line_no""",
+    **_allocation("code", "code_need", _code("a")),
+    "narrow_need": """
+select line_no, match_key, case when line_no % 3 <> 0 then 1 else start end as start from keyed k left join (select line_no, start from code_need) n using (line_no)
+where not failed and (line_no % 3 <> 0 or start is not null)""",
+    **_allocation("narrow", "narrow_need", _code("a", width=3)),
+    "files": f"select *, {_BY_FILE.format('line_no')} as drawn_by from keyed",
+    **_allocation("files", "code_need", _code("a", _BY_FILE.format("line_no"))),
     "enriched": f"""
 select k.* exclude (usr_org_tab_num), m.ouid as manager_id,
   case when code_pick is null then k.usr_org_tab_num when code_pick > 0 then {_code('code_pick', 'k.line_no')} end as usr_org_tab_num,
@@ -223,6 +242,12 @@ from checked v left join by_key b on b.match_key = v.match_key
     "report": """
 select *, case when decision in ('create', 'update') then 'OK' when decision = 'skip' then 'SKIPPED' else 'FAILED' end as status
 from decided""",
+    "by_files": f"""
+select {_FILE.format('k.line_no')} as source_id, {_FILE_LINE.format('k.line_no')} as line_no, match_key, manager_id,
+  case when not failed then {_id('1', _BY_FILE.format('k.line_no'))} end as resource_id,
+  case when p.code_pick is null then f.usr_org_tab_num when p.code_pick > 0 then {_code('p.code_pick', _BY_FILE.format('k.line_no'))} end as usr_org_tab_num,
+  coalesce(p.code_pick > 0, false) as code_generated, errors
+from enriched k join (select line_no, usr_org_tab_num from keyed) f on f.line_no = k.line_no left join files_pick p on p.line_no = k.line_no""",
     "records": feeds.items_sql(),
     "users": """
 select page * 16777216 + pos as ingest_pos, k, page,
@@ -264,7 +289,7 @@ select s_suppkey as k, case s_suppkey % 5 when 1 then '' when 3 then concat('x',
 from supplier""",
     "vault": """
 select event_type as dataset, 'password' as field, concat('', user_id) as match_key, concat('v', event_id) as value,
-  concat('r', day(ts)) as run_id, ts, event_id as seq from events""",
+  concat('r', day(ts)) as run_id, event_id as seq from events""",
     "stored": """
 select match_key, arg_max(password, line_no) as password from enriched
 where len(errors) = 0 and coalesce(password, '') <> '' group by match_key""",
@@ -290,6 +315,7 @@ select coalesce(n._id, t._id) as _id, t._ouid as _ouid,
   case when n._id is null then t.match_key else n.match_key end as match_key,
   case when n._id is null then t.mail else n.email end as mail,
   case when n._id is null then t.phone else n.phone end as phone,
+  case when n._id is null then t.usr_org_tab_num else n.usr_org_tab_num end as usr_org_tab_num,
   case when n._id is null then t.organization_id else n.organization_id end as organization_id,
   case when n._id is null then t.is_logon_disabled else cast(n.is_logon_disable as integer) end as is_logon_disabled,
   case when n._id is null then 'kept' when t._id is null then 'inserted' else 'updated' end as op
@@ -355,7 +381,7 @@ ends as (select shard, min(page) filter (where n_records < 20) as short_page, ma
 select c.shard, c.page, c.n_records, case when c.page = least(coalesce(short_page, last_seen), 49)
     and coalesce(short_page, 1000000) > 49 and last_seen >= 49 then 'MAX_PAGES_EXCEEDED' end as page_error
 from counted c join ends using (shard) where c.page <= least(coalesce(short_page, last_seen), 49)""",
-    "page_failure": "select page, case when page % 7 = 3 then 'INVALID_ITEMS_FORMAT' end as page_error from (select distinct page from records)",
+    "page_failure": "select page, case page % 7 when 3 then 'INVALID_JSON' when 5 then 'INVALID_ITEMS_FORMAT' end as page_error from (select distinct page from records)",
     "plan_read_clean": """
 select o_orderkey as doc_id, cast(0 as bigint) as pos, concat('line:', o_orderkey) as row_id, 'create' as op, concat('r', o_custkey) as resource_id,
   concat('o', o_orderkey, '@corp.example') as email, cast(null as varchar) as password, cast(1 as bigint) as n_state, cast(1 as bigint) as n_changes,
@@ -369,12 +395,12 @@ select o_orderkey, 3, concat('', o_orderkey), 'update', '', null, case when o_or
     "contact_extract_documents": f"select doc_id, {_first('tokens', 'email')} as email, {_first('tokens', 'phone')} as phone from (select doc_id, {_tokens('text')} as tokens from documents)",
     "kv_parse": """
 select line_no, p.k as key, arg_max(p.v, i) as value from (select line_no, unnest(pairs) as p, generate_subscripts(pairs, 1) as i from parts)
-where p.k not in ('', 'password') group by line_no, p.k""",
+where p.k <> '' group by line_no, p.k""",
     "manager_ref_parse": "select line_no, manager_id from mapped",
     "flag_parse": "select line_no, is_logon_disable from mapped",
     "role_parse": "select line_no, position from mapped",
     "secret_candidates": "select line_no, 'password' as field from mapped where coalesce(trim(password), '') <> ''",
-    "desired_state": "select line_no, email, last_name, first_name, middle_name, is_logon_disable, user_name, phone, personnel_number, manager_id, organization_id, position, cast(null as varchar) as avatar_id, match_key from enriched where len(errors) = 0",
+    "desired_state": "select line_no, email, last_name, first_name, middle_name, is_logon_disable, user_name, phone, personnel_number, manager_id, organization_id, position, cast(null as varchar) as avatar_id, usr_org_tab_num, match_key from enriched where len(errors) = 0",
     "upsert_payload": f"""
 with_error as (select *, case when concat_ws(', ', {_PAYLOAD_GAPS}) <> ''
   then concat('Missing required fields for payload: ', concat_ws(', ', {_PAYLOAD_GAPS})) end as error from enriched where len(errors) = 0)
@@ -383,9 +409,16 @@ select line_no, error, case when error is null then email end as mail, case when
   case when error is null then is_logon_disable end as "isLogonDisabled", case when error is null then user_name end as "userName",
   case when error is null then phone end as phone, case when error is null then personnel_number end as "personnelNumber",
   case when error is null then manager_id end as "managerId", case when error is null then organization_id end as organization_id,
-  case when error is null then position end as position, cast(null as varchar) as "avatarId", error is null as has_password
+  case when error is null then position end as position, cast(null as varchar) as "avatarId", case when error is null then usr_org_tab_num end as "usrOrgTabNum", error is null as has_password
 from with_error""",
-    "snapshot_map_users": "select u.ingest_pos, item_key, is_deleted, map_error, _id, _ouid, last_name, match_key, mail, user_name, usr_org_tab_num, cast(c_nationkey as bigint) as organization_id, deletion_date from users u join customer on c_custkey = u.k",
+    "snapshot_map_users": """
+select u.ingest_pos, item_key, is_deleted, map_error, _id, _ouid, concat('', u.k) as personnel_number, last_name, concat('F', u.k) as first_name,
+  concat('M', u.k) as middle_name, match_key, mail, user_name, concat('', u.k) as phone, usr_org_tab_num,
+  cast(c_nationkey as bigint) as organization_id, case when u.k % 11 = 3 then 'deleted' end as account_status, deletion_date,
+  concat('', u.k) as _rev, case when u.k % 6 = 0 then u.k - 1 end as manager_ouid,
+  cast(case u.k % 5 when 0 then 1 when 1 then 0 when 2 then 1 end as integer) as is_logon_disabled, concat('P', u.k % 7) as position,
+  concat('2024-01-0', u.k % 9 + 1) as updated_at
+from users u join customer on c_custkey = u.k""",
     "snapshot_map_orgs": "select * from org_rows",
     "whitespace_norm": r"select doc_id, md5(trim(regexp_replace(text, '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'))) as text_md5 from documents",
     "email_check": r"select line_no, regexp_matches(email_or_phone, '^[^@\s]+@[^@\s]+\.[^@\s]+$') as is_email from feed",
@@ -395,7 +428,7 @@ from with_error""",
     "deleted_filter": f"select _id, {_DELETED} as deleted from target",
     "truncate_text": "select doc_id, case when length(text) > 500 then concat(left(text, 497), '...') else text end as short, left(text, 3) as tiny from documents",
     "mask_nested": "select event_id, '***' as token, user_id, '***' as api_key, event_id as n, '***' as secret, event_type as kind, cast(null as varchar) as password from events",
-    "redact_documents": "select doc_id, concat('{\"doc_id\":', doc_id, ',\"meta\":{\"lang\":\"', lang, '\",\"secret\":\"***\"}}') as body from documents",
+    "redact_documents": "select doc_id, md5(concat(left(body, strpos(body, ' : ') + 2), '\"***\"', ',\"note\":\"', " + feeds.TEXT_AS_JSON + ", '\",\"api_key\":\"***\"', chr(125))) as masked_md5, length(body) as n_body from (" + feeds.BODIES.replace("{documents}", "documents") + ") join documents using (doc_id)",
     "source_fingerprint": "select page_id, sha256(url) as source_id from pages",
     "normalize_rows": "select line_no, " + ", ".join(f"case when not failed then {c} end as {c}" for c in _TYPED) + ", not failed as ok from normal",
     "normalize_errors": "select line_no, cast(0 as integer) as ord, 'NORMALIZE' as stage, 'INVALID_INT' as code, 'organization_id' as field, 'organization_id must be an integer' as message from normal where failed",
@@ -408,9 +441,27 @@ from with_error""",
     "enrich_rows": f"select line_no, match_key, manager_id, resource_id, usr_org_tab_num, code_generated, secret_generated, {_CODES_ERRORS} as codes from enriched",
     "id_allocate": f"select line_no, case when concat('id-', line_no) in (select _id from target) then {_id('2')} else concat('id-', line_no) end as resource_id, case when concat('id-', line_no) in (select _id from target) then 2 end as id_pick from feed",
     "code_allocate": f"select line_no, code_pick, case when code_pick > 0 then {_code('code_pick')} end as code from code_pick",
+    "header_contract": "select count(*) as n_records, c as left_out, concat('Missing required columns in source CSV: ', c) as verdict from feed, (select unnest([" + ", ".join(f"'{c}'" for c in _CELLS) + "]) as c) group by c",
+    "enrich_rows_files": f"select source_id, line_no, match_key, manager_id, resource_id, usr_org_tab_num, code_generated, {_CODES_ERRORS} as codes from by_files",
+    "code_allocate_narrow": f"select line_no, code_pick, case when code_pick > 0 then {_code('code_pick', width=3)} end as code from narrow_pick",
+    "secret_default": "select line_no, 'password' as field, coalesce(password, '') = '' as generated from enriched where len(errors) = 0",
+    "vault_flow": f"select line_no, match_key, {_CODES_ERRORS} as codes, case when len(errors) = 0 then 'password' end as field, case when len(errors) = 0 then case when coalesce(password, '') = '' then 32 else length(password) end end as n_value, case when len(errors) = 0 then 'run' end as run_id from enriched",
+    "plan_file": "select concat('line:', line_no) as row_id, line_no, decision as op, resource_id, email, len(diff) as n_changes, match_key, case when decision = 'create' then 'password' else '' end as secrets from decided where decision in ('create', 'update')",
+    "report_file": """
+select s.status, 'run' as run_id, t.truncated as items_truncated, s.rows_total, s.rows_blocked, i.line_no, len(i.errors) as n_diagnostics, case when len(i.errors) > 0 then 'error' else '' end as severity
+from (select count(*) as rows_total, count(*) filter (where status = 'FAILED') as rows_blocked,
+  case when sum(len(errors)) = 0 then 'SUCCESS' when count(*) filter (where status = 'OK') > 0 then 'PARTIAL' else 'FAILED' end as status from report) s,
+ (select count(*) > 200 as truncated from report where status = 'FAILED') t,
+ (select line_no, errors from report where status = 'FAILED' order by line_no limit 200) i""",
+    "warnings_report": "select count(*) as rows_with_warnings, count(*) as warnings_total, count(*) as stage_warnings from decided where length(user_name) < 4",
+    "apply_report": "select line_no, case when code is null then 'OK' else 'FAILED' end as status, case when code is null then '' else 'APPLY' end as stages, coalesce(code, 'none') as codes, op, case when line_no % 50 = 7 then '' else concat('id-', line_no) end as resource_id from applied",
+    "apply_plan": """
+select d.line_no, d.decision as op, case when d.decision = 'create' and s.password is null then 'failed' when d.decision = 'create' then 'created' else 'failed' end as outcome,
+  case when d.decision = 'create' and s.password is null then 'SECRET_REQUIRED' when d.decision = 'update' then 'UNEXPECTED_ERROR' end as code
+from decided d left join stored s on s.match_key = d.match_key where d.decision in ('create', 'update')""",
     "vault_put": "select 'employees' as dataset, 'password' as field, match_key, 'run' as run_id, line_no, length(password) as n_value from enriched where len(errors) = 0 and coalesce(password, '') <> ''",
-    "vault_latest": "select dataset, field, match_key, arg_max(value, ts) as value from vault group by all",
-    "vault_of_run": "select dataset, field, match_key, coalesce(arg_min(value, ts) filter (where run_id = 'r2'), arg_max(value, ts)) as value from vault group by all",
+    "vault_latest": "select dataset, field, match_key, arg_max(value, seq) as value from vault group by all",
+    "vault_of_run": "select dataset, field, match_key, coalesce(arg_min(value, seq) filter (where run_id = 'r2'), arg_max(value, seq)) as value from vault group by all",
     "keyed_fallback": """
 select o.o_orderkey as request_no, case when o.o_orderkey % 11 = 0 then concat('both', o.o_orderkey)
   when o.o_custkey % 5 = 0 then concat('row', r.k) when o.o_orderkey % 7 = 0 then concat('line', o.o_orderkey)
@@ -427,9 +478,9 @@ join (select o_orderstatus, min(o_orderkey) as k from orders group by all) a on
 select 'customer' as key, concat('', o_custkey) as value, count(*) as n_rows, min(o_orderkey) as first_line_no from orders group by o_custkey having count(*) > 1
 union all select 'priority', o_orderpriority, count(*), min(o_orderkey) from orders where o_orderpriority is not null group by o_orderpriority having count(*) > 1""",
     "dropped_rows": _ROWS.format(t="bigint", src="enriched"),
-    "snapshot_diff": "select match_key, c.field as field, c.old as old_value, case when c.field = 'usr_org_tab_num' then '-' else c.new end as new_value from (select match_key, unnest(diff) as c from decided)",
+    "snapshot_diff": "select match_key, c.field as field, c.old as old_value, c.new as new_value from (select match_key, unnest(diff) as c from decided)",
     "snapshot_diff_orders": "select o_orderkey as line_no, case when o_orderkey % 10 = 0 then 'create' when o_orderkey % 7 = 0 then 'update' else 'skip' end as decision, case when o_orderkey % 10 <> 0 and o_orderkey % 7 = 0 then 'total' else '' end as fields from orders",
-    "change_set": "select line_no, c.field as field, c.new as value from (select line_no, unnest(diff) as c from decided where decision = 'update') where c.field <> 'usr_org_tab_num'",
+    "change_set": "select line_no, c.field as field, c.new as value from (select line_no, unnest(diff) as c from decided where decision = 'update')",
     "plan_decision": "select line_no, match_key, decision, case decision when 'conflict' then 'MATCH_CONFLICT' when 'skip' then 'NO_CHANGES' end as reason, resource_id from decided",
     "plan_items": "select concat('line:', line_no) as row_id, line_no, decision as op, resource_id, email, organization_id, len(diff) as n_changes, match_key, case when decision = 'create' then 'password' else '' end as secrets from decided where decision in ('create', 'update')",
     "plan_rows": f"select line_no, decision, status, {_CODES_ERRORS} as codes from report",
@@ -469,6 +520,7 @@ select o_orderkey, case when o_orderkey % 10 = 0 then o_totalprice else o_totalp
   case when o_orderkey % 10 = 0 then 'kept' else 'updated' end as op from orders
 union all select -1 - o_orderkey, o_totalprice + 1, o_orderstatus, 'inserted' from orders where o_orderkey % 10 = 0""",
     "snapshot_status": "select 'organizations' as dataset, count(*) as n_rows from orgs union all select 'employees', count(*) from known",
+    "snapshot_clear": "select 'organizations' as dataset, 0 as n_left, count(*) as n_removed from orgs union all select 'employees', 0, count(*) from known",
     "stale_rows": "select _id from known where _id not in (select _id from users where _id is not null)",
     "request_rows": """
 select line_no, decision as op, 'PUT' as method, concat('/managed/user/', resource_id) as path, 'false' as decrypt,
@@ -486,14 +538,14 @@ from responses""",
     "apply_outcome": "select line_no, op, outcome, code from applied",
     "apply_max_actions": "select line_no, outcome, code from applied order by line_no limit 25",
     "apply_stop_first": """
-select line_no, case when late and code is not null then 'failed' when op = 'create' then 'created' else 'updated' end as outcome, case when late then code end as code
-from (select *, line_no >= 500 as late from applied where line_no % 50 <> 7)
-where line_no <= (select min(line_no) from applied where line_no >= 500 and line_no % 50 <> 7 and code is not null)""",
+select line_no, case when line_no % 4999 = 4998 then 'failed' when op = 'create' then 'created' else 'updated' end as outcome,
+  case when line_no % 4999 = 4998 then 'HTTP_ERROR' end as code
+from order_requests where line_no <= coalesce((select min(line_no) from order_requests where line_no % 4999 = 4998), 1000000000000)""",
     "apply_id_retry": f"select line_no, case when concat('id-', line_no) in (select _id from target) then {_id('1001')} else concat('id-', line_no) end as resource_id, case when concat('id-', line_no) in (select _id from target) then 1 else 0 end as id_attempt from feed",
     "apply_dry_run": "select case when no_id then 'failed' when op = 'create' then 'created' else 'updated' end as outcome, case when no_id then 'RESOURCE_ID_MISSING' end as code, count(*) as n from order_requests group by all",
     "apply_counters": "select count(*) filter (where outcome = 'created') as created, count(*) filter (where outcome = 'updated') as updated, (select count(*) from customer) as skipped, count(*) filter (where outcome = 'failed') as failed, case when count(*) filter (where code in ('UNAUTHORIZED', 'FORBIDDEN')) > 0 then 2 when count(*) filter (where outcome = 'failed') > 0 then 1 else 0 end as exit_status from applied",
     "apply_to_target": "select * from merged",
-    "incremental_sync": "select * exclude (op) from merged",
+    "incremental_sync": "select case when _ouid is null then 'new' else _id end as _id, 1 as n_same_id, _ouid, match_key, mail, phone, organization_id, is_logon_disabled from merged",
 }
 
 

@@ -99,28 +99,46 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 # --- sources ---------------------------------------------------------------
 
 
+def _written(spark: SparkSession, cells: DataFrame, *options: tuple[str, str]) -> str:
+    """Folder with the cells as a delimited file, in order of line, the number in a cell of its own."""
+    folder = new_folder(spark, "feed")
+    writer = cells.orderBy("line_no").select(F.col("line_no").alias("key"), *employees.RAW_COLUMNS).write
+    writer.options(header=True, escape='"', **dict(options)).csv(folder)
+    return folder
+
+
 def csv_record_parse(spark: SparkSession, sf: str) -> DataFrame:
-    """Feed written as delimited records, with quotes, and parsed back."""
-    names = employees.RAW_COLUMNS
-    schema = ", ".join(f"{c} string" for c in names)
+    """Feed written as a delimited file, all cells quoted, some with separators and quotes inside, and read back."""
     cells = feeds.raw_cells(spark, sf).withColumn("contacts", F.regexp_replace("contacts", ",", ',"x"'))
-    options = {"escape": '"', "quoteAll": "true", "emptyValue": "", "nullValue": ""}
-    line = cells.select("line_no", F.to_csv(F.struct(*names), options).alias("line"))
-    parsed = line.select("line_no", F.from_csv("line", schema, {"escape": '"', "mode": "PERMISSIVE"}).alias("r"))
-    return parsed.select("line_no", "r.*").selectExpr("line_no", *[f"{text.clean_null_token(c)} as {c}" for c in names])
+    folder = _written(spark, cells, ("quoteAll", "true"), ("emptyValue", ""))
+    read = feed_csv.read_feed(spark, folder, ("key", *employees.RAW_COLUMNS))
+    return read.selectExpr("cast(key as bigint) as line_no", *employees.RAW_COLUMNS)
 
 
 def record_numbering(spark: SparkSession, sf: str) -> DataFrame:
     """Records of a delimited file get dense numbers in file order."""
-    folder = new_folder(spark, "feed")
-    cells = feeds.raw_cells(spark, sf).orderBy("line_no")
     # a first cell that is never blank keeps every record in the file
-    out = cells.select(F.col("line_no").alias("key"), *employees.RAW_COLUMNS)
-    out.write.option("header", True).option("escape", '"').csv(folder)
+    folder = _written(spark, feeds.raw_cells(spark, sf))
     read = feed_csv.read_feed(spark, folder, ("key", *employees.RAW_COLUMNS))
     return read.selectExpr("line_no", "record_id", "cast(key as bigint) as key_no", "full_name")
 
 
+def header_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns that a file lacks, one feed for each column left out."""
+    folder = _written(spark, feeds.raw_cells(spark, sf))
+    found = spark.read.option("header", True).csv(folder).columns
+    rows = []
+    for left_out in employees.RAW_COLUMNS:
+        try:
+            feed_csv.check_header([c for c in found if c != left_out], employees.RAW_COLUMNS)
+            rows.append((left_out, "accepted"))
+        except feed_csv.CsvFormatError as error:
+            rows.append((left_out, str(error)))
+    n = feed_csv.read_feed(spark, folder, ("key", *employees.RAW_COLUMNS)).agg(F.count("*").alias("n_records"))
+    verdicts = F.array(*[F.struct(F.lit(c).alias("left_out"), F.lit(v).alias("verdict")) for c, v in rows])
+    return n.select("n_records", F.inline(verdicts))
+
+
 def null_token_clean(spark: SparkSession, sf: str) -> DataFrame:
     cells = feeds.raw_cells(spark, sf)
     return cells.selectExpr("line_no", *[f"{text.clean_null_token(c)} as {c}" for c in ("raw_id", "login", "manager")])
@@ -152,9 +170,10 @@ def paged_stop_rule(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_failure(spark: SparkSession, sf: str) -> DataFrame:
-    """Error of each page when every 7th page is damaged; a refresh of such a
-    dump fails as a whole."""
-    dump = page_dump(spark, sf).withColumn("body", F.expr("if(page % 7 = 3, concat('<html>', body), body)"))
+    """Error of each page when some pages are no JSON and others hold no list; a
+    refresh of such a dump fails as a whole."""
+    damage = "case page % 7 when 3 then concat('<html>', body) when 5 then '{\"items\":{},\"total\":1}' else body end"
+    dump = page_dump(spark, sf).withColumn("body", F.expr(damage))
     return pages.parse_pages(dump).select("page", "page_error")
 
 
@@ -198,7 +217,7 @@ def contact_extract_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def kv_parse(spark: SparkSession, sf: str) -> DataFrame:
     rows = feeds.raw_feed(spark, sf).selectExpr("line_no", f"{parse.kv_pairs('extra')} as pairs")
-    return rows.select("line_no", F.explode("pairs").alias("key", "value")).where("key <> 'password'")
+    return rows.select("line_no", F.explode("pairs").alias("key", "value"))
 
 
 def manager_ref_parse(spark: SparkSession, sf: str) -> DataFrame:
@@ -222,8 +241,7 @@ def desired_state(spark: SparkSession, sf: str) -> DataFrame:
     rows = enrich.survivors(enriched(spark, sf)).selectExpr(
         "line_no", f"{planning.desired_state(employees.DESIRED)} as s", "match_key"
     )
-    columns = [c for c in employees.DESIRED if c != "usr_org_tab_num"]
-    return rows.selectExpr("line_no", *[f"s.{c} as {c}" for c in columns], "match_key")
+    return rows.selectExpr("line_no", *[f"s.{c} as {c}" for c in employees.DESIRED], "match_key")
 
 
 def upsert_payload(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,7 +250,7 @@ def upsert_payload(spark: SparkSession, sf: str) -> DataFrame:
     rows = enrich.survivors(enriched(spark, sf)).selectExpr(
         "line_no", f"{apply.payload_error(source)} as error", f"{apply.upsert_payload(source)} as p"
     )
-    names = [n for n in apply.PAYLOAD if n not in ("password", "usrOrgTabNum")]
+    names = [n for n in apply.PAYLOAD if n != "password"]
     return rows.selectExpr(
         "line_no", "error", *[f"if(error is null, p.{n}, null) as {n}" for n in names], "error is null and p.password is not null as has_password"
     )
@@ -240,10 +258,7 @@ def upsert_payload(spark: SparkSession, sf: str) -> DataFrame:
 
 def snapshot_map_users(spark: SparkSession, sf: str) -> DataFrame:
     users = snapshot.map_users(target_items(spark, sf))
-    return users.selectExpr(
-        "ingest_pos", "item_key", "is_deleted", "map_error", "_id", "_ouid", "last_name", "match_key", "mail",
-        "user_name", "usr_org_tab_num", "organization_id", "deletion_date",
-    )
+    return users.selectExpr("ingest_pos", "item_key", "is_deleted", "map_error", *snapshot.USER_COLUMNS)
 
 
 def org_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,10 +332,10 @@ def mask_nested(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def redact_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Document records as JSON with the text handled as a secret field."""
-    shape = "struct<doc_id:bigint,meta:struct<lang:string,secret:string>>"
-    body = F.to_json(F.struct("doc_id", F.struct("lang", F.col("text").alias("secret")).alias("meta")))
-    return table(spark, sf, "documents").select("doc_id", masking.mask_json(body, shape).alias("body"))
+    """Bodies that quote the whole text of a document twice, once as a token: digests of the masked bodies."""
+    return spark.sql(feeds.BODIES, **feeds.load(spark, sf, "documents")).select(
+        "doc_id", F.md5(masking.mask_json_text(F.col("body"))).alias("masked_md5"), F.length("body").cast("bigint").alias("n_body")
+    )
 
 
 def source_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
@@ -368,7 +383,7 @@ def manager_resolve(spark: SparkSession, sf: str) -> DataFrame:
     """Numeric manager references resolved by number."""
     rows = normalized(spark, sf)
     spec = employees.enrich_spec(RUN, manager_mode="ouid")
-    return enrich.resolve_managers(rows, feeds.target(spark, sf), spec)
+    return enrich.resolve_managers(rows, feeds.target(spark, sf), spec).drop("source_id")
 
 
 def id_collision(spark: SparkSession, sf: str) -> DataFrame:
@@ -390,6 +405,17 @@ def enrich_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def enrich_rows_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed as four files that number their records alike."""
+    raw = feeds.raw_feed(spark, sf).selectExpr(
+        "concat('file-', line_no % 4) as source_id", "cast(floor(line_no / 4) as bigint) + 2 as line_no", "record_id", *employees.RAW_COLUMNS
+    )
+    rows = sync.enriched(raw, feeds.target(spark, sf), SPEC)
+    return rows.selectExpr(
+        "source_id", "line_no", "match_key", "manager_id", "resource_id", "usr_org_tab_num", "code_generated", f"{dx.code_summary()} as codes"
+    )
+
+
 def id_allocate(spark: SparkSession, sf: str) -> DataFrame:
     """Rows that ask for an id; every third id is in use."""
     rows = feeds.raw_feed(spark, sf).selectExpr("line_no", "concat('id-', line_no) as resource_id", f"{dx.NONE} as errors")
@@ -405,10 +431,32 @@ def code_allocate(spark: SparkSession, sf: str) -> DataFrame:
     return picks.selectExpr("line_no", "code_pick", f"if(code_pick > 0, {enrich.new_code(SPEC, 'code_pick')}, null) as code")
 
 
+def code_allocate_narrow(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes of three digits only: many rows draw the same, and some are left without one."""
+    spec = employees.enrich_spec(RUN, code_width=3)
+    rows = _keyed(spark, sf).withColumn("usr_org_tab_num", F.expr("if(line_no % 3 = 0, usr_org_tab_num, null)"))
+    picks = enrich.allocate_codes(rows.drop("source_id"), feeds.target(spark, sf), spec)
+    return picks.selectExpr("line_no", "code_pick", f"if(code_pick > 0, {enrich.new_code(spec, 'code_pick')}, null) as code")
+
+
+def _vault_rows(spark: SparkSession, sf: str, generate: tuple[str, ...]) -> DataFrame:
+    rows, raw = enrich.survivors(enriched(spark, sf)), feeds.raw_feed(spark, sf)
+    return vault.vault_rows(rows, sync.feed_secrets(raw), employees.DATASET, RUN, "2024-01-01", generate)
+
+
 def secret_default(spark: SparkSession, sf: str) -> DataFrame:
     """Which rows get a generated secret; the values stay in the vault."""
-    drawn = staged(vault.vault_rows(enrich.survivors(enriched(spark, sf)), employees.DATASET, RUN, "t"), "vault")
-    return drawn.selectExpr("seq as line_no", "field", "length(value) = 32 as generated")
+    drawn = staged(_vault_rows(spark, sf, ("password",)).drop("value"), "drawn")
+    return drawn.selectExpr("seq as line_no", "field", "generated")
+
+
+def vault_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets of a feed stored by the flow, read back from the vault; drawn ones show their length only."""
+    path = new_folder(spark, "vault")
+    rows, raw = enriched(spark, sf), feeds.raw_feed(spark, sf)
+    kept = sync.stored(rows, raw, path, SPEC).select("line_no", "match_key", F.expr(dx.code_summary()).alias("codes"))
+    found = vault.read_vault(spark, path).selectExpr("match_key", "seq as line_no", "field", "length(value) as n_value", "run_id")
+    return kept.join(found, ["line_no", "match_key"], "left")
 
 
 # --- vault ---------------------------------------------------------------------
@@ -425,7 +473,7 @@ def event_vault(spark: SparkSession, sf: str) -> DataFrame:
 
 def vault_put(spark: SparkSession, sf: str) -> DataFrame:
     """Vault rows of a run without their values."""
-    rows = vault.vault_rows(enriched(spark, sf), employees.DATASET, RUN, "2024-01-01", generate=())
+    rows = _vault_rows(spark, sf, ())
     return rows.selectExpr("dataset", "field", "match_key", "run_id", "seq as line_no", "length(value) as n_value")
 
 
@@ -506,7 +554,7 @@ def dropped_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
     rows = decided(spark, sf).where("match_status = 'matched'").select("match_key", F.inline("diff"))
-    return rows.selectExpr("match_key", "field", "`from` as old_value", "if(field = 'usr_org_tab_num', '-', to) as new_value")
+    return rows.selectExpr("match_key", "field", "`from` as old_value", "to as new_value")
 
 
 def snapshot_diff_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -535,7 +583,7 @@ def snapshot_diff_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 def change_set_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = decided(spark, sf).where("decision = 'update'").selectExpr("line_no", f"{change_set('diff')} as changes")
-    return rows.select("line_no", F.explode("changes").alias("field", "value")).where("field <> 'usr_org_tab_num'")
+    return rows.select("line_no", F.explode("changes").alias("field", "value"))
 
 
 def plan_decision(spark: SparkSession, sf: str) -> DataFrame:
@@ -549,6 +597,16 @@ def plan_items(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def plan_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The plan written to a folder, secrets masked, and read back."""
+    path = new_folder(spark, "plan")
+    artifacts.write_plan(items(spark, sf), planning.plan_summary(decided(spark, sf)), {"dataset": employees.DATASET, "run_id": RUN}, path)
+    return artifacts.read_plan(spark, path).selectExpr(
+        "row_id", "line_no", "op", "resource_id", "desired_state['email'] as email", "cast(size(changes) as bigint) as n_changes",
+        "source_ref['match_key'] as match_key", "array_join(secret_fields, ',') as secrets",
+    )
+
+
 def plan_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The whole flow from raw cells: one row per decision."""
     rows = sync.decided(feeds.raw_feed(spark, sf), feeds.target(spark, sf), feeds.orgs(spark, sf), SPEC)
@@ -594,6 +652,30 @@ def report_items(spark: SparkSession, sf: str) -> DataFrame:
     return first.select("line_no", "status", F.expr(dx.code_summary()).alias("codes"), cut.scalar().alias("truncated"))
 
 
+def report_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The report written as one document and read back: counters, items and what their diagnostics say."""
+    path = new_folder(spark, "report")
+    artifacts.write_report(decided(spark, sf), {"run_id": RUN}, path)
+    shape = (
+        "status string, meta struct<run_id:string,items_limit:int,items_truncated:boolean>, summary struct<rows_total:bigint,rows_blocked:bigint>, "
+        "items array<struct<status:string,row_ref:struct<line_no:bigint>,diagnostics:array<struct<severity:string,code:string>>>>"
+    )
+    doc = spark.read.schema(shape).json(path)
+    return doc.selectExpr("status", "meta.run_id", "meta.items_truncated", "summary.rows_total", "summary.rows_blocked", "explode(items) as item").selectExpr(
+        "status", "run_id", "items_truncated", "rows_total", "rows_blocked", "item.row_ref.line_no as line_no",
+        "cast(size(item.diagnostics) as bigint) as n_diagnostics", "array_join(array_distinct(item.diagnostics.severity), ',') as severity",
+    )
+
+
+def warnings_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters of rows that carry warnings: short names are worth one."""
+    short = dx.diagnostic(dx.VALIDATE, "SHORT_NAME", "userName", "user name is short")
+    rows = decided(spark, sf).withColumn("warnings", F.expr(dx.emit("length(user_name) < 4", short)))
+    totals = report.report_summary(rows).select("rows_with_warnings", "warnings_total")
+    stages = report.diagnostics_by_stage(rows).where("stage = 'VALIDATE'").select(F.col("warnings_total").alias("stage_warnings"))
+    return totals.withColumn("stage_warnings", stages.scalar())
+
+
 def stage_report(spark: SparkSession, sf: str) -> DataFrame:
     stages = {
         "mapping": mapped(spark, sf),
@@ -681,7 +763,7 @@ def snapshot_upsert_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _schema(dataset: str) -> T.StructType:
-    return T._parse_datatype_string(sync.cache_schema(dataset))
+    return T.StructType.fromDDL(sync.cache_schema(dataset))
 
 
 def _committed(spark: SparkSession, sf: str) -> SnapshotStore:
@@ -698,11 +780,12 @@ def snapshot_status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshot_clear(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows left after a clear; the removed rows are counted first."""
+    """Rows that a clear has removed, and rows that are left."""
     store = _committed(spark, sf)
     schemas = {d: _schema(d) for d in sync.CACHE_DATASETS}
-    store.clear(schemas, RUN)
-    return store.status(schemas).select("dataset", "n_rows")
+    removed = store.clear(schemas, RUN)
+    counts = F.create_map(*[F.lit(x) for d, n in removed.items() for x in (d, n)])
+    return store.status(schemas).select("dataset", F.col("n_rows").alias("n_left"), F.element_at(counts, F.col("dataset")).alias("n_removed"))
 
 
 def stale_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -715,8 +798,7 @@ def stale_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
     """Requests of the plan; the vault holds the passwords of the feed."""
-    stored = vault.vault_rows(enrich.survivors(enriched(spark, sf)), employees.DATASET, RUN, "t", generate=())
-    latest = vault.latest_secrets(stored)
+    latest = vault.latest_secrets(_vault_rows(spark, sf, ()))
     return apply.request_rows(vault.attach_secrets(items(spark, sf), latest, employees.DATASET, ["password"]))
 
 
@@ -757,15 +839,30 @@ def apply_outcome(spark: SparkSession, sf: str) -> DataFrame:
     return outcomes(spark, sf).select("line_no", "op", "outcome", "code")
 
 
+def apply_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Report rows of the outcomes: what failed, at which stage, with the operation as context."""
+    rows = apply.apply_report_rows(outcomes(spark, sf))
+    return rows.selectExpr(
+        "line_no", "status", "array_join(errors.stage, ',') as stages", f"{dx.code_summary()} as codes", "context['op'] as op", "context['resource_id'] as resource_id"
+    )
+
+
+def apply_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """The plan applied to the target table, with the vault of the feed; a retry finds free ids."""
+    done = sync.apply_plan(items(spark, sf), feeds.target(spark, sf), _vault_rows(spark, sf, ()), SPEC)
+    return done.outcome.select("line_no", "op", "outcome", "code")
+
+
 def apply_max_actions(spark: SparkSession, sf: str) -> DataFrame:
     first = apply.first_actions(order_requests(spark, sf), 25)
     return apply.apply_outcome(first, response_log(spark, sf)).select("line_no", "outcome", "code")
 
 
 def apply_stop_first(spark: SparkSession, sf: str) -> DataFrame:
-    """Failures start late: earlier responses are all good."""
-    late = response_log(spark, sf).withColumn("status", F.expr("if(line_no < 500, 200, status)"))
-    rows = apply.apply_outcome(order_requests(spark, sf).where("error_code is null"), late)
+    """Responses that fail for one order in 4999 only."""
+    rare = response_log(spark, sf).withColumn("status", F.expr("if(line_no % 4999 = 4998, 500, 200)"))
+    requests = order_requests(spark, sf).withColumn("error_code", F.lit(None).cast("string"))
+    rows = apply.apply_outcome(requests, rare)
     return apply.stop_at_first_error(rows).select("line_no", "outcome", "code")
 
 
@@ -787,27 +884,36 @@ def apply_counters(spark: SparkSession, sf: str) -> DataFrame:
 
 def apply_to_target(spark: SparkSession, sf: str) -> DataFrame:
     merged = apply.apply_to_target(items(spark, sf), feeds.target(spark, sf))
-    return merged.select("_id", "_ouid", "match_key", "mail", "phone", "organization_id", "is_logon_disabled", "op")
+    return merged.select("_id", "_ouid", "match_key", "mail", "phone", "usr_org_tab_num", "organization_id", "is_logon_disabled", "op")
 
 
 # --- streaming ------------------------------------------------------------------------------
 
 
 def incremental_sync(spark: SparkSession, sf: str) -> DataFrame:
-    """The feed arrives in four files per batch run; the final snapshot."""
+    """The feed arrives as five files, a batch each, that all number their records from 2; the final snapshot.
+
+    New records show no id, because it is drawn from the file's path, but how many share it; the code of a record
+    may depend on the batch in which it arrives."""
     folder = new_folder(spark, "arrivals")
-    arriving = feeds.raw_cells(spark, sf).select("line_no", *employees.RAW_COLUMNS)
-    arriving.repartition(4, F.expr("line_no % 4")).write.option("header", True).option("escape", '"').csv(f"{folder}/in")
+    arriving = feeds.raw_cells(spark, sf).selectExpr("line_no % 5 as part", "cast(floor(line_no / 5) as bigint) + 2 as line_no", *employees.RAW_COLUMNS)
+    for part in range(5):
+        one = arriving.where(F.col("part") == part).drop("part").coalesce(1)
+        one.write.mode("append").option("header", True).option("escape", '"').csv(f"{folder}/in")
     store = SnapshotStore(spark, f"{folder}/store")
     store.commit({incremental.DATASET: feeds.target(spark, sf)}, RUN, version=1)
-    stream = incremental.read_arrivals(spark, f"{folder}/in", files_per_batch=2)
+    stream = incremental.read_arrivals(spark, f"{folder}/in", files_per_batch=1)
     incremental.incremental_sync(stream, store, feeds.orgs(spark, sf), f"{folder}/progress", RUN, 2).awaitTermination()
     final = store.read(incremental.DATASET, incremental.snapshot_schema())
-    return final.select("_id", "_ouid", "match_key", "mail", "phone", "organization_id", "is_logon_disabled")
+    shared = final.groupBy("_id").agg(F.count("*").alias("n_same_id"))
+    return final.join(shared, "_id").selectExpr(
+        "if(_ouid is null, 'new', _id) as _id", "n_same_id", "_ouid", "match_key", "mail", "phone", "organization_id", "is_logon_disabled"
+    )
 
 
 _NAMES = (
-    csv_record_parse, record_numbering, null_token_clean, paged_json_items, paged_stop_rule, page_failure,
+    csv_record_parse, record_numbering, header_contract, plan_file, report_file, warnings_report, enrich_rows_files,
+    code_allocate_narrow, vault_flow, apply_report, apply_plan, null_token_clean, paged_json_items, paged_stop_rule, page_failure,
     plan_items, plan_read_clean, report_summary, vault_put, map_canonical, name_split, contact_extract,
     contact_extract_documents, kv_parse, manager_ref_parse, flag_parse, role_parse, secret_candidates,
     desired_state, upsert_payload, snapshot_map_users, snapshot_map_orgs, whitespace_norm, email_check,

@@ -11,19 +11,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from feedplan.operators.apply import (
-    apply_outcome,
+    apply_report_rows,
     apply_to_target,
     first_actions,
     request_rows,
     retry_ids,
     stop_at_first_error,
+    table_outcome,
 )
-from feedplan.operators.enrich import EnrichSpec, enrich, survivors
+from feedplan.operators.enrich import EnrichSpec, enrich, require_unique, row_key, survivors, with_source
 from feedplan.operators.mapping import map_records
 from feedplan.operators.matching import match_target
 from feedplan.operators.normalize import normalize
@@ -31,6 +33,7 @@ from feedplan.operators.planning import decide, plan_items, plan_summary
 from feedplan.operators.snapshot import (
     ORG_COLUMNS,
     USER_COLUMNS,
+    diagnostics,
     last_records,
     map_orgs,
     map_users,
@@ -39,7 +42,7 @@ from feedplan.operators.snapshot import (
     upsert,
 )
 from feedplan.operators.validate import mark_known, validate
-from feedplan.operators.vault import attach_secrets, latest_secrets
+from feedplan.operators.vault import attach_secrets, hide_secrets, latest_secrets, store_secrets
 from feedplan.plans import employees
 from feedplan.sources.pages import explode_records, pages_read, parse_pages, require_good_pages
 from feedplan.sources.snapshot_store import SnapshotStore
@@ -54,23 +57,44 @@ def in_place(df: DataFrame, name: str) -> DataFrame:
 
 
 def mapped(raw: DataFrame) -> DataFrame:
-    return map_records(raw, employees.mapping())
+    """Canonical rows with their secrets: not to be staged."""
+    return map_records(with_source(raw), employees.mapping())
+
+
+def feed_secrets(raw: DataFrame) -> DataFrame:
+    """(row key, secrets) of a feed, read again from its cells: secret values are written to the vault only."""
+    return mapped(raw).select("source_id", "line_no", "secrets").where("size(secrets) > 0")
 
 
 def normalized(raw: DataFrame) -> DataFrame:
-    return normalize(mapped(raw), employees.normalize_rules())
+    """Typed rows; of secrets only the names are left."""
+    return hide_secrets(normalize(mapped(raw), employees.normalize_rules()), employees.mapping().secrets)
 
 
 def enriched(raw: DataFrame, target: DataFrame, spec: EnrichSpec | None = None, stage: Stage = staged) -> DataFrame:
-    rows = stage(normalized(raw), "normalized")
+    rows = require_unique(stage(normalized(raw), "normalized"))
     return stage(enrich(rows, target, spec or employees.enrich_spec()), "enriched")
 
 
+def stored(rows: DataFrame, raw: DataFrame, vault: str, spec: EnrichSpec, stage: Stage = staged) -> DataFrame:
+    """Enriched rows whose secrets have been appended to the vault; rows whose secrets could not be stored have an error."""
+    now = datetime.now(timezone.utc).isoformat(timespec="seconds")
+    return stage(store_secrets(rows, feed_secrets(raw), vault, spec.dataset, spec.run_id, now, (spec.secret,)), "stored")
+
+
 def validated(
-    raw: DataFrame, target: DataFrame, orgs: DataFrame, spec: EnrichSpec | None = None, stage: Stage = staged
+    raw: DataFrame,
+    target: DataFrame,
+    orgs: DataFrame,
+    spec: EnrichSpec | None = None,
+    stage: Stage = staged,
+    vault: str | None = None,
 ) -> DataFrame:
     """Rows that survived enrichment, with their validation errors."""
-    rows = survivors(enriched(raw, target, spec, stage))
+    rows = enriched(raw, target, spec, stage)
+    if vault is not None:
+        rows = stored(rows, raw, vault, spec or employees.enrich_spec(), stage)
+    rows = survivors(rows)
     known = mark_known(rows, orgs, "organization_id", "_ouid", "org_known")
     return validate(known, employees.validation_rules()).drop("org_known")
 
@@ -82,9 +106,10 @@ def decided(
     spec: EnrichSpec | None = None,
     include_deleted: bool = False,
     stage: Stage = staged,
+    vault: str | None = None,
 ) -> DataFrame:
     """One decision per row that reached validation."""
-    rows = validated(raw, target, orgs, spec, stage)
+    rows = validated(raw, target, orgs, spec, stage, vault)
     matched = match_target(rows, target, employees.CANDIDATE, include_deleted)
     return decide(matched, employees.diff_rules())
 
@@ -103,10 +128,12 @@ def plan_import(
     spec: EnrichSpec | None = None,
     include_deleted: bool = False,
     stage: Stage = staged,
+    vault: str | None = None,
 ) -> ImportPlan:
     """Plan and summary.  The decided rows are staged by default, because both
-    results read them."""
-    rows = stage(decided(raw, target, orgs, spec, include_deleted, stage), "decided")
+    results read them.  With ``vault``, the path of the vault table, the
+    secrets of the feed are appended to it, and missing ones are drawn."""
+    rows = stage(decided(raw, target, orgs, spec, include_deleted, stage, vault), "decided")
     return ImportPlan(rows, plan_items(rows, employees.DESIRED), plan_summary(rows))
 
 
@@ -114,6 +141,7 @@ def plan_import(
 class Applied:
     outcome: DataFrame
     table: DataFrame
+    report: DataFrame
 
 
 def apply_plan(
@@ -136,18 +164,20 @@ def apply_plan(
     succeed change the table; a dry run changes nothing.
     """
     spec = spec or employees.enrich_spec()
-    chosen = retry_ids(first_actions(items, max_actions), target, spec, retries)
+    chosen = stage(retry_ids(first_actions(items, max_actions), target, spec, retries), "actions")
     latest = latest_secrets(stored, run_id)
-    ready = stage(attach_secrets(chosen, latest, spec.dataset, [spec.secret]), "actions")
-    # the table answers: taken ids are refused, everything else is accepted
-    answers = ready.selectExpr("line_no", "if(id_attempt is null, 409, 200) as status", "'' as body")
-    outcome = stage(apply_outcome(request_rows(ready, strict=strict), answers, dry_run), "outcome")
+    keys = row_key(chosen)
+    # passwords are looked up twice rather than staged: to see that they are there, and by whoever sends the payload
+    ready = attach_secrets(chosen, latest, spec.dataset, [spec.secret])
+    refused = chosen.where("id_attempt is null")
+    outcome = stage(table_outcome(request_rows(ready, strict=strict), refused, dry_run), "outcome")
     if stop_on_first_error:
         outcome = stop_at_first_error(outcome)
+    report = apply_report_rows(outcome)
     if dry_run:
-        return Applied(outcome, target)
-    done = outcome.where("code is null").select("line_no")
-    return Applied(outcome, apply_to_target(ready.join(done, "line_no", "left_semi"), target).drop("op"))
+        return Applied(outcome, target, report)
+    done = outcome.where("code is null").select(*keys)
+    return Applied(outcome, apply_to_target(chosen.join(done, keys, "left_semi"), target).drop("op"), report)
 
 
 # dataset -> (columns, key, unique columns, record mapping), in refresh order:
@@ -168,6 +198,7 @@ class Refresh:
     outcome: DataFrame
     table: DataFrame
     counters: DataFrame
+    report: DataFrame
 
 
 def refresh(
@@ -184,11 +215,13 @@ def refresh(
     A bad page fails the whole refresh before anything is published.
     """
     columns, key, unique, mapper = CACHE_DATASETS[dataset]
-    read = require_good_pages(pages_read(parse_pages(pages), page_size, max_pages))
+    # parsed once: the end of the sequence is found on the staged counts
+    parsed = stage(parse_pages(pages).select("page", "records", "n_records", "page_error"), "pages")
+    read = require_good_pages(pages_read(parsed, page_size, max_pages))
     records = stage(mapper(explode_records(read)), "records")
     outcome = stage(refresh_outcome(records, existing, key, unique, include_deleted), "outcome")
     table = upsert(existing, last_records(outcome, list(columns), key), key)
-    return Refresh(outcome, table, refresh_counters(outcome, dataset))
+    return Refresh(outcome, table, refresh_counters(outcome, dataset), diagnostics(outcome))
 
 
 def refresh_snapshot(
@@ -205,10 +238,16 @@ def refresh_snapshot(
             raise ValueError(f"Unsupported cache dataset: {dataset}")
         if dataset not in dumps:
             continue
-        schema = T._parse_datatype_string(cache_schema(dataset))
-        done = refresh(dataset, dumps[dataset], store.read(dataset, schema), **options)
+        existing = store.read(dataset, T.StructType.fromDDL(cache_schema(dataset)))
+        done = refresh(dataset, dumps[dataset], existing, **options)
         tables[dataset] = done.table.drop("op")
         counters = done.counters.first().asDict()
-        counters.pop("dataset")
-        meta[dataset] = {f"last_refresh_{k}": str(v) for k, v in counters.items()}
+        meta[dataset] = {
+            "last_refresh_run_id": run_id,
+            "last_refresh_at": datetime.now(timezone.utc).isoformat(timespec="seconds"),
+            "last_refresh_pages": str(counters["pages"]),
+            "last_refresh_items": str(sum(counters[k] for k in ("inserted", "updated", "failed", "skipped"))),
+            "count_total": str(existing.count() + counters["inserted"]),
+            **{f"last_refresh_{k}": str(counters[k]) for k in ("inserted", "updated", "failed", "skipped")},
+        }
     return store.commit(tables, run_id, meta)

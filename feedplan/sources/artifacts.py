@@ -130,7 +130,7 @@ def report_document(rows: DataFrame, meta: Mapping[str, str], limit: int = 200,
     per stage and at most ``limit`` items, whatever the size of the run.
     """
     kept = report.item_rows(report.report_items(rows, limit, include_skipped))
-    items = kept.agg(F.sort_array(F.collect_list(F.struct("row_ref", "status", "diagnostics"))).alias("items"))
+    items = kept.agg(F.sort_array(F.collect_list(F.struct("row_ref", "status", "diagnostics", F.map_entries("context").alias("context")))).alias("items"))
     stages = report.diagnostics_by_stage(rows).agg(
         F.sort_array(F.collect_list(F.struct("stage", "errors_total", "warnings_total"))).alias("by_stage")
     )

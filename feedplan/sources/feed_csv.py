@@ -60,18 +60,12 @@ def read_cells(
     )
 
 
-# Most split offsets that are sent to every executor (some 150 bytes each).
-MAX_BROADCAST_SPLITS = 1_000_000
-
-
 def number_records(cells: DataFrame, first: int) -> DataFrame:
     """Dense record numbers in file order, without a global window.
 
     Expects ``__file`` and ``__block``.  One pass counts the records of every
     file split.  The running totals of these counts, one row per split, are
-    staged, counted and joined back: by broadcast while there are at most
-    ``MAX_BROADCAST_SPLITS`` of them, by a shuffle on the split beyond that
-    (one key then holds the records of one split).
+    staged and joined back; the staged size decides how.
 
     File scans give the same splits in both passes as long as
     ``spark.sql.files.minPartitionNum`` is fixed, which ``configure`` sees to;
@@ -89,8 +83,6 @@ def number_records(cells: DataFrame, first: int) -> DataFrame:
     starts = splits.select(
         "__file", "__block", "__from", "__n", F.coalesce(F.sum("__n").over(in_file), F.lit(0)).alias("__before")
     ).join(files, "__file")
-    if splits.count() <= MAX_BROADCAST_SPLITS:
-        starts = F.broadcast(starts)
     placed = located.join(starts, ["__file", "__block"], "left").withColumn("__place", F.expr("__at - __from"))
     line_no = (
         f"if(__place between 0 and __n - 1, __place + __before + __files_before + {first}, "
@@ -101,6 +93,24 @@ def number_records(cells: DataFrame, first: int) -> DataFrame:
     ).withColumn("record_id", F.expr("concat('line:', line_no)"))
 
 
+def check_lines(spark: SparkSession, path: str, multi_line: bool = False) -> None:
+    """Refuse files whose records the reader would drop or tear.
+
+    A line of blanks is a record, but the reader skips it, which would shift
+    all later numbers.  A line with an odd number of quotes begins or ends a
+    quoted line break, which needs ``multi_line``.
+    """
+    lines = spark.read.text(path).select(F.col("value").alias("line"))
+    blank = F.col("line").rlike(r"^[ \t]+$")
+    torn = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    kind = F.when(blank, "a record that holds only blanks")
+    if not multi_line:
+        kind = F.coalesce(kind, F.when(torn % 2 == 1, "a line break inside quotes (read it with multi_line)"))
+    found = lines.select(kind.alias("kind")).where("kind is not null").first()
+    if found is not None:
+        raise CsvFormatError(f"Source CSV has {found.kind}")
+
+
 def read_feed(
     spark: SparkSession,
     path: str,
@@ -112,6 +122,7 @@ def read_feed(
 
     Numbers start at 2 below a header and at 1 without one.
     """
+    check_lines(spark, path, multi_line)
     cells = read_cells(spark, path, columns, has_header, multi_line)
     numbered = number_records(cells, 2 if has_header else 1)
     return numbered.selectExpr("line_no", "record_id", *[f"{clean_null_token(c)} as {c}" for c in columns])

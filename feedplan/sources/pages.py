@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedplan.operators.lookup import lookup
+from feedplan.operators.lookup import lookup, salts_of
 
 # Keys that may hold the record list, in order of preference.
 LIST_KEYS = ("items", "data", "users", "organizations", "orgs", "result")
 
+# What a page can be refused for.
+BAD_JSON = "INVALID_JSON"
 BAD_FORMAT = "INVALID_ITEMS_FORMAT"
 TOO_MANY = "MAX_PAGES_EXCEEDED"
 
 
-def page_records(body: Column) -> Column:
-    """Record list of a page as ARRAY<VARIANT>; NULL if the page has none.
+def page_records(doc: Column) -> Column:
+    """Record list of a parsed page as ARRAY<VARIANT>; NULL if the page has none.
 
-    The body is the list itself, or an object whose first list-valued key
+    The page is the list itself, or an object whose first list-valued key
     among ``LIST_KEYS`` is the list (an empty list counts).
     """
-    doc = F.try_parse_json(body)
     return F.coalesce(
         F.try_variant_get(doc, "$", "array<variant>"),
         *[F.try_variant_get(doc, f"$.{k}", "array<variant>") for k in LIST_KEYS],
@@ -28,14 +29,17 @@ def page_records(body: Column) -> Column:
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """Add ``records``, ``n_records`` and ``page_error``."""
-    parsed = pages.withColumn("records", page_records(F.col("body")))
-    return parsed.withColumns(
-        {
-            "n_records": F.size("records"),
-            "page_error": F.when(F.col("records").isNull(), F.lit(BAD_FORMAT)),
-        }
-    ).withColumn("n_records", F.when(F.col("page_error").isNull(), F.col("n_records")))
+    """Add ``records``, ``n_records`` and ``page_error``.  A body is parsed once: a
+    generator over a list of one keeps the optimizer from copying the parse to every use."""
+    parsed = pages.select("*", F.explode(F.array(F.struct(F.try_parse_json("body").alias("doc")))).alias("__page"))
+    read = parsed.select("*", F.explode(F.array(F.struct(page_records(F.col("__page.doc")).alias("records")))).alias("__list"))
+    error = F.when(F.col("__page.doc").isNull(), F.lit(BAD_JSON)).when(F.col("__list.records").isNull(), F.lit(BAD_FORMAT))
+    return read.select(
+        *pages.columns,
+        F.col("__list.records").alias("records"),
+        F.when(F.col("__list.records").isNotNull(), F.size("__list.records")).alias("n_records"),
+        error.alias("page_error"),
+    )
 
 
 def page_sequence(counted: DataFrame, page_size: int, max_pages: int | None = None, by: str | None = None) -> DataFrame:
@@ -64,7 +68,7 @@ def pages_read(parsed: DataFrame, page_size: int, max_pages: int | None = None,
     """
     ends = page_sequence(parsed, page_size, max_pages, by)
     if by:
-        joined = lookup(parsed, ends, {by: by}, "page", how="inner", salts=16)
+        joined = lookup(parsed, ends, {by: by}, "page", how="inner", salts=salts_of(parsed.sparkSession))
     else:
         row = ends.select(F.struct("last_page", "max_pages_exceeded"))
         joined = parsed.withColumn("__end", row.scalar()).select("*", "__end.*").drop("__end")
@@ -92,5 +96,7 @@ def explode_records(parsed: DataFrame, *carried: str) -> DataFrame:
     # an outer generator keeps the optimizer from parsing the body twice to
     # pre-filter empty lists
     exploded = parsed.select(*carried, "page", F.posexplode_outer("records").alias("pos", "item"))
-    order = F.shiftleft(F.col("page").cast("bigint"), 24) + F.col("pos")
+    room = 1 << 24
+    too_long = F.raise_error(F.concat(F.lit("page "), F.col("page"), F.lit(f" has more than {room} records")))
+    order = F.when(F.col("pos") < room, F.shiftleft(F.col("page").cast("bigint"), 24) + F.col("pos")).otherwise(too_long.cast("bigint"))
     return exploded.filter(F.col("pos").isNotNull()).withColumn("ingest_pos", order)

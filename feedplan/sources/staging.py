@@ -7,24 +7,29 @@ decides about broadcasts by measurement.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_made: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a test on one machine) a temporary
-    folder is made and remembered in the session.
+    Only where the session names none and all executors run in this process
+    (a test on one machine) a temporary folder is made, one for each
+    application; on a cluster every machine would see a folder of its own.
     """
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="feedplan-")
-        spark.conf.set(_SETTING, folder)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"{_SETTING} must name a folder that all executors share")
+        folder = _made.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="feedplan-")
+        _made[spark.sparkContext.applicationId] = folder
     return folder.rstrip("/")
 
 

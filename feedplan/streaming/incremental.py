@@ -9,6 +9,7 @@ not change.  There is no event time: the last arrival of a key wins.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,19 +35,26 @@ def read_arrivals(spark: SparkSession, path: str, files_per_batch: int = 1000) -
         .option("columnPruning", False)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
+        .select(F.col("_metadata.file_path").alias("source_id"), "*")
     )
 
 
 def snapshot_schema() -> T.StructType:
-    return T._parse_datatype_string(sync.cache_schema(DATASET))
+    return T.StructType.fromDDL(sync.cache_schema(DATASET))
 
 
-def apply_batch(batch: DataFrame, version: int, store: SnapshotStore, orgs: DataFrame, run_id: str) -> None:
-    """Plan one batch against the version before it and publish the result."""
+def apply_batch(
+    batch: DataFrame, version: int, store: SnapshotStore, orgs: DataFrame, run_id: str, vault: str | None = None
+) -> None:
+    """Plan one batch against the version before it and publish the result.
+
+    Rows without a source are known by their batch.
+    """
     cells = [f"{clean_null_token(c)} as {c}" for c in employees.RAW_COLUMNS]
-    raw = batch.selectExpr("line_no", "concat('line:', line_no) as record_id", *cells)
+    source = "source_id" if "source_id" in batch.columns else f"'batch {version}' as source_id"
+    raw = batch.selectExpr(source, "line_no", "concat('line:', line_no) as record_id", *cells)
     target = store.read(DATASET, snapshot_schema(), before=version)
-    plan = sync.plan_import(raw, target, orgs, employees.enrich_spec(run_id))
+    plan = sync.plan_import(raw, target, orgs, employees.enrich_spec(run_id), vault=vault)
     table = apply_to_target(plan.items, target).drop("op")
     store.commit({DATASET: table}, run_id, version=version)
 
@@ -58,11 +66,12 @@ def incremental_sync(
     checkpoint: str,
     run_id: str = "run",
     first_version: int = 1,
+    vault: str | None = None,
 ) -> StreamingQuery:
-    """Process everything that has arrived, then stop."""
+    """Process everything that has arrived, then stop.  ``vault`` is the path of the vault that secrets go to."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, first_version + batch_id, store, orgs, run_id)
+        apply_batch(batch, first_version + batch_id, store, orgs, run_id, vault)
 
     return (
         arrivals.writeStream.foreachBatch(run)

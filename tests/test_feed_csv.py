@@ -64,3 +64,9 @@ def test_empty_quoted_cells_do_not_shift_columns(spark):
 def test_line_breaks_inside_quotes(spark):
     df = read_feed(spark, write(spark, f'{HEADER}\n1,"a\nb",l,e,c,o,m,f,em,ex\n2,B,,,,,,,,\n'), RAW_COLUMNS, multi_line=True)
     assert rows(df) == [(2, "line:2", "1", "a\nb"), (3, "line:3", "2", "B")]
+
+
+@pytest.mark.parametrize(("body", "match"), [("1,A,,,,,,,,\n  \n2,B,,,,,,,,\n", "only blanks"), ('1,"a\nb",l,e,c,o,m,f,em,ex\n', "inside quotes")])
+def test_records_are_neither_dropped_nor_torn(spark, body, match):
+    with pytest.raises(CsvFormatError, match=match):
+        read_feed(spark, write(spark, f"{HEADER}\n{body}"), RAW_COLUMNS)

@@ -5,7 +5,8 @@ from helpers import GOOD, feed, orgs, users
 
 from feedplan.functions import diagnostics as dx
 from feedplan.operators import planning, report, validate
-from feedplan.operators.enrich import allocate_codes, allocate_ids, new_code, new_id
+from feedplan.operators.diff import as_flag
+from feedplan.operators.enrich import allocate_codes, allocate_ids, new_code, new_id, sized
 from feedplan.operators.matching import match_key
 from feedplan.operators.normalize import NormalizeRule, normalize
 from feedplan.plans import employees, feeds, sync
@@ -20,12 +21,12 @@ def codes(rows):
 def test_valid_row(spark):
     rows = sync.validated(feed(spark, {}), users(spark), orgs(spark, 20))
     row = rows.first()
-    assert row.match_key == "Doe|John|M|100" and row.organization_id == 20 and row.errors == []
+    assert row.match_key == "Quint|Mara|Ilse|4711" and row.organization_id == 20 and row.errors == []
 
 
 def test_mapping_keeps_rows_without_a_name(spark):
     row = sync.mapped(feed(spark, {"full_name": ""})).first()
-    assert row.last_name is None and row.errors == [] and row.secrets == {"password": "secret"}
+    assert row.last_name is None and row.errors == [] and row.secrets == {"password": "geheim"}
 
 
 def test_row_of_nulls_has_no_key(spark):
@@ -36,7 +37,7 @@ def test_row_of_nulls_has_no_key(spark):
 @pytest.mark.parametrize(
     ("change", "expected"),
     [
-        ({"email_or_phone": "john.doe@example"}, ["INVALID_EMAIL"]),
+        ({"email_or_phone": "mara.quint@lumen"}, ["INVALID_EMAIL"]),
         ({"extra": "password=x;org_id=999;tab=1"}, ["ORG_NOT_FOUND"]),
         ({"extra": "password=x;org_id=-1;tab=1"}, ["INVALID_INT", "ORG_NOT_FOUND"]),
         ({"login": None}, ["REQUIRED_FIELD_MISSING"]),
@@ -75,13 +76,13 @@ def test_create_update_skip_conflict(spark):
         {"full_name": "Two Person X", "raw_id": "9", "extra": "org_id=20;tab=T9"},
     )
     changed = {"_id": "id-8", "_ouid": 8, "match_key": "Chg|Person|X|8", "usr_org_tab_num": "T8", "last_name": "Chg",
-               "first_name": "Person", "middle_name": "X", "personnel_number": "8", "phone": "+111  111"}
+               "first_name": "Person", "middle_name": "X", "personnel_number": "8", "phone": "+49 30 555 123"}
     twin = {"match_key": "Two|Person|X|9", "usr_org_tab_num": "T9"}
     target = users(spark, {}, changed, {"_id": "a", **twin}, {"_id": "b", **twin})
     done, decisions = plan(spark, raw, target)
     assert decisions == {2: "skip", 3: "create", 4: "update", 5: "conflict"}
     items = {r.line_no: r for r in done.items.collect()}
-    assert items[4].changes == {"user_name": "new", "phone": "+111111"} and items[4].resource_id == "id-8"
+    assert items[4].changes == {"user_name": "new", "phone": "+49 30 555123"} and items[4].resource_id == "id-8"
     assert items[3].secret_fields == ["password"] and items[4].secret_fields == []
     assert "password" not in items[3].desired_state.asDict()
     assert done.summary.first().asDict() == {
@@ -141,14 +142,51 @@ def test_taken_ids_and_codes_move_on(spark):
     assert {tuple(r) for r in allocate_codes(rows, target, spec).collect()} == {(2, 3), (3, 1), (4, 2)}
 
 
-def test_codes_are_unique_within_a_feed(spark):
-    spec = employees.enrich_spec("t", code_width=1)
-    rows = spark.range(2, 12).selectExpr(
+@pytest.mark.parametrize("run", ["t", "u", "v", "w"])
+def test_codes_are_shared_out_attempt_by_attempt(spark, run):
+    spec = employees.enrich_spec(run, code_width=1)
+    rows = spark.range(2, 14).selectExpr(
         "id as line_no", "concat('k', id) as match_key", "cast(null as string) as usr_org_tab_num", f"{dx.NONE} as errors"
     )
-    picks = allocate_codes(rows, users(spark), spec).join(rows.select("line_no"), "line_no")
-    given = picks.where("code_pick > 0").selectExpr(f"{new_code(spec, 'code_pick')} as code").collect()
-    assert len(given) == len({r.code for r in given}) and picks.count() == 10
+    drawn = {r.line_no: r for r in rows.selectExpr("line_no", *[f"{new_code(spec, n)} as c{n}" for n in (1, 2, 3)]).collect()}
+    expected = {}
+    for attempt in (1, 2, 3):
+        for line in sorted(drawn):
+            code = drawn[line][f"c{attempt}"]
+            if line not in expected and code not in {drawn[k][f"c{a}"] for k, a in expected.items()}:
+                expected[line] = attempt
+    got = {r.line_no: r.code_pick for r in allocate_codes(rows, users(spark), spec).collect()}
+    assert got == {line: expected.get(line, 0) for line in drawn}
+
+
+def test_code_width_follows_the_feed(spark):
+    widths = [sized(employees.enrich_spec(), spark.range(n)).code_width for n in (0, 10, 100_000, 1_000_000)]
+    assert widths == [8, 8, 9, 10] and sized(employees.enrich_spec(code_width=4), spark.range(10**6)).code_width == 4
+
+
+def test_files_that_number_alike_stay_apart(spark):
+    raw = feed(
+        spark, {"manager": "manager: 5", "extra": "org_id=20;tab=T1", "raw_id": "1"},
+        {"manager": "manager: 7", "extra": "org_id=20;tab=T2", "raw_id": "2"}, {"extra": "org_id=bad", "raw_id": "3"},
+    )
+    raw = raw.withColumn("source_id", planning.F.concat(planning.F.lit("f"), planning.F.col("line_no"))).withColumn("line_no", planning.F.lit(2).cast("bigint"))
+    target = users(spark, {"_id": "a", "_ouid": 5, "match_key": "5"}, {"_id": "b", "_ouid": 9, "match_key": "9", "usr_org_tab_num": "T2"})
+    rows = {r.source_id: r for r in sync.enriched(raw, target).collect()}
+    assert len({r.resource_id for r in rows.values() if r.resource_id}) == 2
+    assert (rows["f2"].manager_id, rows["f2"].usr_org_tab_num, rows["f2"].code_generated) == (5, "T1", False)
+    assert rows["f3"].code_generated and [e.code for e in rows["f3"].errors] == ["MANAGER_NOT_FOUND"]
+    assert [e.code for e in rows["f4"].errors] == ["INVALID_INT"]
+
+
+def test_repeated_rows_fail(spark):
+    with pytest.raises(ValueError, match="share source_id and line_no"):
+        sync.enriched(feed(spark, {}, {}).withColumn("line_no", planning.F.lit(2).cast("bigint")), users(spark))
+
+
+def test_integer_flags_differ_from_zero_only(spark):
+    forms = {2: True, 1: True, 0: False, -1: True, None: None}
+    df = spark.createDataFrame([(v,) for v in forms], "flag int")
+    assert [r.f for r in df.selectExpr(f"{as_flag('flag')} as f").collect()] == list(forms.values())
 
 
 def test_match_key_modes(spark):

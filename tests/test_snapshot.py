@@ -110,8 +110,11 @@ def test_page_rules(spark):
 
 def test_bad_page_fails_the_refresh(spark):
     broken = spark.createDataFrame([(1, '{"items":[]}'), (2, "<html>")], "page bigint, body string")
-    with pytest.raises(Exception, match="INVALID_ITEMS_FORMAT"):
+    with pytest.raises(Exception, match="INVALID_JSON"):
         pages.require_good_pages(pages.parse_pages(broken)).select("records").collect()
+    shapes = {'{"items":[]}': None, "[1]": None, "<html>": "INVALID_JSON", "": "INVALID_JSON", "{}": "INVALID_ITEMS_FORMAT", '{"items":{}}': "INVALID_ITEMS_FORMAT", "5": "INVALID_ITEMS_FORMAT"}
+    rows = pages.parse_pages(spark.createDataFrame([(i, b) for i, b in enumerate(shapes)], "page bigint, body string"))
+    assert [r.page_error for r in rows.orderBy("page").collect()] == list(shapes.values())
 
 
 def test_store_versions(spark):
@@ -127,6 +130,9 @@ def test_store_versions(spark):
     store.commit({"employees": users(spark, {})}, "r2")
     assert store.read("employees", schemas["employees"]).count() == 1
     assert store.read("employees", schemas["employees"], before=2).count() == 2
+    first = {r.dataset: r.meta for r in store.manifest().where("version = 1").collect()}
+    assert first["employees"]["count_total"] == "2" and first["employees"]["last_refresh_items"] == "2"
+    assert set(first["employees"]) >= {"last_refresh_at", "last_refresh_run_id", "last_refresh_pages"}
     assert store.clear(schemas, "r3") == {"employees": 1, "organizations": 1}
     assert store.read("employees", schemas["employees"]).count() == 0
 

@@ -67,6 +67,8 @@ def test_name_split(spark):
         "One   Two": ("One", "Two", None),
         "A\tB C": ("A\tB", "C", None),
         "Last, \tFirst\tX Y": ("Last", "First\tX", "Y"),
+        "Last,\t A": ("Last", "A", None),
+        "Last,\t  A  B": ("Last", "A", "B"),
         "": (None, None, None),
         None: (None, None, None),
     }
