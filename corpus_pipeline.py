@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedplan.llm import bpe, chosen_path, decontaminate, langid, secret_scan
+from feedplan.llm import bpe, chosen_path, decontaminate, langid, secret_scan, words
 from feedplan.sources.staging import staged
 
 #: Probability of its language under which a document is dropped.
@@ -49,6 +49,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document."""
+    words.small_batches(spark)
     ids = bpe.encoded(F.col("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     out = docs.select("doc_id", "lang", "source", ids.alias("ids"))
     return out.withColumn("n_tokens", F.size("ids").cast("bigint"))

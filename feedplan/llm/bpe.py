@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedplan.llm.merges import NEVER, Merges
-from feedplan.llm.words import slices
+from feedplan.llm.words import slices, small_batches
 
 #: Pieces whose tokens a Python worker remembers: bounds its memory, not the result.
 REMEMBERED = 600_000
@@ -172,4 +172,5 @@ def digests(text: Column, path: str, pattern: str) -> Column:
 
 def token_digests(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: its id, token count and digests. Nothing is shuffled."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_column), digests(F.col(text_column), path, pattern).alias("__d")).select(id_column, "__d.*")

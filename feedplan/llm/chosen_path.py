@@ -38,7 +38,8 @@ from feedplan.llm.bitmaps import bitmap, held
 from feedplan.llm.components import components
 from feedplan.llm.groups import whole_groups
 from feedplan.llm.shingles import distinct, shingles
-from feedplan.llm.words import mix, seeded, slices
+from feedplan.llm.words import mix, seeded, slices, small_batches
+from feedplan.operators.lookup import lookup, salts_of
 from feedplan.sources.staging import staged
 
 #: Bits of the filter on documents to verify: a fixed size.
@@ -141,7 +142,8 @@ def _candidates(sets: DataFrame, paths: Paths) -> DataFrame:
     edges = []
     for level in range(paths.levels):
         sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        members = staged(members.join(sizes, "bucket"), "members")
+        # a frequent bucket's members are many rows of one key: the lookup lets them be split over tasks
+        members = staged(lookup(members, sizes, {"bucket": "bucket"}, "node", how="inner"), "members")
         small = members.where(F.col("size") <= paths.bucket).select("bucket", "node").join(sets.select("node", "n", "sketch"), "node")
         edges.append(_compared(small, paths))
         large = members.where(F.col("size") > paths.bucket)
@@ -231,7 +233,8 @@ def _verified(texts: DataFrame, paths: Paths) -> DataFrame:
             columns = [np.concatenate(c) for c in zip(*out, strict=True)]
             yield pa.record_batch([pa.array(c.astype(np.int64)) for c in columns], ["node", "links", "root"])
 
-    ordered = texts.repartition("block").sortWithinPartitions("block")
+    # the work of a block is not in proportion to its bytes: tasks must not be merged by size
+    ordered = texts.repartition(salts_of(texts.sparkSession), "block").sortWithinPartitions("block")
     return ordered.mapInArrow(verify, "node bigint, links bigint, root bigint")
 
 
@@ -270,6 +273,7 @@ def _links(value, doc, node, side, copies, paths):  # noqa: ANN001, ANN202
 
 def joined(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", paths: Paths | None = None) -> DataFrame:
     """One row per document: its group `class_id`, the document `copy_of` that stands for its set, and `n_links`."""
+    small_batches(docs.sparkSession)
     paths = paths or Paths()
     docs = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     rows = staged(_rows(docs, paths), "rows")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedplan.operators.lookup import lookup
 from feedplan.sources.staging import staged
 
 
@@ -20,10 +21,11 @@ def components(edges: DataFrame) -> DataFrame:
     pairs, before = staged(pairs, "edges"), None
     while True:
         both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
+        # a node with very many neighbours: the lookup lets its edges be split over tasks
+        large = lookup(both, least, {"a": "k"}, "b", how="inner").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k")
+        small = lookup(large, least, {"a": "k"}, "b", how="inner").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         pairs = staged(small.select("e.*").where("a <> b").distinct(), "edges")
         state = tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == before:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedplan.llm.shingles import distinct, shingles
-from feedplan.llm.words import mix, seeded, slices
+from feedplan.llm.words import mix, seeded, slices, small_batches
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -176,6 +176,7 @@ def with_leaks(
     column: str = "leaks",
 ) -> DataFrame:
     """The documents with a list of the items that each contains, with shared and all shingles of the item."""
+    small_batches(docs.sparkSession)
     theirs = items.select(F.col(item_id).cast("bigint").alias("__item"), F.col(item_text).alias("__text"))
     theirs = theirs.where(F.col("__item").isNotNull() & F.col("__text").isNotNull())
     sizes = theirs.agg(F.coalesce(F.sum(F.length("__text")), F.lit(0))).first()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedplan.llm.words import bytes_of, slices
+from feedplan.llm.words import bytes_of, slices, small_batches
 
 UNKNOWN = "und"
 PAD = 256
@@ -275,6 +275,7 @@ def with_languages(
 ) -> DataFrame:
     """The documents with a struct (lang_pred, score), from a network trained on those that are not held out. Nothing
     but the sample is shuffled."""
+    small_batches(docs.sparkSession)
     how = how or Training()
     fit = docs.where(F.col(id_column).isNotNull() & ~held_out(id_column))
     network = train(*sample(fit, label_column, text_column, how), how)

@@ -24,6 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedplan.llm.words import small_batches
+
 KINDS = ("email", "ip", "card", "phone")
 
 # What identifiers look like.
@@ -315,6 +317,7 @@ def joined_spans(spans: Column) -> Column:
 
 def span_digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: counts of the identifiers it shows, their digest, all spans, and how many were disguised."""
+    small_batches(docs.sparkSession)
     found = docs.select(id_column, personal_data(F.col(text_column)).alias("__s"))
     shown = F.filter("__s", lambda s: ~s["disguised"])
     counts = [F.expr(f"cast(size(filter(__s, s -> not s.disguised and s.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in KINDS]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedplan.llm.words import Words, grams, slices, span_hashes
+from feedplan.llm.words import Words, grams, slices, small_batches, span_hashes
 
 #: Characters that count as symbols.
 _SYMBOL = np.zeros(256, bool)
@@ -198,4 +198,5 @@ def repetition(text: Column, limits: Limits | None = None) -> Column:
 
 def verdicts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", limits: Limits | None = None) -> DataFrame:
     """One row per document. Nothing is shuffled."""
+    small_batches(docs.sparkSession)
     return docs.select(id_column, repetition(F.col(text_column), limits).alias("__r")).select(id_column, "__r.*")

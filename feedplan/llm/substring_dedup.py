@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 from feedplan.llm.bitmaps import bitmap, held
 from feedplan.llm.fm_index import FMIndex
 from feedplan.llm.groups import whole_groups
-from feedplan.llm.words import Words, grams, mix, slices
+from feedplan.llm.words import Words, grams, mix, slices, small_batches
 
 WIDTH = 35
 ANCHOR = 8
 #: Bits of the bitmaps of anchors that occur again, and of those in more than HOT texts: fixed sizes.
 BITS, HOT_BITS = 27, 22
-HOT = 5_000
+HOT = 1_000
 #: Bytes of text of one index: bounds the memory of a task.
 SHARD_BYTES = 2_400_000
 
@@ -225,6 +225,7 @@ def removed_words(n: int, runs: list[tuple[int, list[int]]] | None, copies: int,
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH) -> DataFrame:
     """One row per document: its words, how many are removed, and the digest of the kept text."""
+    small_batches(docs.sparkSession)
     keyed = _keyed(docs.select(id_column, text_column), text_column)
     copies = keyed.groupBy("__k1", "__k2").agg(F.count(F.lit(1)).alias("__copies")).where("__copies > 1")
     runs = repeated_runs(docs, text_column, width).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("runs").alias("__runs"))

@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedplan.llm.words import small_batches
+
 from feedplan.llm.merges import END, NEVER, Merges
 
 #: States and pieces that a Python worker keeps compiled: bounds its memory, not the result.
@@ -268,6 +270,7 @@ def token_count(text: Column, path: str) -> Column:
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document. Nothing is shuffled."""
+    small_batches(docs.sparkSession)
     text = F.col(text_column)
     counted = docs.select(id_column, F.coalesce(F.octet_length(text).cast("bigint"), F.lit(0).cast("bigint")).alias("n_bytes"), token_count(text, path).alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

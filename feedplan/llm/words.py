@@ -13,11 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 #: Bytes that part words: fixed values.
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,6 +46,12 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long: let Arrow hand over fewer of them at once than the default, which is made for short rows."""
+    if int(spark.conf.get(_ROWS)) > rows:
+        spark.conf.set(_ROWS, str(rows))
+
+
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts, and where each text starts (one more entry for the end). Null is empty."""
     if isinstance(texts, pa.ChunkedArray):
