@@ -298,8 +298,9 @@ def joined(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         "s1", "s2", F.when(root >= -1, root).otherwise(F.col("least")).alias("class_id"),
         F.col("least").alias("copy_of"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
-    alone = F.col("n") == 0  # sets without shingles stay apart
-    return rows.select("id", "s1", "s2", "n").join(answer, ["s1", "s2"], "left").select(
+    alone = F.col("n") == 0  # sets without shingles stay apart: they ask for no answer
+    keyed = [F.when(F.col("n") > 0, F.col(c)).alias(c) for c in ("s1", "s2")]
+    return lookup(rows.select("id", "n", *keyed), answer, {"s1": "s1", "s2": "s2"}, "id").select(
         F.col("id").alias(id_column),
         F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(alone, F.col("id")).otherwise(F.col("copy_of")).alias("copy_of"),

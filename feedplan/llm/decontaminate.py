@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from feedplan.llm.shingles import distinct, shingles
 from feedplan.llm.words import mix, seeded, slices, small_batches
+from feedplan.operators.lookup import lookup
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -159,7 +160,8 @@ def _by_joins(docs: DataFrame, text: Column, items: DataFrame, size: int, thresh
     )
     lists = shared.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("item_id", "n_shared", "n_shingles"))).alias(column))
     none = F.expr("cast(array() as array<struct<item_id: bigint, n_shared: bigint, n_shingles: bigint>>)")
-    found = docs.withColumn("__key", key).join(lists, "__key", "left").drop("__key")
+    asked = docs.withColumns({"__key": key, "__row": F.monotonically_increasing_id()})  # the row only spreads what has no key
+    found = lookup(asked, lists, {"__key": "__key"}, "__row").drop("__key", "__row")
     return found.withColumn(column, F.coalesce(column, none))
 
 

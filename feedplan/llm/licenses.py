@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedplan.operators.lookup import lookup
+
 # Words that make a line a notice, and names of licence files.
 NOTICE = r"(?i)(licen[sc]e|copyright|all rights reserved|warrant(y|ies)|redistribut|permission is hereby|public domain|spdx)"
 LICENCE_FILE = r"(?i)(^|/)(licen[sc]e|copying|copyright|notice|unlicense)([._-][a-z0-9._-]*)?$"
@@ -152,8 +154,8 @@ def scanned(files: DataFrame, known: DataFrame, id_column: str, path: Column, te
     base = files.select(F.col(id_column).alias("id"), path.alias("path"), notice.alias("notice"), F.when(noticed, words(text)).alias("n_words"), named.alias("named"))
     base = base.withColumn("dir", F.regexp_extract(F.col("path"), "^(.*/)[^/]*$", 1))
     best = scored(base.where("notice is not null").select(F.col("notice").alias("text")), known)
-    # many files share one notice: the few distinct ones are joined back
-    matched = base.join(best.withColumnRenamed("text", "notice"), "notice", "left")
+    # many files share one notice, and most have none: the lookup spreads both over tasks
+    matched = lookup(base, best, {"notice": "text"}, "id")
     near = F.coalesce(F.col("cosine") >= how.cosine, F.lit(False))
     file_like = F.col("named") | (words(F.col("notice")) >= how.share * F.col("n_words"))
     matched = matched.select(
@@ -175,7 +177,7 @@ def scanned(files: DataFrame, known: DataFrame, id_column: str, path: Column, te
         .agg(F.max(F.struct(F.length("above").alias("depth"), "above", "licence")).alias("x"))
         .select("dir", F.col("x.licence").alias("inherited"), F.col("x.above").alias("inherited_from"))
     )
-    out = matched.join(nearest, "dir", "left")
+    out = lookup(matched, nearest, {"dir": "dir"}, "id")
     by = F.when(F.col("own").isNotNull(), "header").when(F.col("inherited").isNotNull() & F.col("path").isNotNull(), "inherited").otherwise("none")
     return out.select(
         F.col("id").alias(id_column), "path", F.when(by == "header", F.col("own")).when(by == "inherited", F.col("inherited")).alias("licence"),

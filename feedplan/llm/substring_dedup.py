@@ -35,6 +35,7 @@ from feedplan.llm.bitmaps import bitmap, held
 from feedplan.llm.fm_index import FMIndex
 from feedplan.llm.groups import whole_groups
 from feedplan.llm.words import Words, grams, mix, slices, small_batches
+from feedplan.operators.lookup import lookup
 
 WIDTH = 35
 ANCHOR = 8
@@ -247,4 +248,6 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             )
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return keyed.join(marks, ["__k1", "__k2"], "left").mapInArrow(finish, f"{id_column} {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
+    # very many rows may have one text: the lookup lets them be split over tasks
+    marked = lookup(keyed, marks, {"__k1": "__k1", "__k2": "__k2"}, id_column)
+    return marked.mapInArrow(finish, f"{id_column} {kind}, n_words bigint, n_removed bigint, kept_sha256 string")
