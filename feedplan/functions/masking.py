@@ -63,13 +63,6 @@ def mask_nested(c: Column, dtype: T.DataType, keys: Iterable[str] = SENSITIVE_KE
     return rebuild(c, dtype)
 
 
-def mask_json(c: Column, schema: T.DataType | str, keys: Iterable[str] = SENSITIVE_KEYS) -> Column:
-    """JSON text of a known shape, with sensitive values masked."""
-    dtype = schema if isinstance(schema, T.DataType) else T._parse_datatype_string(schema)
-    parsed = F.from_json(c, dtype)
-    return F.to_json(mask_nested(parsed, dtype, keys), {"ignoreNullFields": "false"})
-
-
 def mask_json_text(c: Column, keys: Iterable[str] = SENSITIVE_KEYS) -> Column:
     """JSON text of unknown shape: scalar values of sensitive keys masked.
 

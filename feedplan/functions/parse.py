@@ -104,7 +104,7 @@ def kv_pairs(c: str) -> str:
 
 
 def manager_ref(c: str) -> str:
-    """First run of digits in ``manager_id: …`` / ``manager=…``, or in the
+    """Fixed pattern: first run of digits in ``manager_id: …`` / ``manager=…``, or in the
     whole cell when neither label occurs; leading zeros stay."""
     labelled = rf"(?iUs)^.*?(?:manager_id|manager)[{WS}]*[:=][{WS}]*([^;]+).*$"
     rest = f"regexp_replace({c}, {regex(labelled)}, '$1')"
@@ -112,11 +112,11 @@ def manager_ref(c: str) -> str:
 
 
 def logon_flag(c: str) -> str:
-    """``'true'`` / ``'false'`` from ``disabled: …``; unknown words are NULL."""
+    """Fixed pattern: ``'true'`` / ``'false'`` from ``disabled: …``; unknown words are NULL."""
     word = f"lower({strip(_group(c, rf'(?iU)disabled[{WS}]*[:=][{WS}]*([^;]+)'))})"
     return one_of(dict.fromkeys(FLAG_ON, "true") | dict.fromkeys(FLAG_OFF, "false"), word)
 
 
 def role_name(c: str) -> str:
-    """Text after ``role=`` / ``role:`` up to the next ``;``."""
+    """Fixed pattern: text after ``role=`` / ``role:`` up to the next ``;``."""
     return trim_to_null(_group(c, rf"(?iU)role[{WS}]*[:=][{WS}]*([^;]+)"))

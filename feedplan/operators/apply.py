@@ -256,13 +256,24 @@ def apply_to_target(items: DataFrame, target: DataFrame) -> DataFrame:
     Several items for one record are merged to the last one.  New records have
     no ``_ouid`` until the target numbers them and the next refresh reads it.
     """
+    return upsert(target, _last_rows(items, target), "_id", kept=_OWNED)
+
+
+def changed_records(items: DataFrame, target: DataFrame) -> DataFrame:
+    """The records that a plan inserts or updates in a target table, and no others: the table is read, but not moved."""
+    incoming = _last_rows(items, target)
+    touched = target.join(incoming.select("_id"), "_id", "left_semi")
+    return upsert(touched, incoming, "_id", kept=_OWNED).drop("op")
+
+
+def _last_rows(items: DataFrame, target: DataFrame) -> DataFrame:
     rows = target_rows(items)
     keys = row_key(rows)
     # the place of the last item is found on narrow rows; its record is joined back
     place = F.max(F.struct(*keys)) if len(keys) > 1 else F.max(keys[0])
     last = rows.select("_id", *keys).groupBy("_id").agg(place.alias("__last"))
     last = last.select("_id", "__last.*") if len(keys) > 1 else last.withColumnRenamed("__last", keys[0])
-    return upsert(target, rows.join(last, ["_id", *keys], "left_semi").select(*target.columns), "_id", kept=_OWNED)
+    return rows.join(last, ["_id", *keys], "left_semi").select(*target.columns)
 
 
 def apply_counters(outcome: DataFrame, skipped: Column) -> DataFrame:

@@ -20,6 +20,7 @@ from feedplan.operators.lookup import lookup
 from feedplan.operators.matching import match_key
 from feedplan.sources.staging import staged
 
+# Columns of the snapshots.
 USER_COLUMNS = {
     "_id": "string",
     "_ouid": "bigint",

@@ -11,6 +11,7 @@ from feedplan.operators.validate import FieldRule, email_form, must_be_empty, mu
 
 DATASET = "employees"
 
+# Columns of a feed, and the parts of a business key in order.
 RAW_COLUMNS = (
     "raw_id", "full_name", "login", "email_or_phone", "contacts",
     "org", "manager", "flags", "employment", "extra",
@@ -18,7 +19,7 @@ RAW_COLUMNS = (
 
 KEY_PARTS = ("last_name", "first_name", "middle_name", "personnel_number")
 
-# Canonical columns in the order of the desired state.
+# Canonical columns in the order of the desired state.
 DESIRED = (
     "email", "last_name", "first_name", "middle_name", "is_logon_disable", "user_name", "phone",
     "personnel_number", "manager_id", "organization_id", "position", "avatar_id", "usr_org_tab_num",
@@ -62,7 +63,7 @@ def normalize_rules() -> list[NormalizeRule]:
 
 
 def validation_rules() -> list[FieldRule]:
-    """Required fields in report order, then the avatar."""
+    """Required fields in report order under their public names, then the avatar."""
     email = (email_form("email"),)
     org = (
         positive_int("organization_id"),
@@ -86,6 +87,7 @@ def validation_rules() -> list[FieldRule]:
 
 
 def diff_rules() -> list[FieldDiff]:
+    """Names of compared fields, columns of the target and of the desired row."""
     return [
         text_diff("mail", "mail", "email"),
         text_diff("last_name", "last_name", "last_name"),

@@ -49,6 +49,7 @@ list_transform(list_filter(list_transform(regexp_split_to_array({cell}, '[;|,]')
 
 
 def _tokens(cell: str) -> str:
+    # fixed values: what an address and a phone number look like
     return _TOKENS.format(cell=cell, ws=_TRIM, email=r"[^\s,;|]+@[^\s,;|]+", phone=r"[+\d][\d\s()\-]{5,}")
 
 
@@ -97,6 +98,7 @@ def _errors(*rules: tuple[str, str]) -> str:
     return "list_filter([" + ", ".join(f"case when {when} then {e} end" for when, e in rules) + "], lambda e: e is not null)"
 
 
+# Required fields and their public names.
 _REQUIRED = {
     "email": "email", "last_name": "lastName", "first_name": "firstName", "middle_name": "middleName",
     "is_logon_disable": "isLogonDisable", "user_name": "userName", "phone": "phone", "password": "password",
@@ -123,6 +125,7 @@ def _validation() -> str:
     return _errors(*rules)
 
 
+# Compared fields, with what they are compared as.
 _DIFF = {
     "mail": (_nw("t.mail"), _nw("v.email")),
     "last_name": (_nw("t.last_name"), _nw("v.last_name")),
@@ -441,6 +444,19 @@ from users u join customer on c_custkey = u.k""",
     "enrich_rows": f"select line_no, match_key, manager_id, resource_id, usr_org_tab_num, code_generated, secret_generated, {_CODES_ERRORS} as codes from enriched",
     "id_allocate": f"select line_no, case when concat('id-', line_no) in (select _id from target) then {_id('2')} else concat('id-', line_no) end as resource_id, case when concat('id-', line_no) in (select _id from target) then 2 end as id_pick from feed",
     "code_allocate": f"select line_no, code_pick, case when code_pick > 0 then {_code('code_pick')} end as code from code_pick",
+    "normalize_checks": """
+select line_no, cast(row_number() over (partition by line_no order by i) - 1 as bigint) as ord, 'NORMALIZE' as stage, code, field from (
+  select line_no, 1 as i, 'REQUIRED_FIELD_MISSING' as code, 'user_name' as field from mapped where user_name is null
+  union all select line_no, 2, 'REQUIRED_FIELD_MISSING', 'email' from mapped where email is null
+  union all select line_no, 3, 'INVALID_INT', 'organization_id' from normal where failed
+  union all select line_no, 4, 'TOO_LARGE', 'organization_id' from normal where organization_id > 10)""",
+    "payload_errors": """
+select o_orderkey as line_no, error, case when error is null then o_orderkey % 3 = 0 end as disabled,
+  case when error is null and o_orderkey % 4 = 0 then 5 end as manager_id,
+  case when error is null then case o_orderkey % 5 when 0 then 7 else 10 end end as organization_id
+from (select o_orderkey, case when o_orderkey % 5 = 3 then 'Missing required fields for payload: organization_id'
+    when o_orderkey % 3 = 1 then 'Invalid boolean value for isLogonDisabled' when o_orderkey % 4 = 2 then 'manager_id is no integer'
+    when o_orderkey % 5 in (1, 4) then 'organization_id is no integer' end as error from orders)""",
     "header_contract": "select count(*) as n_records, c as left_out, concat('Missing required columns in source CSV: ', c) as verdict from feed, (select unnest([" + ", ".join(f"'{c}'" for c in _CELLS) + "]) as c) group by c",
     "enrich_rows_files": f"select source_id, line_no, match_key, manager_id, resource_id, usr_org_tab_num, code_generated, {_CODES_ERRORS} as codes from by_files",
     "code_allocate_narrow": f"select line_no, code_pick, case when code_pick > 0 then {_code('code_pick', width=3)} end as code from narrow_pick",

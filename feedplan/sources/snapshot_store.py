@@ -4,6 +4,11 @@
 manifest rows of all of them in one write.  Readers follow the manifest, so a
 commit is visible as a whole or not at all, and a repeated commit of the same
 version overwrites only its own files.
+
+``commit_changes`` writes the changed rows of a table only.  A reader takes the
+last whole version and replaces the keys that later changes have touched; after
+``COMPACT`` changes in a row the next one is written as a whole table again.
+One process writes at a time.
 """
 
 from __future__ import annotations
@@ -15,7 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-_MANIFEST = "dataset string, version bigint, run_id string, committed_at timestamp, meta map<string,string>"
+_MANIFEST = "dataset string, version bigint, run_id string, committed_at timestamp, meta map<string,string>, key string"
+#: Versions of changes that a reader has to put together at most.
+COMPACT = 16
 
 
 class SnapshotStore:
@@ -41,10 +48,44 @@ class SnapshotStore:
 
     def read(self, dataset: str, schema: T.StructType, before: int | None = None) -> DataFrame:
         """The table as of a version; empty when nothing is committed yet."""
-        version = self.current_version(dataset, before)
-        if version is None:
+        whole, changes, key = self._versions(dataset, before)
+        if whole is None:
             return self._spark.createDataFrame([], schema)
-        return self._spark.read.schema(schema).parquet(self._path(dataset, version))
+        table = self._spark.read.schema(schema).parquet(self._path(dataset, whole))
+        if not changes:
+            return table
+        parts = [
+            self._spark.read.schema(schema).parquet(self._path(dataset, v)).withColumn("__version", F.lit(v)) for v in changes
+        ]
+        later = parts[0]
+        for part in parts[1:]:
+            later = later.unionByName(part)
+        last = later.groupBy(key).agg(F.max("__version").alias("__version"))
+        # few keys against the whole table: Spark sends them to it when they are small
+        kept = table.join(last.select(key), key, "left_anti")
+        return kept.unionByName(later.join(last, [key, "__version"], "left_semi").select(*table.columns))
+
+    def _versions(self, dataset: str, before: int | None) -> tuple[int | None, list[int], str | None]:
+        """The last whole version, the versions of changes after it, and their key."""
+        rows = self.manifest().filter(F.col("dataset") == dataset)
+        if before is not None:
+            rows = rows.filter(F.col("version") < before)
+        whole = rows.filter(F.col("key").isNull()).agg(F.max("version")).first()[0]
+        if whole is None:
+            return None, [], None
+        later = rows.filter((F.col("version") > whole) & F.col("key").isNotNull())
+        found = later.agg(F.sort_array(F.collect_set("version")), F.max("key")).first()
+        return whole, list(found[0]), found[1]
+
+    def commit_changes(self, dataset: str, changes: DataFrame, schema: T.StructType, key: str, run_id: str, version: int) -> None:
+        """Publish new and changed rows, unique by key, as a version."""
+        whole, so_far, _ = self._versions(dataset, version)
+        if whole is None or len(so_far) >= COMPACT:
+            rest = self.read(dataset, schema, version).join(changes.select(key), key, "left_anti")
+            self.commit({dataset: rest.unionByName(changes)}, run_id, version=version)
+            return
+        changes.write.mode("overwrite").parquet(self._path(dataset, version))
+        self._publish([(dataset, version, run_id, {}, key)])
 
     def commit(
         self,
@@ -59,14 +100,14 @@ class SnapshotStore:
         for dataset, table in tables.items():
             number = version if version is not None else (self.current_version(dataset) or 0) + 1
             table.write.mode("overwrite").parquet(self._path(dataset, number))
-            published.append((dataset, number, run_id, dict(meta.get(dataset, {}))))
-        rows = self._spark.createDataFrame(
-            published, "dataset string, version bigint, run_id string, meta map<string,string>"
-        )
-        rows.select("dataset", "version", "run_id", F.current_timestamp().alias("committed_at"), "meta").coalesce(
-            1
-        ).write.mode("append").parquet(f"{self._root}/manifest")
-        return {dataset: number for dataset, number, _, _ in published}
+            published.append((dataset, number, run_id, dict(meta.get(dataset, {})), None))
+        self._publish(published)
+        return {row[0]: row[1] for row in published}
+
+    def _publish(self, published: list[tuple]) -> None:
+        rows = self._spark.createDataFrame(published, "dataset string, version bigint, run_id string, meta map<string,string>, key string")
+        rows = rows.select("dataset", "version", "run_id", F.current_timestamp().alias("committed_at"), "meta", "key")
+        rows.coalesce(1).write.mode("append").parquet(f"{self._root}/manifest")
 
     def clear(self, schemas: Mapping[str, T.StructType], run_id: str) -> dict[str, int]:
         """Publish empty versions; returns the number of removed rows."""

@@ -1,7 +1,8 @@
 """Incremental synchronisation: each batch of files is planned against the
 snapshot that the previous batch left, and merged into the next version.
 
-A version is named by its batch.  When a batch is repeated after a failure it
+A batch writes the records it changes, not the snapshot, which is put together
+when it is read. A version is named by its batch.  When a batch is repeated after a failure it
 reads the same previous version and overwrites its own, so the result does
 not change.  There is no event time: the last arrival of a key wins.
 """
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from feedplan.functions.text import clean_null_token
-from feedplan.operators.apply import apply_to_target
+from feedplan.operators.apply import changed_records
 from feedplan.plans import employees, sync
 from feedplan.sources.snapshot_store import SnapshotStore
 
@@ -55,8 +56,7 @@ def apply_batch(
     raw = batch.selectExpr(source, "line_no", "concat('line:', line_no) as record_id", *cells)
     target = store.read(DATASET, snapshot_schema(), before=version)
     plan = sync.plan_import(raw, target, orgs, employees.enrich_spec(run_id), vault=vault)
-    table = apply_to_target(plan.items, target).drop("op")
-    store.commit({DATASET: table}, run_id, version=version)
+    store.commit_changes(DATASET, changed_records(plan.items, target), snapshot_schema(), "_id", run_id, version)
 
 
 def incremental_sync(

@@ -207,3 +207,13 @@ def test_apply_report(spark):
     assert found[2].status == "OK" and found[2].errors == []
     assert [(e.stage, e.code, e.message) for e in found[3].errors] == [("APPLY", "CONFLICT", "update failed: CONFLICT")]
     assert found[3].context == {"op": "update", "resource_id": "b"}
+
+
+def test_a_plan_kept_as_one_document(spark, tmp_path):
+    good = {"row_id": "line:2", "line_no": 2, "op": "create", "resource_id": "r", "desired_state": {"email": "e", "password": "***"},
+            "changes": {}, "source_ref": {"match_key": "k"}, "secret_fields": ["password"]}
+    plan = {"meta": {"dataset": "d"}, "summary": None, "items": [good, "junk", None, [1], {"row_id": 5, "line_no": "x", "desired_state": []}]}
+    (tmp_path / "plan.json").write_text(json.dumps(plan, indent=1))
+    first, second = artifacts.read_plan_document(spark, str(tmp_path / "plan.json")).orderBy("pos").collect()
+    assert (first.row_id, first.line_no, first.desired_state, first.source_ref) == ("line:2", 2, {"email": "e"}, {"match_key": "k"})
+    assert (second.row_id, second.line_no, second.op, second.desired_state, second.secret_fields) == ("5", None, "", {}, [])

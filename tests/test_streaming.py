@@ -5,6 +5,7 @@ from helpers import feed, orgs, users
 from feedplan.operators import vault
 from feedplan.operators.apply import apply_to_target
 from feedplan.plans import employees, sync
+from feedplan.sources import snapshot_store
 from feedplan.sources.snapshot_store import SnapshotStore
 from feedplan.sources.staging import new_folder
 from feedplan.streaming import incremental
@@ -48,3 +49,20 @@ def test_files_that_number_from_two_lose_nobody(spark):
     assert sorted(r.last_name for r in final.collect()) == [f"P{i}" for i in range(5)]
     assert final.select("_id").distinct().count() == 5 and store.current_version(incremental.DATASET) == 5
     assert sorted(r.value for r in vault.read_vault(spark, f"{folder}/vault").collect()) == [f"p{i}" for i in range(5)]
+
+
+def test_changes_are_put_together_and_compacted(spark, monkeypatch):
+    monkeypatch.setattr(snapshot_store, "COMPACT", 2)
+    store = SnapshotStore(spark, new_folder(spark, "store"))
+    schema = incremental.snapshot_schema()
+    store.commit({"employees": users(spark, {"_id": "a"}, {"_id": "b"})}, "r", version=1)
+    expected = {"a": "mquint", "b": "mquint"}
+    for version, names in enumerate([{"b": "two"}, {"c": "three"}, {"b": "four", "d": "four"}, {"a": "five"}], 2):
+        changes = users(spark, *[{"_id": i, "user_name": n} for i, n in names.items()])
+        for _ in range(2):  # a repeated commit changes nothing
+            store.commit_changes("employees", changes, schema, "_id", "r", version)
+        expected |= names
+        assert {r._id: r.user_name for r in store.read("employees", schema).collect()} == expected
+        assert store.read("employees", schema).count() == len(expected)
+    assert store._versions("employees", None)[:2] == (4, [5])
+    assert {r._id: r.user_name for r in store.read("employees", schema, before=3).collect()} == {"a": "mquint", "b": "two"}
