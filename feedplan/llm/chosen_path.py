@@ -38,6 +38,7 @@ from feedplan.llm.bitmaps import bitmap, held
 from feedplan.llm.components import components
 from feedplan.llm.groups import whole_groups
 from feedplan.llm.shingles import distinct, shingles
+from feedplan.llm.shingles import sets as sets_of
 from feedplan.llm.words import mix, seeded, slices, small_batches
 from feedplan.operators.lookup import lookup, salts_of
 from feedplan.sources.staging import staged
@@ -50,7 +51,7 @@ _CODE = 0xFF
 @dataclass(frozen=True)
 class Paths:
     """Shingle size, threshold, recall of a pair at the threshold; expected branches of a set at the first level,
-    levels, sets of a bucket that is compared, bins of a sketch, sets of a block that is verified."""
+    levels, sets of a bucket that is compared, bins of a sketch; sets, and shingles, of a block that is verified."""
 
     shingle: int = 5
     threshold: float = 0.8
@@ -59,7 +60,8 @@ class Paths:
     levels: int = 3
     bucket: int = 128
     bins: int = 64
-    block: int = 512
+    block: int = 256
+    block_shingles: int = 2_000_000
 
     def chosen(self, level: int) -> float:
         """Expected branches of a set: after the first level just enough for a pair at the threshold to share one."""
@@ -182,7 +184,7 @@ def _compared(members: DataFrame, paths: Paths) -> DataFrame:
                 x, y = sketch[a], sketch[b]
                 filled = np.maximum(((x > 0) | (y > 0)).sum(1), 1)
                 same = ((x == y) & (x > 0)).sum(1)
-                # six standard deviations below the threshold
+                # more than six standard deviations below the threshold
                 good = same / filled >= paths.threshold - 3 / np.sqrt(filled)
                 links.append((a[good], b[good]))
             a, b = (np.concatenate([x[i] for x in links]) for i in range(2))
@@ -223,7 +225,7 @@ def _verified(texts: DataFrame, paths: Paths) -> DataFrame:
         for table in whole_groups(batches, "block", 1 << 22, "text"):
             block = table["block"].to_numpy()
             bounds = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]])
-            value, doc = distinct(*shingles(table["text"], paths.shingle))
+            value, doc = sets_of(table["text"].combine_chunks(), paths.shingle)
             node, side, copies = (table[c].to_numpy() for c in ("node", "side", "copies"))
             ends = np.searchsorted(doc, bounds)
             out: list[tuple] = []
@@ -311,9 +313,10 @@ def joined(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 def _exact(docs: DataFrame, sets: DataFrame, groups: DataFrame, paths: Paths) -> DataFrame:
     """(node, links, root) by exact verification inside the candidate groups."""
     spark = docs.sparkSession
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    members = groups.join(sizes, "root").join(sets.select("node", "s1", "s2", "copies"), "node")
-    blocks = F.ceil(F.col("size") / paths.block)
+    members = groups.join(sets.select("node", "n", "s1", "s2", "copies"), "node")
+    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
+    members = members.join(sizes, "root")
+    blocks = F.greatest(F.ceil(F.col("size") / paths.block), F.ceil(F.col("total") / paths.block_shingles))
     members = members.select(
         "node", "root", "copies", "s1", "s2", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).alias("own"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from feedplan.llm.words import Words, grams, mix
+from feedplan.llm.words import Words, grams, mix, slices
 
 
 def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -34,6 +34,17 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return value[order], doc[order]
 
 
+def sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of many texts, in order of text, found in parts of bounded size."""
+    values, docs, before = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    for part in slices([pa.record_batch([texts], ["t"])], "t"):
+        value, doc = distinct(*shingles(part.column("t"), size))
+        values.append(value)
+        docs.append(doc + before)
+        before += part.num_rows
+    return np.concatenate(values), np.concatenate(docs)
+
+
 def distinct(value: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The set of values of each text, in order of text and value."""
     order = np.lexsort((value, doc))

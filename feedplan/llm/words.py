@@ -100,11 +100,21 @@ class Words:
         return span_hashes(self.data, self.start, self.end)
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span; spans are in order, do not overlap and are not empty."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, part: int = 1 << 22) -> np.ndarray:
+    """A 64-bit hash of each byte span; spans are not empty. Worked off in parts of about `part` bytes, whatever
+    the size of the text."""
     size = end - start
+    total = np.cumsum(size)
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + part, "right")))
+        out[at:to] = _hashes(data, start[at:to], size[at:to])
+        at = to
+    return out
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     at = np.cumsum(size) - size
     inner = np.arange(int(size.sum())) - np.repeat(at, size)
     terms = _BYTE[data[inner + np.repeat(start, size)]]

@@ -86,3 +86,5 @@ def test_words_match_the_pattern():
     assert found.counts().tolist() == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
     hashes = found.hashes()
     assert len(set(hashes.tolist())) == len(set(got))
+    for part in (1, 3, 10):
+        assert (words.span_hashes(found.data, found.start, found.end, part) == hashes).all()

@@ -69,6 +69,7 @@ def test_equals_brute_force(spark):
 def test_deep_paths_and_blocks(spark):
     # buckets of three sets at most are compared, others are split to the last level; groups are verified in blocks of eight
     check(spark, some_texts(2), Paths(bucket=3, block=8))
+    check(spark, some_texts(3, n=5), Paths(bucket=3, block_shingles=1000))
 
 
 def test_recall_of_pairs_at_the_threshold(spark):
