@@ -28,7 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of similar ones; rows without an id go by their text."""
-    hashed = -F.abs(F.shiftright(F.xxhash64("text"), 1)) - 2
+    hashed = F.lit(1 << 61) + F.shiftrightunsigned(F.xxhash64("text"), 3)
     named = docs.withColumn("__id", F.coalesce("doc_id", hashed))
     groups = chosen_path.joined(named, "__id")
     stays = groups.where(F.col("__id") == F.col("class_id")).select("__id").distinct()

@@ -46,6 +46,7 @@ from feedplan.sources.staging import staged
 #: Bits of the filter on documents to verify: a fixed size.
 BITS = 26
 _CODE = 0xFF
+_NAMELESS = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -279,7 +280,8 @@ def joined(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     paths = paths or Paths()
     docs = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     rows = staged(_rows(docs, paths), "rows")
-    hashed = -F.abs(F.shiftright("s1", 1)) - 2
+    # sets of rows without ids get a number above all ids, so that any id of their group goes first
+    hashed = F.lit(_NAMELESS) + F.shiftrightunsigned("s1", 2)
     sets = (
         rows.where("n > 0")
         .groupBy("s1", "s2")
@@ -297,7 +299,7 @@ def joined(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     answer = sets.select("s1", "s2", "copies", "least", "node").join(found, "node", "left")
     root = F.coalesce("root", "node")
     answer = answer.select(
-        "s1", "s2", F.when(root >= -1, root).otherwise(F.col("least")).alias("class_id"),
+        "s1", "s2", F.when(root < _NAMELESS, root).alias("class_id"),
         F.col("least").alias("copy_of"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
     alone = F.col("n") == 0  # sets without shingles stay apart: they ask for no answer

@@ -97,6 +97,15 @@ def test_rows(odd_docs, no_docs):
     assert joined(no_docs).count() == 0
 
 
+def test_rows_without_ids_join_the_groups_of_others(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(base)), (9, " ".join([*base[:-1], "x"])), (4, " ".join(["y", *base[1:]])), (None, "alone with five words"), (None, " ".join([*base, "z"]))]
+    out = joined(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    expected = [(id_, *x) for (id_, _), x in zip(rows, by_hand(rows), strict=True)]
+    assert sorted(((r.doc_id, r.class_id, r.n_links) for r in out), key=str) == sorted(expected, key=str)
+    assert {r.class_id for r in out} == {4, None}
+
+
 def test_components(spark):
     draw = np.random.default_rng(1)
     edges = [(int(a), int(b)) for a, b in draw.integers(-20, 60, (45, 2))] + [(i, i + 1) for i in range(100, 140)]
