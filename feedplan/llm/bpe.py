@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +28,7 @@ from feedplan.llm.merges import NEVER, Merges
 from feedplan.llm.words import slices, small_batches
 
 #: Pieces whose tokens a Python worker remembers: bounds its memory, not the result.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 
 
 class PrefixTable:
@@ -75,6 +76,37 @@ class PrefixTable:
         return out[::-1]
 
 
+#: Characters up to U+00FF on which the two engines differ: separators that are no white space, and numbers that are no digits.
+_ODD = re.compile("[\x1c-\x1f²³¹¼½¾]").search
+
+
+def _for_latin(pattern: str) -> Callable[[str], list[str]] | None:
+    """The pattern with classes that the standard library has, right for texts up to U+00FF without odd characters."""
+    for ours, theirs in ((r"[^\s\p{L}\p{N}]", r"(?:[^\s\w]|_)"), (r"\p{L}", r"[^\W\d_]"), (r"\p{N}", r"\d")):
+        pattern = pattern.replace(ours, theirs)
+    return None if "\\p" in pattern else re.compile(pattern).findall
+
+
+class Remembered:
+    """Answers by piece, up to a bound. Pieces that were met again stay, the others make room."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.answers: dict = {}
+        self._again: set[str] = set()
+
+    def missing(self, used: set[str]) -> set[str]:
+        """The pieces that have no answer yet; those of the others stay."""
+        new = used.difference(self.answers)
+        met = used - new
+        self._again |= met
+        if len(self.answers) + len(new) > self.most:
+            keep = self._again if len(self._again) <= self.most // 2 else met
+            self.answers = {p: self.answers[p] for p in keep}
+            self._again = set()
+        return new
+
+
 class Encoder:
     """A rank file and the pattern that cuts text into pieces."""
 
@@ -84,18 +116,26 @@ class Encoder:
         self.tokens = {str(i): token for token, i in self.ids.items()}
         ids = self.ids
         self.merges = Merges(lambda a, b: ids.get(a + b, NEVER), ids)
-        self.pieces = regex.compile(pattern).findall
-        self._known: dict[str, str] = {}
-
-    def encode(self, texts: list[str]) -> list[str]:
-        """Ids of each text, joined by blanks."""
-        known, cut = self._known, [self.pieces(t) for t in texts]
-        new = set().union(*cut).difference(known) if cut else set()
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set().union(*cut)
-        self._learn(sorted([p.encode() for p in new]))
-        return [" ".join([known[p] for p in pieces]) for pieces in cut]
+        self._pieces, self._latin = regex.compile(pattern).findall, _for_latin(pattern)
+        self._known = Remembered(REMEMBERED)
+
+    def pieces(self, text: str) -> list[str]:
+        """The matches of the pattern; texts in Latin letters go to the faster engine of the standard library."""
+        if self._latin is not None and _ODD(text) is None:
+            try:
+                text.encode("latin-1")
+                return self._latin(text)
+            except UnicodeEncodeError:
+                pass
+        return self._pieces(text)
+
+    def encode(self, texts: list[str]) -> list[list[str]]:
+        """For each text the ids of its pieces, those of a piece joined by blanks."""
+        cut = [self.pieces(t) for t in texts]
+        used = set().union(*cut) if cut else set()
+        self._learn(sorted([p.encode() for p in self._known.missing(used)]))
+        known = self._known.answers
+        return [list(map(known.__getitem__, pieces)) for pieces in cut]
 
     def _learn(self, pieces: list[bytes]) -> None:
         """Encode pieces in order: each one is an edit behind the beginning that it shares with the one before."""
@@ -105,10 +145,24 @@ class Encoder:
             while shared < limit and piece[shared] == old[shared]:
                 shared += 1
             table.cut(shared).append(piece[shared:])
-            self._known[piece.decode()] = " ".join([str(self.ids[t]) for t in table.tokens()])
+            self._known.answers[piece.decode()] = " ".join([str(self.ids[t]) for t in table.tokens()])
+
+    def decode(self, groups: list[list[str]]) -> list[bytes]:
+        """The bytes of texts given as groups of ids; each different group is decoded once."""
+        spelled: dict[str, bytes] = _Spelled(self.tokens)
+        return [b"".join(map(spelled.__getitem__, g)) for g in groups]
+
+
+class _Spelled(dict):
+    """Bytes of groups of ids, worked out when first asked for."""
+
+    def __init__(self, tokens: dict[str, bytes]):
+        self.tokens = tokens
 
-    def decode(self, ids: list[str]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def __missing__(self, group: str) -> bytes:
+        tokens = self.tokens
+        out = self[group] = b"".join([tokens[i] for i in group.split()])
+        return out
 
 
 def _parts(texts: pa.Array, size: int = 1 << 21) -> Iterator[list[str]]:
@@ -129,7 +183,7 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = encoder(path, pattern)
         for texts in batches:
-            lines = [line for part in _parts(texts) for line in coder.encode(part)]
+            lines = [" ".join(groups) for part in _parts(texts) for groups in coder.encode(part)]
             sizes = [line.count(" ") + 1 if line else 0 for line in lines]
             ids = np.fromstring(" ".join(lines), np.int32, sep=" ") if any(sizes) else np.zeros(0, np.int32)
             yield pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(ids))
@@ -144,7 +198,8 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = encoder(path, pattern)
         for lists in batches:
-            yield pa.array([None if x is None else coder.decode(list(map(str, x))) for x in lists.to_pylist()], pa.binary())
+            texts = coder.decode([[] if x is None else list(map(str, x)) for x in lists.to_pylist()])
+            yield pa.array(texts, pa.binary(), mask=lists.is_null().to_numpy(zero_copy_only=False))
 
     return decode(ids)
 
@@ -157,11 +212,12 @@ def digests(text: Column, path: str, pattern: str) -> Column:
         coder = encoder(path, pattern)
         for texts in batches:
             rows: tuple[list, list, list] = ([], [], [])
-            for line in (x for part in _parts(texts) for x in coder.encode(part)):
-                ids = line.split()
-                rows[0].append(len(ids))
-                rows[1].append(hashlib.sha256(line.encode()).hexdigest())
-                rows[2].append(hashlib.sha256(coder.decode(ids)).hexdigest())
+            for part in _parts(texts):
+                groups = coder.encode(part)
+                lines = [" ".join(g) for g in groups]
+                rows[0].extend([line.count(" ") + 1 if line else 0 for line in lines])
+                rows[1].extend([hashlib.sha256(line.encode()).hexdigest() for line in lines])
+                rows[2].extend([hashlib.sha256(text).hexdigest() for text in coder.decode(groups)])
             yield pa.StructArray.from_arrays(
                 [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())],
                 ["n_tokens", "ids_sha256", "decoded_sha256"],

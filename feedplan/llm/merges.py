@@ -34,6 +34,12 @@ class Merges:
     def __init__(self, rank: Callable[[bytes, bytes], int], known: set[bytes] | dict[bytes, int]):
         self.rank, self.known = rank, known
         self.longest = max(map(len, known))
+        #: Bytes of the longest token that ends with three given ones.
+        self._reach: dict[bytes, int] = {}
+        for token in known:
+            tail = token[-3:]
+            if len(token) >= 3 and len(token) > self._reach.get(tail, 0):
+                self._reach[tail] = len(token)
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self._edges: dict[tuple[bytes, bool], list[tuple[bytes, int]]] = {}
         self._fits: dict[tuple[bytes, bytes], bool] = {}
@@ -98,11 +104,12 @@ class Merges:
 
     def extend(self, data: bytes, size: int, before: list[bytes]) -> None:
         """Append the last tokens of the prefixes longer than `size`; `last` for many prefixes in a row."""
-        known, whole, fits, longest = self.known, self._whole, self._fits, self.longest
+        known, whole, fits, reach = self.known, self._whole, self._fits, self._reach.get
         for end in range(size + 1, len(data) + 1):
-            for start in range(end - longest if end > longest else 0, end):
+            first = end - reach(data[end - 3 : end], 2) if end > 2 else 0
+            for start in range(first if first > 0 else 0, end):
                 token = data[start:end]
-                if token in known and (not start or fits.get((before[start], token), None) or self.fits(before[start], token)):
+                if token in known and (not start or fits.get((before[start], token)) or self.fits(before[start], token)):
                     if whole.get(token) or self.whole(token):
                         before.append(token)
                         break

@@ -26,23 +26,39 @@ def library():
 @given(st.text(alphabet="aé日😀 \n'sta-01#<|the ing", max_size=80))
 def test_equals_the_library(library, text):
     coder = bpe.encoder(PATH, PATTERN)
-    line = coder.encode([text])[0]
-    assert line == " ".join(map(str, library.encode_ordinary(text)))
-    assert coder.decode(line.split()) == text.encode()
+    groups = coder.encode([text, "", text])
+    assert [" ".join(g) for g in groups] == [" ".join(map(str, library.encode_ordinary(t))) for t in (text, "", text)]
+    assert coder.decode(groups) == [text.encode(), b"", text.encode()]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=0xFF), max_size=60))
+def test_both_engines_cut_alike(library, text):
+    coder = bpe.encoder(PATH, PATTERN)
+    assert coder.pieces(text) == coder._pieces(text)
+    assert " ".join(coder.encode([text])[0]) == " ".join(map(str, library.encode_ordinary(text)))
+
+
+def test_every_latin_character_is_cut_alike(library):
+    coder = bpe.encoder(PATH, PATTERN)
+    for c in map(chr, range(256)):
+        for text in (c, f"a{c}b", f" {c}{c} 1{c}", f"'{c}s{c}'s", f"_{c}_"):
+            assert coder.pieces(text) == coder._pieces(text)
+            assert " ".join(coder.encode([text])[0]) == " ".join(map(str, library.encode_ordinary(text)))
 
 
 def test_long_pieces(library):
     texts = ["a" * 3000, " " * 700, "ab" * 900, "<|endoftext|>", "\x00\x01\xa0　ß"]
-    lines = bpe.encoder(PATH, PATTERN).encode(texts)
+    lines = [" ".join(g) for g in bpe.encoder(PATH, PATTERN).encode(texts)]
     assert lines == [" ".join(map(str, library.encode_ordinary(t))) for t in texts]
 
 
 def test_forgetting_changes_nothing(library, monkeypatch):
-    coder = bpe.Encoder(PATH, PATTERN)
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    coder = bpe.Encoder(PATH, PATTERN)
     texts = ["one two three four", "five six one", "two five seven"]
-    assert coder.encode(texts) == [" ".join(map(str, library.encode_ordinary(t))) for t in texts]
-    assert coder.encode(texts[:1]) == [" ".join(map(str, library.encode_ordinary(texts[0])))]
+    for some in (texts, texts[:1], texts[1:]):
+        assert [" ".join(g) for g in coder.encode(some)] == [" ".join(map(str, library.encode_ordinary(t))) for t in some]
 
 
 def test_append_and_edit_equal_encoding_anew():
