@@ -32,10 +32,11 @@ from pyspark.sql import functions as F
 
 from feedplan.llm.words import small_batches
 
+from feedplan.llm.bpe import Remembered
 from feedplan.llm.merges import END, NEVER, Merges
 
 #: States and pieces that a Python worker keeps compiled: bounds its memory, not the result.
-COMPILED = 1_000_000
+COMPILED = 500_000
 CHUNK = 512
 
 # Character classes, and the code points of Unicode's White_Space.
@@ -137,7 +138,7 @@ class PieceCounts:
 
     def __init__(self, merges: Merges):
         self.merges = merges
-        self.known: dict[str, int] = {}
+        self.known = Remembered(COMPILED)
         self._reset()
 
     def _reset(self) -> None:
@@ -177,16 +178,12 @@ class PieceCounts:
         return out
 
     def __call__(self, pieces: list[str]) -> list[int]:
-        known = self.known
-        new = set(pieces).difference(known)
-        if len(known) + len(new) > COMPILED:
-            known.clear()
-            new = set(pieces)
         if len(self.emits) > COMPILED:
             self._reset()
-        ordered = sorted([p.encode() for p in new])
+        ordered = sorted([p.encode() for p in self.known.missing(set(pieces))])
+        known = self.known.answers
         known.update(zip([p.decode() for p in ordered], self.compile(ordered), strict=True))
-        return [known[p] for p in pieces]
+        return list(map(known.__getitem__, pieces))
 
 
 def _byte_letters() -> dict[str, int]:
