@@ -536,7 +536,7 @@ select o_orderkey, case when o_orderkey % 10 = 0 then o_totalprice else o_totalp
   case when o_orderkey % 10 = 0 then 'kept' else 'updated' end as op from orders
 union all select -1 - o_orderkey, o_totalprice + 1, o_orderstatus, 'inserted' from orders where o_orderkey % 10 = 0""",
     "snapshot_status": "select 'organizations' as dataset, count(*) as n_rows from orgs union all select 'employees', count(*) from known",
-    "snapshot_clear": "select 'organizations' as dataset, 0 as n_left, count(*) as n_removed from orgs union all select 'employees', 0, count(*) from known",
+    "snapshot_clear": "select 'organizations' as dataset, cast(0 as bigint) as n_left, count(*) as n_removed from orgs union all select 'employees', 0, count(*) from known",
     "stale_rows": "select _id from known where _id not in (select _id from users where _id is not null)",
     "request_rows": """
 select line_no, decision as op, 'PUT' as method, concat('/managed/user/', resource_id) as path, 'false' as decrypt,
@@ -561,7 +561,7 @@ from order_requests where line_no <= coalesce((select min(line_no) from order_re
     "apply_dry_run": "select case when no_id then 'failed' when op = 'create' then 'created' else 'updated' end as outcome, case when no_id then 'RESOURCE_ID_MISSING' end as code, count(*) as n from order_requests group by all",
     "apply_counters": "select count(*) filter (where outcome = 'created') as created, count(*) filter (where outcome = 'updated') as updated, (select count(*) from customer) as skipped, count(*) filter (where outcome = 'failed') as failed, case when count(*) filter (where code in ('UNAUTHORIZED', 'FORBIDDEN')) > 0 then 2 when count(*) filter (where outcome = 'failed') > 0 then 1 else 0 end as exit_status from applied",
     "apply_to_target": "select * from merged",
-    "incremental_sync": "select case when _ouid is null then 'new' else _id end as _id, 1 as n_same_id, _ouid, match_key, mail, phone, organization_id, is_logon_disabled from merged",
+    "incremental_sync": "select case when _ouid is null then 'new' else _id end as _id, cast(1 as bigint) as n_same_id, _ouid, match_key, mail, phone, organization_id, is_logon_disabled from merged",
 }
 
 

@@ -805,7 +805,7 @@ def snapshot_clear(spark: SparkSession, sf: str) -> DataFrame:
     store = _committed(spark, sf)
     schemas = {d: _schema(d) for d in sync.CACHE_DATASETS}
     removed = store.clear(schemas, RUN)
-    counts = F.create_map(*[F.lit(x) for d, n in removed.items() for x in (d, n)])
+    counts = F.create_map(*[c for d, n in removed.items() for c in (F.lit(d), F.lit(n).cast("bigint"))])
     return store.status(schemas).select("dataset", F.col("n_rows").alias("n_left"), F.element_at(counts, F.col("dataset")).alias("n_removed"))
 
 
