@@ -28,7 +28,7 @@ from feedplan.llm.merges import NEVER, Merges
 from feedplan.llm.words import slices, small_batches
 
 #: Pieces whose tokens a Python worker remembers: bounds its memory, not the result.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 
 class PrefixTable:

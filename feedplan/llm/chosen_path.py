@@ -177,7 +177,7 @@ def _compared(members: DataFrame, paths: Paths) -> DataFrame:
             after = new[np.searchsorted(new, np.arange(len(bucket)), "right")] - np.arange(len(bucket)) - 1
             label = np.arange(len(node))
             links = []
-            for at in _runs_of(after, 1 << 17):
+            for at in _runs_of(after, 1 << 15):
                 a = np.repeat(np.arange(at.start, at.stop), after[at])
                 b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(after[at]) - after[at], after[at])
                 near = np.minimum(n[a], n[b]) >= paths.threshold * np.maximum(n[a], n[b]) - 1e-9
@@ -223,7 +223,7 @@ def _verified(texts: DataFrame, paths: Paths) -> DataFrame:
     least node that it is connected to inside the block. In a block of two sides only links across count."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, "block", 1 << 22, "text"):
+        for table in whole_groups(batches, "block", 1 << 20, "text"):
             block = table["block"].to_numpy()
             bounds = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]])
             value, doc = sets_of(table["text"].combine_chunks(), paths.shingle)
@@ -257,7 +257,7 @@ def _links(value, doc, node, side, copies, paths):  # noqa: ANN001, ANN202
     order = np.argsort(column, kind="stable")
     column, doc = column[order], doc[order]
     common = np.zeros((m, m), np.float32)
-    width = max(1, (1 << 22) // max(m, 1))
+    width = max(1, (1 << 20) // max(m, 1))
     for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         at = slice(*np.searchsorted(column, [start, start + width]))
         held_by = np.zeros((m, width), np.float32)

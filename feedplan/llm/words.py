@@ -100,7 +100,7 @@ class Words:
         return span_hashes(self.data, self.start, self.end)
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, part: int = 1 << 22) -> np.ndarray:
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, part: int = 1 << 20) -> np.ndarray:
     """A 64-bit hash of each byte span; spans are not empty. Worked off in parts of about `part` bytes, whatever
     the size of the text."""
     size = end - start
@@ -131,7 +131,7 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of the batches with about `size` bytes of text each (one row at least): bounds the memory of numpy."""
     for batch in batches:
         if not batch.num_rows:
