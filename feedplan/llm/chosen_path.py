@@ -69,11 +69,12 @@ class Paths:
         return self.branches if level == 0 else 1 / self.threshold
 
     def runs(self) -> int:
-        """Runs until the recall: a pair at the threshold shares a Poisson number of branches at each level."""
-        missed = 0.0
-        for level in range(self.levels - 1, -1, -1):
-            missed = math.exp(-self.chosen(level) * self.threshold * (1 - missed))
-        runs = math.ceil(math.log(1 - self.recall) / math.log(missed))
+        """Runs until the recall: a pair at the threshold shares a Poisson number of choices at each level. All branches
+        of a run go on by the same choices, so it is found by a run only if it shares one at every level."""
+        found = 1.0
+        for level in range(self.levels):
+            found *= 1 - math.exp(-self.chosen(level) * self.threshold)
+        runs = math.ceil(math.log(1 - self.recall) / math.log(1 - found))
         if runs > 31 or self.levels > 7:
             raise ValueError("more runs or levels than a code has room for")
         return runs

@@ -85,6 +85,14 @@ def test_recall_of_pairs_at_the_threshold(spark):
     assert found >= 0.99 * sum(n for _, n in expected) > 0
 
 
+def test_recall_at_the_threshold_through_all_levels(spark):
+    # 80 of 100 shingles shared; no bucket is small enough to be compared, so every pair has to meet at each level
+    base = [[f"p{i}q{j}" for j in range(104)] for i in range(2000)]
+    texts = [" ".join(w[:n]) for w in base for n in (104, 84)]
+    out = joined(documents(spark, texts), paths=Paths(bucket=1)).collect()
+    assert sum(r.n_links for r in out) / len(texts) >= 0.997
+
+
 def test_more_runs_for_more_recall():
     assert Paths(recall=0.9).runs() < Paths().runs() < Paths(recall=0.99999).runs()
 
