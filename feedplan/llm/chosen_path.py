@@ -268,7 +268,7 @@ def _links(value, doc, node, side, copies, paths):  # noqa: ANN001, ANN202
     linked = common >= paths.threshold * union - 1e-6
     linked &= (n[:, None] > 0) & (n[None, :] > 0)
     np.fill_diagonal(linked, False)
-    if side.min() != side.max():
+    if side.max() > 0:  # not a block of one part with itself, whether both parts have members or not
         linked &= side[:, None] != side[None, :]
     a, b = np.nonzero(linked)
     root = spread(np.arange(m), a, b)

@@ -72,6 +72,15 @@ def test_deep_paths_and_blocks(spark):
     check(spark, some_texts(3, n=5), Paths(bucket=3, block_shingles=1000))
 
 
+def test_blocks_with_an_empty_part(spark):
+    # groups of two, three and four in two or more parts: some parts have no members
+    texts = []
+    for i in range(12):
+        w = [f"g{i}w{j}" for j in range(60)]
+        texts += [" ".join([*w, f"e{k}"]) for k in range(2 + i % 3)]
+    check(spark, texts, Paths(block_shingles=100))
+
+
 def test_recall_of_pairs_at_the_threshold(spark):
     draw = random.Random(7)
     texts = []
