@@ -141,24 +141,29 @@ def _sets(keyed: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def _by_joins(docs: DataFrame, text: Column, items: DataFrame, size: int, threshold: float, miss: float, column: str) -> DataFrame:
-    """Any number of items: texts are keyed by digest, so equal texts are searched once."""
+    """Any number of items: texts are keyed by digest, so equal texts are searched once. An item is keyed by its id and
+    text; its repeated rows are searched once and reported each."""
     key = F.sha2(text, 256)
-    theirs = _sets(items.select(F.col("__item").alias("item_id"), "__text").dropDuplicates(), "item_id", size)
+    own = F.sha2(F.concat_ws(":", "__item", "__text"), 256)
+    rows = items.groupBy(own.alias("__own"), F.col("__item").alias("item_id")).agg(F.count(F.lit(1)).cast("int").alias("times"))
+    theirs = _sets(items.dropDuplicates().select(own.alias("__own"), "__text"), "__own", size)
     many = F.udf(lambda n: sketch_size(n, threshold, miss), "int")
-    theirs = theirs.join(theirs.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_shingles")), "item_id")
-    by_hash = F.row_number().over(Window.partitionBy("item_id").orderBy(F.xxhash64("shingle"), "shingle"))
-    probes = theirs.withColumn("__rank", by_hash).where(F.col("__rank") <= many("n_shingles")).select("item_id", "shingle")
+    theirs = theirs.join(theirs.groupBy("__own").agg(F.count(F.lit(1)).alias("n_shingles")), "__own")
+    by_hash = F.row_number().over(Window.partitionBy("__own").orderBy(F.xxhash64("shingle"), "shingle"))
+    probes = theirs.withColumn("__rank", by_hash).where(F.col("__rank") <= many("n_shingles")).select("__own", "shingle")
     ours = _sets(docs.select(key.alias("__key"), text.alias("__text")).where(text.isNotNull()), "__key", size)
-    candidates = ours.join(probes, "shingle").select("__key", "item_id").distinct()
+    candidates = ours.join(probes, "shingle").select("__key", "__own").distinct()
     held = ours.join(candidates.select("__key").distinct(), "__key", "left_semi").distinct()
     shared = (
         held.join(theirs, "shingle")
-        .join(candidates, ["__key", "item_id"], "left_semi")
-        .groupBy("__key", "item_id")
+        .join(candidates, ["__key", "__own"], "left_semi")
+        .groupBy("__key", "__own")
         .agg(F.count(F.lit(1)).alias("n_shared"), F.first("n_shingles").alias("n_shingles"))
         .where(F.col("n_shared") >= F.ceil(F.col("n_shingles") * threshold - 1e-9))
+        .join(rows, "__own")
     )
-    lists = shared.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("item_id", "n_shared", "n_shingles"))).alias(column))
+    each = F.array_repeat(F.struct("item_id", "n_shared", "n_shingles"), F.col("times"))
+    lists = shared.groupBy("__key").agg(F.sort_array(F.flatten(F.collect_list(each))).alias(column))
     none = F.expr("cast(array() as array<struct<item_id: bigint, n_shared: bigint, n_shingles: bigint>>)")
     asked = docs.withColumns({"__key": key, "__row": F.monotonically_increasing_id()})  # the row only spreads what has no key
     found = lookup(asked, lists, {"__key": "__key"}, "__row").drop("__key", "__row")

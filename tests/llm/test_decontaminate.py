@@ -55,6 +55,18 @@ def test_equals_brute_force(spark, corpus, limit):
     assert set(got) == by_hand(docs, items)
 
 
+@pytest.mark.parametrize("limit", [8_000_000, 0])
+def test_repeated_item_ids(spark, limit):
+    a, b = (" ".join(f"{x}{i}" for i in range(20)) for x in "ab")
+    items = [(1, a), (1, a), (1, b), (2, b), (2, b), (2, b)]
+    docs = [(10, a), (11, f"before {b} after"), (12, f"{a} {b}"), (13, "none of them at all")]
+    out = leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string").repartition(3), index_limit=limit
+    )
+    expected = [(d, i, 16, 16) for d, text in docs for i, item in items if item in text]
+    assert sorted((r.doc_id, r.item_id, r.n_shared, r.n_shingles) for r in out.collect()) == sorted(expected)
+
+
 def test_sketches_cannot_miss_short_items():
     for n in range(1, 65):
         assert sketch_size(n, 0.8, 1e-9) >= min(n, int(0.2 * n) + 1)
