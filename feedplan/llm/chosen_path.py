@@ -341,8 +341,8 @@ def _exact(docs: DataFrame, sets: DataFrame, groups: DataFrame, paths: Paths) ->
             yield pa.record_batch([pa.array(k).take(at) for k in keys] + [part.column("text").take(at)], ["s1", "s2", "text"])
 
     texts = docs.select("text").mapInArrow(keyed, "s1 bigint, s2 bigint, text string")
-    # one text of each set is enough; the least is as good as any
-    texts = texts.join(members, ["s1", "s2"])
+    # one text of each set is enough; the least is as good as any. Each task hands on one of a set, however many copies it has
+    texts = texts.groupBy("s1", "s2").agg(F.min("text").alias("text")).join(members, ["s1", "s2"])
     pairs = F.expr("explode(transform(sequence(0L, blocks - 1), other -> struct(least(own, other) as low, greatest(own, other) as high)))")
     spread_out = texts.select("node", "root", "copies", "own", "text", "blocks", pairs.alias("pair")).select(
         F.xxhash64("root", "pair.low", "pair.high").alias("block"),

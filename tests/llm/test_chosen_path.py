@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 
+from feedplan.llm import chosen_path
 from feedplan.llm.chosen_path import Paths, joined
 from feedplan.llm.components import components
 from tests.llm.conftest import documents
@@ -81,6 +82,20 @@ def test_blocks_with_an_empty_part(spark):
     check(spark, texts, Paths(block_shingles=100))
 
 
+def test_one_text_of_each_set_is_verified(spark, monkeypatch):
+    w = [f"w{j}" for j in range(60)]
+    texts = [" ".join(w)] * 40 + [" ".join([*w, "end"])]
+    verified, rows = chosen_path._verified, []
+
+    def counted(blocks, paths):
+        rows.append(blocks.count())
+        return verified(blocks, paths)
+
+    monkeypatch.setattr(chosen_path, "_verified", counted)
+    check(spark, texts, Paths())
+    assert rows == [2]
+
+
 def test_recall_of_pairs_at_the_threshold(spark):
     draw = random.Random(7)
     texts = []
