@@ -7,9 +7,9 @@ meet in the shard of its anchor. The consecutive windows of a document with the
 same anchor form one unit of text. Only units whose anchor occurs in two
 different texts or twice in one are shipped; a bitmap of fixed size tells most
 of the others apart (a false hit costs a shipped unit, nothing else). Anchors
-that very many documents share are parted further by the beginning of the
-window. Units that are equal word by word are sent once per batch, with a
-weight.
+that very many documents share are parted further: each of their windows has a
+shard of its own, which all equal windows share and no other. Units that are
+equal word by word are sent once per batch, with a weight.
 
 Each shard is an FM-index (wavelet matrix over the words of its units). Its
 units are streamed against it: backward search gives matching statistics, and
@@ -88,7 +88,7 @@ class Units:
         return self
 
     def part(self, hot: np.ndarray) -> Units:
-        """Hot units fall apart into their windows, each with a shard of its own beginning."""
+        """Hot units fall apart into their windows, each distinct one with a shard of its own."""
         n = np.where(hot, self.last - self.first + 1, 1)
         offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         many = np.repeat(hot, n)
@@ -96,7 +96,7 @@ class Units:
         first = np.repeat(self.first, n) + offset
         self.last = np.where(many, first, np.repeat(self.last, n))
         self.first = first
-        self.anchor = np.where(many, mix(self.anchor ^ (self.heads[first] >> np.uint64(1))), self.anchor)
+        self.anchor = np.where(many, mix(self.anchor ^ (self._whole[first] >> np.uint64(1))), self.anchor)
         return self
 
     def ids(self) -> np.ndarray:
@@ -181,11 +181,11 @@ def repeated_runs(docs: DataFrame, text_column: str = "text", width: int = WIDTH
             )
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in whole_groups(batches, "shard", SHARD_BYTES, "words"):
+        for shard in whole_groups(_collapsed(batches), "shard", SHARD_BYTES, "words"):
             yield _search(shard, width)
 
     shipped = keyed.select(text_column).mapInArrow(ship, "shard bigint, unit bigint, weight int, words string")
-    verdicts = shipped.repartition("shard").sortWithinPartitions("shard").mapInArrow(index, "shard bigint, unit bigint, hits array<int>")
+    verdicts = shipped.repartition("shard").sortWithinPartitions("shard", "unit").mapInArrow(index, "shard bigint, unit bigint, hits array<int>")
     occurrences = keyed.mapInArrow(places, "shard bigint, unit bigint, k1 bigint, k2 bigint, start int")
     return (
         occurrences.join(verdicts, ["shard", "unit"])
@@ -194,6 +194,19 @@ def repeated_runs(docs: DataFrame, text_column: str = "text", width: int = WIDTH
     )
 
 
+def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of shard and unit; equal ones of a batch are one row with the sum of their weights."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        shard, unit, weight = (batch.column(c).to_numpy() for c in ("shard", "unit", "weight"))
+        new = np.append(True, (shard[1:] != shard[:-1]) | (unit[1:] != unit[:-1]))
+        first = np.flatnonzero(new)
+        rows = batch.take(pa.array(first)) if len(first) < len(new) else batch
+        weight = pa.array(np.add.reduceat(weight.astype(np.int64), first))
+        yield pa.record_batch([rows.column("shard"), rows.column("unit"), weight, rows.column("words")], ["shard", "unit", "weight", "words"])
+
+
 def _search(shard: pa.Table, width: int) -> pa.RecordBatch:
     """Units with windows that occur again: runs of their starts, first and last in turn."""
     unit = shard["unit"].to_numpy()

@@ -6,10 +6,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from feedplan.llm import substring_dedup
 from feedplan.llm.fm_index import FMIndex
-from feedplan.llm.substring_dedup import deduplicated
+from feedplan.llm.substring_dedup import Units, deduplicated
 from tests.llm.conftest import documents
 
 
@@ -54,6 +55,16 @@ def test_hot_anchors_and_small_shards(spark, monkeypatch):
     assert [out[i] for i in range(len(texts))] == by_hand(texts, 10)
 
 
+def test_shards_of_a_hot_line_hold_one_window():
+    # windows that begin inside the line have its anchor and differ behind it
+    line = " ".join(f"l{i}" for i in range(30))
+    texts = [" ".join([*(f"a{k}b{i}" for i in range(10)), line, *(f"c{k}d{i}" for i in range(30))]) for k in range(50)]
+    units = Units(pa.array(texts + texts[:5], pa.string()), 35)
+    units.part(np.ones(len(units.anchor), bool))
+    windows = set(zip(units.anchor.tolist(), units.ids().tolist(), strict=True))
+    assert len(windows) == len({shard for shard, _ in windows}) == len({unit for _, unit in windows})
+
+
 def test_index_counts_and_matches():
     draw = np.random.default_rng(2)
     units = [draw.integers(0, 6, draw.integers(1, 25)) for _ in range(30)]
