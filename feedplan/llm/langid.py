@@ -216,7 +216,9 @@ def sample(docs: DataFrame, label_column: str, text_column: str, how: Training)
     """Parts of labelled texts, about `per_language` of each label, drawn by hash: the same for any partitioning."""
     text, label = F.col(text_column), F.col(label_column)
     known = docs.where(label.isNotNull() & (F.length(F.coalesce(text, F.lit(""))) > 0))
-    counts = known.groupBy(label.cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_LABELS + 1).collect()
+    # copies are drawn together and count once
+    different = known.groupBy(label.cast("string").alias("label"), F.xxhash64(text).alias("hash")).agg(F.count(F.lit(1)))
+    counts = different.groupBy("label").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LABELS + 1).collect()
     if len(counts) > MOST_LABELS:
         raise ValueError(f"more than {MOST_LABELS} labels")
     if not counts:
@@ -226,7 +228,7 @@ def sample(docs: DataFrame, label_column: str, text_column: str, how: Training)
     start = F.pmod(F.xxhash64(F.lit(1), text), F.greatest(F.length(text) - how.chars, F.lit(0)) + 1) + 1
     part = text.substr(start.cast("int"), F.lit(how.chars)).alias("part")
     chosen = known.where(drawn < F.element_at(rates, label.cast("string"))).select(label.cast("string").alias("label"), part, drawn.alias("at"))
-    # copies are drawn together: a bound on what reaches the driver, whatever the texts are
+    # distinct, and a bound on what reaches the driver, whatever the texts are
     rows = chosen.distinct().orderBy("at", "label", "part").limit(2 * how.per_language * len(counts)).collect()
     return [r["part"] for r in rows], [r["label"] for r in rows]
 

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from feedplan.llm.langid import LETTERS, Network, Training, held_out, languages, windows
+from feedplan.llm.langid import LETTERS, Network, Training, held_out, languages, sample, windows
 
 SF = "/root/testdata/sf0.01"
 
@@ -41,6 +41,13 @@ def test_windows_hold_all_bytes():
     assert rows.tolist() == [[97, 97, 97, 256], [98] * 4, [98, 256, 256, 256], [99, 256, 256, 256]]
 
 
+def test_sample_of_a_label_with_many_copies(spark):
+    texts = ["the same text again"] * 1800 + [f"text number {i}" for i in range(200)]
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    parts, labels = sample(docs, "lang", "text", Training(per_language=100))
+    assert 70 <= len(parts) == len(set(parts)) <= 130 and set(labels) == {"en"}
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     found = languages(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
