@@ -25,10 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedplan.llm.merges import NEVER, Merges
+from feedplan.llm.prefix_tables import PrefixTables
 from feedplan.llm.words import slices, small_batches
 
 #: Pieces whose tokens a Python worker remembers: bounds its memory, not the result.
 REMEMBERED = 300_000
+#: Bytes of a piece up to which tables are filled side by side, and bytes of pieces that are taken at once.
+SHORT, TOGETHER = 64, 1 << 18
 
 
 class PrefixTable:
@@ -116,6 +119,8 @@ class Encoder:
         self.tokens = {str(i): token for token, i in self.ids.items()}
         ids = self.ids
         self.merges = Merges(lambda a, b: ids.get(a + b, NEVER), ids)
+        self._names = [str(i) for i in ids.values()]
+        self._tables = PrefixTables(self.merges, list(ids))
         self._pieces, self._latin = regex.compile(pattern).findall, _for_latin(pattern)
         self._known = Remembered(REMEMBERED)
 
@@ -129,40 +134,55 @@ class Encoder:
                 pass
         return self._pieces(text)
 
-    def encode(self, texts: list[str]) -> list[list[str]]:
-        """For each text the ids of its pieces, those of a piece joined by blanks."""
+    def coded(self, texts: list[str]) -> list[list[tuple[str, bytes]]]:
+        """For each text the ids of its pieces, those of a piece joined by blanks, and the bytes that these ids decode to."""
         cut = [self.pieces(t) for t in texts]
         used = set().union(*cut) if cut else set()
         self._learn(sorted([p.encode() for p in self._known.missing(used)]))
         known = self._known.answers
         return [list(map(known.__getitem__, pieces)) for pieces in cut]
 
+    def encode(self, texts: list[str]) -> list[list[str]]:
+        """For each text the ids of its pieces, those of a piece joined by blanks."""
+        return [[ids for ids, _ in pieces] for pieces in self.coded(texts)]
+
     def _learn(self, pieces: list[bytes]) -> None:
-        """Encode pieces in order: each one is an edit behind the beginning that it shares with the one before."""
+        """Encode pieces and decode their ids. Short ones have their prefix tables filled side by side; a long one is an
+        edit behind the beginning that it shares with the one before, in order."""
+        short = [p for p in pieces if len(p) <= SHORT]
+        at = 0
+        while at < len(short):
+            to, size = at, 0
+            while to < len(short) and size < TOGETHER:
+                size += len(short[to])
+                to += 1
+            part = short[at:to]
+            found, ends = self._tables.encode(part)
+            found = found.tolist()
+            names, spelled = list(map(self._names.__getitem__, found)), list(map(self._tables.tokens.__getitem__, found))
+            begin, answers = 0, self._known.answers
+            for piece, end in zip(part, ends.tolist(), strict=True):
+                answers[piece.decode()] = (" ".join(names[begin:end]), b"".join(spelled[begin:end]))
+                begin = end
+            at = to
         table = PrefixTable(self.merges)
         for piece in pieces:
+            if len(piece) <= SHORT:
+                continue
             shared, limit, old = 0, min(len(piece), len(table.data)), table.data
             while shared < limit and piece[shared] == old[shared]:
                 shared += 1
             table.cut(shared).append(piece[shared:])
-            self._known.answers[piece.decode()] = " ".join([str(self.ids[t]) for t in table.tokens()])
-
-    def decode(self, groups: list[list[str]]) -> list[bytes]:
-        """The bytes of texts given as groups of ids; each different group is decoded once."""
-        spelled: dict[str, bytes] = _Spelled(self.tokens)
-        return [b"".join(map(spelled.__getitem__, g)) for g in groups]
-
-
-class _Spelled(dict):
-    """Bytes of groups of ids, worked out when first asked for."""
+            ids = " ".join([str(self.ids[t]) for t in table.tokens()])
+            self._known.answers[piece.decode()] = (ids, self._bytes(ids))
 
-    def __init__(self, tokens: dict[str, bytes]):
-        self.tokens = tokens
-
-    def __missing__(self, group: str) -> bytes:
+    def _bytes(self, group: str) -> bytes:
         tokens = self.tokens
-        out = self[group] = b"".join([tokens[i] for i in group.split()])
-        return out
+        return b"".join([tokens[i] for i in group.split()])
+
+    def decode(self, groups: list[list[str]]) -> list[bytes]:
+        """The bytes of texts given as groups of ids."""
+        return [b"".join(map(self._bytes, g)) for g in groups]
 
 
 def _parts(texts: pa.Array, size: int = 1 << 21) -> Iterator[list[str]]:
@@ -213,11 +233,11 @@ def digests(text: Column, path: str, pattern: str) -> Column:
         for texts in batches:
             rows: tuple[list, list, list] = ([], [], [])
             for part in _parts(texts):
-                groups = coder.encode(part)
-                lines = [" ".join(g) for g in groups]
+                coded = coder.coded(part)
+                lines = [" ".join([ids for ids, _ in pieces]) for pieces in coded]
                 rows[0].extend([line.count(" ") + 1 if line else 0 for line in lines])
                 rows[1].extend([hashlib.sha256(line.encode()).hexdigest() for line in lines])
-                rows[2].extend([hashlib.sha256(text).hexdigest() for text in coder.decode(groups)])
+                rows[2].extend([hashlib.sha256(text).hexdigest() for text in (b"".join([t for _, t in pieces]) for pieces in coded)])
             yield pa.StructArray.from_arrays(
                 [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())],
                 ["n_tokens", "ids_sha256", "decoded_sha256"],
