@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedplan.llm import bpe, chosen_path, decontaminate, langid, licenses, pii, repetition, secret_scan, substring_dedup, token_counts
+from feedplan.llm import bpe, chosen_path, decontaminate, hard_negatives, langid, licenses, pii, repetition, secret_scan, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_personal_data": op1_personal_data,
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_decontaminate": op10_decontaminate,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -225,6 +230,25 @@ shared as (
     from docs join items using (shingle) group by doc_id, item_id)
 select doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles containment
 from shared where n_shared >= ceil(n_shingles * 0.8 - 1e-9)
+""",
+    "op13_hard_negatives": """
+with rows as (
+    select distinct vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as v
+    from embeddings where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: coalesce(not isfinite(x), true))) = 0),
+scores as (
+    select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+    from rows a, rows b where a.vec_id % 100 = 0),
+positives as (
+    select anchor_id, id as positive_id, score as positive_score from scores where same and id <> anchor_id
+    qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+windows as (
+    select anchor_id, positive_id, positive_score, id as negative_id, score as negative_score,
+        row_number() over (partition by anchor_id, positive_id order by score desc, id)::integer as rank
+    from positives join scores using (anchor_id)
+    where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from windows where rank <= 5
 """,
 }
 
