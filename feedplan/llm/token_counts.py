@@ -193,29 +193,34 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def word_end_vocabulary(path: str) -> tuple[Merges, dict[bytes, int], list[str]]:
+    """Merges, ids and special tokens of a tokenizer file with word ends."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model = spec["model"]
+    suffix = model["end_of_word_suffix"]
+    letters = _byte_letters()
+
+    def token(text: str) -> bytes:
+        ended = text.endswith(suffix)
+        return bytes(letters[c] for c in (text[: -len(suffix)] if ended else text)) + END * ended
+
+    special = {t["content"] for t in spec["added_tokens"]}
+    known = {token(t): i for t, i in model["vocab"].items() if t not in special}
+    ranks: dict[tuple[bytes, bytes], int] = {}
+    for i, pair in enumerate(model["merges"]):
+        a, b = pair if isinstance(pair, list) else pair.split(" ")
+        ranks[token(a), token(b)] = i
+    return Merges(lambda a, b: ranks.get((a, b), NEVER), known), known, sorted(special)
+
+
 class Counter:
     """Token counts of whole texts for one tokenizer file."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        model = spec["model"]
-        suffix = model["end_of_word_suffix"]
-        letters = _byte_letters()
-
-        def token(text: str) -> bytes:
-            ended = text.endswith(suffix)
-            return bytes(letters[c] for c in (text[: -len(suffix)] if ended else text)) + END * ended
-
-        special = {t["content"] for t in spec["added_tokens"]}
-        known = {token(t) for t in model["vocab"] if t not in special}
-        ranks: dict[tuple[bytes, bytes], int] = {}
-        for i, pair in enumerate(model["merges"]):
-            a, b = pair if isinstance(pair, list) else pair.split(" ")
-            ranks[token(a), token(b)] = i
-        self.special = sorted(special)
+        merges, _, self.special = word_end_vocabulary(path)
         self.marks = PieceMarks()
-        self.pieces = PieceCounts(Merges(lambda a, b: ranks.get((a, b), NEVER), known))
+        self.pieces = PieceCounts(merges)
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text."""
