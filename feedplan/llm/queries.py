@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedplan.llm import bpe, chosen_path, decontaminate, hard_negatives, langid, licenses, packing, pii, repetition, secret_scan, substring_dedup, token_counts
+from feedplan.llm import alignment, bpe, chosen_path, decontaminate, hard_negatives, langid, licenses, packing, pii, repetition, secret_scan, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +61,11 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path
+    return alignment.aligned(_table(spark, folder, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+
+
 def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -81,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_decontaminate": op10_decontaminate,
+        "op11_alignment": op11_alignment,
         "op12_packing": op12_packing,
         "op13_hard_negatives": op13_hard_negatives,
     }
