@@ -51,7 +51,7 @@ from feedplan.sources.staging import staged
 #: Parts that a Python worker remembers, and parts that are encoded at once: bound its memory, not the result.
 REMEMBERED, TOGETHER = 600_000, 1 << 15
 #: Bytes of text in a slice.
-SLICE = 8 << 20
+SLICE = 4 << 20
 #: Ends of a stretch that are compared first.
 PROBE = 4
 #: A link is a number: the first id above these bits, the second one in them.
@@ -218,10 +218,7 @@ class Aligner:
         good = np.bincount(doc, weights=counts[:, 3], minlength=n) == 0
         kept = good[doc]
         doc, entry, counts = doc[kept], entry[kept], counts[kept]
-        letters, sizes = self.memory.columns[1].take(entry)
-        stops = np.cumsum(np.bincount(doc, weights=sizes, minlength=n).astype(np.int64))
-        view = memoryview(letters)
-        digests = ["" if a == b else hashlib.sha256(view[a : b - 1]).hexdigest() for a, b in zip([0, *stops.tolist()], stops.tolist(), strict=False)]
+        digests = self._digests(doc, entry, n)
         distinct, parts = np.unique(entry, return_inverse=True)
         links, link_sizes = self.memory.columns[0].take(distinct)
         numbers = [np.bincount(doc, weights=counts[:, i], minlength=n).astype(np.int64) for i in range(3)]
@@ -239,6 +236,21 @@ class Aligner:
         }
 
 
+    def _digests(self, doc: np.ndarray, entry: np.ndarray, n: int, most: int = 1 << 16) -> list[str]:
+        """Digests of the groups of each text, put together for some parts at a time: bounds the memory."""
+        column, out = self.memory.columns[1], [""] * n
+        begin, end = (np.searchsorted(doc, np.arange(n), side) for side in ("left", "right"))
+        for text in np.flatnonzero(end > begin).tolist():
+            digest, at, stop = hashlib.sha256(), int(begin[text]), int(end[text])
+            while at < stop:
+                to = min(at + most, stop)
+                letters, _ = column.take(entry[at:to])
+                digest.update(memoryview(letters)[: -1 if to == stop else None])  # the last group ends without a semicolon
+                at = to
+            out[text] = digest.hexdigest()
+        return out
+
+
 @lru_cache(2)
 def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)

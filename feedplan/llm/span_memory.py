@@ -15,6 +15,10 @@ import numpy as np
 from feedplan.llm.words import span_hashes
 
 
+#: Bytes that are compared at once.
+_PART = 1 << 20
+
+
 class Ragged:
     """A growing list of arrays, in one flat array."""
 
@@ -107,12 +111,16 @@ class SpanMemory:
         return out
 
     def _same(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, entry: np.ndarray) -> np.ndarray:
-        """Whether each span has the bytes of its entry."""
+        """Whether each span has the bytes of its entry; compared in parts of bounded size."""
         out = self._spans.size[entry] == size
-        at = np.flatnonzero(out)
-        if len(at):
+        equal, begin = np.flatnonzero(out), 0
+        total = np.cumsum(size[equal])
+        while begin < len(equal):
+            end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + _PART, "right")))
+            at = equal[begin:end]
             differ = data[places(start[at], size[at])] != self._spans.take(entry[at])[0]
             out[at] = ~np.logical_or.reduceat(differ, np.cumsum(size[at]) - size[at])
+            begin = end
         return out
 
     def _add(self, spans: list[bytes], hashes: np.ndarray | None) -> None:
