@@ -337,6 +337,14 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "_id", kept: Seq
     )
 
 
+def differing(incoming: DataFrame, existing: DataFrame, key: str = "_id") -> DataFrame:
+    """Incoming records that are new or differ from the record of their key; both sides are unique by key."""
+    fields = [c for c in incoming.columns if c != key]
+    old = existing.select(F.col(key).alias("__key"), F.struct(*fields).alias("__old"))
+    joined = incoming.join(old, F.col(key) == F.col("__key"), "left")
+    return joined.where(~F.struct(*fields).eqNullSafe(F.col("__old"))).select(*incoming.columns)
+
+
 def refresh_counters(outcome: DataFrame, dataset: str) -> DataFrame:
     """inserted / updated / failed / skipped and the number of pages read."""
     kinds = ("inserted", "updated", "failed", "skipped")

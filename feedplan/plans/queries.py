@@ -23,7 +23,7 @@ from feedplan.operators.normalize import NormalizeRule, as_int, clean_values, no
 from feedplan.plans import employees, feeds, sync
 from feedplan.session import configure
 from feedplan.sources import artifacts, feed_csv, pages
-from feedplan.sources.snapshot_store import SnapshotStore
+from feedplan.sources.snapshot_store import Changes, SnapshotStore
 from feedplan.sources.staging import new_folder, staged
 from feedplan.streaming import incremental
 
@@ -783,6 +783,23 @@ def snapshot_upsert_orders(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot.upsert(known, arriving, "o_orderkey")
 
 
+def snapshot_merge_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders as a snapshot in buckets, of which one lot is changed and another is removed."""
+    known = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    store = SnapshotStore(spark, new_folder(spark, "orders"))
+    store.commit({"orders": known}, RUN)
+    changed = known.where("o_orderkey % 100 = 0").withColumn("o_totalprice", F.expr("o_totalprice + 1"))
+    store.merge({"orders": Changes(changed, known.where("o_orderkey % 250 = 2").select("o_orderkey"))}, RUN)
+    return store.read("orders", known.schema)
+
+
+def stale_removed(spark: SparkSession, sf: str) -> DataFrame:
+    """The users that are left when a full read takes the stale ones out."""
+    store = _committed(spark, sf)
+    sync.refresh_snapshot(store, {"employees": page_dump(spark, sf)}, RUN, page_size=20, remove_stale=True)
+    return store.read("employees", _schema("employees")).select("_id", "_ouid", "match_key", "mail")
+
+
 def _schema(dataset: str) -> T.StructType:
     return T.StructType.fromDDL(sync.cache_schema(dataset))
 
@@ -912,19 +929,19 @@ def apply_to_target(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def incremental_sync(spark: SparkSession, sf: str) -> DataFrame:
-    """The feed arrives as five files, a batch each, that all number their records from 2; the final snapshot.
+    """The feed arrives in five lots, a batch of files each, that all number their records from 2; the final snapshot.
 
     New records show no id, because it is drawn from the file's path, but how many share it; the code of a record
     may depend on the batch in which it arrives."""
     folder = new_folder(spark, "arrivals")
-    arriving = feeds.raw_cells(spark, sf).selectExpr("line_no % 5 as part", "cast(floor(line_no / 5) as bigint) + 2 as line_no", *employees.RAW_COLUMNS)
-    for part in range(5):
-        one = arriving.where(F.col("part") == part).drop("part").coalesce(1)
-        one.write.mode("append").option("header", True).option("escape", '"').csv(f"{folder}/in")
+    arriving = staged(feeds.raw_cells(spark, sf).selectExpr("line_no % 5 as part", "cast(floor(line_no / 5) as bigint) + 2 as line_no", *employees.RAW_COLUMNS), "cells")
     store = SnapshotStore(spark, f"{folder}/store")
     store.commit({incremental.DATASET: feeds.target(spark, sf)}, RUN, version=1)
-    stream = incremental.read_arrivals(spark, f"{folder}/in", files_per_batch=1)
-    incremental.incremental_sync(stream, store, feeds.orgs(spark, sf), f"{folder}/progress", RUN, 2).awaitTermination()
+    for part in range(5):
+        one = arriving.where(F.col("part") == part).drop("part")
+        one.write.mode("append").option("header", True).option("escape", '"').csv(f"{folder}/in")
+        stream = incremental.read_arrivals(spark, f"{folder}/in")
+        incremental.incremental_sync(stream, store, feeds.orgs(spark, sf), f"{folder}/progress", RUN, 2).awaitTermination()
     final = store.read(incremental.DATASET, incremental.snapshot_schema())
     shared = final.groupBy("_id").agg(F.count("*").alias("n_same_id"))
     return final.join(shared, "_id").selectExpr(
@@ -945,7 +962,7 @@ _NAMES = (
     error_code_summary, duplicate_report, dropped_rows, snapshot_diff, snapshot_diff_orders, plan_decision,
     plan_rows, plan_summary, run_status, diagnostics_by_stage, ops_counters, report_items, stage_report,
     validate_report, error_histogram, refresh_outcome, unique_violations, refresh_counters, refresh_totals,
-    refresh_meta, snapshot_upsert, snapshot_upsert_orders, snapshot_status, snapshot_clear, stale_rows,
+    refresh_meta, snapshot_upsert, snapshot_upsert_orders, snapshot_merge_orders, stale_removed, snapshot_status, snapshot_clear, stale_rows,
     request_rows, outcome_classify, apply_outcome, apply_max_actions, apply_stop_first, apply_id_retry,
     apply_dry_run, apply_counters, apply_to_target, incremental_sync,
 )

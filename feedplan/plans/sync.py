@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedplan.operators.apply import (
@@ -34,18 +35,21 @@ from feedplan.operators.snapshot import (
     ORG_COLUMNS,
     USER_COLUMNS,
     diagnostics,
+    differing,
     last_records,
     map_orgs,
     map_users,
     refresh_counters,
+    refresh_meta,
     refresh_outcome,
+    stale_rows,
     upsert,
 )
 from feedplan.operators.validate import mark_known, validate
 from feedplan.operators.vault import attach_secrets, hide_secrets, latest_secrets, store_secrets
 from feedplan.plans import employees
 from feedplan.sources.pages import explode_records, pages_read, parse_pages, require_good_pages
-from feedplan.sources.snapshot_store import SnapshotStore
+from feedplan.sources.snapshot_store import Changes, SnapshotStore
 from feedplan.sources.staging import staged
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -229,25 +233,31 @@ def refresh_snapshot(
     dumps: dict[str, DataFrame],
     run_id: str,
     datasets: Sequence[str] | None = None,
+    remove_stale: bool = False,
     **options,
 ) -> dict[str, int]:
-    """Refresh several datasets and publish them in one commit."""
-    tables, meta = {}, {}
+    """Refresh several datasets and publish them in one commit.
+
+    Only records that differ from the snapshot are written, into their buckets.
+    ``remove_stale`` takes out the records that the dump did not bring.
+    """
+    changes, meta = {}, {}
     for dataset in datasets or CACHE_DATASETS:
         if dataset not in CACHE_DATASETS:
             raise ValueError(f"Unsupported cache dataset: {dataset}")
         if dataset not in dumps:
             continue
+        columns, key = CACHE_DATASETS[dataset][:2]
         existing = store.read(dataset, T.StructType.fromDDL(cache_schema(dataset)))
         done = refresh(dataset, dumps[dataset], existing, **options)
-        tables[dataset] = done.table.drop("op")
-        counters = done.counters.first().asDict()
-        meta[dataset] = {
-            "last_refresh_run_id": run_id,
-            "last_refresh_at": datetime.now(timezone.utc).isoformat(timespec="seconds"),
-            "last_refresh_pages": str(counters["pages"]),
-            "last_refresh_items": str(sum(counters[k] for k in ("inserted", "updated", "failed", "skipped"))),
-            "count_total": str(existing.count() + counters["inserted"]),
-            **{f"last_refresh_{k}": str(counters[k]) for k in ("inserted", "updated", "failed", "skipped")},
-        }
-    return store.commit(tables, run_id, meta)
+        incoming = last_records(done.outcome, list(columns), key)
+        # a record that was brought but refused is not stale
+        brought = done.outcome.where(f"{key} is not null").select(key)
+        stale = staged(stale_rows(existing, brought, key).select(key), "stale") if remove_stale else None
+        changes[dataset] = Changes(staged(differing(incoming, existing, key), "changed"), stale)
+        known = existing.count() - (stale.count() if remove_stale else 0)
+        total = F.lit(known) + F.col("inserted")
+        entries = refresh_meta(done.counters, total, run_id).collect()  # a handful
+        meta[dataset] = {r["key"]: r["value"] for r in entries}
+        meta[dataset]["last_refresh_at"] = datetime.now(timezone.utc).isoformat(timespec="seconds")
+    return store.merge(changes, run_id, meta)

@@ -1,10 +1,10 @@
 """Incremental synchronisation: each batch of files is planned against the
 snapshot that the previous batch left, and merged into the next version.
 
-A batch writes the records it changes, not the snapshot, which is put together
-when it is read. A version is named by its batch.  When a batch is repeated after a failure it
-reads the same previous version and overwrites its own, so the result does
-not change.  There is no event time: the last arrival of a key wins.
+A batch rewrites the buckets of the records it changes, and no others. A
+version is named by its batch.  When a batch is repeated after a failure it
+reads the same previous version and takes the place of its first try, so the
+result does not change.  There is no event time: the last arrival of a key wins.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 from feedplan.functions.text import clean_null_token
 from feedplan.operators.apply import changed_records
 from feedplan.plans import employees, sync
-from feedplan.sources.snapshot_store import SnapshotStore
+from feedplan.sources.snapshot_store import Changes, SnapshotStore
+from feedplan.sources.staging import staged
 
 DATASET = employees.DATASET
 
@@ -56,7 +57,7 @@ def apply_batch(
     raw = batch.selectExpr(source, "line_no", "concat('line:', line_no) as record_id", *cells)
     target = store.read(DATASET, snapshot_schema(), before=version)
     plan = sync.plan_import(raw, target, orgs, employees.enrich_spec(run_id), vault=vault)
-    store.commit_changes(DATASET, changed_records(plan.items, target), snapshot_schema(), "_id", run_id, version)
+    store.merge({DATASET: Changes(staged(changed_records(plan.items, target), "changed"))}, run_id, version=version)
 
 
 def incremental_sync(

@@ -10,6 +10,7 @@ from feedplan.operators import snapshot
 from feedplan.plans import feeds, sync
 from feedplan.sources import pages
 from feedplan.sources.snapshot_store import SnapshotStore
+from pyspark.sql import types as T
 from feedplan.sources.staging import new_folder
 
 
@@ -98,6 +99,10 @@ def test_uniqueness_like_a_sequential_read(spark, seed):
     assert got == {pos for pos, _ in sequential(records, known)}
 
 
+def snapshot_schema(ddl):
+    return T.StructType.fromDDL(ddl)
+
+
 def test_page_rules(spark):
     parsed = pages.parse_pages(dump(spark, {"data": [1, 2]}, {"items": {}, "result": [3]}, [4, 5]))
     read = pages.pages_read(parsed, page_size=2).orderBy("page").collect()
@@ -137,6 +142,31 @@ def test_store_versions(spark):
     assert store.read("employees", schemas["employees"]).count() == 0
 
 
+def test_refresh_writes_what_changed_and_removes_what_is_stale(spark):
+    store = SnapshotStore(spark, new_folder(spark, "store"), buckets=32)
+    schema = snapshot_schema(USERS)
+    people = [person(i) for i in range(1, 9)]
+    sync.refresh_snapshot(store, {"employees": dump(spark, people)}, "r1", page_size=9)
+    before = store.folders("employees")
+    same = sync.refresh_snapshot(store, {"employees": dump(spark, people)}, "r2", page_size=9)
+    assert same == {"employees": 2} and store.folders("employees") == before
+    key = store.read("employees", schema).orderBy("_ouid").first()._id
+    sync.refresh_snapshot(store, {"employees": dump(spark, [{**people[0], "phone": "1"}, *people[1:6]])}, "r3", page_size=9)
+    after = store.folders("employees")
+    assert {b for b in before if before[b] != after[b]} == set(store.touched("employees", spark.createDataFrame([(key,)], "k string")))
+    assert store.read("employees", schema).count() == 8
+    sync.refresh_snapshot(store, {"employees": dump(spark, people[:6])}, "r4", page_size=9, remove_stale=True)
+    assert store.read("employees", schema).count() == 6
+    meta = {r.version: r.meta for r in store.manifest().collect()}
+    assert meta[4]["count_total"] == "6" and meta[3]["count_total"] == "8" and meta[4]["last_refresh_items"] == "6"
+
+
+def test_differing_records(spark):
+    old = users(spark, {"_id": "a", "phone": None}, {"_id": "b", "phone": "1"}, {"_id": "c"})
+    new = users(spark, {"_id": "a", "phone": None}, {"_id": "b", "phone": None}, {"_id": "d"})
+    assert sorted(r._id for r in snapshot.differing(new, old).collect()) == ["b", "d"]
+
+
 def test_refresh_counts_of_the_supplier_table(spark):
     sf = "/root/testdata/sf0.01"
     tables = feeds.load(spark, sf, "supplier")
