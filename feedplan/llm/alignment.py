@@ -49,9 +49,9 @@ from feedplan.operators.lookup import lookup
 from feedplan.sources.staging import staged
 
 #: Parts that a Python worker remembers, and parts that are encoded at once: bound its memory, not the result.
-REMEMBERED, TOGETHER = 600_000, 1 << 15
+REMEMBERED, TOGETHER = 400_000, 1 << 13
 #: Bytes of text in a slice.
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Ends of a stretch that are compared first.
 PROBE = 4
 #: A link is a number: the first id above these bits, the second one in them.
