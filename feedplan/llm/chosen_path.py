@@ -46,7 +46,6 @@ from feedplan.sources.staging import staged
 #: Bits of the filter on documents to verify: a fixed size.
 BITS = 26
 _CODE = 0xFF
-_NAMELESS = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -281,8 +280,6 @@ def joined(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     paths = paths or Paths()
     docs = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     rows = staged(_rows(docs, paths), "rows")
-    # sets of rows without ids get a number above all ids, so that any id of their group goes first
-    hashed = F.lit(_NAMELESS) + F.shiftrightunsigned("s1", 2)
     sets = (
         rows.where("n > 0")
         .groupBy("s1", "s2")
@@ -291,17 +288,18 @@ def joined(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
             F.count(F.lit(1)).alias("copies"),
             *(F.first(c).alias(c) for c in ("n", "first", "further", "sketch")),
         )
-        .withColumn("node", F.coalesce("least", hashed))
+        # sets have numbers of their own, fixed by the staged table: an id may be any integer, or lack
+        .withColumn("node", F.monotonically_increasing_id())
     )
     sets = staged(sets, "sets")
     edges = _candidates(sets, paths)
     groups = staged(components(edges), "groups")
     found = _exact(docs, sets, groups, paths)
-    answer = sets.select("s1", "s2", "copies", "least", "node").join(found, "node", "left")
-    root = F.coalesce("root", "node")
-    answer = answer.select(
-        "s1", "s2", F.when(root < _NAMELESS, root).alias("class_id"),
-        F.col("least").alias("copy_of"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+    answer = sets.select("s1", "s2", "copies", "least", "node").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    answer = staged(answer, "answer")
+    least = answer.groupBy("root").agg(F.min("least").alias("class_id"))
+    answer = lookup(answer, least, {"root": "root"}, "node").select(
+        "s1", "s2", "class_id", F.col("least").alias("copy_of"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
     alone = F.col("n") == 0  # sets without shingles stay apart: they ask for no answer
     keyed = [F.when(F.col("n") > 0, F.col(c)).alias(c) for c in ("s1", "s2")]

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -189,10 +189,14 @@ def _number_runs() -> list[tuple[re.Pattern, re.Pattern, dict[str, str]]]:
 def spelled_digits(text: str) -> list[tuple[int, int, str]]:
     """Second transducer: runs of three or more digits, the first one spelled, lose what stands between them."""
     edits: list[tuple[int, int, str]] = []
+    taken: list[tuple[int, int]] = []  # runs so far, in order
     for runs, tokens, value in _number_runs():
+        own: list[tuple[int, int]] = []
         for run in runs.finditer(text):
-            if edits and run.start() < edits[-1][1]:
+            before = bisect_left(taken, (run.end(),)) - 1
+            if before >= 0 and taken[before][1] > run.start():
                 continue  # the same run in another language
+            own.append(run.span())
             for t in tokens.finditer(run[0]):
                 at = run.start() + t.start()
                 if t[1]:
@@ -203,43 +207,80 @@ def spelled_digits(text: str) -> list[tuple[int, int, str]]:
                 else:
                     new = "." if t[4] else ""
                 edits.append((at, run.start() + t.end(), new))
+        taken = sorted(taken + own)
     edits.sort()
     return edits
 
 
 @lru_cache(1)
-def _signs() -> tuple[re.Pattern, list[tuple[str, re.Pattern]], list[re.Pattern]]:
+def _signs() -> tuple[re.Pattern, list[re.Pattern], list[re.Pattern]]:
+    """At and dot in brackets; by language a spelled at sign with the domain behind it, and the signs inside an address."""
     ats = "|".join(a for a, _ in AT_DOT)
     dots = "|".join(d for _, d in AT_DOT)
     bracketed = re.compile(
         rf"(?<=[{_LOCAL}])\s*[\[({{<]\s*(?:(?P<at>{ats}|@)|(?:{dots}|\.))\s*[\])}}>]\s*(?=[A-Za-z0-9])", re.I
     )
     top = "|".join(TOP_LABELS.split())
-    spelled, inner = [], []
+    behind, inner = [], []
     for at, dot in AT_DOT:
-        name, label = r"[A-Za-z0-9_%+-]+", rf"[{_LABEL}]+"
+        label = rf"[{_LABEL}]+"
         sign = rf"(?:[\s_]+{dot}[\s_]+|\.)"
         last = rf"(?:[\s_]+{dot}[\s_]+(?:{top})(?![^\W_])|\.(?:{top})(?![^\W_]))"
         domain = rf"{label}(?:{sign}{label})*?{last}"
-        pattern = rf"(?<![{_LOCAL}]){name}(?:{sign}{name})*[\s_]+{at}[\s_]+(?={label}(?:{sign}{label})*[\s_]+{dot}[\s_]){domain}"
-        spelled.append((dot, re.compile(pattern, re.I)))
+        behind.append(re.compile(rf"(?<=[A-Za-z0-9%+-])[\s_]+{at}[\s_]+(?={label}(?:{sign}{label})*[\s_]+{dot}[\s_]){domain}", re.I))
         inner.append(re.compile(rf"[\s_]+(?:(?P<at>{at})|{dot})[\s_]+", re.I))
-    return bracketed, spelled, inner
+    return bracketed, behind, inner
+
+
+_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
+
+
+def _local_part(text: str, low: str, end: int, floor: int, dot: str) -> int | None:
+    """Where the names that are joined by dots, spelled or not, and end here begin; None if no address can."""
+
+    def back(at: int, inside) -> int:  # noqa: ANN001
+        while at > floor and inside(text[at - 1]):
+            at -= 1
+        return at
+
+    begin = back(end, _NAME.__contains__)
+    while begin > floor:
+        if text[begin - 1] == ".":
+            before = begin - 1
+        else:
+            word = back(begin, lambda c: c == "_" or c.isspace())
+            before = back(word - len(dot), lambda c: c == "_" or c.isspace())
+            if word == begin or low[word - len(dot) : word] != dot or before >= word - len(dot):
+                break
+        name = back(before, _NAME.__contains__)
+        if name == before:
+            break
+        begin = name
+    return None if begin == end or (begin > 0 and text[begin - 1] == ".") else begin
 
 
 def spelled_signs(text: str) -> list[tuple[int, int, str]]:
-    """Third transducer: at and dot in brackets; and spelled out bare, when a known last label ends the domain."""
+    """Third transducer: at and dot in brackets; and spelled out bare, when a known last label ends the domain.
+
+    Bare ones are found from the at sign: the domain is read on from there, and the names before it back to the end
+    of the address before, so that no part of a text is read for every word of it."""
     low = text.lower()
+    if len(low) != len(text):  # a letter with a longer lower case: only ASCII is looked for
+        low = "".join(c.lower() if c.isascii() else c for c in text)
     if not any(d in low for _, d in AT_DOT) and not any(a in low for a, _ in AT_DOT):
         return []
-    bracketed, spelled, inner = _signs()
+    bracketed, behind, inner = _signs()
     edits = []
     if any(b in text for b in "[({<"):
         edits += [(m.start(), m.end(), "@" if m["at"] else ".") for m in bracketed.finditer(text)]
-    for (dot, pattern), signs in zip(spelled, inner, strict=True):
+    for (_, dot), pattern, signs in zip(AT_DOT, behind, inner, strict=True):
+        floor = 0
         if dot in low:
             for m in pattern.finditer(text):
-                edits += [(m.start() + s.start(), m.start() + s.end(), "@" if s["at"] else ".") for s in signs.finditer(m[0])]
+                begin = _local_part(text, low, m.start(), floor, dot)
+                if begin is not None:
+                    floor = m.end()
+                    edits += [(s.start(), s.end(), "@" if s["at"] else ".") for s in signs.finditer(text, begin, m.end())]
     edits.sort()
     out: list[tuple[int, int, str]] = []
     for edit in edits:

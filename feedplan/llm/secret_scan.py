@@ -9,9 +9,8 @@ with digits; mixed case with digits). Windows above it are united to a span,
 unless the candidate is on the allow list (identifiers in UUID form, digests
 announced as such, addresses, placeholders, runs of the alphabet).
 
-Offsets are code points, the end is exclusive. Matches of a pattern are found
-again from the end of the one before, where the next occurrence of a match's
-text is the match itself.
+Offsets are code points, the end is exclusive. The place of a match is the sum of
+the lengths of the matches before it and of the pieces between them.
 
 Defined results: null is the empty text, without spans; an entropy span that
 touches a span of a known form is left out; equal rows give equal results.
@@ -54,13 +53,29 @@ class Windows:
     candidate: str = "[A-Za-z0-9+/_=-]"
 
 
-def _found(text: str, matches: str) -> str:
-    """SQL for structs (start, size, match) of non-overlapping matches in order of place; start counts from 0."""
-    step = "named_struct('start', locate(m, __t, acc.next) - 1, 'size', length(m), 'match', m)"
-    return f"""aggregate({matches}, named_struct('next', 1, 'all', cast(array() as array<struct<start:int,size:int,match:string>>)),
-        (acc, m) -> named_struct('next', locate(m, __t, acc.next) + length(m), 'all', concat(acc.all, array({step}))), acc -> acc.all)""".replace(
-        "__t", text
-    )
+def _let(value: str, name: str, body: str) -> str:
+    """SQL for the body with a value that is worked out once, however often lambdas in the body use it."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+#: Matches whose places are added up one after the other; texts with more have them added up by such chunks.
+_CHUNK = 256
+
+
+def _found(text: str, matches: str, pattern: str) -> str:
+    """SQL for structs (start, size, match) of the matches in order of place; start counts from 0.
+
+    Places are sums of the lengths of matches and of what stands between them, in chunks: the work for a text does not
+    grow with the square of its matches."""
+    gaps = _let(f"split({text}, {pattern}, -1)", "g", "transform(__m, (m, i) -> named_struct('gap', length(g[i]), 'size', length(m)))")
+    chunks = f"transform(sequence(0, (size(d) - 1) div {_CHUNK}), k -> slice(d, cast(k * {_CHUNK} + 1 as int), {_CHUNK}))"
+    sums = "aggregate(transform(c, x -> aggregate(x, 0, (n, e) -> n + e.gap + e.size)), array(0), (all, n) -> concat(all, array(element_at(all, -1) + n)))"
+    inner = """aggregate(x, named_struct('at', b[k], 'all', cast(array() as array<int>)),
+        (acc, e) -> named_struct('at', acc.at + e.gap + e.size, 'all', concat(acc.all, array(acc.at + e.gap))), acc -> acc.all)"""
+    starts = _let(gaps, "d", _let(chunks, "c", _let(sums, "b", f"flatten(transform(c, (x, k) -> {inner}))")))
+    rows = _let(starts, "s", "transform(__m, (m, i) -> named_struct('start', s[i], 'size', length(m), 'match', m))")
+    none = "cast(array() as array<struct<start:int,size:int,match:string>>)"
+    return f"case when size({matches}) > 0 then {rows} else {none} end".replace("__m", matches)
 
 
 def _literal(pattern: str) -> str:
@@ -76,7 +91,6 @@ def _window_hits(candidate: str, windows: Windows) -> str:
 
     State: the place of each character in the list of distinct ones, their counts in the window, and the sum of n log n."""
     w = windows.size
-    chars = f"split({candidate}, '')"
     threshold = f"""case when {candidate} rlike '^[0-9a-fA-F]+$' and {candidate} rlike '[0-9]' and {candidate} rlike '[a-fA-F]' then {windows.hexadecimal}D
         when {candidate} rlike '[0-9].*[0-9].*[0-9]' and {candidate} rlike '[A-Z]' and {candidate} rlike '[a-z]' then {windows.mixed}D
         when {candidate} rlike '[0-9].*[0-9].*[0-9]' and {candidate} rlike '[a-z]' then {windows.lower}D end"""
@@ -88,14 +102,14 @@ def _window_hits(candidate: str, windows: Windows) -> str:
     total = f"(case when {enters} = {leaves} then s.total else s.total + {added} + {removed} end)"
     counts = f"transform(s.n, (n, j) -> n + cast(j = {enters} as int) - cast(j = {leaves} as int))"
     high = f"(i >= {w - 1} and log2({w}D) - t.total / {w} >= p.threshold)"
-    return f"""element_at(transform(array(named_struct('codes', transform({chars}, c -> array_position(array_distinct({chars}), c) - 1),
-        'kinds', size(array_distinct({chars})), 'threshold', {threshold})), p ->
+    codes = _let("array_distinct(cs)", "ds", f"named_struct('codes', transform(cs, c -> array_position(ds, c) - 1), 'kinds', size(ds), 'threshold', {threshold})")
+    return f"""element_at(transform(array({_let(f"split({candidate}, '')", "cs", codes)}), p -> case when p.threshold is not null then
       aggregate(sequence(0, length({candidate}) - 1),
         named_struct('n', array_repeat(0, p.kinds), 'total', 0D, 'first', cast(null as int), 'last', cast(null as int)),
         (s, i) -> element_at(transform(array(named_struct('n', {counts}, 'total', {total})), t -> named_struct('n', t.n, 'total', t.total,
           'first', case when s.first is null and {high} then i - {w - 1} else s.first end,
           'last', case when {high} then i - {w - 1} else s.last end)), 1),
-        s -> named_struct('first', s.first, 'last', s.last))), 1)"""
+        s -> named_struct('first', s.first, 'last', s.last)) end), 1)"""
 
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -120,14 +134,15 @@ def with_spans(docs: DataFrame, text_column: str = "text", column: str = "secret
     )
     value = f"regexp_extract(m.match, {_literal(ASSIGN)}, 1)"
     kinds = [
-        f"filter({_found(text, assign)}, m -> length({value}) >= {LEAST_VALUE})",
-        _found(text, access),
-        _found(text, hexes),
+        f"filter({_found(text, assign, _literal(ASSIGN))}, m -> length({value}) >= {LEAST_VALUE})",
+        _found(text, access, _literal(ACCESS)),
+        _found(text, hexes, _literal(HEX)),
     ]
     spans = [f"transform({found}, m -> named_struct('start', m.start, 'kind', {i}, 'end', m.start + m.size))" for i, found in enumerate(kinds)]
     out = out.withColumn(known, F.expr(f"array_sort(concat({', '.join(spans)}))"))
     allowed = " or ".join(f"m.match rlike {_literal(p)}" for p in ALLOWED)
-    candidates = f"filter({_found(text, f'filter({long_}, m -> m rlike {_literal("[0-9]")})')}, m -> not ({allowed}))"
+    # a candidate that is a known form from end to end would be left out at last
+    candidates = f"filter({_found(text, long_, _literal(least))}, m -> m.match rlike {_literal('[0-9]')} and not m.match rlike {_literal(f'^{HEX}$')} and not ({allowed}))"
     hits = f"transform({candidates}, m -> named_struct('at', m.start, 'hit', {_window_hits('m.match', windows)}))"
     touched = f"exists({known}, k -> k.start < e.end and e.start < k.end)"
     entropy = f"""filter(transform(filter({hits}, h -> h.hit.first is not null), h -> named_struct('start', h.at + h.hit.first, 'kind', 3,

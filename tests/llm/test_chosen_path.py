@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 
+import corpus_pipeline
 import numpy as np
 
 from feedplan.llm import chosen_path
@@ -148,3 +149,22 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {n: r for n, r in label.items() if any(n in e and e[0] != e[1] for e in edges)}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_ids_at_both_ends(spark):
+    """Any integer may be an id; no document is lost, and none has a group without a name but those without any id."""
+    text, near = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(59))
+    rows = [
+        ((1 << 63) - 1, text), (1 << 62, near), (-(1 << 63), "alone here"), ((1 << 62) + 5, "quite another text of some words"), (None, near + " w59"),
+        (None, "nobody knows this one"), (None, "nobody knows this one"), ((1 << 61) + 1, "alone here"), (None, None), (-1, ""),
+    ]
+    found = joined(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(found) == len(rows)
+    assert {r.doc_id: r.class_id for r in found if r.doc_id is not None} == {
+        (1 << 63) - 1: 1 << 62, 1 << 62: 1 << 62, -(1 << 63): -(1 << 63), (1 << 62) + 5: (1 << 62) + 5, (1 << 61) + 1: -(1 << 63), -1: -1,
+    }
+    assert sorted((r.class_id or 0, r.n_links) for r in found if r.doc_id is None) == [(0, 0), (0, 1), (0, 1), (1 << 62, 2)]
+    stay = corpus_pipeline.near_duplicates(spark, spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint"), "")
+    kept = [r.doc_id for r in stay.collect()]
+    # of the first group the row without an id stays, of the two that nobody knows one, and the row without a text
+    assert sorted(k for k in kept if k is not None) == [-(1 << 63), -1, (1 << 62) + 5] and kept.count(None) == 3

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 import random
 import re
 
@@ -93,3 +94,34 @@ def test_rows(spark, odd_docs, no_docs):
     one, two = span_digests(docs).orderBy("doc_id").collect()
     assert one.spans == "email:2:8,email:22:40,ip:13:20" and (one.n_email, one.n_ip, one.n_card, one.n_disguised) == (1, 1, 0, 1)
     assert two.spans == "" and two.n_email == 0
+
+
+def test_numbers_in_two_languages():
+    """A run is skipped only where it overlaps a run of an earlier language."""
+    german = "Ruf plus vier neun drei null eins zwei drei vier fünf sechs an. "
+    english = "Later call plus one five five five one two three four five six seven."
+    spans = [find(t)[1] for t in (german, english, german + english)]
+    assert len(spans[0]) == len(spans[1]) == 1
+    assert spans[2] == spans[0] + [(k, s + len(german), e + len(german)) for k, s, e in spans[1]]
+
+
+@pytest.mark.parametrize("filler", ["x dot ", "x_dot_x ", "x at ", "x_at_", " ", "a. ", "one two ", "x dot y.", "at x dot "])
+def test_long_texts_take_time_in_proportion(filler):
+    took = []
+    for size in (100_000, 400_000):
+        text = filler * (size // len(filler)) + " write to jane dot doe at mail dot site dot com"
+        begin = time.process_time()
+        spans = find(text)[1]
+        took.append(time.process_time() - begin)
+        assert any(e == len(text) for k, _, e in spans if k == "email")
+    assert took[1] < 12 * took[0] + 0.5 and took[1] < 20
+
+
+@pytest.mark.parametrize(("text", "address"), [
+    ("mail jane at example dot com now", "jane at example dot com"), ("a jane_dot_doe_at_mail_dot_site_dot_org b", "jane_dot_doe_at_mail_dot_site_dot_org"),
+    ("j dot d dot e at x-y dot uk.", "j dot d dot e at x-y dot uk"), ("a.b dot c at d.e dot net", "a.b dot c at d.e dot net"),
+    ("one at a dot com two at b dot org", "one at a dot com"), ("İ jane at example dot com", "jane at example dot com"),
+])
+def test_spelled_addresses(text, address):
+    kind, start, end = find(text)[1][0]
+    assert kind == "email" and text[start:end] == address

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 import hashlib
 import math
 import random
@@ -99,3 +100,27 @@ def test_rows(odd_docs, no_docs):
     assert sorted(map(str, out.collect())) == sorted(map(str, odd_docs.collect()))
     assert span_digests(no_docs).count() == 0 and redacted(no_docs).count() == 0
     assert secret_scan.KINDS[3] == "entropy"
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1500])
+def test_many_matches(spark, n):
+    """Places are added up in chunks; texts have more matches than one chunk holds."""
+    draw = random.Random(n)
+    words = [draw.choice(["é", "AKIA" + "Z9" * 9, "".join(draw.choices("0123456789abcdef", k=30)), "token=abc123", "x😀y"]) for _ in range(n)]
+    text = " ".join(words)
+    row = secret_scan.span_digests(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    base = known(text)
+    assert row.spans == ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in sorted(base + list(by_entropy(text, base))))
+
+
+def test_long_strings_take_time_in_proportion(spark):
+    draw = random.Random(5)
+    took = []
+    for size in (20_000, 80_000):
+        text = "".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=size))
+        many = " ".join("".join(draw.choices("0123456789abcdef", k=32)) for _ in range(size // 20))
+        begin = time.time()
+        rows = secret_scan.span_digests(spark.createDataFrame([(1, text), (2, many)], "doc_id bigint, text string")).collect()
+        took.append(time.time() - begin)
+        assert {r.doc_id: r.n_hex for r in rows}[2] == size // 20 and {r.doc_id: r.spans for r in rows}[1].startswith("entropy:")
+    assert took[1] < 10 * took[0] + 2
