@@ -227,6 +227,67 @@ def _settle(claims: DataFrame, key: str, unique: Sequence[str]) -> DataFrame:
     ).drop(*[f"first_{c}" for c in unique])
 
 
+def _pointers(claims: DataFrame, key: str, unique: Sequence[str]) -> DataFrame:
+    """(ingest_pos, to, stands, column) of open claims: ``stands`` where that is known by now, and ``to`` where it depends
+    on one single open claim; then the claim stands if that one falls, and falls on ``column`` if that one stands."""
+    left = claims.filter(F.col("state") != "rejected")
+    rows, blockers, falls, stands, alone = claims.filter(F.col("state") == "open"), [], [], F.lit(True), F.lit(True)
+    for column in unique:
+        first = left.groupBy(column).agg(F.min(F.struct("ingest_pos", key, "state")).alias(f"first_{column}"))
+        behind = lookup(left.select("ingest_pos", column), first, {column: column}, "ingest_pos", how="inner")
+        second = (
+            behind.filter(F.col("ingest_pos") > F.col(f"first_{column}")["ingest_pos"])
+            .groupBy(column)
+            .agg(F.min("ingest_pos").alias(f"second_{column}"))
+        )
+        rows = lookup(lookup(rows, first, {column: column}, "ingest_pos"), second, {column: column}, "ingest_pos")
+        leader = F.col(f"first_{column}")
+        mine, accepted = leader[key] == F.col(key), leader["state"] == "accepted"
+        free = leader.isNull() | (leader["ingest_pos"] == F.col("ingest_pos")) | (accepted & mine)
+        stands = stands & free
+        falls.append(F.when(~free & accepted, F.lit(column)))
+        blockers.append(F.when(~free & ~mine, F.struct(leader["ingest_pos"].alias("to"), F.lit(column).alias("column"))))
+        alone = alone & (free | F.coalesce(F.col(f"second_{column}") == F.col("ingest_pos"), F.lit(False)))
+    found = rows.withColumns({"__by": F.array_compact(F.array(*blockers)), "__falls": F.coalesce(*falls)})
+    one = alone & F.col("__falls").isNull() & (F.size(F.array_distinct(F.col("__by.to"))) == 1)
+    return found.select(
+        "ingest_pos",
+        F.when(one, F.get("__by", F.lit(0))["to"]).alias("to"),
+        F.when(F.col("__falls").isNotNull(), False).when(stands, True).alias("stands"),
+        F.coalesce("__falls", F.get("__by", F.lit(0))["column"]).alias("column"),
+    )
+
+
+def _contract(claims: DataFrame, key: str, unique: Sequence[str]) -> DataFrame:
+    """Decide chains of claims, each of which depends on the one before it, by pointer jumping: with every jump a claim
+    points twice as far back, and knows whether it shares the fate of that claim or has the opposite one."""
+    known = staged(_pointers(claims, key, unique), "pointers")
+    pointers = known.where("to is not null").select("ingest_pos", "to", F.lit(True).alias("flip"), "column")
+    while True:
+        on = pointers.select(F.col("ingest_pos").alias("__at"), F.col("to").alias("__to"), F.col("flip").alias("__flip"))
+        jumped = lookup(pointers, on, {"to": "__at"}, "ingest_pos").select(
+            "ingest_pos", F.coalesce("__to", "to").alias("to"), (F.col("flip") != F.coalesce("__flip", F.lit(False))).alias("flip"), "column",
+            F.col("__to").isNotNull().alias("moved"),
+        )
+        pointers = staged(jumped, "pointers")
+        if pointers.filter("moved").isEmpty():
+            break
+    now = known.where("stands is not null").select("ingest_pos", "stands", "column")
+    ends = claims.filter(F.col("state") != "open").select("ingest_pos", (F.col("state") == "accepted").alias("stands"))
+    ends = ends.unionByName(now.drop("column")).select(F.col("ingest_pos").alias("__end"), F.col("stands").alias("__stands"))
+    decided = lookup(pointers, ends, {"to": "__end"}, "ingest_pos", how="inner")
+    decided = decided.select("ingest_pos", (F.col("__stands") != F.col("flip")).alias("stands"), "column").unionByName(now)
+    decided = decided.select(F.col("ingest_pos").alias("__at"), F.col("stands").alias("__good"), F.col("column").alias("__column"))
+    joined = lookup(claims, decided, {"ingest_pos": "__at"}, "ingest_pos")
+    good = F.col("__good")
+    return joined.withColumns(
+        {
+            "state": F.when(good, "accepted").when(~good, "rejected").otherwise(F.col("state")),
+            "taken_by": F.when(~good, F.col("__column")).otherwise(F.col("taken_by")),
+        }
+    ).drop("__good", "__column")
+
+
 def unique_violations(
     good: DataFrame, existing: DataFrame, key: str = "_id", unique: Sequence[str] = ("_ouid", "match_key")
 ) -> DataFrame:
@@ -236,8 +297,11 @@ def unique_violations(
     snapshot, or an earlier record of this read that did not fail itself.
     Only records that share a value with another id take part in the
     sequential question; they are settled in rounds, and the lineage is cut
-    after each.  Every round decides at least the first open record of each
-    chain; two rounds are the rule.
+    after each.  A round decides the first open record of each value and what
+    follows from it; two rounds are the rule. Chains, in which each record
+    waits for one other, are contracted by pointer jumping, so their number of
+    rounds is the logarithm of their length. Records that wait for several
+    others at once are left for the next round.
     """
     narrow = _held_elsewhere(good.select("ingest_pos", key, *unique), existing, key, unique)
     narrow = staged(narrow, "claims")
@@ -259,8 +323,13 @@ def unique_violations(
         "ingest_pos", key, *unique, F.lit("open").alias("state"), F.lit(None).cast("string").alias("taken_by")
     )
     claims = staged(claims, "contested")
-    while not claims.filter(F.col("state") == "open").isEmpty():
+    while True:
         claims = staged(_settle(claims, key, unique), "contested")
+        if claims.filter(F.col("state") == "open").isEmpty():
+            break
+        claims = staged(_contract(claims, key, unique), "contested")
+        if claims.filter(F.col("state") == "open").isEmpty():
+            break
     return rejected.unionByName(claims.filter(F.col("state") == "rejected").select("ingest_pos", "taken_by"))
 
 

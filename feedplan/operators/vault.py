@@ -2,29 +2,35 @@
 
 Secret values live in the vault only.  Rows and plans carry field names;
 ``hide_secrets`` masks the values before anything is staged.
+
+The vault is a log of appends.  Each one writes a folder of its own, and counts
+from when its entry is published; the entry names the run and the batch, so a
+batch that is repeated finds its secrets instead of storing them again.
 """
 
 from __future__ import annotations
 
 import secrets as csprng
+import uuid
 from collections.abc import Sequence
 
 import pandas as pd
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from feedplan.functions import diagnostics as dx
 from feedplan.functions.masking import MASK
 from feedplan.operators.enrich import row_key
 from feedplan.operators.lookup import lookup, salts_of
 
-VAULT = "dataset string, field string, match_key string, value string, run_id string, updated_at string, seq bigint"
-
+VAULT = "dataset string, field string, match_key string, value string, run_id string, updated_at string, append bigint, seq bigint"
+_APPENDS = "dataset string, run_id string, batch string, append bigint, folder string, committed_at timestamp"
 
-#: Rows of one append that its sequence numbers have room for.
-_APPEND = 1 << 40
+#: Lines of one source that the order inside an append has room for.
+_LINES = 1 << 40
 
 
 def _fill_missing(values: pd.Series) -> pd.Series:
@@ -54,7 +60,7 @@ def vault_rows(
     random value where the feed has none.  Random values are drawn by the write
     itself, so write the result at once and read secrets back from the vault; a
     task that runs again replaces its own output.  ``append`` numbers the
-    appends to one vault: ``seq`` orders rows by append, then by line.
+    appends to one vault, ``seq`` orders the rows of one by source and line.
     """
     keys = row_key(rows)
     clean = rows.where(f"{dx.CLEAN} and match_key is not null").select(*keys, "match_key", F.map_keys("secrets").alias("__names"))
@@ -67,6 +73,14 @@ def vault_rows(
         draw = F.pandas_udf(_fill_missing, "string").asNondeterministic()
         drawn = clean.select(*keys, "match_key", absent).withColumns({"value": draw(F.lit("").cast("string")), "generated": F.lit(True)})
         known = known.unionByName(drawn)
+    place = "line_no"
+    if "source_id" in keys:
+        # one row for each file; sources go by their names
+        order = Window.orderBy("__source")
+        sources = clean.select(F.col("source_id").alias("__source")).distinct().select("__source", (F.row_number().over(order) - 1).cast("bigint").alias("__place"))
+        known = lookup(known, sources, {"source_id": "__source"}, "line_no")
+        place = f"coalesce(__place, 0L) * {_LINES} + line_no"
+    seq = f"if(line_no between 0 and {_LINES - 1}, {place}, raise_error('a line number is out of bounds'))"
     return known.select(
         F.lit(dataset).alias("dataset"),
         "field",
@@ -74,7 +88,8 @@ def vault_rows(
         "value",
         F.lit(run_id).alias("run_id"),
         F.lit(updated_at).alias("updated_at"),
-        (F.lit(append * _APPEND) + F.col("line_no")).alias("seq"),
+        F.lit(append).cast("bigint").alias("append"),
+        F.expr(seq).cast("bigint").alias("seq"),
         "generated",
     )
 
@@ -93,20 +108,28 @@ def store_secrets(
     run_id: str,
     updated_at: str,
     generate: Sequence[str] = ("password",),
+    batch: str | None = None,
 ) -> DataFrame:
     """Append the secrets of clean rows to the vault at ``path``; the rows, with an error where that was not possible.
 
     A row without a key cannot be looked up later (``MATCH_KEY_MISSING``).  An
     append succeeds or fails as a whole: when it fails, all rows that should
     have been stored get ``SECRET_STORE_ERROR`` and leave the plan.
+
+    A ``batch`` of a run is stored once.  When it is repeated, nothing is
+    written or drawn: its secrets are in the vault, and those that were drawn
+    then are found again.  Without a batch every call appends.
     """
     spark = rows.sparkSession
     try:
-        append = 0
-        if _exists(spark, path):
-            append = (read_vault(spark, path).agg(F.max("seq")).first()[0] or 0) // _APPEND + 1
-        stored = vault_rows(rows, secrets, dataset, run_id, updated_at, generate, append)
-        stored.drop("generated").write.mode("append").parquet(path)
+        so_far = _appends(spark, path)
+        if batch is None or not any((a["dataset"], a["run_id"], a["batch"]) == (dataset, run_id, batch) for a in so_far):
+            append = max((a["append"] for a in so_far), default=-1) + 1
+            folder = uuid.uuid4().hex
+            stored = vault_rows(rows, secrets, dataset, run_id, updated_at, generate, append)
+            stored.drop("generated").write.parquet(f"{path}/data/{folder}")
+            entry = spark.createDataFrame([(dataset, run_id, batch if batch is not None else folder, append, folder)], _APPENDS.rsplit(",", 1)[0])
+            entry.withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/appends")
     except (PySparkException, Py4JJavaError):
         wanted = " or ".join(["size(secrets) > 0", *(f"not map_contains_key(secrets, '{g}')" for g in generate)])
         return _flagged(rows, f"{dx.CLEAN} and ({wanted})", "SECRET_STORE_ERROR", "secrets", "secrets could not be stored")
@@ -119,29 +142,37 @@ def store_errors(rows: DataFrame) -> DataFrame:
     return _flagged(rows, homeless, "MATCH_KEY_MISSING", "matchKey", "match_key is required to store secrets")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _appends(spark: SparkSession, path: str) -> list[Row]:
+    """The appends that count, one for each batch: of two that were published for the same one, the first."""
     try:
-        spark.read.schema(VAULT).parquet(path)
+        rows = spark.read.schema(_APPENDS).parquet(f"{path}/appends").collect()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return []
         raise
-    return True
+    first: dict[tuple, Row] = {}
+    for row in sorted(rows, key=lambda r: (r["committed_at"], r["folder"])):
+        first.setdefault((row["dataset"], row["run_id"], row["batch"]), row)
+    return list(first.values())
 
 
 def read_vault(spark: SparkSession, path: str) -> DataFrame:
-    """The vault table; empty when nothing has been stored yet."""
-    return spark.read.schema(VAULT).parquet(path) if _exists(spark, path) else spark.createDataFrame([], VAULT)
+    """The vault table: what published appends have written; empty when nothing has been stored yet."""
+    folders = [f"{path}/data/{a['folder']}" for a in _appends(spark, path)]
+    return spark.read.schema(VAULT).parquet(*folders) if folders else spark.createDataFrame([], VAULT)
 
 
 def latest_secrets(vault: DataFrame, run_id: str | None = None) -> DataFrame:
     """Current value per (dataset, field, match_key).
 
     The first value of the requested run if that run stored one, else the
-    last value of all, in the order of the appends (``seq``).  The position is
-    found first, by hash aggregation of one number; its value is joined back.
+    last value of all, in the order of the appends and, inside one, of sources
+    and lines.  The position is found first, by hash aggregation of one number;
+    its value is joined back.
     """
     keys = ["dataset", "field", "match_key"]
+    if "append" in vault.columns:  # one number for both, wider than 64 bits
+        vault = vault.withColumn("seq", F.expr("cast(append as decimal(18, 0)) * cast('10000000000000000000' as decimal(20, 0)) + cast(seq as decimal(19, 0))").cast("decimal(38, 0)"))
     last = "max(seq)"
     if run_id is not None:
         of_run = run_id.replace("'", "\\'")

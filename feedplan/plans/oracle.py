@@ -374,6 +374,9 @@ def _quoted_cells() -> str:
 
 _SQL = {
     "csv_record_parse": _quoted_cells(),
+    "csv_torn_lines": """
+select row_number() over (order by line_no) as line_no, cast(line_no as varchar) as key, concat('n', line_no, '" x') as note,
+  concat(coalesce(full_name, ''), chr(10), chr(10), '" , ', line_no) as body from cells""",
     "record_numbering": "select row_number() over (order by line_no) + 1 as line_no, concat('line:', row_number() over (order by line_no) + 1) as record_id, line_no as key_no, full_name from feed",
     "null_token_clean": "select line_no, raw_id, login, manager from feed",
     "paged_json_items": "select page, pos, k as ouid from records",
@@ -462,6 +465,7 @@ from (select o_orderkey, case when o_orderkey % 5 = 3 then 'Missing required fie
     "code_allocate_narrow": f"select line_no, code_pick, case when code_pick > 0 then {_code('code_pick', width=3)} end as code from narrow_pick",
     "secret_default": "select line_no, 'password' as field, coalesce(password, '') = '' as generated from enriched where len(errors) = 0",
     "vault_flow": f"select line_no, match_key, {_CODES_ERRORS} as codes, case when len(errors) = 0 then 'password' end as field, case when len(errors) = 0 then case when coalesce(password, '') = '' then 32 else length(password) end end as n_value, case when len(errors) = 0 then 'run' end as run_id from enriched",
+    "vault_replay": "select match_key, 'password' as field, count(*) as n_rows, cast(1 as bigint) as n_appends from enriched where len(errors) = 0 group by match_key",
     "plan_file": "select concat('line:', line_no) as row_id, line_no, decision as op, resource_id, email, len(diff) as n_changes, match_key, case when decision = 'create' then 'password' else '' end as secrets from decided where decision in ('create', 'update')",
     "report_file": """
 select s.status, 'run' as run_id, t.truncated as items_truncated, s.rows_total, s.rows_blocked, i.line_no, len(i.errors) as n_diagnostics, case when len(i.errors) > 0 then 'error' else '' end as severity
@@ -535,6 +539,10 @@ union all select 'employees', 'count_total', cast(count(*) as varchar) from user
 select o_orderkey, case when o_orderkey % 10 = 0 then o_totalprice else o_totalprice + 1 end as o_totalprice, o_orderstatus,
   case when o_orderkey % 10 = 0 then 'kept' else 'updated' end as op from orders
 union all select -1 - o_orderkey, o_totalprice + 1, o_orderstatus, 'inserted' from orders where o_orderkey % 10 = 0""",
+    "snapshot_merge_orders": """
+select o_orderkey, case when o_orderkey % 100 = 0 then o_totalprice + 1 else o_totalprice end as o_totalprice, o_orderstatus
+from orders where o_orderkey % 250 <> 2""",
+    "stale_removed": "select _id, _ouid, match_key, mail from user_table where _id in (select _id from users where _id is not null)",
     "snapshot_status": "select 'organizations' as dataset, count(*) as n_rows from orgs union all select 'employees', count(*) from known",
     "snapshot_clear": "select 'organizations' as dataset, cast(0 as bigint) as n_left, count(*) as n_removed from orgs union all select 'employees', 0, count(*) from known",
     "stale_rows": "select _id from known where _id not in (select _id from users where _id is not null)",

@@ -108,6 +108,14 @@ def csv_record_parse(spark: SparkSession, sf: str) -> DataFrame:
     return read.selectExpr("cast(key as bigint) as line_no", *employees.RAW_COLUMNS)
 
 
+def csv_torn_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Records over several lines, quotes in the middle of plain cells, and blank lines between records."""
+    record = "concat(line_no, ',n', line_no, '\" x,\"', replace(coalesce(full_name, ''), '\"', '\"\"'), '\n\n', '\"\" , ', line_no, '\"\n')"
+    folder = new_folder(spark, "torn")
+    feeds.raw_cells(spark, sf).orderBy("line_no").selectExpr(f"{record} as record").write.text(folder)
+    return feed_csv.read_cells(spark, folder, ("key", "note", "body"), has_header=False)
+
+
 def record_numbering(spark: SparkSession, sf: str) -> DataFrame:
     """Records of a delimited file get dense numbers in file order."""
     # a first cell that is never blank keeps every record in the file
@@ -480,6 +488,14 @@ def vault_flow(spark: SparkSession, sf: str) -> DataFrame:
     return kept.join(found, ["line_no", "match_key"], "left")
 
 
+def vault_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """What the vault holds after one batch has been stored twice."""
+    path = new_folder(spark, "vault")
+    for _ in range(2):
+        sync.stored(enriched(spark, sf), feeds.raw_feed(spark, sf), path, SPEC, batch="1")
+    return vault.read_vault(spark, path).groupBy("match_key", "field").agg(F.count("*").alias("n_rows"), F.countDistinct("append").alias("n_appends"))
+
+
 # --- vault ---------------------------------------------------------------------
 
 
@@ -950,8 +966,8 @@ def incremental_sync(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _NAMES = (
-    csv_record_parse, record_numbering, normalize_checks, payload_errors, header_contract, plan_file, report_file, warnings_report, enrich_rows_files,
-    code_allocate_narrow, vault_flow, apply_report, apply_plan, null_token_clean, paged_json_items, paged_stop_rule, page_failure,
+    csv_record_parse, csv_torn_lines, record_numbering, normalize_checks, payload_errors, header_contract, plan_file, report_file, warnings_report, enrich_rows_files,
+    code_allocate_narrow, vault_flow, vault_replay, apply_report, apply_plan, null_token_clean, paged_json_items, paged_stop_rule, page_failure,
     plan_items, plan_read_clean, report_summary, vault_put, map_canonical, name_split, contact_extract,
     contact_extract_documents, kv_parse, manager_ref_parse, flag_parse, role_parse, secret_candidates,
     desired_state, upsert_payload, snapshot_map_users, snapshot_map_orgs, whitespace_norm, email_check,

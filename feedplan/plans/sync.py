@@ -80,10 +80,10 @@ def enriched(raw: DataFrame, target: DataFrame, spec: EnrichSpec | None = None,
     return stage(enrich(rows, target, spec or employees.enrich_spec()), "enriched")
 
 
-def stored(rows: DataFrame, raw: DataFrame, vault: str, spec: EnrichSpec, stage: Stage = staged) -> DataFrame:
+def stored(rows: DataFrame, raw: DataFrame, vault: str, spec: EnrichSpec, stage: Stage = staged, batch: str | None = None) -> DataFrame:
     """Enriched rows whose secrets have been appended to the vault; rows whose secrets could not be stored have an error."""
     now = datetime.now(timezone.utc).isoformat(timespec="seconds")
-    return stage(store_secrets(rows, feed_secrets(raw), vault, spec.dataset, spec.run_id, now, (spec.secret,)), "stored")
+    return stage(store_secrets(rows, feed_secrets(raw), vault, spec.dataset, spec.run_id, now, (spec.secret,), batch), "stored")
 
 
 def validated(
@@ -93,11 +93,12 @@ def validated(
     spec: EnrichSpec | None = None,
     stage: Stage = staged,
     vault: str | None = None,
+    batch: str | None = None,
 ) -> DataFrame:
     """Rows that survived enrichment, with their validation errors."""
     rows = enriched(raw, target, spec, stage)
     if vault is not None:
-        rows = stored(rows, raw, vault, spec or employees.enrich_spec(), stage)
+        rows = stored(rows, raw, vault, spec or employees.enrich_spec(), stage, batch)
     rows = survivors(rows)
     known = mark_known(rows, orgs, "organization_id", "_ouid", "org_known")
     return validate(known, employees.validation_rules()).drop("org_known")
@@ -111,9 +112,10 @@ def decided(
     include_deleted: bool = False,
     stage: Stage = staged,
     vault: str | None = None,
+    batch: str | None = None,
 ) -> DataFrame:
     """One decision per row that reached validation."""
-    rows = validated(raw, target, orgs, spec, stage, vault)
+    rows = validated(raw, target, orgs, spec, stage, vault, batch)
     matched = match_target(rows, target, employees.CANDIDATE, include_deleted)
     return decide(matched, employees.diff_rules())
 
@@ -133,11 +135,13 @@ def plan_import(
     include_deleted: bool = False,
     stage: Stage = staged,
     vault: str | None = None,
+    batch: str | None = None,
 ) -> ImportPlan:
     """Plan and summary.  The decided rows are staged by default, because both
     results read them.  With ``vault``, the path of the vault table, the
-    secrets of the feed are appended to it, and missing ones are drawn."""
-    rows = stage(decided(raw, target, orgs, spec, include_deleted, stage, vault), "decided")
+    secrets of the feed are appended to it, and missing ones are drawn; those of
+    a ``batch`` of the run are stored once, however often it is planned."""
+    rows = stage(decided(raw, target, orgs, spec, include_deleted, stage, vault, batch), "decided")
     return ImportPlan(rows, plan_items(rows, employees.DESIRED), plan_summary(rows))
 
 

@@ -4,7 +4,7 @@ snapshot that the previous batch left, and merged into the next version.
 A batch rewrites the buckets of the records it changes, and no others. A
 version is named by its batch.  When a batch is repeated after a failure it
 reads the same previous version and takes the place of its first try, so the
-result does not change.  There is no event time: the last arrival of a key wins.
+result does not change; nor do its secrets, which the vault stores once.  There is no event time: the last arrival of a key wins.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ def apply_batch(
     source = "source_id" if "source_id" in batch.columns else f"'batch {version}' as source_id"
     raw = batch.selectExpr(source, "line_no", "concat('line:', line_no) as record_id", *cells)
     target = store.read(DATASET, snapshot_schema(), before=version)
-    plan = sync.plan_import(raw, target, orgs, employees.enrich_spec(run_id), vault=vault)
+    plan = sync.plan_import(raw, target, orgs, employees.enrich_spec(run_id), vault=vault, batch=str(version))
     store.merge({DATASET: Changes(staged(changed_records(plan.items, target), "changed"))}, run_id, version=version)
 
 

@@ -24,14 +24,14 @@ def entries(spark, *rows):
 
 
 def test_latest_secret_and_run(spark):
-    table = entries(spark, ("k", "v1", "r1", "t1", 1), ("k", "v2", "r1", "t1", 2), ("k", "v3", "r2", "t2", 3))
+    table = entries(spark, ("k", "v1", "r1", "t1", 0, 1), ("k", "v2", "r1", "t1", 0, 2), ("k", "v3", "r2", "t2", 1, 1))
     assert vault.latest_secrets(table).first().value == "v3"
     assert vault.latest_secrets(table, "r1").first().value == "v1"
     assert vault.latest_secrets(table, "r9").first().value == "v3"
 
 
 def test_a_tie_in_time_goes_to_the_later_append(spark):
-    table = entries(spark, ("k", "first", "r1", "t", 900), ("k", "second", "r2", "t", (1 << 40) + 2))
+    table = entries(spark, ("k", "first", "r1", "t", 0, 900), ("k", "second", "r2", "t", 1, 2))
     assert vault.latest_secrets(table).first().value == "second"
 
 
@@ -52,7 +52,7 @@ def test_the_flow_stores_secrets_and_stages_none(spark, tmp_path, monkeypatch):
     assert [r.status for r in applied.report.collect()] == ["OK", "OK"]
     rows = {(r.match_key, r.run_id): r for r in kept.collect()}
     assert rows["Quint|Mara|Ilse|4711", "r1"].value == "streng1geheim" and len(rows["Quint|Mara|Ilse|8", "r1"].value) == 32
-    assert len(rows) == 4 and rows["Quint|Mara|Ilse|4711", "r2"].seq == (1 << 40) + 2
+    assert len(rows) == 4 and (rows["Quint|Mara|Ilse|4711", "r2"].append, rows["Quint|Mara|Ilse|4711", "r2"].seq) == (1, 2)
     assert vault.latest_secrets(kept).count() == 2
     staged_files = files_below(folder)
     values = [r.value.encode() for r in rows.values()]
@@ -62,6 +62,44 @@ def test_the_flow_stores_secrets_and_stages_none(spark, tmp_path, monkeypatch):
         assert "streng1geheim" not in text
 
 
+def test_a_batch_is_stored_once(spark, tmp_path):
+    """The second time nothing is drawn, and the value of the first time is found."""
+    raw = feed(spark, {"extra": "password=streng1geheim;org_id=20;tab=T1"}, {"raw_id": "8", "extra": "org_id=20;tab=T2"})
+    path = str(tmp_path / "vault")
+    rows = sync.enriched(raw, users(spark))
+    found = []
+    for batch in ("1", "1", "2", "1"):
+        assert [r.errors for r in sync.stored(rows, raw, path, employees.enrich_spec("r"), batch=batch).collect()] == [[], []]
+        found.append({(r.match_key, r.append): r.value for r in vault.read_vault(spark, path).collect()})
+    assert found[0] == found[1] and len(found[0]) == 2 and found[2] == found[3] and len(found[2]) == 4
+    assert found[0].items() < found[2].items()
+    assert found[2]["Quint|Mara|Ilse|8", 0] != found[2]["Quint|Mara|Ilse|8", 1]
+    # another run is another batch; what was written but not published does not count
+    spark.createDataFrame([("d", "password", "k", "lost", "r", "t", 9, 9)], vault.VAULT).write.parquet(f"{path}/data/torn")
+    sync.stored(rows, raw, path, employees.enrich_spec("s"), batch="1")
+    assert vault.read_vault(spark, path).count() == 6
+
+
+def test_two_publications_of_one_batch(spark, tmp_path):
+    """As when a writer that was taken for lost comes back: the first one counts."""
+    path = str(tmp_path / "vault")
+    for n, folder in enumerate(("a", "b")):
+        spark.createDataFrame([("d", "password", "k", f"v{n}", "r", "t", 0, 1)], vault.VAULT).write.parquet(f"{path}/data/{folder}")
+        entry = spark.createDataFrame([("d", "r", "1", 0, folder)], "dataset string, run_id string, batch string, append bigint, folder string")
+        entry.selectExpr("*", f"timestamp'2024-01-01' + make_interval(0, 0, 0, {n}) as committed_at").write.mode("append").parquet(f"{path}/appends")
+    assert [r.value for r in vault.read_vault(spark, path).collect()] == ["v0"]
+
+
+def test_sources_with_one_line_number_do_not_tie(spark, tmp_path):
+    raw = feed(spark, {"extra": "password=zz;org_id=20;tab=T1"}, {"extra": "password=aa;org_id=20;tab=T1"})
+    raw = raw.selectExpr("if(line_no = 2, 'a', 'b') as source_id", "2L as line_no", *raw.columns[1:])
+    path = str(tmp_path / "vault")
+    sync.stored(sync.enriched(raw, users(spark, {})), raw, path, employees.enrich_spec("r"))
+    kept = vault.read_vault(spark, path)
+    assert sorted(r.seq for r in kept.collect()) == [2, (1 << 40) + 2]
+    assert [r.value for r in vault.latest_secrets(kept).collect()] == ["aa"]  # of the last source, not the larger text
+
+
 def test_a_vault_that_cannot_be_written_stops_its_rows(spark, tmp_path):
     (tmp_path / "vault").write_text("a file, not a folder")
     raw = feed(spark, {})

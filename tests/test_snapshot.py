@@ -11,7 +11,7 @@ from feedplan.plans import feeds, sync
 from feedplan.sources import pages
 from feedplan.sources.snapshot_store import SnapshotStore
 from pyspark.sql import types as T
-from feedplan.sources.staging import new_folder
+from feedplan.sources.staging import new_folder, staged
 
 
 def person(i, **changes):
@@ -99,6 +99,35 @@ def test_uniqueness_like_a_sequential_read(spark, seed):
     assert got == {pos for pos, _ in sequential(records, known)}
 
 
+def violations(spark, records, known=()):
+    good = spark.createDataFrame(records, "ingest_pos bigint, _id string, _ouid bigint, match_key string")
+    existing = spark.createDataFrame(list(known), "_id string, _ouid bigint, match_key string")
+    return sorted((r.ingest_pos, r.taken_by) for r in snapshot.unique_violations(good, existing).collect())
+
+
+def test_a_chain_ends_in_logarithmic_rounds(spark, monkeypatch):
+    """Each record shares a value with the one before it and another with the one behind it."""
+    n, written = 10_000, []
+    chain = [(i, f"R{i}", (i + 1) // 2, f"key{i // 2}") for i in range(n)]
+    monkeypatch.setattr(snapshot, "staged", lambda df, name: (written.append(name), staged(df, name))[1])
+    assert violations(spark, chain) == sequential(chain, [])
+    assert written.count("contested") <= 4 and written.count("pointers") <= 16
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_chains_that_fork_and_meet(spark, seed):
+    """Chains of several lengths, with records that wait for two others and values that many share."""
+    rng = random.Random(seed)
+    records = []
+    for _ in range(6):
+        base = 1000 * len(records)
+        for i in range(rng.randint(2, 25)):
+            pos = len(records)
+            records.append((pos, f"R{pos}" if rng.random() < 0.9 else "same", base + (i + 1) // 2, f"key{base + i // 2}"))
+    records += [(len(records) + i, f"T{i}", rng.choice(records)[2], rng.choice(records)[3]) for i in range(25)]
+    assert [p for p, _ in violations(spark, records)] == [p for p, _ in sequential(records, [])]
+
+
 def snapshot_schema(ddl):
     return T.StructType.fromDDL(ddl)
 

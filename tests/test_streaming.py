@@ -50,6 +50,18 @@ def test_files_that_number_from_two_lose_nobody(spark):
     assert sorted(r.value for r in vault.read_vault(spark, f"{folder}/vault").collect()) == [f"p{i}" for i in range(5)]
 
 
+def test_a_repeated_batch_keeps_its_secrets(spark):
+    folder = new_folder(spark, "repeated")
+    store = SnapshotStore(spark, f"{folder}/store")
+    raw = feed(spark, *[{"full_name": f"P{i} F M", "raw_id": str(i), "extra": f"org_id=20;tab=T{i}"} for i in range(3)]).drop("record_id")
+    seen = []
+    for _ in range(2):
+        incremental.apply_batch(raw, 1, store, orgs(spark, 20), "run", f"{folder}/vault")
+        seen.append(sorted((r.match_key, r.value) for r in vault.read_vault(spark, f"{folder}/vault").collect()))
+    assert seen[0] == seen[1] and len(seen[0]) == 3
+    assert store.read(incremental.DATASET, incremental.snapshot_schema()).count() == 3
+
+
 def names(table):
     return {r._id: r.user_name for r in table.collect()}
 
