@@ -188,14 +188,15 @@ def apply_report_rows(outcome: DataFrame) -> DataFrame:
 
 
 def first_actions(items: DataFrame, max_actions: int | None) -> DataFrame:
-    """Only the first items of the plan (a top-n by line)."""
-    return items if max_actions is None else items.orderBy("line_no").limit(max_actions)
+    """Only the first items of the plan (a top-n by source and line)."""
+    return items if max_actions is None else items.orderBy(*row_key(items)).limit(max_actions)
 
 
 def stop_at_first_error(outcome: DataFrame) -> DataFrame:
-    """Outcomes up to and including the first failure."""
-    first = outcome.filter(F.col("outcome") == "failed").agg(F.min("line_no"))
-    return outcome.filter(F.col("line_no") <= F.coalesce(first.scalar(), F.lit((1 << 63) - 1)))
+    """Outcomes up to and including the first failure, in the order of sources and lines."""
+    place = F.struct(*row_key(outcome))
+    first = outcome.filter(F.col("outcome") == "failed").agg(F.min(place))
+    return outcome.filter(F.coalesce(place <= first.scalar(), F.lit(True)))
 
 
 def retry_ids(items: DataFrame, target: DataFrame, spec: EnrichSpec, retries: int = 3, key: str = "_id") -> DataFrame:

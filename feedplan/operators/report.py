@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedplan.functions import diagnostics as dx
+from feedplan.operators.enrich import row_key
 
 
 def run_status(errors_total: Column, rows_passed: Column) -> Column:
@@ -85,29 +86,32 @@ def storable(rows: DataFrame, include_skipped: bool = False, include_ok: bool =
 
 
 def report_items(rows: DataFrame, limit: int, include_skipped: bool = False, include_ok: bool = False) -> DataFrame:
-    """The first ``limit`` storable rows in feed order (a top-n, no full sort)."""
-    return storable(rows, include_skipped, include_ok).orderBy("line_no").limit(limit)
+    """The first ``limit`` storable rows in feed order, by source and line (a top-n, no full sort)."""
+    return storable(rows, include_skipped, include_ok).orderBy(*row_key(rows)).limit(limit)
 
 
 def items_truncated(rows: DataFrame, limit: int, include_skipped: bool = False, include_ok: bool = False) -> DataFrame:
     """Whether a passed or failed item was cut; cut skipped items do not count."""
-    kept = report_items(rows, limit, include_skipped, include_ok).agg(F.max("line_no").alias("last"))
-    counted = storable(rows, include_skipped, include_ok).filter(F.col("status") != "SKIPPED")
-    return counted.agg(
-        (F.coalesce(F.max("line_no"), F.lit(-1)) > F.coalesce(kept.scalar(), F.lit(-1))).alias("items_truncated")
-    )
+    counted = F.count_if(F.col("status") != "SKIPPED").alias("n")
+    kept = report_items(rows, limit, include_skipped, include_ok).agg(counted)
+    whole = storable(rows, include_skipped, include_ok).agg(counted)
+    return whole.select((F.col("n") > kept.scalar()).alias("items_truncated"))
 
 
 def item_rows(items: DataFrame) -> DataFrame:
-    """Report items: status, row reference, diagnostics with their severity and context; no payload."""
+    """Report items: status, row reference, diagnostics with their severity and context; no payload.
+
+    Rows of a named source have it in their reference, and in the id of the row."""
     marked = [f"transform({c}, d -> named_struct('severity', '{severity}', 'stage', d.stage, 'code', d.code, 'field', d.field, 'message', d.message))"
               for c, severity in (("errors", "error"), ("warnings", "warning"))]
     context = F.col("context") if "context" in items.columns else F.expr("cast(map() as map<string,string>)")
+    source = F.nullif(F.col("source_id"), F.lit("")) if "source_id" in items.columns else F.lit(None).cast("string")
     return items.select(
         "status",
         F.struct(
+            source.alias("source_id"),
             "line_no",
-            F.concat(F.lit("line:"), F.col("line_no")).alias("row_id"),
+            F.concat(F.coalesce(F.concat(source, F.lit("#")), F.lit("")), F.lit("line:"), F.col("line_no")).alias("row_id"),
             F.lit("match_key").alias("identity_primary"),
             F.col("match_key").alias("identity_value"),
         ).alias("row_ref"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedplan.functions import diagnostics as dx
 from feedplan.functions.text import is_blank, is_email
+from feedplan.operators.enrich import row_key
 from feedplan.operators.lookup import distinct_keys, lookup, salts_of
 
 # A check turns a column into a list of diagnostics (SQL text).
@@ -115,5 +116,6 @@ def dropped_rows(rows: DataFrame) -> DataFrame:
 
 
 def error_rows(rows: DataFrame) -> DataFrame:
-    """(line_no, ord, stage, code, field, message), one row per error."""
-    return rows.select("line_no", F.posexplode("errors").alias("ord", "error")).select("line_no", "ord", "error.*")
+    """(source_id, line_no, ord, stage, code, field, message), one row per error; no source where the rows have none."""
+    keys = row_key(rows)
+    return rows.select(*keys, F.posexplode("errors").alias("ord", "error")).select(*keys, "ord", "error.*")

@@ -372,6 +372,8 @@ def _quoted_cells() -> str:
     return "select line_no, " + ", ".join(f"{_clean(e)} as {c}" for e, c in zip(cells, _CELLS, strict=True)) + " from cells"
 
 
+_FILED = "(select concat('f', line_no % 3) as source_id, cast(floor(line_no / 3) as bigint) as line_no, outcome, code from applied)"
+
 _SQL = {
     "csv_record_parse": _quoted_cells(),
     "csv_torn_lines": """
@@ -560,6 +562,16 @@ select line_no, status, status in (200, 201) as ok,
   case when status not in (200, 201) then nullif(left(regexp_replace(body, '"Token":"[^"]*"', '"Token":"***"'), 200), '') end as body_snippet
 from responses""",
     "apply_outcome": "select line_no, op, outcome, code from applied",
+    "dropped_rows_files": "select concat('file-', line_no % 4) as source_id, cast(floor(line_no / 4) as bigint) + 2 as line_no, ord, stage, code, field, message from ("
+    + _ROWS.format(t="bigint", src="enriched") + ")",
+    "apply_stop_files": f"""
+select f.source_id, f.line_no, f.outcome, f.code from {_FILED} f
+left join (select source_id as s, line_no as n from {_FILED} where outcome = 'failed' order by 1, 2 limit 1) first on true
+where s is null or f.source_id < s or (f.source_id = s and f.line_no <= n)""",
+    "apply_max_files": f"select source_id, line_no, outcome, code from {_FILED} order by source_id, line_no limit 600",
+    "report_items_files": f"""
+select 'FAILED' as status, source_id, line_no, concat(source_id, '#line:', line_no) as row_id, code, (select count(*) > 200 from applied where outcome = 'failed') as truncated
+from {_FILED} where outcome = 'failed' order by source_id, line_no limit 200""",
     "apply_max_actions": "select line_no, outcome, code from applied order by line_no limit 25",
     "apply_stop_first": """
 select line_no, case when line_no % 4999 = 4998 then 'failed' when op = 'create' then 'created' else 'updated' end as outcome,

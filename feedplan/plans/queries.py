@@ -385,7 +385,7 @@ def normalize_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def normalize_errors(spark: SparkSession, sf: str) -> DataFrame:
-    return validate.error_rows(sync.normalized(feeds.raw_feed(spark, sf)))
+    return validate.error_rows(sync.normalized(feeds.raw_feed(spark, sf))).drop("source_id")
 
 
 def _keyed(spark: SparkSession, sf: str) -> DataFrame:
@@ -434,13 +434,16 @@ def enrich_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def enrich_rows_files(spark: SparkSession, sf: str) -> DataFrame:
-    """The feed as four files that number their records alike."""
+def _enriched_files(spark: SparkSession, sf: str) -> DataFrame:
     raw = feeds.raw_feed(spark, sf).selectExpr(
         "concat('file-', line_no % 4) as source_id", "cast(floor(line_no / 4) as bigint) + 2 as line_no", "record_id", *employees.RAW_COLUMNS
     )
-    rows = sync.enriched(raw, feeds.target(spark, sf), SPEC)
-    return rows.selectExpr(
+    return _stage(spark, sf, "enriched_files", lambda: sync.enriched(raw, feeds.target(spark, sf), SPEC))
+
+
+def enrich_rows_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed as four files that number their records alike."""
+    return _enriched_files(spark, sf).selectExpr(
         "source_id", "line_no", "match_key", "manager_id", "resource_id", "usr_org_tab_num", "code_generated", f"{dx.code_summary()} as codes"
     )
 
@@ -850,6 +853,40 @@ def stale_rows(spark: SparkSession, sf: str) -> DataFrame:
 # --- apply --------------------------------------------------------------------------------
 
 
+def _filed(rows: DataFrame) -> DataFrame:
+    """Rows of one source as rows of three that number theirs alike."""
+    rest = [c for c in rows.columns if c != "line_no"]
+    return rows.selectExpr("concat('f', line_no % 3) as source_id", "cast(floor(line_no / 3) as bigint) as line_no", *rest)
+
+
+def _outcomes_files(spark: SparkSession, sf: str) -> DataFrame:
+    return apply.apply_outcome(_filed(order_requests(spark, sf)), _filed(response_log(spark, sf)))
+
+
+def dropped_rows_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors of the rows of four files that never reach validation."""
+    return validate.dropped_rows(_enriched_files(spark, sf)).selectExpr("source_id", "line_no", "cast(ord as bigint) as ord", "stage", "code", "field", "message")
+
+
+def apply_stop_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Outcomes of three sources up to the first failure of any kind."""
+    return apply.stop_at_first_error(_outcomes_files(spark, sf)).select("source_id", "line_no", "outcome", "code")
+
+
+def apply_max_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The first actions of three sources."""
+    first = apply.first_actions(_filed(order_requests(spark, sf)), 600)
+    return apply.apply_outcome(first, _filed(response_log(spark, sf))).select("source_id", "line_no", "outcome", "code")
+
+
+def report_items_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The first failed items of three sources, and whether any was cut."""
+    rows = apply.apply_report_rows(_outcomes_files(spark, sf)).withColumn("match_key", F.lit(None).cast("string"))
+    items = report.item_rows(report.report_items(rows, 200))
+    cut = report.items_truncated(rows, 200)
+    return items.select("status", "row_ref.source_id", "row_ref.line_no", "row_ref.row_id", F.expr("diagnostics[0].code").alias("code"), cut.scalar().alias("truncated"))
+
+
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
     """Requests of the plan; the vault holds the passwords of the feed."""
     latest = vault.latest_secrets(_vault_rows(spark, sf, ()))
@@ -979,7 +1016,7 @@ _NAMES = (
     plan_rows, plan_summary, run_status, diagnostics_by_stage, ops_counters, report_items, stage_report,
     validate_report, error_histogram, refresh_outcome, unique_violations, refresh_counters, refresh_totals,
     refresh_meta, snapshot_upsert, snapshot_upsert_orders, snapshot_merge_orders, stale_removed, snapshot_status, snapshot_clear, stale_rows,
-    request_rows, outcome_classify, apply_outcome, apply_max_actions, apply_stop_first, apply_id_retry,
+    dropped_rows_files, apply_stop_files, apply_max_files, report_items_files, request_rows, outcome_classify, apply_outcome, apply_max_actions, apply_stop_first, apply_id_retry,
     apply_dry_run, apply_counters, apply_to_target, incremental_sync,
 )
 

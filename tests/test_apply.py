@@ -123,7 +123,7 @@ def test_keyed_fallback(spark):
 
 
 def requests(spark, plan, *stored, **options):
-    table = spark.createDataFrame([("employees", "password", *r) for r in stored], vault.VAULT)
+    table = spark.createDataFrame([("employees", "password", *r[:-1], 0, r[-1]) for r in stored], vault.VAULT)
     items = vault.attach_secrets(plan.items, vault.latest_secrets(table), "employees", ["password"])
     return {r.line_no: r for r in apply.request_rows(items, **options).collect()}
 
@@ -175,7 +175,7 @@ def test_second_run_has_nothing_to_do(spark, plan):
 
 def test_apply_plan(spark, plan):
     target = users(spark, {"user_name": "old"})
-    stored = spark.createDataFrame([("employees", "password", "New|P|X|7", "s", "r", "t", 1)], vault.VAULT)
+    stored = spark.createDataFrame([("employees", "password", "New|P|X|7", "s", "r", "t", 0, 1)], vault.VAULT)
     outcome = {r.line_no: (r.outcome, r.code) for r in sync.apply_plan(plan.items, target, stored).outcome.collect()}
     assert outcome[3] == ("created", None) and outcome[2] == ("failed", "UNEXPECTED_ERROR")
     done = sync.apply_plan(plan.items, target, stored, strict=False)

@@ -4,7 +4,7 @@ import pytest
 from helpers import GOOD, feed, orgs, users
 
 from feedplan.functions import diagnostics as dx
-from feedplan.operators import planning, report, validate
+from feedplan.operators import apply, planning, report, validate
 from feedplan.operators.diff import as_flag
 from feedplan.operators.enrich import allocate_codes, allocate_ids, new_code, new_id, sized
 from feedplan.operators.matching import match_key
@@ -217,3 +217,18 @@ def test_report(spark):
     assert report.report_items(rows, 3).count() == 3
     assert report.items_truncated(rows, 3).first().items_truncated is True
     assert report.items_truncated(rows, 100).first().items_truncated is False
+
+
+def test_order_over_several_sources(spark):
+    """A line number says nothing without its source: order, truncation, stop and references use both."""
+    rows = spark.createDataFrame(
+        [(s, n, "FAILED" if (s, n) in (("a", 2), ("b", 2)) else "OK", "m") for s in ("b", "a") for n in (1, 2, 3)],
+        "source_id string, line_no bigint, status string, match_key string",
+    ).selectExpr("*", "cast(array() as array<struct<stage:string,code:string,field:string,message:string>>) as errors", "cast(array() as array<struct<stage:string,code:string,field:string,message:string>>) as warnings")
+    assert [(r.source_id, r.line_no) for r in report.report_items(rows, 4, include_ok=True).collect()] == [("a", 1), ("a", 2), ("a", 3), ("b", 1)]
+    assert report.items_truncated(rows, 1).first().items_truncated is True and report.items_truncated(rows, 2).first().items_truncated is False
+    assert sorted(r.row_ref.row_id for r in report.item_rows(report.report_items(rows, 2)).collect()) == ["a#line:2", "b#line:2"]
+    outcome = rows.selectExpr("source_id", "line_no", "if(status = 'OK', 'created', 'failed') as outcome")
+    assert sorted((r.source_id, r.line_no) for r in apply.stop_at_first_error(outcome).collect()) == [("a", 1), ("a", 2)]
+    assert apply.stop_at_first_error(outcome.where("outcome = 'created'")).count() == 4
+    assert sorted((r.source_id, r.line_no) for r in apply.first_actions(outcome, 4).collect()) == [("a", 1), ("a", 2), ("a", 3), ("b", 1)]

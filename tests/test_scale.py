@@ -91,7 +91,8 @@ def test_matching_and_vault_aggregate_by_hash(spark, small_limits):
     raw, target = feeds.raw_feed(spark, sf), feeds.target(spark, sf)
     rows = sync.normalized(raw).selectExpr("line_no", "user_name as match_key")
     stored = spark.range(50).selectExpr("'d' as dataset", "'f' as field", "concat('k', id % 7) as match_key", "concat('v', id) as value", "'r' as run_id", "id as seq")
-    for df in (match_target(rows, target, ("_id", "_ouid")), latest_secrets(stored.drop("x"))):
+    logged = stored.selectExpr("*", "seq % 3 as append")
+    for df in (match_target(rows, target, ("_id", "_ouid")), latest_secrets(stored), latest_secrets(logged)):
         plan = final_plan(df)
         assert "HashAggregate" in plan and not re.search(r"SortAggregate\(key=\[match_key", plan)
 
