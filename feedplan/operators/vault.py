@@ -145,7 +145,7 @@ def store_errors(rows: DataFrame) -> DataFrame:
 def _appends(spark: SparkSession, path: str) -> list[Row]:
     """The appends that count, one for each batch: of two that were published for the same one, the first."""
     try:
-        rows = spark.read.schema(_APPENDS).parquet(f"{path}/appends").collect()
+        rows = spark.read.schema(_APPENDS).parquet(f"{path}/appends").agg(F.collect_list(F.struct("*"))).first()[0]  # a row for each append
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return []

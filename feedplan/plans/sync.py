@@ -261,7 +261,7 @@ def refresh_snapshot(
         changes[dataset] = Changes(staged(differing(incoming, existing, key), "changed"), stale)
         known = existing.count() - (stale.count() if remove_stale else 0)
         total = F.lit(known) + F.col("inserted")
-        entries = refresh_meta(done.counters, total, run_id).collect()  # a handful
-        meta[dataset] = {r["key"]: r["value"] for r in entries}
+        entries = refresh_meta(done.counters, total, run_id).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))))
+        meta[dataset] = dict(entries.first()[0])  # a handful
         meta[dataset]["last_refresh_at"] = datetime.now(timezone.utc).isoformat(timespec="seconds")
     return store.merge(changes, run_id, meta)

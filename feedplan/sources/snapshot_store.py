@@ -59,7 +59,8 @@ class SnapshotStore:
     def _commits(self, dataset: str, before: int | None = None) -> list[Row]:
         """Commits of a dataset in order; of a version that was committed again, the last one. A row for each commit."""
         rows = self.manifest().filter(F.col("dataset") == dataset)
-        found = (rows if before is None else rows.filter(F.col("version") < before)).collect()
+        rows = rows if before is None else rows.filter(F.col("version") < before)
+        found = rows.agg(F.collect_list(F.struct(*rows.columns))).first()[0]
         last = {r["version"]: r for r in sorted(found, key=lambda r: r["committed_at"])}
         return [last[v] for v in sorted(last)]
 
@@ -99,7 +100,7 @@ class SnapshotStore:
         for table in keys:
             one = table.select(_bucket(table.columns[0], n).alias("bucket")).distinct()
             found = one if found is None else found.union(one)
-        return sorted(r["bucket"] for r in found.distinct().collect())
+        return found.agg(F.sort_array(F.collect_set("bucket"))).first()[0]
 
     def commit(
         self,
@@ -156,12 +157,11 @@ class SnapshotStore:
     def _filled(self, path: str) -> list[int]:
         """Buckets that have rows: found by their folders, no file is read."""
         try:
-            rows = self._spark.read.schema("bucket int").parquet(path).select("bucket").distinct().collect()
+            return self._spark.read.schema("bucket int").parquet(path).agg(F.sort_array(F.collect_set("bucket"))).first()[0]
         except AnalysisException as error:
             if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return []
             raise
-        return sorted(r["bucket"] for r in rows if r["bucket"] is not None)
 
     def _publish(self, published: list[tuple]) -> None:
         columns = [c.split()[0] for c in _MANIFEST.split(", ")]
