@@ -200,6 +200,13 @@ select doc_id, concat(chr(123), '"doc_id":', doc_id, ',"Token" : "', {TEXT_AS_JS
 from {{documents}}
 """
 
+# the text lies inside an object and a list under secret keys, and beside them
+NESTED_BODIES = f"""
+select doc_id, concat(chr(123), '"doc_id":', doc_id, ',"Secret":', chr(123), '"deep":[', chr(123), '"text":"', {TEXT_AS_JSON}, '"', chr(125), ',"', chr(125), ']"]', chr(125),
+  ',"rows":[', chr(123), '"note":"', {TEXT_AS_JSON}, '","password" : [', doc_id, ',null],"token":null', chr(125), ']', chr(125)) as body
+from {{documents}}
+"""
+
 PLAN_DOCUMENTS = """
 select o_orderkey as doc_id,
   concat(chr(123), '"meta":', chr(123),

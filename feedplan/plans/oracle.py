@@ -437,6 +437,7 @@ from users u join customer on c_custkey = u.k""",
     "truncate_text": "select doc_id, case when length(text) > 500 then concat(left(text, 497), '...') else text end as short, left(text, 3) as tiny from documents",
     "mask_nested": "select event_id, '***' as token, user_id, '***' as api_key, event_id as n, '***' as secret, event_type as kind, cast(null as varchar) as password from events",
     "redact_documents": "select doc_id, md5(concat(left(body, strpos(body, ' : ') + 2), '\"***\"', ',\"note\":\"', " + feeds.TEXT_AS_JSON + ", '\",\"api_key\":\"***\"', chr(125))) as masked_md5, length(body) as n_body from (" + feeds.BODIES.replace("{documents}", "documents") + ") join documents using (doc_id)",
+    "redact_nested_documents": "select doc_id, md5(concat(left(body, strpos(body, ':' || chr(123) || '\"deep\"')), '\"***\"', ',\"rows\":[', chr(123), '\"note\":\"', " + feeds.TEXT_AS_JSON + ", '\",\"password\" : \"***\",\"token\":null', chr(125), ']', chr(125))) as masked_md5, length(body) as n_body from (" + feeds.NESTED_BODIES.replace("{documents}", "documents") + ") join documents using (doc_id)",
     "source_fingerprint": "select page_id, sha256(url) as source_id from pages",
     "normalize_rows": "select line_no, " + ", ".join(f"case when not failed then {c} end as {c}" for c in _TYPED) + ", not failed as ok from normal",
     "normalize_errors": "select line_no, cast(0 as integer) as ord, 'NORMALIZE' as stage, 'INVALID_INT' as code, 'organization_id' as field, 'organization_id must be an integer' as message from normal where failed",

@@ -356,6 +356,13 @@ def redact_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def redact_nested_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Bodies that hold the whole text of a document below a secret key and beside it: digests of the masked bodies."""
+    return spark.sql(feeds.NESTED_BODIES, **feeds.load(spark, sf, "documents")).select(
+        "doc_id", F.md5(masking.mask_json_text(F.col("body"))).alias("masked_md5"), F.length("body").cast("bigint").alias("n_body")
+    )
+
+
 def source_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").selectExpr("page_id", f"{text.fingerprint('url')} as source_id")
 
@@ -1008,7 +1015,7 @@ _NAMES = (
     plan_items, plan_read_clean, report_summary, vault_put, map_canonical, name_split, contact_extract,
     contact_extract_documents, kv_parse, manager_ref_parse, flag_parse, role_parse, secret_candidates,
     desired_state, upsert_payload, snapshot_map_users, snapshot_map_orgs, whitespace_norm, email_check,
-    strict_bool, strict_int, lenient_bool, deleted_filter, truncate_text, mask_nested, redact_documents,
+    strict_bool, strict_int, lenient_bool, deleted_filter, truncate_text, mask_nested, redact_documents, redact_nested_documents,
     source_fingerprint, normalize_rows, normalize_errors, match_key, identity_match, org_exists,
     manager_resolve, id_collision, code_collision, enrich_rows, id_allocate, code_allocate, secret_default,
     vault_latest, vault_of_run, keyed_fallback, secret_required, validate_rows, validate_codes, valid_split,

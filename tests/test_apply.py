@@ -1,6 +1,8 @@
 """Vault, requests, outcomes, masking and artefacts."""
 
 import json
+import random
+import time
 from pathlib import Path
 
 import pytest
@@ -226,7 +228,71 @@ def test_json_text_masks(spark):
     bodies = ['{"a":1,"Token":"x\\"y","b":{"secret": 5}}', '{"password":{"deep":"x"}}', '{"token":null}', "plain"]
     df = spark.createDataFrame([(b,) for b in bodies], "b string")
     got = [r.m for r in df.select(masking.mask_json_text(df.b).alias("m")).collect()]
-    assert got == ['{"a":1,"Token":"***","b":{"secret": "***"}}', "***", '{"token":null}', "plain"]
+    assert got == ['{"a":1,"Token":"***","b":{"secret": "***"}}', '{"password":"***"}', '{"token":null}', "plain"]
+
+
+def _masked(value):
+    """Recursive masking of a parsed document."""
+    if isinstance(value, list):
+        return [_masked(v) for v in value]
+    if not isinstance(value, dict):
+        return value
+    return {k: (v if v is None else "***") if k.lower() in masking.SENSITIVE_KEYS else _masked(v) for k, v in value.items()}
+
+
+def _document(draw, depth):
+    """A random document whose strings look like keys, brackets and escapes."""
+    kind = draw.random()
+    if depth and kind < 0.4:
+        return {draw.choice(["a", "Token", "secret", "b \"password\": [", "api_key", "password2", "\\", "é", "z"]): _document(draw, depth - 1) for _ in range(draw.randint(0, 5))}
+    if depth and kind < 0.6:
+        return [_document(draw, depth - 1) for _ in range(draw.randint(0, 4))]
+    return draw.choice([None, True, False, 0, -1.5e-7, 12, "", "}", "]", '"secret":{', "x\\", "\u2028 \n", "token", {}, []])
+
+
+def _spelled(text):
+    """The same document with letters of names and strings written as escapes."""
+    return text.replace("oken", "\\u006fken").replace("ecret", "\\u0065cret")
+
+
+def test_nested_json_equals_recursive_masking(spark):
+    draw = random.Random(5)
+    documents = [_document(draw, 7) for _ in range(3000)]
+    texts = [json.dumps(d, indent=draw.choice([None, 1]), ensure_ascii=draw.random() < 0.5) for d in documents]
+    texts += [_spelled(t) for t in texts[:300]]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, b string").repartition(3)
+    got = {r.i: r.m for r in df.select("i", masking.mask_json_text(df.b).alias("m")).collect()}
+    for i, text in enumerate(texts):
+        assert json.loads(got[i]) == _masked(json.loads(text)), text
+    # what is not masked stays letter by letter
+    assert all(got[i] == t for i, t in enumerate(texts) if json.loads(t) == _masked(json.loads(t)))
+
+
+@pytest.mark.parametrize(
+    ("body", "shown"),
+    [
+        ('{"a":1,"token":{"b":[1,{"c":"}', '{"a":1,"token":"***"'),
+        ('{"a":1,"token":"cut off \\', '{"a":1,"token":"***"'),
+        ('{"a":[{"password":["x"]},{"secret":{}}],"b":2}', '{"a":[{"password":"***"},{"secret":"***"}],"b":2}'),
+        ('{"token":{"token":{"token":1}},"token":[]}', '{"token":"***","token":"***"}'),
+        ('{"x":"\\u00zz","\\u00qtoken":1,"secret":[2]}', '{"x":"\\u00zz","\\u00qtoken":1,"secret":"***"}'),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_odd_bodies(spark, body, shown):
+    df = spark.createDataFrame([(body,)], "b string")
+    assert df.select(masking.mask_json_text(df.b).alias("m")).first().m == shown
+
+
+def test_large_and_deep_bodies_in_proportion(spark):
+    deep = '{"a":' * 100_000 + "1" + "}" * 100_000
+    many = ",".join(f'{{"secret":{{"n":[{i}]}},"i":{i}}}' for i in range(30_000))
+    shown = ",".join(f'{{"secret":"***","i":{i}}}' for i in range(30_000))
+    bodies = [f'{{"token":{deep},"z":{deep}}}', f"[{many}]"]
+    start = time.perf_counter()
+    assert [masking.mask_body(b, frozenset(masking.SENSITIVE_KEYS)) for b in bodies] == [f'{{"token":"***","z":{deep}}}', f"[{shown}]"]
+    assert time.perf_counter() - start < 10
 
 
 @pytest.mark.parametrize("unit", ["x", '\\\\"', "\\\\\\\\", 'a\\\\"b', "\\\\u00e9 "])
