@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from feedplan.functions import diagnostics as dx
 from feedplan.functions.text import strict_int
+from feedplan.operators import codes
 from feedplan.operators.lookup import drop_held, keep_held, lookup
 from feedplan.operators.matching import active, match_key
 from feedplan.sources.staging import staged
@@ -56,6 +57,9 @@ class EnrichSpec:
     business key), ``ouid`` (it is the number of the manager) or ``none`` (no
     lookup is configured, which is reported).  ``code_width`` is the number of
     hex digits of a drawn code; None lets it follow the size of the feed.
+    ``code_draws`` is ``hash`` (a code is a digest of the row and the attempt, and
+    collisions are settled) or ``permutation`` (``operators.codes``: no collisions,
+    no attempts, every row is served while a code is free).
     """
 
     dataset: str
@@ -64,6 +68,7 @@ class EnrichSpec:
     code_column: str = "usr_org_tab_num"
     code_prefix: str = "TAB-"
     code_width: int | None = None
+    code_draws: str = "hash"
     attempts: int = 3
     manager_mode: str = "match_key"
     secret: str = "password"
@@ -78,6 +83,8 @@ def sized(spec: EnrichSpec, rows: DataFrame) -> EnrichSpec:
     square of the rows."""
     if spec.code_width is not None:
         return spec
+    if spec.code_draws == "permutation":
+        return replace(spec, code_width=codes.width_for(rows.count(), LEAST_WIDTH))
     digits = math.ceil(2 * math.log(max(rows.count(), 1), 16))
     return replace(spec, code_width=max(LEAST_WIDTH, digits))
 
@@ -101,6 +108,13 @@ def new_code(spec: EnrichSpec, attempt: int | str, keys: Sequence[str] = ("line_
     return f"concat('{spec.code_prefix}', left({_draw(spec, 'code', attempt, keys)}, {width}))"
 
 
+def picked_code(spec: EnrichSpec, keys: Sequence[str] = ("line_no",)) -> str:
+    """The code (SQL) that ``code_pick`` stands for."""
+    if spec.code_draws == "permutation":
+        return f"concat('{spec.code_prefix}', lpad(lower(hex(code_pick - 1)), {spec.code_width or LEAST_WIDTH}, '0'))"
+    return new_code(spec, "code_pick", keys)
+
+
 def add_match_key(rows: DataFrame, spec: EnrichSpec) -> DataFrame:
     """Key of clean normalised rows; NULL where a part is missing."""
     key = match_key(spec.key_parts, normalized=True)
@@ -207,7 +221,8 @@ def allocate_codes(rows: DataFrame, target: DataFrame, spec: EnrichSpec) -> Data
 
     A given code stays unless another key holds it.  A replacement is the
     first generated code that no other key holds in the target and that no
-    row served before it got; 0 means that none is left.
+    row served before it got; 0 means that none is left.  ``picked_code`` is the
+    code of a pick.
     """
     keys = row_key(rows)
     code = spec.code_column
@@ -217,11 +232,16 @@ def allocate_codes(rows: DataFrame, target: DataFrame, spec: EnrichSpec) -> Data
     )
     taken = keep_held(not_mine, target, {code: code}, "line_no").selectExpr(*keys, "match_key", "2 as start")
     need = taken.union(narrow.where(f"{code} is null").selectExpr(*keys, "match_key", "1 as start"))
-    picks = first_free(need, target, code, new_code(spec, "attempt", keys), spec.attempts, owner="match_key")
+    if spec.code_draws == "permutation":
+        seed = f"{spec.run_id}|{spec.dataset}|code"
+        width = spec.code_width or LEAST_WIDTH
+        picks = codes.permuted_codes(need, target, code, "match_key", spec.code_prefix, width, seed, keys)
+    else:
+        picks = first_free(need, target, code, new_code(spec, "attempt", keys), spec.attempts, owner="match_key")
     return picks.withColumnRenamed("pick", "code_pick")
 
 
-_ANSWERS = {"manager_ouid": "bigint", "manager_state": "int", "id_pick": "int", "code_pick": "int"}
+_ANSWERS = {"manager_ouid": "bigint", "manager_state": "int", "id_pick": "int", "code_pick": "bigint"}
 
 
 def _collect(parts: Sequence[DataFrame]) -> DataFrame:
@@ -274,7 +294,7 @@ def enrich(rows: DataFrame, target: DataFrame, spec: EnrichSpec) -> DataFrame:
         "match_key",
         f"if(manager_state = {_OK}, manager_ouid, null) as manager_id",
         f"if({dx.CLEAN}, {resource_id}, null) as resource_id",
-        f"case when code_pick is null then {code} when code_pick > 0 then {new_code(spec, 'code_pick', keys)} end as {code}",
+        f"case when code_pick is null then {code} when code_pick > 0 then {picked_code(spec, keys)} end as {code}",
         "coalesce(code_pick > 0, false) as code_generated",
         f"{dx.CLEAN} and coalesce(secrets['{spec.secret}'], '') = '' as secret_generated",
         f"{dx.gather(['errors', *found])} as errors",

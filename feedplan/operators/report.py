@@ -6,11 +6,15 @@ Every counter set is one aggregation.  Inputs are rows with ``status``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedplan.functions import diagnostics as dx
 from feedplan.operators.enrich import row_key
+from feedplan.operators.lookup import salts_of
+
+#: Rows of a sample at most: up to here every task cuts its groups before the shuffle.
+MOST_SAMPLES = 1000
 
 
 def run_status(errors_total: Column, rows_passed: Column) -> Column:
@@ -98,6 +102,31 @@ def items_truncated(rows: DataFrame, limit: int, include_skipped: bool = False,
     return whole.select((F.col("n") > kept.scalar()).alias("items_truncated"))
 
 
+def diagnostic_samples(rows: DataFrame, limit: int, column: str = "errors") -> DataFrame:
+    """The first ``limit`` rows (1,000 at most) for each stage and code of their diagnostics, by source and line:
+    (stage, code, place, row key, status, n_rows, truncated).
+
+    A row counts once for a stage and code, however often it has them. Samples are merged up a tree: every task keeps
+    its first rows before anything is shuffled, then parts of a group theirs, then the groups, so that a code that most
+    rows have is no load for one task.
+    """
+    if not 1 <= limit <= MOST_SAMPLES:
+        raise ValueError(f"a sample has 1 to {MOST_SAMPLES} rows")
+    keys = row_key(rows)
+    kinds = F.array_distinct(F.transform(column, lambda d: F.struct(d["stage"].alias("stage"), d["code"].alias("code"))))
+    found = rows.select(*keys, "status", F.inline(kinds))
+    part = F.pmod(F.xxhash64(*keys), F.lit(salts_of(rows.sparkSession)))
+    parts = Window.partitionBy("stage", "code", "__part").orderBy(*keys)
+    groups = Window.partitionBy("stage", "code").orderBy(*keys)
+    kept = found.withColumn("__part", part).withColumn("place", F.row_number().over(parts)).where(F.col("place") <= limit)
+    kept = kept.withColumn("place", F.row_number().over(groups)).where(F.col("place") <= limit).drop("__part")
+    totals = found.groupBy("stage", "code").agg(F.count(F.lit(1)).alias("n_rows"))
+    totals = totals.select(F.col("stage").alias("__stage"), F.col("code").alias("__code"), "n_rows")
+    # no diagnostic is without a stage, some of foreign rows may be without a code
+    same = (F.col("stage").eqNullSafe(F.col("__stage"))) & F.col("code").eqNullSafe(F.col("__code"))
+    return kept.join(totals, same).drop("__stage", "__code").withColumn("truncated", F.col("n_rows") > limit)
+
+
 def item_rows(items: DataFrame) -> DataFrame:
     """Report items: status, row reference, diagnostics with their severity and context; no payload.
 

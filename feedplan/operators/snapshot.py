@@ -383,10 +383,15 @@ def diagnostics(outcome: DataFrame) -> DataFrame:
 
 
 def last_records(outcome: DataFrame, columns: Sequence[str], key: str = "_id") -> DataFrame:
-    """The last surviving record of every key."""
+    """The last surviving record of every key.
+
+    Positions are aggregated, by hash; records of keys that occur once, the rule, are passed on as they are.
+    """
     kept = outcome.filter(F.col("outcome").isin("inserted", "updated"))
-    record = F.max_by(F.struct(*[c for c in columns if c != key]), "ingest_pos").alias("record")
-    return kept.groupBy(key).agg(record).select(key, "record.*").select(*columns)
+    last = kept.groupBy(F.col(key).alias("__who")).agg(F.max("ingest_pos").alias("__last"), F.count(F.lit(1)).alias("__n"))
+    repeated = last.where("__n > 1").select("__who", "__last")
+    found = lookup(kept, repeated, {key: "__who"}, "ingest_pos")
+    return found.where("__last is null or ingest_pos = __last").select(*columns)
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: str = "_id", kept: Sequence[str] = ()) -> DataFrame:

@@ -7,6 +7,7 @@ expression; only the feeds are the same text.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from feedplan.plans import feeds
@@ -77,6 +78,23 @@ def _allocation(name: str, need: str, draw: str) -> dict[str, str]:
     return ctes
 
 
+def _permutation(name: str, need: str, width: int) -> dict[str, str]:
+    """All codes of a width in the order of the keyed permutation; rows in line order get the free ones."""
+    half, ctes = 2 * width, {}
+    ctes[f"{name}_round0"] = f"select o, o >> {half} as l, o & {2**half - 1} as r from (select unnest(range({16**width})) as o)"
+    for i in range(4):
+        drawn = hashlib.sha256(f"run|employees|code|{i}".encode()).hexdigest()
+        factor, summand = (int(drawn[:8], 16) >> 1) | 1, int(drawn[8:16], 16) >> 2
+        ctes[f"{name}_round{i + 1}"] = f"select o, r as l, xor(l, (((r + {summand}) * {factor}) >> 16) & {2**half - 1}) as r from {name}_round{i}"
+    ctes[f"{name}_all"] = f"select o, l * {2**half} + r as x, printf('TAB-%0{width}x', l * {2**half} + r) as code from {name}_round4"
+    ctes[f"{name}_own"] = f"select lo as match_key, min(x) as x from (select p.x, min(t.match_key) as lo, max(t.match_key) as hi from target t join {name}_all p on p.code = t.usr_org_tab_num group by 1) where lo = hi group by 1"
+    ctes[f"{name}_kept"] = f"select min(n.line_no) as line_no, x from {need} n join {name}_own o on n.match_key = o.match_key group by 2"
+    ctes[f"{name}_rest"] = f"select line_no, row_number() over (order by line_no) as k from {need} where line_no not in (select line_no from {name}_kept)"
+    ctes[f"{name}_open"] = f"select x, row_number() over (order by o) as k from {name}_all where code not in (select usr_org_tab_num from target where usr_org_tab_num is not null)"
+    ctes[f"{name}_pick"] = f"select line_no, x + 1 as code_pick from {name}_kept union all select r.line_no, coalesce(f.x + 1, 0) from {name}_rest r left join {name}_open f on r.k = f.k"
+    return ctes
+
+
 #: A feed of four files, as the source and the number of a row of the whole feed.
 _FILE, _FILE_LINE = "concat('file-', {0} % 4)", "cast(floor({0} / 4) as bigint) + 2"
 _BY_FILE = f"concat_ws('|', {_FILE}, {_FILE_LINE})"
@@ -217,6 +235,7 @@ where not failed and (usr_org_tab_num is null or (
 select line_no, match_key, case when line_no % 3 <> 0 then 1 else start end as start from keyed k left join (select line_no, start from code_need) n using (line_no)
 where not failed and (line_no % 3 <> 0 or start is not null)""",
     **_allocation("narrow", "narrow_need", _code("a", width=3)),
+    **_permutation("permuted", "narrow_need", 3),
     "files": f"select *, {_BY_FILE.format('line_no')} as drawn_by from keyed",
     **_allocation("files", "code_need", _code("a", _BY_FILE.format("line_no"))),
     "enriched": f"""
@@ -466,6 +485,7 @@ from (select o_orderkey, case when o_orderkey % 5 = 3 then 'Missing required fie
     "header_contract": "select count(*) as n_records, c as left_out, concat('Missing required columns in source CSV: ', c) as verdict from feed, (select unnest([" + ", ".join(f"'{c}'" for c in _CELLS) + "]) as c) group by c",
     "enrich_rows_files": f"select source_id, line_no, match_key, manager_id, resource_id, usr_org_tab_num, code_generated, {_CODES_ERRORS} as codes from by_files",
     "code_allocate_narrow": f"select line_no, code_pick, case when code_pick > 0 then {_code('code_pick', width=3)} end as code from narrow_pick",
+    "code_allocate_permuted": "select line_no, cast(code_pick as bigint) as code_pick, case when code_pick > 0 then printf('TAB-%03x', code_pick - 1) end as code from permuted_pick",
     "secret_default": "select line_no, 'password' as field, coalesce(password, '') = '' as generated from enriched where len(errors) = 0",
     "vault_flow": f"select line_no, match_key, {_CODES_ERRORS} as codes, case when len(errors) = 0 then 'password' end as field, case when len(errors) = 0 then case when coalesce(password, '') = '' then 32 else length(password) end end as n_value, case when len(errors) = 0 then 'run' end as run_id from enriched",
     "vault_replay": "select match_key, 'password' as field, count(*) as n_rows, cast(1 as bigint) as n_appends from enriched where len(errors) = 0 group by match_key",
@@ -570,6 +590,10 @@ select f.source_id, f.line_no, f.outcome, f.code from {_FILED} f
 left join (select source_id as s, line_no as n from {_FILED} where outcome = 'failed' order by 1, 2 limit 1) first on true
 where s is null or f.source_id < s or (f.source_id = s and f.line_no <= n)""",
     "apply_max_files": f"select source_id, line_no, outcome, code from {_FILED} order by source_id, line_no limit 600",
+    "diagnostic_samples": f"""
+select 'APPLY' as stage, code, cast(place as integer) as place, source_id, line_no, n_rows, n_rows > 20 as truncated from (
+  select source_id, line_no, code, row_number() over (partition by code order by source_id, line_no) as place, count(*) over (partition by code) as n_rows
+  from {_FILED} where outcome = 'failed') where place <= 20""",
     "report_items_files": f"""
 select 'FAILED' as status, source_id, line_no, concat(source_id, '#line:', line_no) as row_id, code, (select count(*) > 200 from applied where outcome = 'failed') as truncated
 from {_FILED} where outcome = 'failed' order by source_id, line_no limit 200""",

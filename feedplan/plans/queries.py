@@ -478,6 +478,14 @@ def code_allocate_narrow(spark: SparkSession, sf: str) -> DataFrame:
     return picks.selectExpr("line_no", "code_pick", f"if(code_pick > 0, {enrich.new_code(spec, 'code_pick')}, null) as code")
 
 
+def code_allocate_permuted(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes of three digits by a keyed permutation: every row gets one while there are free ones."""
+    spec = employees.enrich_spec(RUN, code_width=3, code_draws="permutation")
+    rows = _keyed(spark, sf).withColumn("usr_org_tab_num", F.expr("if(line_no % 3 = 0, usr_org_tab_num, null)"))
+    picks = enrich.allocate_codes(rows.drop("source_id"), feeds.target(spark, sf), spec)
+    return picks.selectExpr("line_no", "code_pick", f"if(code_pick > 0, {enrich.picked_code(spec)}, null) as code")
+
+
 def _vault_rows(spark: SparkSession, sf: str, generate: tuple[str, ...]) -> DataFrame:
     rows, raw = enrich.survivors(enriched(spark, sf)), feeds.raw_feed(spark, sf)
     return vault.vault_rows(rows, sync.feed_secrets(raw), employees.DATASET, RUN, "2024-01-01", generate)
@@ -894,6 +902,12 @@ def report_items_files(spark: SparkSession, sf: str) -> DataFrame:
     return items.select("status", "row_ref.source_id", "row_ref.line_no", "row_ref.row_id", F.expr("diagnostics[0].code").alias("code"), cut.scalar().alias("truncated"))
 
 
+def diagnostic_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """The first failed rows of three sources for each stage and code, and how many there are."""
+    rows = apply.apply_report_rows(_outcomes_files(spark, sf))
+    return report.diagnostic_samples(rows, 20).select("stage", "code", "place", "source_id", "line_no", "n_rows", "truncated")
+
+
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
     """Requests of the plan; the vault holds the passwords of the feed."""
     latest = vault.latest_secrets(_vault_rows(spark, sf, ()))
@@ -1011,7 +1025,7 @@ def incremental_sync(spark: SparkSession, sf: str) -> DataFrame:
 
 _NAMES = (
     csv_record_parse, csv_torn_lines, record_numbering, normalize_checks, payload_errors, header_contract, plan_file, report_file, warnings_report, enrich_rows_files,
-    code_allocate_narrow, vault_flow, vault_replay, apply_report, apply_plan, null_token_clean, paged_json_items, paged_stop_rule, page_failure,
+    code_allocate_narrow, code_allocate_permuted, diagnostic_samples, vault_flow, vault_replay, apply_report, apply_plan, null_token_clean, paged_json_items, paged_stop_rule, page_failure,
     plan_items, plan_read_clean, report_summary, vault_put, map_canonical, name_split, contact_extract,
     contact_extract_documents, kv_parse, manager_ref_parse, flag_parse, role_parse, secret_candidates,
     desired_state, upsert_payload, snapshot_map_users, snapshot_map_orgs, whitespace_norm, email_check,
