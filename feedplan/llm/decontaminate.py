@@ -10,9 +10,10 @@ chance under `miss` only. Documents that meet a sketch are verified by their
 exact shingle containment.
 
 The index of the items is broadcast only when their texts, counted first, have
-no more characters than `index_limit` (two characters make one shingle of 16
-bytes at most); larger benchmarks meet the documents by shuffle joins on the
-sketched shingles.
+no more characters than `index_limit`, with `ITEM_COST` more for each item (two
+characters make one shingle of 16 bytes at most); larger benchmarks, of few long
+items or of many short ones, meet the documents by shuffle joins on the sketched
+shingles. Both ways take the same sketches.
 
 Defined results: null, empty and blank texts hold nothing and are held by
 nothing; a text of fewer words than a shingle has one shingle of all of them;
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedplan.llm.shingles import distinct, shingles
@@ -37,6 +38,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: Characters of item texts that a broadcast index may be made of.
 INDEX_LIMIT = 8_000_000
+#: Characters that an item counts for beside its text: bounds the rows of the index.
+ITEM_COST = 64
 MISS = 1e-9
 _SKETCH_SEED = 10
 
@@ -54,16 +57,23 @@ def needed(n: np.ndarray, threshold: float) -> np.ndarray:
     return np.ceil(n * threshold - 1e-9).astype(np.int64)
 
 
+def sketched(value: np.ndarray, doc: np.ndarray, n: np.ndarray, threshold: float, miss: float) -> np.ndarray:
+    """Whether each shingle of sets (in order of `doc`, with `n` shingles each) is in the sketch of its set."""
+    order = np.lexsort((seeded(value, _SKETCH_SEED), doc))
+    rank = np.empty(len(doc), np.int64)
+    rank[order] = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+    kinds, which = np.unique(n, return_inverse=True)
+    limit = np.array([sketch_size(int(k), threshold, miss) if k else 0 for k in kinds], np.int64)[which]
+    return rank < np.repeat(limit, n)
+
+
 class Index:
     """Items by shingle: `at` sorted shingles, `item` the ordinal of the item of each; sketched ones apart."""
 
     def __init__(self, texts: pa.Array, size: int, threshold: float, miss: float):
         value, doc = distinct(*shingles(texts, size))
         self.n = np.bincount(doc, minlength=len(texts))
-        order = np.lexsort((seeded(value, _SKETCH_SEED), doc))
-        rank = np.arange(len(doc)) - np.repeat(np.cumsum(self.n) - self.n, self.n)
-        limit = np.array([sketch_size(int(n), threshold, miss) if n else 0 for n in self.n], np.int64)
-        probes = order[rank < np.repeat(limit, self.n)]
+        probes = sketched(value, doc, self.n, threshold, miss)
         self.least = needed(self.n, threshold)
         self.shingle, self.item = self._sorted(value, doc)
         self.probe, self.probe_item = self._sorted(value[probes], doc[probes])
@@ -140,22 +150,33 @@ def _sets(keyed: DataFrame, key: str, size: int) -> DataFrame:
     return keyed.mapInArrow(explode, f"{key} {keyed.schema[key].dataType.simpleString()}, shingle bigint")
 
 
+def _item_sets(keyed: DataFrame, size: int, threshold: float, miss: float) -> DataFrame:
+    """(own, shingle, n_shingles, probe) for each distinct shingle of each item: one task has all of an item."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "__text"):
+            value, doc = distinct(*shingles(part.column("__text"), size))
+            n = np.bincount(doc, minlength=part.num_rows)
+            probe = sketched(value, doc, n, threshold, miss)
+            columns = [part.column("__own").take(pa.array(doc)), pa.array(value.view(np.int64)), pa.array(n[doc].astype(np.int64)), pa.array(probe)]
+            yield pa.record_batch(columns, ["__own", "shingle", "n_shingles", "probe"])
+
+    return keyed.mapInArrow(explode, "__own string, shingle bigint, n_shingles bigint, probe boolean")
+
+
 def _by_joins(docs: DataFrame, text: Column, items: DataFrame, size: int, threshold: float, miss: float, column: str) -> DataFrame:
     """Any number of items: texts are keyed by digest, so equal texts are searched once. An item is keyed by its id and
     text; its repeated rows are searched once and reported each."""
     key = F.sha2(text, 256)
     own = F.sha2(F.concat_ws(":", "__item", "__text"), 256)
     rows = items.groupBy(own.alias("__own"), F.col("__item").alias("item_id")).agg(F.count(F.lit(1)).cast("int").alias("times"))
-    theirs = _sets(items.dropDuplicates().select(own.alias("__own"), "__text"), "__own", size)
-    many = F.udf(lambda n: sketch_size(n, threshold, miss), "int")
-    theirs = theirs.join(theirs.groupBy("__own").agg(F.count(F.lit(1)).alias("n_shingles")), "__own")
-    by_hash = F.row_number().over(Window.partitionBy("__own").orderBy(F.xxhash64("shingle"), "shingle"))
-    probes = theirs.withColumn("__rank", by_hash).where(F.col("__rank") <= many("n_shingles")).select("__own", "shingle")
+    theirs = _item_sets(items.dropDuplicates().select(own.alias("__own"), "__text"), size, threshold, miss)
+    probes = theirs.where("probe").select("__own", "shingle")
     ours = _sets(docs.select(key.alias("__key"), text.alias("__text")).where(text.isNotNull()), "__key", size)
     candidates = ours.join(probes, "shingle").select("__key", "__own").distinct()
     held = ours.join(candidates.select("__key").distinct(), "__key", "left_semi").distinct()
     shared = (
-        held.join(theirs, "shingle")
+        held.join(theirs.drop("probe"), "shingle")
         .join(candidates, ["__key", "__own"], "left_semi")
         .groupBy("__key", "__own")
         .agg(F.count(F.lit(1)).alias("n_shared"), F.first("n_shingles").alias("n_shingles"))
@@ -185,8 +206,9 @@ def with_leaks(
     """The documents with a list of the items that each contains, with shared and all shingles of the item."""
     small_batches(docs.sparkSession)
     theirs = items.select(F.col(item_id).cast("bigint").alias("__item"), F.col(item_text).alias("__text"))
-    theirs = theirs.where(F.col("__item").isNotNull() & F.col("__text").isNotNull())
-    sizes = theirs.agg(F.coalesce(F.sum(F.length("__text")), F.lit(0))).first()
+    # an item without a word is held by nothing
+    theirs = theirs.where(F.col("__item").isNotNull() & F.col("__text").rlike(r"[^\x20\x09-\x0D]"))
+    sizes = theirs.agg(F.coalesce(F.sum(F.length("__text") + ITEM_COST), F.lit(0))).first()
     if sizes[0] <= index_limit:
         return docs.withColumn(column, _by_broadcast(docs.sparkSession, F.col(text_column), theirs.collect(), size, threshold, miss))
     return _by_joins(docs, F.col(text_column), theirs, size, threshold, miss, column)

@@ -10,7 +10,9 @@ over thousands of windows.
 
 Defined results: null and texts without a letter are `und` with score 0; a
 corpus without labels predicts `und` for every text; equal texts get equal
-predictions; labels, sources and ids are never inputs of a prediction.
+predictions to the last bit, whatever texts stand beside them (windows are run
+in blocks of one size, padded, since the rounding of a matrix product depends on
+its size); labels, sources and ids are never inputs of a prediction.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ UNKNOWN = "und"
 PAD = 256
 #: Labels that a model may have: a corpus with more distinct labels is refused.
 MOST_LABELS = 500
+#: Windows that the network runs at once, always.
+BLOCK = 1024
 
 
 @dataclass(frozen=True)
@@ -233,6 +237,12 @@ def sample(docs: DataFrame, label_column: str, text_column: str, how: Training)
     return [r["part"] for r in rows], [r["label"] for r in rows]
 
 
+def _block(rows: np.ndarray) -> np.ndarray:
+    """The windows, padded to a whole block."""
+    missing = BLOCK - len(rows)
+    return np.concatenate([rows, np.full((missing, rows.shape[1]), PAD, rows.dtype)]) if missing else rows
+
+
 def predicted(text: Column, network: Network | None, window: int) -> Column:
     """Struct of the label and its probability."""
 
@@ -250,8 +260,9 @@ def predicted(text: Column, network: Network | None, window: int) -> Column:
                 data, bounds = bytes_of(part.column("t"))
                 rows, at = windows(data, bounds, window)
                 total = np.zeros((n, len(network.labels) + 1))
-                for start in range(0, len(rows), 2048):
-                    np.add.at(total, at[start : start + 2048], network.probabilities(rows[start : start + 2048]))
+                for start in range(0, len(rows), BLOCK):
+                    here = at[start : start + BLOCK]
+                    np.add.at(total, here, network.probabilities(_block(rows[start : start + BLOCK]))[: len(here)])
                 letters = total[:, -1]
                 mean = total[:, :-1] / np.maximum(letters, 1)[:, None]
                 best = mean.argmax(1)

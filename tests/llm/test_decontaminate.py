@@ -5,7 +5,8 @@ import re
 
 import pytest
 
-from feedplan.llm.decontaminate import leaks, sketch_size, with_leaks
+from feedplan.llm import decontaminate
+from feedplan.llm.decontaminate import ITEM_COST, leaks, sketch_size, with_leaks
 from tests.llm.conftest import documents
 
 
@@ -67,6 +68,27 @@ def test_repeated_item_ids(spark, limit):
     assert sorted((r.doc_id, r.item_id, r.n_shared, r.n_shingles) for r in out.collect()) == sorted(expected)
 
 
+def test_many_short_items_are_no_broadcast(spark, monkeypatch):
+    """Rows count against the limit, not only characters; items without words cost nothing."""
+    taken = []
+    by_joins, by_broadcast = decontaminate._by_joins, decontaminate._by_broadcast
+    monkeypatch.setattr(decontaminate, "_by_joins", lambda *a: taken.append("joins") or by_joins(*a))
+    monkeypatch.setattr(decontaminate, "_by_broadcast", lambda *a: taken.append("broadcast") or by_broadcast(*a))
+    docs = spark.createDataFrame([(1, "w1"), (2, "w1 w2")], "doc_id bigint, text string")
+    short = spark.createDataFrame([(i, f"w{i}") for i in range(100)], "item_id bigint, text string")
+    blank = spark.createDataFrame([(i, " \t" * (i % 3)) for i in range(5000)], "item_id bigint, text string")
+    for items, limit in ((short, 50 * ITEM_COST), (short, 110 * ITEM_COST), (blank, 0), (short.unionByName(blank), 110 * ITEM_COST)):
+        found = {(r.doc_id, r.item_id) for r in leaks(docs, items, index_limit=limit).collect()}
+        assert found == ({(1, 1)} if items is not blank else set())
+    assert taken == ["joins", "broadcast", "broadcast", "broadcast"]
+
+
+def test_no_python_row_by_row(spark):
+    items = spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string")
+    plan = leaks(documents(spark, ["a b c d e f"]), items, index_limit=0)._jdf.queryExecution().toString()
+    assert "BatchEvalPython" not in plan and "Window" not in plan
+
+
 def test_sketches_cannot_miss_short_items():
     for n in range(1, 65):
         assert sketch_size(n, 0.8, 1e-9) >= min(n, int(0.2 * n) + 1)

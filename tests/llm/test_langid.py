@@ -1,11 +1,12 @@
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
 import pytest
 
-from feedplan.llm.langid import LETTERS, Network, Training, held_out, languages, sample, windows
+from feedplan.llm.langid import BLOCK, LETTERS, PAD, Network, Training, _block, held_out, languages, sample, windows
 
 SF = "/root/testdata/sf0.01"
 
@@ -34,6 +35,71 @@ def test_probabilities_cover_every_letter():
     assert LETTERS[256] == 0
 
 
+def by_hand(net, row):
+    """Forward pass of one window, number by number."""
+    units = len(net.parts[4]) // 2
+    clip = lambda x, low: max(low, min(1.0, x))
+
+    def states(x, u, seen):
+        h, out = [0.0] * units, []
+        for b in seen:
+            g = [sum(h[k] * float(u[k, j]) for k in range(units)) for j in range(3 * units)]
+            a = [float(v) for v in x[b]]
+            new = []
+            for j in range(units):
+                z, r = clip(a[j] + g[j], 0.0), clip(a[units + j] + g[units + j], 0.0)
+                n = clip(a[2 * units + j] + r * g[2 * units + j], -1.0)
+                new.append(n + z * (h[j] - n))
+            h = new
+            out.append(h)
+        return out
+
+    ahead, behind = states(net.parts[0], net.parts[1], row), states(net.parts[2], net.parts[3], row[::-1])[::-1]
+    total = [0.0] * (len(net.labels) + 1)
+    for b, f, k in zip(row, ahead, behind, strict=True):
+        if b == PAD or not (b >= 128 or chr(b).isalpha()):
+            continue
+        logits = [sum(s * float(v) for s, v in zip(f + k, net.parts[4][:, c], strict=True)) + float(net.parts[5][c]) for c in range(len(net.labels))]
+        e = [math.exp(x - max(logits)) for x in logits]
+        for c, x in enumerate(e):
+            total[c] += x / sum(e)
+        total[-1] += 1
+    return total
+
+
+def test_forward_pass_by_hand():
+    net = Network(["a", "b", "c"], 8, 2)
+    draw = np.random.default_rng(1)
+    rows = draw.integers(0, 257, (20, 64)).astype(np.int32)
+    rows[:10] = np.where(draw.random((10, 64)) < 0.8, draw.integers(97, 123, (10, 64)), 32)
+    got = net.probabilities(rows)
+    for row, total in zip(rows, got, strict=True):
+        assert total == pytest.approx(by_hand(net, row.tolist()), rel=1e-3, abs=1e-3)
+
+
+def test_a_window_has_one_result_at_any_place():
+    net = Network(["a", "b", "c"], 8, 2)
+    draw = np.random.default_rng(2)
+    row = draw.integers(97, 123, (1, 64)).astype(np.int32)
+    seen = set()
+    for place in [*range(0, 40), 511, BLOCK - 2, BLOCK - 1]:
+        others = draw.integers(0, 257, (draw.integers(place, BLOCK), 64)).astype(np.int32)
+        block = _block(np.concatenate([others[:place], row, others[place:]]))
+        assert block.shape == (BLOCK, 64)
+        seen.add(net.probabilities(block)[place].tobytes())
+    assert len(seen) == 1
+
+
+def test_equal_texts_have_equal_scores(spark):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null").limit(60).collect()]
+    docs = [(i, texts[i % 60] if i % 2 else texts[(i * 7) % 60][: 10 + i], "en" if i % 3 else "de") for i in range(600)]
+    found = languages(spark.createDataFrame(docs, "doc_id bigint, text string, lang string").repartition(5), how=Training(steps=30)).collect()
+    by_text = {}
+    for r in found:
+        by_text.setdefault(docs[r.doc_id][1], set()).add((r.lang_pred, r.score))
+    assert len(found) == 600 and all(len(x) == 1 for x in by_text.values())
+
+
 def test_windows_hold_all_bytes():
     data = np.frombuffer(b"aaabbbbbc", np.uint8)
     rows, text = windows(data, np.array([0, 3, 3, 8, 9]), 4)
