@@ -75,6 +75,22 @@ def test_flow_has_no_cross_join_and_reads_only_needed_columns(spark):
     assert schemas == ["c_custkey:bigint"]
 
 
+def few_customers(spark, folder, n=400):
+    """One row group; some keys are null, others come twice."""
+    rows = spark.range(0, n, 1, 1).selectExpr("nullif(id div 2, 7) as c_custkey", "id % 25 as c_nationkey", "concat('S', id % 5) as c_mktsegment")
+    rows.coalesce(1).write.parquet(f"{folder}/customer.parquet")
+
+
+def test_rows_of_one_row_group_are_parsed_by_many_tasks(spark, tmp_path, monkeypatch):
+    few_customers(spark, tmp_path)
+    before = sorted(map(str, feeds.raw_feed(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(feeds, "ROWS_A_TASK", 50)
+    raw = feeds.raw_feed(spark, str(tmp_path))
+    assert sorted(map(str, raw.collect())) == before
+    parts = sync.normalized(raw).selectExpr("spark_partition_id() as part").groupBy("part").count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) <= 60
+
+
 def test_library_keeps_off_the_driver():
     for path in (ROOT / "feedplan").rglob("*.py"):
         if path.parent.name == "llm":
