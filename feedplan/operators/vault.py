@@ -64,7 +64,9 @@ def vault_rows(
     """
     keys = row_key(rows)
     clean = rows.where(f"{dx.CLEAN} and match_key is not null").select(*keys, "match_key", F.map_keys("secrets").alias("__names"))
-    values = secrets.select(*keys, F.explode("secrets").alias("field", "value"))
+    # a plain explode would leave out rows without secrets first, and the optimizer moves that filter with all its
+    # parsing to where the cells are read, before they are dealt out
+    values = secrets.select(*keys, F.explode_outer("secrets").alias("field", "value")).where("field is not null")
     known = clean.drop("__names").join(values, keys).withColumn("generated", F.lit(False))
     if generate:
         # one Arrow batch of the absent ones only; values that the feed

@@ -67,7 +67,7 @@ def mapped(raw: DataFrame) -> DataFrame:
 
 def feed_secrets(raw: DataFrame) -> DataFrame:
     """(row key, secrets) of a feed, read again from its cells: secret values are written to the vault only."""
-    return mapped(raw).select("source_id", "line_no", "secrets").where("size(secrets) > 0")
+    return mapped(raw).select("source_id", "line_no", "secrets")
 
 
 def normalized(raw: DataFrame) -> DataFrame:
