@@ -13,6 +13,11 @@ SETTINGS = {
     # Lookups are shaped so that adaptive execution can split frequent keys.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A flow has dozens of joins, and every side that is broadcast passes
+    # through the driver. Sizes are those of compressed files and shuffles; the
+    # rows take several times as much.
+    "spark.sql.autoBroadcastJoinThreshold": "2MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "2MB",
 }
 
 

@@ -5,9 +5,10 @@ from pathlib import Path
 
 import pytest
 
+from feedplan.functions import diagnostics as dx
 from feedplan.operators.lookup import lookup
 from feedplan.operators.matching import match_target
-from feedplan.operators.vault import latest_secrets
+from feedplan.operators.vault import latest_secrets, vault_rows
 from feedplan.plans import feeds, sync
 from feedplan.sources.pages import explode_records, pages_read, parse_pages, require_good_pages
 from feedplan.sources.staging import shared_folder
@@ -91,6 +92,24 @@ def test_rows_of_one_row_group_are_parsed_by_many_tasks(spark, tmp_path, monkeyp
     assert len(parts) == 8 and max(r["count"] for r in parts) <= 60
 
 
+def test_only_small_sides_pass_through_the_driver(spark):
+    rows = spark.range(0, 200_000, 1, 4).selectExpr("id as line_no", "sha2(cast(id as string), 256) as k")
+    for n, broadcast in ((500, True), (120_000, False)):
+        right = rows.where(f"line_no < {n}").selectExpr("k", "sha2(k, 256) as v").distinct()  # 500 rows, and about 6 MB
+        plan = final_plan(lookup(rows, right, {"k": "k"}, "line_no").selectExpr("count(v)", "max(v)"))
+        assert ("BroadcastHashJoin" in plan) == broadcast, plan
+
+
+def test_secrets_are_parsed_where_the_cells_are_dealt_out(spark, tmp_path, monkeypatch):
+    few_customers(spark, tmp_path)
+    monkeypatch.setattr(feeds, "ROWS_A_TASK", 50)
+    raw = feeds.raw_feed(spark, str(tmp_path))
+    rows = spark.range(400).selectExpr("'' as source_id", "id as line_no", "concat('k', id) as match_key", "map('password', '***') as secrets", f"{dx.NONE} as errors")
+    plan = vault_rows(rows, sync.feed_secrets(raw), "d", "r", "2024", ())._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Repartition")
+    assert "password" in above and "regexp_" not in below, plan
+
+
 def test_library_keeps_off_the_driver():
     for path in (ROOT / "feedplan").rglob("*.py"):
         if path.parent.name == "llm":
