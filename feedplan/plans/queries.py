@@ -582,7 +582,8 @@ def validate_codes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def valid_split(spark: SparkSession, sf: str) -> DataFrame:
-    rows = validated(spark, sf)
+    # both parts read the verdicts, so they are staged: each row is looked up and checked once
+    rows = staged(validated(spark, sf).select("line_no", "errors"), "verdicts")
     good = validate.valid_rows(rows).selectExpr("line_no", "'valid' as part")
     return good.unionByName(validate.blocked_rows(rows).selectExpr("line_no", "'blocked' as part"))
 

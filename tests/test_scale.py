@@ -9,7 +9,7 @@ from feedplan.functions import diagnostics as dx
 from feedplan.operators.lookup import lookup
 from feedplan.operators.matching import match_target
 from feedplan.operators.vault import latest_secrets, vault_rows
-from feedplan.plans import feeds, sync
+from feedplan.plans import feeds, queries, sync
 from feedplan.sources.pages import explode_records, pages_read, parse_pages, require_good_pages
 from feedplan.sources.staging import shared_folder
 
@@ -110,6 +110,15 @@ def test_secrets_are_parsed_where_the_cells_are_dealt_out(spark, tmp_path, monke
     assert "password" in above and "regexp_" not in below, plan
 
 
+def test_both_parts_of_a_split_read_one_validation(spark):
+    sf = "/root/testdata/sf0.001"
+    split = queries.valid_split(spark, sf)
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "REQUIRED_FIELD_MISSING" not in plan and "Join" not in plan, plan
+    rows = queries.validated(spark, sf).select("line_no", "errors").collect()
+    assert sorted(map(tuple, split.collect())) == sorted((r.line_no, "blocked" if r.errors else "valid") for r in rows)
+
+
 def test_library_keeps_off_the_driver():
     for path in (ROOT / "feedplan").rglob("*.py"):
         if path.parent.name == "llm":
