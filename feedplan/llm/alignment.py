@@ -27,6 +27,8 @@ looked at.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import json
 from collections.abc import Iterator
@@ -52,6 +54,8 @@ from feedplan.sources.staging import staged
 REMEMBERED, TOGETHER = 400_000, 1 << 13
 #: Bytes of text in a slice.
 SLICE = 1 << 20
+#: Slices that one task answers: a slice takes a few MB, in whole rows that are sorted and handed to Python.
+ANSWERED = 16
 #: Ends of a stretch that are compared first.
 PROBE = 4
 #: A link is a number: the first id above these bits, the second one in them.
@@ -256,6 +260,14 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
+def _give_back() -> None:
+    """Hand freed memory back to the system: a worker waits on while the stages after it need the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 _OWN = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -272,6 +284,7 @@ def _sliced(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             binary = [pa.array([found[c].tobytes()], pa.binary()) for c in ("parts", "links", "link_sizes")]
             yield pa.record_batch([pa.array([number], pa.int64()), *whole, *binary], ["slice", "id", *_OWN, "groups_sha256", "n_parts", "codes", "docs", "parts", "links", "link_sizes"])
             number += 1
+        _give_back()
 
     longs = T.ArrayType(T.LongType())
     fields = [("slice", T.LongType()), ("id", T.ArrayType(id_type)), *((c, longs) for c in _OWN), ("groups_sha256", T.ArrayType(T.StringType())), ("n_parts", longs), ("codes", longs), ("docs", longs)]
@@ -295,6 +308,10 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _answered(rows: pa.Table, counts: pa.Table) -> pa.Table:
     """The documents of one slice, with the sums over their links."""
+    if aligner.cache_info().currsize:  # left by the slices in a worker that is used again
+        aligner.cache_clear()
+        gc.collect()
+        _give_back()
     row = {c: rows[c][0] for c in rows.column_names}
     code, count, best = (counts[c].to_numpy() for c in ("code", "count", "best"))
     order = np.argsort(code)
@@ -329,6 +346,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_column: str = "doc_id"
     schema = T.StructType([
         T.StructField("id", named.schema["id"].dataType), *(T.StructField(c, T.LongType()) for c in (*_OWN, "n_best", "count_sum")), T.StructField("groups_sha256", T.StringType()),
     ])
-    own = sliced.drop("codes", "docs")
+    # whole slices are sorted in the tasks that answer them, so their number goes with the slices, not with the session
+    tasks = max(1, -(-sliced.count() // ANSWERED))
+    own, answers = sliced.drop("codes", "docs").repartition(tasks, "slice"), answers.repartition(tasks, "of")
     found = own.groupBy("slice").cogroup(answers.groupBy("of")).applyInArrow(_answered, schema)
     return found.withColumnRenamed("id", id_column)

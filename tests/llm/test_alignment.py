@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import json
+import re
 from collections import Counter
 
 import numpy as np
@@ -148,3 +149,25 @@ def test_a_long_text_without_blanks(plain):
     text = "".join(f"x{i}" for i in range(20_000)) + "\t" * 3000 + " " * 3000
     found = alignment.aligner(A, B)(pa.array([text]))
     assert found["groups_sha256"] == [by_hand([text], plain)[0][6]]
+
+
+def test_tasks_that_answer_hold_few_slices(spark, monkeypatch):
+    monkeypatch.setattr(alignment, "ANSWERED", 2)
+    docs = documents(spark, [f"text {i} with some words" for i in range(200)]).repartition(12)  # a slice each
+    found = alignment.aligned(docs, A, B)
+    assert found.count() == 200
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    tasks = {int(n) for n in re.findall(r"hashpartitioning\((?:slice|of)#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan)}
+    assert tasks == {6}, plan
+
+
+def test_workers_that_answer_forget_the_parts():
+    aligner = alignment.aligner(A, B)
+    found = aligner(pa.array(["one text"]))
+    whole = {c: pa.array([found[c].tolist()], pa.list_(pa.int64())) for c in (*alignment._OWN, "n_parts")}
+    binary = {c: pa.array([found[c].tobytes()]) for c in ("parts", "links", "link_sizes")}
+    rows = pa.table({"id": pa.array([[1]]), "groups_sha256": pa.array([found["groups_sha256"]]), **whole, **binary})
+    counts = pa.table({"code": found["codes"].astype(np.int64), "count": found["docs"], "best": np.ones(len(found["docs"]), np.int32)})
+    answer = alignment._answered(rows, counts)
+    assert answer["count_sum"].to_pylist() == answer["n_links"].to_pylist() == found["n_links"].tolist()
+    assert alignment.aligner.cache_info().currsize == 0
